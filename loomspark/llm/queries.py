@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, pii, url_filter
+from . import decontaminate, packing, pii, url_filter
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,11 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_t(spark, sf_dir, "pages"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack(_t(spark, sf_dir, "documents").select("doc_id", "text"), keep_ids=False)
+    return out.select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 OP1_SQL = f"""
 WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') AS w FROM documents),
@@ -49,5 +54,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op4_pii": op4_pii,
     "op6_url_filter": op6_url_filter,
+    "op10_packing": op10_packing,
 }
 ORACLE_SQL: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op6_url_filter": url_filter.ORACLE_SQL}
