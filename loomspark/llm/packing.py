@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .common import cut
@@ -126,7 +127,7 @@ def pieces(documents: DataFrame, *, text_col: str = "text", tokenizer: str | Non
                 kinds = {"piece": pa.int32(), "ids": pa.list_(pa.int32()), "part": pa.int32()}
                 yield pa.RecordBatch.from_arrays([b.column("row").take(pa.array(src, pa.int64())), *(pa.array(v, kinds.get(k, pa.int64())) for k, v in cols.items())], names=["row", *cols])
 
-    return df.mapInArrow(run, df.select("row").schema.add("piece", "int").add("start", "long").add("length", "long").add("ids_crc32", "long").add("ids", "array<int>").add("part", "int").add("nth", "long"))
+    return df.mapInArrow(run, df.select("row").schema.add("piece", "integer").add("start", "long").add("length", "long").add("ids_crc32", "long").add("ids", T.ArrayType(T.IntegerType())).add("part", "integer").add("nth", "long"))
 
 
 def _small(batch: pa.RecordBatch, rows: int = 500):
