@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, pii, url_filter
+from . import decontaminate, packing, pii, toxicity, url_filter
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,14 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", *(pii.count(k).alias(f"n_{k}") for k in pii.BASE), F.sha2(pii.digest(base), 256).alias("base_sha256"), pii.digest(F.col("spans")).alias("spans"), *(pii.count(k).alias(f"n_{k}") for k in pii.KINDS[4:]))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(documents, _t(spark, sf_dir, "labels"), ~toxicity.held_out())
+    out = toxicity.score(documents, model)
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return out.select("row.doc_id", toxicity.held_out("row.doc_id").alias("held_out"), "score", (F.col("score") >= toxicity.REJECT).cast("int").alias("predicted"), spans.alias("spans"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_t(spark, sf_dir, "pages"))
 
@@ -53,6 +61,7 @@ FROM w LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op4_pii": op4_pii,
+    "op5_toxicity": op5_toxicity,
     "op6_url_filter": op6_url_filter,
     "op10_packing": op10_packing,
 }
