@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, pii, toxicity, url_filter
+from . import decontaminate, ngram_join, packing, pii, toxicity, url_filter
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_t(spark, sf_dir, "pages"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(_t(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_linked_texts")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack(_t(spark, sf_dir, "documents").select("doc_id", "text"), keep_ids=False)
     return out.select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -58,11 +62,27 @@ SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(pos.n_hit, 0) AS
 FROM w LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
+OP9_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 5 * k >= 4 * (na.n + nb.n - k)),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM w UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.doc_id WHERE r.c < l.b),
+c AS (SELECT doc_id, min(c) AS class_id FROM r GROUP BY doc_id),
+k AS (SELECT a AS doc_id, count(*) AS n_links FROM l GROUP BY a),
+g AS (SELECT s.doc_id, md5(string_agg(g, '|' ORDER BY g)) AS h FROM s GROUP BY s.doc_id),
+t AS (SELECT l.a AS doc_id, count(DISTINCT gb.h) AS n FROM l JOIN g ga ON ga.doc_id = l.a JOIN g gb ON gb.doc_id = l.b WHERE ga.h <> gb.h GROUP BY l.a)
+SELECT w.doc_id, c.class_id, coalesce(k.n_links, 0) AS n_links, coalesce(t.n, 0) AS n_linked_texts
+FROM w JOIN c USING (doc_id) LEFT JOIN k USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op4_pii": op4_pii,
     "op5_toxicity": op5_toxicity,
     "op6_url_filter": op6_url_filter,
+    "op9_ngram_join": op9_ngram_join,
     "op10_packing": op10_packing,
 }
-ORACLE_SQL: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op6_url_filter": url_filter.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op6_url_filter": url_filter.ORACLE_SQL, "op9_ngram_join": OP9_SQL}
