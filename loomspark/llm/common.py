@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: ASCII upper case folds to lower case, other ASCII that is not a letter or digit to a space; bytes over 127 stay.
 FOLD = bytes((c + 32 if 65 <= c <= 90 else c if c > 127 or 48 <= c <= 57 or 97 <= c <= 122 else 32) for c in range(256))
@@ -34,9 +34,9 @@ def cut(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def split_count(df: DataFrame) -> int:
-    """Partitions for exchanges that carry rows about as wide as the input's."""
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+def row_of(df: DataFrame, carry: list[str] | None, without: tuple[str, ...] = ()) -> Column:
+    """The struct ``row`` that an operator hands on: the columns named, or all; never those in ``without``."""
+    return F.struct(*[F.col(f"`{c}`") for c in (df.columns if carry is None else carry) if c not in without]).alias("row")
 
 
 def fold(text: str | None) -> bytes:
@@ -101,15 +101,3 @@ class Words:
         end = self.end if k is None else np.minimum(self.end, self.start + k)
         with np.errstate(over="ignore"):
             return mix((self._sum[end] - self._sum[self.start]) * powers(len(self.buf), _P_INV, 1)[self.start] + (end - self.start).astype(np.uint64))
-
-
-def per_row(fn: Callable[[list], list[list]], schema: pa.Schema, columns: list[str]) -> Callable:
-    """An Arrow mapper: ``fn`` gets the lists of the named columns and returns the output columns."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                out = fn(*[b.column(c).to_pylist() for c in columns])
-                yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(out, schema, strict=True)], schema=schema)
-
-    return run

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fold
+from .common import cut, fold, row_of
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _built: dict[str, tuple] = {}
@@ -76,14 +76,14 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, width: int, per_
     return [items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k) for k in range(blocks)]
 
 
-def scan(documents: DataFrame, benchmark: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = 13, per_block: int = 100_000) -> DataFrame:
+def scan(documents: DataFrame, benchmark: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = 13, per_block: int = 100_000, carry: list[str] | None = None) -> DataFrame:
     """Each document's row (struct ``row``) with n_words, n_hit, items (sorted ids) and spans (characters hit).
 
     Items are taken in blocks of about ``per_block`` windows, so what a worker holds is bounded; with more than one
     block the documents are scanned once a block and the hits carried along in a table of the shared folder.
     """
     spark = documents.sparkSession
-    df = documents.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"), F.lit(None).cast("array<struct<a:int,b:int>>").alias("ranges"), F.lit(None).cast("array<string>").alias("items"), F.lit(0).cast("long").alias("n_words"), F.lit(None).cast("array<struct<start:long,end:long>>").alias("spans"))
+    df = documents.select(row_of(documents, carry), F.col(text_col).cast("string").alias("text"), F.lit(None).cast("array<struct<a:int,b:int>>").alias("ranges"), F.lit(None).cast("array<string>").alias("items"), F.lit(0).cast("long").alias("n_words"), F.lit(None).cast("array<struct<start:long,end:long>>").alias("spans"))
     blocks = _blocks(benchmark, item_col, item_text_col, width, per_block)
     for k, block in enumerate(blocks):
         data = spark.sparkContext.broadcast([(r["item"], r["text"]) for r in block.collect()])  # bounded by per_block

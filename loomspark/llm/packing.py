@@ -8,7 +8,7 @@ slot by its length and its rank among the pieces of that length. Ranks come from
 task sees more than its own partition.
 
 Defined results: a null text counts as empty and gives the end token alone; repeated documents are packed each; an
-empty table gives no rows. Other columns of the input are kept in ``row`` by :func:`pieces` and :func:`pack`.
+empty table gives no rows. Other columns of the input than the text are kept in ``row`` (those in ``carry``, or all).
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import cut
+from .common import cut, row_of
 
 MAX_LEN, END_ID = 1024, 2
 LONG_WORD = 5000
@@ -102,12 +102,12 @@ def bounds(n: int, max_len: int) -> list[tuple[int, int]]:
     return [(0, first), *((s, max_len) for s in range(first, n, max_len))]
 
 
-def pieces(documents: DataFrame, *, text_col: str = "text", tokenizer: str | None = None, max_len: int = MAX_LEN, end_id: int = END_ID, keep_ids: bool = True) -> DataFrame:
+def pieces(documents: DataFrame, *, text_col: str = "text", tokenizer: str | None = None, max_len: int = MAX_LEN, end_id: int = END_ID, keep_ids: bool = True, carry: list[str] | None = None) -> DataFrame:
     """row, piece, start, length, ids_crc32, ids (null unless kept), and the piece's place: part, nth (of its length there).
 
     ``tokenizer``: a file all executors have (null: the public byte-level BPE by its package).
     """
-    df = documents.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
+    df = documents.select(row_of(documents, carry, (text_col,)), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
         enc = encoder(tokenizer or tokenizer_path())
@@ -207,10 +207,10 @@ def slots(bins: list[tuple[list[int], int]]) -> dict[str, np.ndarray]:
     return {"length": a[:, 0], "first": a[:, 1], "sequence": a[:, 2], "offset": a[:, 3]}
 
 
-def pack(documents: DataFrame, *, text_col: str = "text", tokenizer: str | None = None, max_len: int = MAX_LEN, end_id: int = END_ID, keep_ids: bool = True) -> DataFrame:
+def pack(documents: DataFrame, *, text_col: str = "text", tokenizer: str | None = None, max_len: int = MAX_LEN, end_id: int = END_ID, keep_ids: bool = True, carry: list[str] | None = None) -> DataFrame:
     """Every piece with its sequence_id and its offset there."""
     spark = documents.sparkSession
-    found = cut(pieces(documents, text_col=text_col, tokenizer=tokenizer, max_len=max_len, end_id=end_id, keep_ids=keep_ids), "pieces")
+    found = cut(pieces(documents, text_col=text_col, tokenizer=tokenizer, max_len=max_len, end_id=end_id, keep_ids=keep_ids, carry=carry), "pieces")
     by_part = cut(found.groupBy("part", "length").agg(F.count("*").alias("n")), "lengths")  # at most max_len rows a partition
     counts = {int(r["length"]): int(r["n"]) for r in by_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most max_len rows
     data = spark.sparkContext.broadcast(slots(plan(counts, max_len)))

@@ -20,6 +20,8 @@ import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import row_of
+
 #: Fixed patterns of the contract.
 BASE = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
@@ -181,9 +183,9 @@ def as_rows(text: str | None) -> list[dict]:
     return [{"kind": k, "start": a, "end": b} for k, a, b in find(text)]
 
 
-def detect(documents: DataFrame, *, text_col: str = "text") -> DataFrame:
+def detect(documents: DataFrame, *, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Every row (struct ``row``) with its spans."""
-    return documents.select(F.struct("*").alias("row"), F.udf(as_rows, SPANS, useArrow=True)(F.col(text_col).cast("string")).alias("spans"))
+    return documents.select(row_of(documents, carry), F.udf(as_rows, SPANS, useArrow=True)(F.col(text_col).cast("string")).alias("spans"))
 
 
 def redact(documents: DataFrame, *, text_col: str = "text") -> DataFrame:

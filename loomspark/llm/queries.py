@@ -15,12 +15,12 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = decontaminate.scan(_t(spark, sf_dir, "documents").select("doc_id", "text"), _t(spark, sf_dir, "benchmark"))
+    out = decontaminate.scan(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark"), carry=["doc_id"])
     return out.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), decontaminate.sha_of_items().alias("items_sha256"), decontaminate.is_contaminated().alias("contaminated"))
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = pii.detect(_t(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = pii.detect(_t(spark, sf_dir, "documents"), carry=["doc_id"])
     base = F.filter("spans", lambda s: s["kind"].isin("email", "ip", "card", "phone"))
     return out.select("row.doc_id", *(pii.count(k).alias(f"n_{k}") for k in pii.BASE), F.sha2(pii.digest(base), 256).alias("base_sha256"), pii.digest(F.col("spans")).alias("spans"), *(pii.count(k).alias(f"n_{k}") for k in pii.KINDS[4:]))
 
@@ -28,7 +28,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _t(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(documents, _t(spark, sf_dir, "labels"), ~toxicity.held_out())
-    out = toxicity.score(documents, model)
+    out = toxicity.score(documents, model, carry=["doc_id"])
     spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
     return out.select("row.doc_id", toxicity.held_out("row.doc_id").alias("held_out"), "score", (F.col("score") >= toxicity.REJECT).cast("int").alias("predicted"), spans.alias("spans"))
 
@@ -42,7 +42,7 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = packing.pack(_t(spark, sf_dir, "documents").select("doc_id", "text"), keep_ids=False)
+    out = packing.pack(_t(spark, sf_dir, "documents"), keep_ids=False, carry=["doc_id"])
     return out.select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

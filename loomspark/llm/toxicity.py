@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import FOLD, Words, chunks, fold
+from .common import FOLD, Words, chunks, fold, row_of
 
 BUCKETS = 1 << 18
 REJECT = 0.3
@@ -228,11 +228,11 @@ def held_out(doc_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_col).cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def score(documents: DataFrame, model: Model | float, *, text_col: str = "text") -> DataFrame:
+def score(documents: DataFrame, model: Model | float, *, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Every row (struct ``row``) with its score and its offending spans (code points, with the token's probability)."""
     spark = documents.sparkSession
     data = spark.sparkContext.broadcast(model)  # a fixed size
-    df = documents.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
+    df = documents.select(row_of(documents, carry), F.col(text_col).cast("string").alias("text"))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
 
     def run(batches):
