@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, ngram_join, packing, pii, toxicity, url_filter
+from . import ann, decontaminate, line_dedup, ngram_join, packing, pii, pseudo_lm, quality, toxicity, url_filter
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,15 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), decontaminate.sha_of_items().alias("items_sha256"), decontaminate.is_contaminated().alias("contaminated"))
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_t(spark, sf_dir, "embeddings"), F.pmod(F.col("id"), F.lit(50)) == 0)
+
+
+def op3_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pseudo_lm.score(_t(spark, sf_dir, "documents"), carry=["doc_id"])
+    return out.select("row.doc_id", "n_words", "log_likelihood", "mean_log_likelihood")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii.detect(_t(spark, sf_dir, "documents"), carry=["doc_id"])
     base = F.filter("spans", lambda s: s["kind"].isin("email", "ip", "card", "phone"))
@@ -37,6 +46,16 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_t(spark, sf_dir, "pages"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.classify(_t(spark, sf_dir, "documents"), carry=["doc_id"])
+    return out.select("row.doc_id", "weak", "score", (F.col("score") >= 0.5).alias("keep"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup(_t(spark, sf_dir, "documents"), carry=["doc_id"])
+    return out.select("row.doc_id", F.size("removed").cast("long").alias("n_removed"), F.array_join("removed", ",").alias("removed"), "text")
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.classes(_t(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_linked_texts")
 
@@ -79,9 +98,13 @@ FROM w JOIN c USING (doc_id) LEFT JOIN k USING (doc_id) LEFT JOIN t USING (doc_i
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_nearest": op2_nearest,
+    "op3_pseudo_likelihood": op3_pseudo_likelihood,
     "op4_pii": op4_pii,
     "op5_toxicity": op5_toxicity,
     "op6_url_filter": op6_url_filter,
+    "op7_quality": op7_quality,
+    "op8_line_dedup": op8_line_dedup,
     "op9_ngram_join": op9_ngram_join,
     "op10_packing": op10_packing,
 }
