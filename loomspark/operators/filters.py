@@ -76,7 +76,7 @@ def has_code_signal(t: Column) -> Column:
 
 def prepare(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds what several rules use, each computed once: _lines, _solid (stripped, not blank) and _stats (of the characters)."""
-    df = df.withColumn("_lines", tx.lines(text)).withColumn("_stats", tx.char_stats(tx.without_space(text)))
+    df = df.withColumn("_lines", tx.lines(text)).withColumn("_stats", tx.char_stats(text))
     return df.withColumn("_solid", F.filter(F.transform("_lines", tx.strip), lambda x: x != ""))
 
 

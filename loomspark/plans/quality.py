@@ -10,8 +10,6 @@ from loomspark.functions.text import sql_any, sql_hits, sql_lines, sql_solid, sq
 from loomspark.operators import dedupe, filters
 from loomspark.plans.samples import CODE_SQL, code, read
 
-T = F.col("text")
-
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents")
@@ -23,9 +21,9 @@ def _reasons(docs: DataFrame) -> DataFrame:
     Rules before and after the duplicate rule are settled while the text is at hand, so only short columns meet in the join.
     """
     df = filters.prepare(docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text")))
-    df = filters.with_decision(df, filters.trash_reason(T), filters.general(T))
+    df = filters.with_decision(df, filters.trash_reason(F.col("text")), filters.general(F.col("text")))
     early = F.col("decision.reason").isin("empty_text", "binary_or_corrupt_text")
-    short = df.select("doc_id", "source", early.alias("early"), F.col("decision").alias("rest"), dedupe.content_hash(T).alias("hash"), tx.estimated_tokens(T).alias("tokens"))
+    short = df.select("doc_id", "source", early.alias("early"), F.col("decision").alias("rest"), dedupe.content_hash(F.col("text")).alias("hash"), tx.estimated_tokens(F.col("text")).alias("tokens"))
     marked = dedupe.mark_duplicates(short, ["source", "hash"], "doc_id", among=~F.col("early"))
     late = F.when(F.col("duplicate_of").isNotNull(), "duplicate_content")
     tier = F.when(late.isNotNull(), "C").otherwise(F.col("rest.tier"))
@@ -71,7 +69,7 @@ _STATUS = "CASE tier WHEN 'RESCUE' THEN 'rescued' WHEN 'C' THEN 'rejected' ELSE
 def q_text_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = filters.prepare(_docs(spark, sf_dir).select("doc_id", "text"))
     lines, solid, s = F.col("_lines"), F.col("_solid"), F.col("_stats")
-    return df.select("doc_id", filters.is_binary(T).alias("is_binary"), filters.is_dependency_dump(T, lines).alias("is_dump"), filters.is_minified(T, lines).alias("is_minified"), filters.is_license(solid).alias("is_license"), filters.is_char_spam(s).alias("is_spam"), filters.is_low_entropy(s).alias("is_flat"), filters.is_line_spam(solid).alias("is_lines"), filters.is_dangerous(T).alias("is_dangerous"), filters.has_code_signal(T).alias("has_signal"), tx.estimated_tokens(T).alias("tokens"))
+    return df.select("doc_id", filters.is_binary(F.col("text")).alias("is_binary"), filters.is_dependency_dump(F.col("text"), lines).alias("is_dump"), filters.is_minified(F.col("text"), lines).alias("is_minified"), filters.is_license(solid).alias("is_license"), filters.is_char_spam(s).alias("is_spam"), filters.is_low_entropy(s).alias("is_flat"), filters.is_line_spam(solid).alias("is_lines"), filters.is_dangerous(F.col("text")).alias("is_dangerous"), filters.has_code_signal(F.col("text")).alias("has_signal"), tx.estimated_tokens(F.col("text")).alias("tokens"))
 
 
 def q_page_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = Path(__file__).resolve().parent.parent
 
@@ -26,6 +27,22 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
     )
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``, or one of our own where that is unset (tests)."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or getattr(shared_dir, "own", None)
+    if not found:
+        found = "file://" + tempfile.mkdtemp(prefix="loomspark-")
+        shared_dir.own = found  # type: ignore[attr-defined]
+    return found.rstrip("/")
+
+
+def cut(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back: short lineage that outlives lost executors."""
+    path = f"{shared_dir(df.sparkSession)}/loomspark/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, unless their PYTHONPATH has it already. Once a context."""
     sc = spark.sparkContext
