@@ -9,6 +9,7 @@ from loomspark.functions import text as tx
 from loomspark.functions.text import sql_any, sql_hits, sql_lines, sql_solid, sql_squeeze, sql_strip
 from loomspark.operators import dedupe, filters
 from loomspark.plans.samples import CODE_SQL, code, read
+from loomspark.session import cut
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +24,7 @@ def _reasons(docs: DataFrame) -> DataFrame:
     df = filters.prepare(docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text")))
     df = filters.with_decision(df, filters.trash_reason(F.col("text")), filters.general(F.col("text")))
     early = F.col("decision.reason").isin("empty_text", "binary_or_corrupt_text")
-    short = df.select("doc_id", "source", early.alias("early"), F.col("decision").alias("rest"), dedupe.content_hash(F.col("text")).alias("hash"), tx.estimated_tokens(F.col("text")).alias("tokens"))
+    short = cut(df.select("doc_id", "source", early.alias("early"), F.col("decision").alias("rest"), dedupe.content_hash(F.col("text")).alias("hash"), tx.estimated_tokens(F.col("text")).alias("tokens")), "decisions")  # texts are read once
     marked = dedupe.mark_duplicates(short, ["source", "hash"], "doc_id", among=~F.col("early"))
     late = F.when(F.col("duplicate_of").isNotNull(), "duplicate_content")
     tier = F.when(late.isNotNull(), "C").otherwise(F.col("rest.tier"))
