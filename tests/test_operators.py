@@ -200,3 +200,34 @@ def test_runs(spark):
     q = spark.createDataFrame([(1, "h"), (2, "h"), (3, "k")], "candidate_id int, request_hash string")
     done = spark.createDataFrame([(1,)], "candidate_id int")
     assert sorted(r["candidate_id"] for r in runs.request_queue(q, done, "candidate_id").collect()) == [2, 3]
+
+
+def test_structuring(spark):
+    import json
+
+    from loomspark.operators import structuring
+
+    df = spark.createDataFrame([(1, "s", "tests", "def f(): pass", "A", 0.9)], "candidate_id long, source string, task_type string, text string, tier string, score double")
+    asked = structuring.prompts(df)
+    good = asked.withColumn("reply", structuring.mock_reply(asked))
+    bad = asked.withColumn("reply", F.lit('{"user_prompt": "p", "loss_weight": 9, "source": "x"}')).unionByName(asked.withColumn("reply", F.lit("not json")))
+    got = structuring.normalized(good.unionByName(bad), provider="mock", model="m", time="2024-01-01T00:00:00Z").collect()
+    assert got[0]["error"] is None and got[0]["skills"] == ["python", "tests"] and got[0]["loss_weight"] == 1.5
+    assert got[1]["blocked"] == ["loss_weight", "source"] and got[1]["source"] == "s" and got[2]["error"] == "invalid JSON response"
+    assert structuring.scrub({"api_key": "x", "a": ["y" * 600] * 30})["api_key"] == "[redacted]"
+    raw = spark.createDataFrame([(json.dumps({"Token": "x", "a": 1}),), ("[",)], "r string").select(structuring.scrubbed(F.col("r")).alias("s")).collect()
+    assert json.loads(raw[0]["s"]) == {"Token": "[redacted]", "a": 1} and raw[1]["s"] is None
+    assert structuring.ask(asked, lambda ps: [p[:4] for p in ps]).first()["reply"] == "Writ"
+
+
+def test_stage_chain(spark):
+    from loomspark.operators import stages
+
+    rows = [(i, "stack_v2_python", "python_code", f"def f{i % 7}(x):\n    return x + {i % 7}\n") for i in range(20)] + [(100, "fineweb_edu", "educational_text", "cooking")]
+    df = spark.createDataFrame(rows, "id long, source string, example_type string, text string")
+    options = stages.Options(stage="fim_train", max_seq_len=16)
+    kept = stages.prepared(df, "id", options)
+    assert sorted(r["id"] for r in kept.collect()) == list(range(7)) and all(r["fim_applied"] for r in kept.collect())
+    w = stages.packed(stages.tokenized(stages.mixed(kept, "id", options), options), "id", options)
+    assert all(len(r["token_ids"]) == 17 and r["labels"] == {"stack_v2_python": 17} for r in w.collect())
+    assert stages.batches(w, options).count() % 2 == 0
