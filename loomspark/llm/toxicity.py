@@ -22,7 +22,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import FOLD, Words, chunks, fold, row_of
 
@@ -35,7 +34,7 @@ BLOCK = 256
 
 def features(w: Words) -> np.ndarray:
     """Bucket numbers, tokens x templates."""
-    out = np.empty((len(w.start), len(TEMPLATES)), np.int64)
+    out = np.empty((len(w.start), len(TEMPLATES)), np.int32)
     cache: dict = {}
     for j, (k, shift) in enumerate(TEMPLATES):
         h = cache.get(k)
@@ -43,7 +42,7 @@ def features(w: Words) -> np.ndarray:
             h = cache[k] = w.hash(k)
         h = np.roll(h, -shift) if shift else h
         with np.errstate(over="ignore"):
-            out[:, j] = ((h * np.uint64(2 * j + 3) + np.uint64(j)) >> np.uint64(46)).astype(np.int64)
+            out[:, j] = ((h * np.uint64(2 * j + 3) + np.uint64(j)) >> np.uint64(46)).astype(np.int32)
         if shift:  # no neighbour beyond the text's ends
             some = w.n > 0
             edge = w.first[some] if shift < 0 else w.upto[some] - 1
@@ -51,10 +50,10 @@ def features(w: Words) -> np.ndarray:
     return out
 
 
-def boundaries(w: Words) -> np.ndarray:
-    """True at the first token of each text."""
-    b = np.zeros(len(w.start), bool)
-    b[w.first[w.n > 0]] = True
+def boundaries(n: np.ndarray) -> np.ndarray:
+    """True at the first token of each text; ``n``: the texts' numbers of tokens."""
+    b = np.zeros(int(n.sum()), bool)
+    b[(np.cumsum(n) - n)[n > 0]] = True
     return b
 
 
@@ -124,19 +123,19 @@ class Model:
     def tokens(self, f: np.ndarray, new: np.ndarray) -> np.ndarray:
         return forward_backward(self.weights[f].sum(axis=1, dtype=np.float64) + self.bias, self.trans, new)[0]
 
-    def documents(self, p: np.ndarray, w: Words) -> np.ndarray:
-        return 1 / (1 + np.exp(-(summary(p, w) @ self.layer)))
+    def documents(self, p: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-(summary(p, n) @ self.layer)))
 
 
-def summary(p: np.ndarray, w: Words) -> np.ndarray:
+def summary(p: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Per text: 1, log1p of the marginals' sum, their maximum and mean."""
-    out = np.zeros((len(w.n), 4))
+    out = np.zeros((len(n), 4))
     out[:, 0] = 1
-    some = w.n > 0
+    some = n > 0
     if some.any():
-        first = w.first[some]
+        first = (np.cumsum(n) - n)[some]
         total = np.add.reduceat(p, first)
-        out[some, 1], out[some, 2], out[some, 3] = np.log1p(total), np.maximum.reduceat(p, first), total / w.n[some]
+        out[some, 1], out[some, 2], out[some, 3] = np.log1p(total), np.maximum.reduceat(p, first), total / n[some]
     return out
 
 
@@ -150,7 +149,7 @@ def label_tokens(f: np.ndarray, doc: np.ndarray, toxic: np.ndarray, weight: np.n
     for j, (_, shift) in enumerate(TEMPLATES):
         if shift:
             continue
-        pair = np.unique(f[:, j] * len(toxic) + doc)
+        pair = np.unique(f[:, j].astype(np.int64) * len(toxic) + doc)
         bucket, who = pair // len(toxic), pair % len(toxic)
         least = max(3, np.ceil(np.log(max(len(np.unique(bucket)), 1) / chance) / np.log(1 / share)))
         n1 = np.bincount(bucket[toxic[who]], minlength=BUCKETS)
@@ -166,17 +165,23 @@ def train(texts: list[str], toxic: list[int], class_weight: dict[int, float], *,
     weight = np.where(y, class_weight[1], class_weight[0])
     order = np.random.default_rng(0).permutation(len(texts))
     texts, y, weight = [texts[i] for i in order], y[order], weight[order]
-    w = Words([fold(t) for t in texts])
-    f, new = features(w), boundaries(w)
-    doc = np.repeat(np.arange(len(texts)), w.n)
+    parts, sizes = [], []
+    for _, part in chunks([fold(t) for t in texts], 1 << 20):
+        w = Words(part)
+        parts.append(features(w))
+        sizes.append(w.n)
+    f, n = np.concatenate(parts), np.concatenate(sizes)
+    del parts, w
+    new, upto = boundaries(n), np.cumsum(n)
+    doc = np.repeat(np.arange(len(texts), dtype=np.int32), n)
     gold = label_tokens(f, doc, y, weight)
     usable = ~y | (np.bincount(doc[gold], minlength=len(texts)) > 0)  # toxic documents without a marked token say nothing here
     theta, seen = np.zeros(BUCKETS, np.float32), np.full(BUCKETS, 1e-3, np.float32)
     small, small_seen = np.array([-3.0, 1.0, 0.0, 0.0, 1.0]), np.full(5, 1e-3)
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-60 * batch // len(texts)))):  # at least 60 steps
         for lo in range(0, len(texts), batch):
             docs = np.flatnonzero(usable[lo : lo + batch]) + lo
-            t = np.concatenate([np.arange(w.first[i], w.upto[i]) for i in docs]) if len(docs) else np.zeros(0, int)
+            t = np.concatenate([np.arange(upto[i] - n[i], upto[i]) for i in docs]) if len(docs) else np.zeros(0, int)
             if not len(t):
                 continue
             ff, nn, g = f[t], new[t], gold[t].astype(float)
@@ -197,7 +202,9 @@ def train(texts: list[str], toxic: list[int], class_weight: dict[int, float], *,
             small_seen += gs**2
             small += 0.1 * gs / np.sqrt(small_seen)
     model = Model(theta, float(small[0]), small[1:].reshape(2, 2), np.zeros(4))
-    x = summary(model.tokens(f, new), w)
+    starts = np.arange(0, len(texts), batch)
+    p = np.concatenate([model.tokens(f[a:b], new[a:b]) for a, b in ((upto[i] - n[i], upto[min(i + batch, len(texts)) - 1]) for i in starts)])
+    x = summary(p, n)
     layer, ridge = np.zeros(4), np.diag([1e-6, 1e-2, 1e-2, 1e-2]) * weight.sum() / 100
     for _ in range(25):
         q = 1 / (1 + np.exp(-(x @ layer)))
@@ -230,32 +237,30 @@ def held_out(doc_col: str = "doc_id") -> Column:
 
 def score(documents: DataFrame, model: Model | float, *, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Every row (struct ``row``) with its score and its offending spans (code points, with the token's probability)."""
-    spark = documents.sparkSession
-    data = spark.sparkContext.broadcast(model)  # a fixed size
-    df = documents.select(row_of(documents, carry), F.col(text_col).cast("string").alias("text"))
+    data = documents.sparkSession.sparkContext.broadcast(model)  # a fixed size
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
 
-    def run(batches):
+    def judge(text: pa.Array) -> pa.Array:
         m = data.value
-        for b in batches:
-            raw = [x or b"" for x in b.column("text").cast(pa.binary()).to_pylist()]
-            scores, spans = np.zeros(len(raw)), [[] for _ in raw]
-            if isinstance(m, float):
-                scores[:] = m
-            else:
-                for at, part in chunks(raw):
-                    w = Words([x.translate(FOLD) for x in part])
-                    p = m.tokens(features(w), boundaries(w))
-                    scores[at : at + len(part)] = m.documents(p, w)
-                    hot = np.flatnonzero(p > 0.5)
-                    owner = np.searchsorted(w.upto, hot, side="right")
-                    base = np.concatenate([[1], 1 + np.cumsum([len(x) + 1 for x in part])])
-                    for t, i in zip(hot.tolist(), owner.tolist(), strict=True):
-                        lo, hi = int(w.start[t] - base[i]), int(w.end[t] - base[i])
-                        start = len(part[i][:lo].decode("utf-8", "replace"))
-                        spans[at + i].append({"start": start, "end": start + len(part[i][lo:hi].decode("utf-8", "replace")), "p": float(p[t])})
-            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(scores), pa.array(spans, span)], names=["row", "score", "spans"])
-
-
-    spans_type = T.ArrayType(T.StructType().add("start", "long").add("end", "long").add("p", "double"))
-    return df.mapInArrow(run, df.select("row").schema.add("score", "double").add("spans", spans_type))
+        scores, spans = np.zeros(len(text)), [[] for _ in range(len(text))]
+        if isinstance(m, float):
+            scores[:] = m
+            return pa.StructArray.from_arrays([pa.array(scores), pa.array(spans, span)], ["score", "spans"])
+        for lo in range(0, len(text), 500):
+            raw = [x or b"" for x in text.slice(lo, 500).cast(pa.binary()).to_pylist()]
+            for at, part in chunks(raw):
+                w = Words([x.translate(FOLD) for x in part])
+                p = m.tokens(features(w), boundaries(w.n))
+                scores[lo + at : lo + at + len(part)] = m.documents(p, w.n)
+                hot = np.flatnonzero(p > 0.5)
+                owner = np.searchsorted(w.upto, hot, side="right")
+                base = np.concatenate([[1], 1 + np.cumsum([len(x) + 1 for x in part])])
+                for t, i in zip(hot.tolist(), owner.tolist(), strict=True):
+                    a, b = int(w.start[t] - base[i]), int(w.end[t] - base[i])
+                    start = len(part[i][:a].decode("utf-8", "replace"))
+                    spans[lo + at + i].append({"start": start, "end": start + len(part[i][a:b].decode("utf-8", "replace")), "p": float(p[t])})
+        return pa.StructArray.from_arrays([pa.array(scores), pa.array(spans, span)], ["score", "spans"])
+
+    judged = F.arrow_udf(judge, "score double, spans array<struct<start:long,end:long,p:double>>")
+    out = documents.select(row_of(documents, carry), judged(F.col(text_col).cast("string")).alias("judged"))
+    return out.select("row", "judged.score", "judged.spans")
