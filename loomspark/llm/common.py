@@ -39,11 +39,18 @@ def row_of(df: DataFrame, carry: list[str] | None, without: tuple[str, ...] = ()
     return F.struct(*[F.col(f"`{c}`") for c in (df.columns if carry is None else carry) if c not in without]).alias("row")
 
 
+def small(batches, rows: int = 400):
+    """Record batches in slices of a few rows, so that only some texts are Python objects at a time."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def fold(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").translate(FOLD)
 
 
-def chunks(texts: list[bytes], limit: int = 1 << 21) -> Iterator[tuple[int, list[bytes]]]:
+def chunks(texts: list[bytes], limit: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
     """Consecutive texts of about ``limit`` bytes together, with the index of the first."""
     at, size, part = 0, 0, []
     for i, t in enumerate(texts):

@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 from .common import cut, fold, row_of
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-_built: dict[str, tuple] = {}
+FOUND_TYPE = "n_words:long,ranges:array<struct<a:int,b:int>>,items:array<string>,spans:array<struct<start:long,end:long>>"
+FOUND = "n_words long, ranges array<struct<a:int,b:int>>, items array<string>, spans array<struct<start:long,end:long>>"
+_built: dict[str, WindowScanner] = {}
 
 
 class WindowScanner:
@@ -82,37 +84,36 @@ def scan(documents: DataFrame, benchmark: DataFrame, *, doc_col: str = "doc_id",
     Items are taken in blocks of about ``per_block`` windows, so what a worker holds is bounded; with more than one
     block the documents are scanned once a block and the hits carried along in a table of the shared folder.
     """
-    spark = documents.sparkSession
-    df = documents.select(row_of(documents, carry), F.col(text_col).cast("string").alias("text"), F.lit(None).cast("array<struct<a:int,b:int>>").alias("ranges"), F.lit(None).cast("array<string>").alias("items"), F.lit(0).cast("long").alias("n_words"), F.lit(None).cast("array<struct<start:long,end:long>>").alias("spans"))
+    sc = documents.sparkSession.sparkContext
+    df = documents.select(row_of(documents, carry), F.col(text_col).cast("string").alias("text"), F.lit(None).cast(f"struct<{FOUND_TYPE}>").alias("found"))
     blocks = _blocks(benchmark, item_col, item_text_col, width, per_block)
     for k, block in enumerate(blocks):
-        data = spark.sparkContext.broadcast([(r["item"], r["text"]) for r in block.collect()])  # bounded by per_block
-        df = df.mapInArrow(_scanner(data, width, k + 1 == len(blocks)), df.schema)
+        data = sc.broadcast([(r["item"], r["text"]) for r in block.collect()])  # bounded by per_block
+        df = df.withColumn("found", F.arrow_udf(_scanner(data, width, k + 1 == len(blocks)), FOUND)("text", "found"))
         if k + 1 < len(blocks):
             df = cut(df, "windows")
-    return df.select("row", *_finish(df))
+    hit = F.aggregate("found.ranges", F.lit(0).cast("long"), lambda s, r: s + r["b"] - r["a"])
+    return df.select("row", "found.n_words", hit.alias("n_hit"), "found.items", "found.spans")
 
 
 def _scanner(data, width: int, last: bool):
     key = uuid.uuid4().hex
+    kind = pa.struct([("n_words", pa.int64()), ("ranges", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))), ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
 
-    def run(batches):
+    def run(texts: pa.Array, before: pa.Array) -> pa.Array:
         if key not in _built:
             _built.clear()
             _built[key] = WindowScanner(data.value, width)
-        scanner = _built[key]
-        for b in batches:
-            n_words, ranges, items, spans = [], [], [], []
-            for text, before, had in zip(b.column("text").to_pylist(), b.column("ranges").to_pylist(), b.column("items").to_pylist(), strict=True):
-                n, r, found = scanner.scan(text)
-                n_words.append(n)
-                r = merge(r + [(v["a"], v["b"]) for v in before or []])
-                ranges.append([{"a": x, "b": y} for x, y in r])
-                spans.append(char_spans(text, r) if last else None)
-                items.append(sorted(found | set(had or [])))
-            schema = b.schema
-            cols = {"ranges": ranges, "items": items, "n_words": n_words, "spans": spans}
-            yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) if f.name in cols else b.column(f.name) for f in schema], schema=schema)
+        scanner, out = _built[key], []
+        for lo in range(0, len(texts), 500):
+            for text, had in zip(texts.slice(lo, 500).to_pylist(), before.slice(lo, 500).to_pylist(), strict=True):
+                n, ranges, items = scanner.scan(text)
+                if had:
+                    ranges += [(v["a"], v["b"]) for v in had["ranges"]]
+                    items |= set(had["items"])
+                ranges = merge(ranges)
+                out.append({"n_words": n, "ranges": [{"a": x, "b": y} for x, y in ranges], "items": sorted(items), "spans": char_spans(text, ranges) if last else None})
+        return pa.array(out, kind)
 
     return run
 
@@ -125,11 +126,6 @@ def char_spans(text: str, ranges: list[tuple[int, int]]) -> list[dict]:
     return [{"start": at[a][0], "end": at[b - 1][1]} for a, b in ranges]
 
 
-def _finish(df: DataFrame) -> list:
-    hit = F.aggregate("ranges", F.lit(0).cast("long"), lambda s, r: s + r["b"] - r["a"])
-    return [F.col("n_words"), hit.alias("n_hit"), F.col("items"), F.col("spans")]
-
-
 def is_contaminated(n_words="n_words", n_hit="n_hit"):
     """More than none of the words hit, and at least a twentieth of them."""
     return (F.col(n_hit) > 0) & (20 * F.col(n_hit) >= F.col(n_words))

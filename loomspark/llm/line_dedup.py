@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, mix, powers, row_of
+from .common import cut, mix, powers, row_of, small
 from .graph import connected_components, in_blocks
 from .ngram_join import _uid
 
@@ -149,7 +149,7 @@ def _occurrences(least: int):
     """(uid, doc_id, line, h1, h2) of every long enough line."""
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             for at, part in _batches([t or "" for t in b.column("text").to_pylist()]):
                 w = Lines(part, least)
                 src = pa.array(w.owner + at)
@@ -162,7 +162,7 @@ def _keys(edits: int, least: int, bloom=None):
     """(key, h1, role) of the distinct lines of each batch; with a filter only the keys that it may have."""
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             for _, part in _batches([t or "" for t in b.column("text").to_pylist()]):
                 w = Lines(part, least)
                 h = w.hash(w.start, w.end)
@@ -179,7 +179,7 @@ def _texts(least: int, bloom):
     """(h1, line) of the distinct lines of each batch that the filter may have."""
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             for _, part in _batches([t or "" for t in b.column("text").to_pylist()]):
                 w = Lines(part, least)
                 h = w.hash(w.start, w.end)
@@ -290,7 +290,8 @@ def dedup(documents: DataFrame, *, doc_col: str = "doc_id", text_col: str = "tex
     gone = removals(documents, doc_col=doc_col, text_col=text_col, **options)
     rows = documents.select(row_of(documents, carry, (text_col,)), F.col(text_col).cast("string").alias("text"), _uid(doc_col, text_col).alias("uid"))
     out = rows.join(gone, "uid", "left")
-    return out.select("row", F.pandas_udf(_rewrite, "string")("text", "removed").alias("text"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
+    rewrite = F.pandas_udf(_rewrite, "string").asNondeterministic()  # else a filter on the text would run it twice
+    return out.select("row", rewrite("text", "removed").alias("text"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
 def apply(documents: DataFrame, *, text_col: str = "text", **options) -> DataFrame:

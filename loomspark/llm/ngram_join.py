@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FOLD, Words, chunks, cut, mix
+from .common import FOLD, Words, chunks, cut, mix, small
 from .graph import connected_components, in_blocks, local_components
 
 WIDTH, THRESHOLD, BANDS, ROWS, STEP, TOLERANCE, BLOCK = 5, 0.8, 25, 4, 20, 1e-7, 2000
@@ -76,7 +76,7 @@ def _sketch(k: int, width: int, sets: bool):
     """Maps text to digest, number of distinct shingles and either MinHash values or the sorted set itself."""
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             raw = [(x or b"").translate(FOLD) for x in b.column("text").cast(pa.binary()).to_pylist()]
             digest, size, sig = [], [], []
             for _, part in chunks(raw, 1 << 20):

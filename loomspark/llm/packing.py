@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import cut, row_of
+from .common import cut, row_of, small
 
 MAX_LEN, END_ID = 1024, 2
 LONG_WORD = 5000
@@ -113,28 +113,22 @@ def pieces(documents: DataFrame, *, text_col: str = "text", tokenizer: str | Non
         enc = encoder(tokenizer or tokenizer_path())
         seen: Counter = Counter()
         part = TaskContext.get().partitionId()
-        for whole in batches:
-            for b in _small(whole):
-                src, cols = [], {k: [] for k in ("piece", "start", "length", "ids_crc32", "ids", "part", "nth")}
-                for i, text in enumerate(b.column("text").to_pylist()):
-                    ids = np.array([*enc.encode(text or ""), end_id], "<u4")
-                    for k, (start, n) in enumerate(bounds(len(ids), max_len)):
-                        own = ids[start : start + n]
-                        src.append(i)
-                        for name, v in (("piece", k), ("start", start), ("length", n), ("ids_crc32", zlib.crc32(own.tobytes())), ("ids", own.astype(np.int32) if keep_ids else None), ("part", part), ("nth", seen[n])):
-                            cols[name].append(v)
-                        seen[n] += 1
-                kinds = {"piece": pa.int32(), "ids": pa.list_(pa.int32()), "part": pa.int32()}
-                yield pa.RecordBatch.from_arrays([b.column("row").take(pa.array(src, pa.int64())), *(pa.array(v, kinds.get(k, pa.int64())) for k, v in cols.items())], names=["row", *cols])
+        for b in small(batches):
+            src, cols = [], {k: [] for k in ("piece", "start", "length", "ids_crc32", "ids", "part", "nth")}
+            for i, text in enumerate(b.column("text").to_pylist()):
+                ids = np.array([*enc.encode(text or ""), end_id], "<u4")
+                for k, (start, n) in enumerate(bounds(len(ids), max_len)):
+                    own = ids[start : start + n]
+                    src.append(i)
+                    for name, v in (("piece", k), ("start", start), ("length", n), ("ids_crc32", zlib.crc32(own.tobytes())), ("ids", own.astype(np.int32) if keep_ids else None), ("part", part), ("nth", seen[n])):
+                        cols[name].append(v)
+                    seen[n] += 1
+            kinds = {"piece": pa.int32(), "ids": pa.list_(pa.int32()), "part": pa.int32()}
+            yield pa.RecordBatch.from_arrays([b.column("row").take(pa.array(src, pa.int64())), *(pa.array(v, kinds.get(k, pa.int64())) for k, v in cols.items())], names=["row", *cols])
 
     return df.mapInArrow(run, df.select("row").schema.add("piece", "integer").add("start", "long").add("length", "long").add("ids_crc32", "long").add("ids", T.ArrayType(T.IntegerType())).add("part", "integer").add("nth", "long"))
 
 
-def _small(batch: pa.RecordBatch, rows: int = 500):
-    for i in range(0, batch.num_rows, rows):
-        yield batch.slice(i, rows)
-
-
 def fill(free: np.ndarray, max_len: int) -> list[int]:
     """One bin by best-two-fit; ``free[n]``: unpacked pieces of length n. Largest first."""
     free = free.copy()

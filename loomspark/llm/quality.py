@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FOLD, Words, chunks, mix, row_of
+from .common import FOLD, Words, chunks, mix, row_of, small
 
 BUCKETS, SAMPLE, MAX_CHARS = 1 << 17, 6000, 20_000
 #: The commonest function words of the languages at hand, a fixed list.
@@ -168,7 +168,7 @@ def fit_scorer(raw: list[bytes], target: np.ndarray, *, epochs: int = 8, batch:
 
 def _map(fn, names: list[str]):
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             raw = [x or b"" for x in b.column("text").cast(pa.binary()).to_pylist()]
             cols = [[] for _ in names]
             for _, part in chunks(raw, 1 << 20):
