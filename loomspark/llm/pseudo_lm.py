@@ -6,8 +6,8 @@ other words share hashed tail ids, and places beyond the text have an id of thei
 a class from the context, then a word within the class, so a prediction costs two short rows.
 
 Training is data-parallel: in each round every partition starts from the common parameters, takes AdaGrad steps on its own
-whole documents (one word in ``mask`` is masked and a target, another set of words in each round, as in masked language
-modelling), and the results are averaged with the numbers of targets as weights, by an aggregate over blocks of parameters. What the
+whole documents (one word in ``mask`` is masked and a target at a time, as in masked language modelling; the rounds share
+out the ``mask`` sets of words, so each word is a target once), and the results are averaged with the numbers of targets as weights, by an aggregate over blocks of parameters. What the
 driver holds is the vocabulary and one set of parameters, both of fixed size.
 
 Defined results: null and empty texts have no words, so a score of 0 and a null mean; repeated documents each get a row;
@@ -124,6 +124,12 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x = np.exp(x - x.max(axis=1, keepdims=True))
+    x /= x.sum(axis=1, keepdims=True)
+    return x
+
+
 class Trainer:
     """AdaGrad steps on one copy of the network."""
 
@@ -140,21 +146,25 @@ class Trainer:
         net, n = self.net, len(target)
         size = net.top.shape[1]
         h, c, w = net.hidden(context), target // size, target % size
-        p = np.exp(_log_softmax(h @ net.top))
+        order = np.argsort(c, kind="stable")
+        h, c, w, context = h[order], c[order], w[order], context[order]
+        p = _softmax(h @ net.top)
         p[np.arange(n), c] -= 1
         p /= n
         back = p @ net.top.T
         top = h.T @ p
-        order = np.argsort(c, kind="stable")
-        edges = np.searchsorted(c[order], np.arange(size + 1))
-        for k in range(size):
-            own = order[edges[k] : edges[k + 1]]
-            if len(own):
-                q = np.exp(_log_softmax(h[own] @ net.low[k]))
-                q[np.arange(len(own)), w[own]] -= 1
-                q /= n
-                back[own] += q @ net.low[k].T
-                self._step("low", h[own].T @ q, k)
+        some, first = np.unique(c, return_index=True)
+        spans = list(zip(some.tolist(), first.tolist(), [*first[1:].tolist(), n], strict=True))
+        q, low = np.empty((n, size), np.float32), np.empty((len(some), h.shape[1], size), np.float32)
+        for k, lo, hi in spans:
+            np.matmul(h[lo:hi], net.low[k], out=q[lo:hi])
+        q = _softmax(q)
+        q[np.arange(n), w] -= 1
+        q /= n
+        for i, (k, lo, hi) in enumerate(spans):
+            back[lo:hi] += q[lo:hi] @ net.low[k].T
+            np.matmul(h[lo:hi].T, q[lo:hi], out=low[i])
+        self._step("low", low, some)
         self._step("top", top)
         g = back[:, :-1] * (1 - h[:, :-1] ** 2)
         self._step("bias", g.sum(axis=0))
@@ -190,17 +200,18 @@ def _groups(batches, words: int = 40_000):
                 lo, size = i + 1, 0
 
 
-def _train(data, round_: int, mask: int, edge: int, batch: int, pieces: int):
+def _train(data, round_: int, rounds: int, mask: int, edge: int, batch: int, pieces: int):
     def run(batches):
         net = data.value
         t, n, part = Trainer(net.like(net.flat().copy())), 0, TaskContext.get().partitionId()
         for k, (_, _, ids) in enumerate(_groups(batches)):
             context, target, _ = contexts(ids, edge)
-            own = (np.arange(len(target)) * 2654435761 + k * 40503 + part * 97) % 4294967296 % mask == round_
-            context, target = context[own], target[own]
-            for lo in range(0, len(target), batch):
-                t.step(context[lo : lo + batch], target[lo : lo + batch])
-            n += len(target)
+            residue = (np.arange(len(target)) * 2654435761 + k * 40503 + part * 97) % 4294967296 % mask
+            for m in range(round_, mask, rounds):
+                own = np.flatnonzero(residue == m)
+                for lo in range(0, len(own), batch):
+                    t.step(context[own[lo : lo + batch]], target[own[lo : lo + batch]])
+                n += len(own)
         if n:
             for piece, x in enumerate(np.array_split(t.net.flat().astype(np.float64) * n, pieces)):
                 yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([float(n)]), pa.array([x.astype(np.float64).tobytes()], pa.binary())], names=["piece", "n", "sum"])
@@ -209,13 +220,13 @@ def _train(data, round_: int, mask: int, edge: int, batch: int, pieces: int):
 
 
 def train(encoded: DataFrame, vocab: Vocabulary, *, rounds: int = 2, mask: int = 8, batch: int = 512, pieces: int = 16) -> Network:
-    """Rounds of training over every partition of ``encoded`` (ids) with averaging in between."""
+    """Rounds of training over every partition of ``encoded`` (ids) with averaging in between; together they take every word once."""
     spark = encoded.sparkSession
     net = Network.fresh(vocab.classes)
     shape = T.StructType().add("piece", "integer").add("n", "double").add("sum", "binary")
     for r in range(rounds):
         data = spark.sparkContext.broadcast(net)  # a fixed size
-        partial = encoded.select("ids").mapInArrow(_train(data, r, mask, vocab.edge, batch, pieces), shape)
+        partial = encoded.select("ids").mapInArrow(_train(data, r, rounds, mask, vocab.edge, batch, pieces), shape)
         rows = partial.groupBy("piece").applyInArrow(_sum_table, shape).collect()  # ``pieces`` rows, one set of parameters
         if not rows:
             break

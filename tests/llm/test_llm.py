@@ -1,10 +1,13 @@
 """Operators for training-data pipelines: against brute force, with nulls, empties, long texts, ties, repeats and clashing columns."""
 
+import inspect
 import random
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -325,3 +328,32 @@ def test_network_is_a_distribution():
     net = pseudo_lm.Network.fresh(6)
     context = np.array([[1, 2, 3, 4]] * 36)
     assert np.isclose(np.exp(net.log_probability(context, np.arange(36))).sum(), 1.0, atol=1e-4)
+
+
+def test_default_training_takes_every_word_once(monkeypatch):
+    least = {k: v.default for k, v in inspect.signature(pseudo_lm.train).parameters.items()}
+    texts, seen = [np.arange(i * 700, (i + 1) * 700, dtype=np.uint16) for i in range(3)], Counter()
+    batches = [pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in texts], pa.binary())], names=["ids"])]
+    monkeypatch.setattr(pseudo_lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    monkeypatch.setattr(pseudo_lm.Trainer, "step", lambda self, context, target: seen.update(target.tolist()))
+    data = SimpleNamespace(value=pseudo_lm.Network.fresh(48))
+    rest = {k: least[k] for k in inspect.signature(pseudo_lm._train).parameters if k in least}
+    for r in range(least["rounds"]):
+        list(pseudo_lm._train(data, r, edge=48 * 48, **rest)(batches))
+    assert seen == Counter(range(2100))
+
+
+def test_training_step_follows_the_gradient():
+    r, net = np.random.default_rng(0), pseudo_lm.Network.fresh(6)
+    context, target = r.integers(0, 37, (64, 4)), r.integers(0, 36, 64)
+    flat, k = net.flat(), net.embed.size + net.bias.size + net.top.size + 40
+    loss = lambda x: -net.like(x).log_probability(context, target).mean()
+    seen = {}
+    t = pseudo_lm.Trainer(net.like(flat))
+    t._step = lambda name, grad, at=slice(None): seen.setdefault(name, np.zeros(getattr(net, name).shape)).__setitem__(at, grad)
+    t.step(context, target)
+    grad = np.concatenate([seen[n].ravel() for n in net.NAMES])
+    for i in (5, net.embed.size + 2, net.embed.size + net.bias.size + 9, k):
+        e = np.zeros(len(flat))
+        e[i] = 1e-2
+        assert np.isclose((loss(flat + e) - loss(flat - e)) / 2e-2, grad[i], atol=1e-4)
