@@ -1,14 +1,18 @@
 """Language-model scoring by masked pseudo-likelihood.
 
 A small network predicts every word from the two words on each side of it; a document's score is the sum of the
-conditional log-probabilities of its words. The vocabulary is the corpus's commonest words, counted over all documents;
-other words share hashed tail ids, and places beyond the text have an id of their own. The output is a two-level softmax:
-a class from the context, then a word within the class, so a prediction costs two short rows.
+conditional log-probabilities of its words. The vocabulary is the corpus's commonest words, counted over all documents, as
+many as the square root of the words counted (and ``classes`` squared at least); other words share hashed tail ids, and
+places beyond the text have an id of their own. The output is a two-level softmax: a class from the context, then a word
+within the class, so a prediction costs two short rows. A tail word's probability is that of its tail id times its share of
+the id's words: its count over the id's words and different words, the latter being what unknown words would get. So the
+probabilities of all words, unknown ones included, sum to 1. The counts of tail words are joined to the documents, never
+held in one place.
 
 Training is data-parallel: in each round every partition starts from the common parameters, takes AdaGrad steps on its own
 whole documents (one word in ``mask`` is masked and a target at a time, as in masked language modelling; the rounds share
 out the ``mask`` sets of words, so each word is a target once), and the results are averaged with the numbers of targets as weights, by an aggregate over blocks of parameters. What the
-driver holds is the vocabulary and one set of parameters, both of fixed size.
+driver holds is the vocabulary and one set of parameters, which grow with the square root of the corpus.
 
 Defined results: null and empty texts have no words, so a score of 0 and a null mean; repeated documents each get a row;
 in a corpus without words every score is 0. Other columns are kept in ``row``.
@@ -16,8 +20,10 @@ in a corpus without words every score is 0. Other columns are kept in ``row``.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -38,17 +44,38 @@ class Vocabulary:
     ids: dict[bytes, int]
     classes: int
     tail: int
+    room: np.ndarray  # of each tail id, its words and different words
 
     @property
     def edge(self) -> int:
         return self.classes * self.classes
 
-    def encode(self, words: list[bytes]) -> np.ndarray:
+    @property
+    def kind(self) -> type:
+        return np.uint16 if self.edge < 1 << 16 else np.uint32
+
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+        """Ids of the words, and those words that have a tail id, each time they occur."""
         base = self.edge - self.tail
-        out = list(map(self.ids.get, words))
+        out, rest = list(map(self.ids.get, words)), []
         if None in out:
-            out = [base + sum(w[:8]) % self.tail if x is None else x for x, w in zip(out, words, strict=True)]
-        return np.array(out, np.uint16)
+            rest = [w for x, w in zip(out, words, strict=True) if x is None]
+            own = iter([base + _bucket(w, self.tail) for w in rest])
+            out = [next(own) if x is None else x for x in out]
+        return np.array(out, self.kind), rest
+
+    def log_room(self, ids: np.ndarray) -> np.ndarray:
+        """What the share of a tail word in its id is divided by (logarithm); 0 for other words."""
+        return np.concatenate([np.zeros(self.edge - self.tail), np.log(np.maximum(self.room, 1))])[ids]
+
+
+def _bucket(word: bytes, tail: int) -> int:
+    return sum(word[:8]) % tail
+
+
+def _words(text: str | None) -> list[bytes]:
+    """The words of a text; those over ``LONGEST`` bytes by a digest, with a letter that no word has."""
+    return [w if len(w) <= LONGEST else b"#" + blake2b(w, digest_size=16).hexdigest().encode() for w in fold(text).split()]
 
 
 def _count(batches):
@@ -56,7 +83,7 @@ def _count(batches):
     seen: Counter = Counter()
     for b in batches:
         for t in b.column("text").to_pylist():
-            seen.update(w for w in fold(t).split() if len(w) <= LONGEST)
+            seen.update(_words(t))
             if len(seen) > 400_000:
                 yield _pairs(seen)
                 seen.clear()
@@ -68,11 +95,35 @@ def _pairs(seen: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.binary()).cast(pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
 
 
-def vocabulary(text: DataFrame, classes: int = CLASSES, tail: int = TAIL) -> Vocabulary:
-    """From counts over every document; ties by word."""
-    counts = text.mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = counts.orderBy(F.desc("n"), "word").limit(classes * classes - tail).collect()  # a fixed bound
-    return Vocabulary({r["word"].encode(): i for i, r in enumerate(rows)}, classes, tail)
+def word_counts(text: DataFrame) -> DataFrame:
+    """(word, n) of every word of every document."""
+    return text.mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def vocabulary(counts: DataFrame, classes: int = CLASSES, tail: int = TAIL) -> Vocabulary:
+    """From the counts of all words; ties by word. ``classes`` is the least number of classes."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    classes = max(classes, math.ceil(math.sqrt(math.sqrt(total) + tail)))
+    rows = counts.orderBy(F.desc("n"), "word").limit(classes * classes - tail).collect()  # the square root of the words
+    ids = {r["word"].encode(): i for i, r in enumerate(rows)}
+    vocab = Vocabulary(ids, classes, tail, np.zeros(tail))
+    if rows:
+        last = rows[-1]
+        rest = counts.where((F.col("n") < last["n"]) | ((F.col("n") == last["n"]) & (F.col("word") > last["word"])))
+        for r in rest.mapInArrow(_rooms(tail), "bucket int, room long").groupBy("bucket").agg(F.sum("room").alias("room")).collect():  # ``tail`` rows
+            vocab.room[r["bucket"]] = r["room"]
+    return vocab
+
+
+def _rooms(tail: int):
+    def run(batches):
+        room = np.zeros(tail, np.int64)
+        for b in batches:
+            bucket = [_bucket(w, tail) for w in b.column("word").cast(pa.binary()).to_pylist()]
+            np.add.at(room, np.array(bucket, np.int64), b.column("n").to_numpy() + 1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(tail, dtype=np.int32)), pa.array(room)], names=["bucket", "room"])
+
+    return run
 
 
 @dataclass
@@ -188,10 +239,10 @@ def contexts(ids: list[np.ndarray], edge: int) -> tuple[np.ndarray, np.ndarray,
     return np.stack([every[place + k] for k in around], axis=1) if len(place) else np.zeros((0, 2 * SIDE), np.int64), every[place], text
 
 
-def _groups(batches, words: int = 40_000):
+def _groups(batches, kind: type, words: int = 40_000):
     """Rows of the batches in groups of about so many words: (batch, from, ids)."""
     for b in batches:
-        ids = [np.frombuffer(x, np.uint16) for x in b.column("ids").to_pylist()]
+        ids = [np.frombuffer(x, kind) for x in b.column("ids").to_pylist()]
         lo, size = 0, 0
         for i, x in enumerate(ids):
             size += len(x)
@@ -200,11 +251,11 @@ def _groups(batches, words: int = 40_000):
                 lo, size = i + 1, 0
 
 
-def _train(data, round_: int, rounds: int, mask: int, edge: int, batch: int, pieces: int):
+def _train(data, round_: int, rounds: int, mask: int, edge: int, batch: int, pieces: int, kind: type = np.uint16):
     def run(batches):
         net = data.value
         t, n, part = Trainer(net.like(net.flat().copy())), 0, TaskContext.get().partitionId()
-        for k, (_, _, ids) in enumerate(_groups(batches)):
+        for k, (_, _, ids) in enumerate(_groups(batches, kind)):
             context, target, _ = contexts(ids, edge)
             residue = (np.arange(len(target)) * 2654435761 + k * 40503 + part * 97) % 4294967296 % mask
             for m in range(round_, mask, rounds):
@@ -213,8 +264,8 @@ def _train(data, round_: int, rounds: int, mask: int, edge: int, batch: int, pie
                     t.step(context[own[lo : lo + batch]], target[own[lo : lo + batch]])
                 n += len(own)
         if n:
-            for piece, x in enumerate(np.array_split(t.net.flat().astype(np.float64) * n, pieces)):
-                yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([float(n)]), pa.array([x.astype(np.float64).tobytes()], pa.binary())], names=["piece", "n", "sum"])
+            for piece, x in enumerate(np.array_split(t.net.flat(), pieces)):
+                yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([float(n)]), pa.array([x.tobytes()], pa.binary())], names=["piece", "n", "mean"])
 
     return run
 
@@ -223,47 +274,55 @@ def train(encoded: DataFrame, vocab: Vocabulary, *, rounds: int = 2, mask: int =
     """Rounds of training over every partition of ``encoded`` (ids) with averaging in between; together they take every word once."""
     spark = encoded.sparkSession
     net = Network.fresh(vocab.classes)
-    shape = T.StructType().add("piece", "integer").add("n", "double").add("sum", "binary")
+    shape = T.StructType().add("piece", "integer").add("n", "double").add("mean", "binary")
     for r in range(rounds):
-        data = spark.sparkContext.broadcast(net)  # a fixed size
-        partial = encoded.select("ids").mapInArrow(_train(data, r, rounds, mask, vocab.edge, batch, pieces), shape)
-        rows = partial.groupBy("piece").applyInArrow(_sum_table, shape).collect()  # ``pieces`` rows, one set of parameters
+        data = spark.sparkContext.broadcast(net)  # the parameters, once
+        partial = encoded.select("ids").mapInArrow(_train(data, r, rounds, mask, vocab.edge, batch, pieces, vocab.kind), shape)
+        rows = partial.groupBy("piece").applyInArrow(_mean_table, shape).collect()  # ``pieces`` rows, one set of parameters
         if not rows:
             break
-        net = net.like(np.concatenate([np.frombuffer(x["sum"], np.float64) / x["n"] for x in sorted(rows, key=lambda x: x["piece"])]))
+        net = net.like(np.concatenate([np.frombuffer(x["mean"], np.float32) for x in sorted(rows, key=lambda x: x["piece"])]))
     return net
 
 
-def _sum_table(table: pa.Table) -> pa.Table:
-    total, n = None, 0.0
-    for w, x in zip(table.column("n").to_pylist(), table.column("sum"), strict=True):
-        x = np.frombuffer(x.as_buffer(), np.float64)
-        total, n = x.copy() if total is None else total + x, n + w
-    return pa.table({"piece": table.column("piece").slice(0, 1), "n": pa.array([n]), "sum": pa.array([total.tobytes()], pa.binary())})
+def _mean_table(table: pa.Table) -> pa.Table:
+    total, n = 0.0, 0.0
+    for w, x in zip(table.column("n").to_pylist(), table.column("mean"), strict=True):
+        total, n = total + w * np.frombuffer(x.as_buffer(), np.float32).astype(np.float64), n + w
+    return pa.table({"piece": table.column("piece").slice(0, 1), "n": pa.array([n]), "mean": pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())})
 
 
 def score(documents: DataFrame, *, text_col: str = "text", classes: int = CLASSES, tail: int = TAIL, rounds: int = 2, mask: int = 8, carry: list[str] | None = None) -> DataFrame:
     """Every row (struct ``row``, without the text) with n_words, its summed log-probability (nats) and the mean a word."""
     df = documents.select(row_of(documents, carry, (text_col,)), F.col(text_col).cast("string").alias("text"))
     spark = documents.sparkSession
-    vocab = vocabulary(df.select("text"), classes, tail)
-    words = spark.sparkContext.broadcast(vocab)  # a fixed number of words of at most LONGEST bytes
+    counts = cut(word_counts(df.select("text")), "counts")
+    vocab = vocabulary(counts, classes, tail)
+    words = spark.sparkContext.broadcast(vocab)  # the square root of the corpus's words, of at most LONGEST bytes
 
     def encode(batches):
-        v = words.value
+        v, uid = words.value, TaskContext.get().partitionId() << 40
         for b in small(batches):
-            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([v.encode(fold(t).split()).tobytes() for t in b.column("text").to_pylist()], pa.binary())], names=["row", "ids"])
+            ids, rest = zip(*(v.encode(_words(t)) for t in b.column("text").to_pylist()), strict=True)
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(np.arange(uid, uid + b.num_rows)), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([b" ".join(x) for x in rest], pa.binary()).cast(pa.string())], names=["row", "uid", "ids", "rest"])
+            uid += b.num_rows
 
-    encoded = cut(df.mapInArrow(encode, df.select("row").schema.add("ids", "binary")), "words")
+    encoded = cut(df.mapInArrow(encode, df.select("row").schema.add("uid", "long").add("ids", "binary").add("rest", "string")), "words")
     data = spark.sparkContext.broadcast(train(encoded, vocab, rounds=rounds, mask=mask))
-    edge = vocab.edge
+    edge, kind = vocab.edge, vocab.kind
 
     def judge(batches):
-        for b, lo, ids in _groups(batches):
+        for b, lo, ids in _groups(batches, kind):
             context, target, text = contexts(ids, edge)
             p = np.concatenate([data.value.log_probability(context[i : i + 8192], target[i : i + 8192]) for i in range(0, len(target), 8192)] or [np.zeros(0)])
+            p = p.astype(np.float64) - words.value.log_room(target)
             n = np.array([len(x) for x in ids], np.int64)
-            total = np.bincount(text, p.astype(np.float64), len(ids)) if len(text) else np.zeros(len(ids))
-            yield pa.RecordBatch.from_arrays([b.column("row").slice(lo, len(ids)), pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1), mask=n == 0)], names=["row", "n_words", "log_likelihood", "mean_log_likelihood"])
-
-    return encoded.mapInArrow(judge, encoded.select("row").schema.add("n_words", "long").add("log_likelihood", "double").add("mean_log_likelihood", "double"))
+            total = np.bincount(text, p, len(ids)) if len(text) else np.zeros(len(ids))
+            yield pa.RecordBatch.from_arrays([b.column("row").slice(lo, len(ids)), b.column("uid").slice(lo, len(ids)), pa.array(n), pa.array(total)], names=["row", "uid", "n_words", "part"])
+
+    judged = encoded.select("row", "uid", "ids").mapInArrow(judge, encoded.select("row", "uid").schema.add("n_words", "long").add("part", "double"))
+    # log n of every tail word; that of words counted once is 0
+    once = encoded.where("rest != ''").select("uid", F.explode(F.split("rest", " ")).alias("word")).select("uid", F.xxhash64("word").alias("h"))
+    shares = once.join(counts.where("n > 1").select(F.xxhash64("word").alias("h"), F.log("n").alias("log_n")), "h").groupBy("uid").agg(F.sum("log_n").alias("log_n"))
+    total = F.col("part") + F.coalesce("log_n", F.lit(0.0))
+    return judged.join(shares, "uid", "left").select("row", "n_words", total.alias("log_likelihood"), F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("mean_log_likelihood"))

@@ -357,3 +357,29 @@ def test_training_step_follows_the_gradient():
         e = np.zeros(len(flat))
         e[i] = 1e-2
         assert np.isclose((loss(flat + e) - loss(flat - e)) / 2e-2, grad[i], atol=1e-4)
+
+
+def test_tail_words_have_their_own_probabilities(spark):
+    r = random.Random(6)
+    common = " ".join(f"c{i}" for i in range(200))
+    rows = [(i, f"{common} {'tac' if i % 3 else 'cat'} {common} {'x' * 60} once{i}x") for i in range(60)] + [(100, f"{common} tac {common}"), (101, f"{common} cat {common}"), (102, f"{common} act {common}")]
+    r.shuffle(rows)
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    counts = pseudo_lm.word_counts(d.select("text"))
+    n = {x["word"].encode(): x["n"] for x in counts.collect()}
+    assert n == Counter(w for _, t in rows for w in pseudo_lm._words(t))
+    vocab = pseudo_lm.vocabulary(counts, 6, 5)
+    share = np.zeros(vocab.tail)
+    for w in n.keys() - vocab.ids.keys():
+        share[pseudo_lm._bucket(w, vocab.tail)] += (n[w] + 1) / vocab.room[pseudo_lm._bucket(w, vocab.tail)]
+    assert b"cat" not in vocab.ids and np.allclose(share[vocab.room > 0], 1)
+    got = {x["doc_id"]: x["log_likelihood"] for x in pseudo_lm.score(d, classes=6, tail=5).select("row.doc_id", "log_likelihood").collect()}
+    assert len(got) == 63
+    for a, b, x, y in ((100, 101, b"tac", b"cat"), (101, 102, b"cat", b"act")):
+        assert np.isclose(got[a] - got[b], np.log(n[x] / n[y]), atol=1e-3)
+
+
+def test_vocabulary_grows_with_the_corpus(spark):
+    counts = spark.range(3000).selectExpr("concat('w', id) as word", "1000 + id as n")
+    vocab = pseudo_lm.vocabulary(counts, 12, 20)
+    assert vocab.classes == 53 and len(vocab.ids) == 53 * 53 - 20  # 7,498,500 words
