@@ -3,7 +3,8 @@
 Unit vectors are quantised by a product code of 16 centroids for every ``sub`` dimensions. The codebooks and codes minimise
 an anisotropic loss: the part of the residual along the vector itself counts ``eta`` times as much as the rest, because it
 is what changes large inner products. A query becomes a table of 16 inner products per subspace (two subspaces share a
-byte); a scan sums table entries over all rows, and the best of each chunk are compared exactly in double precision.
+byte); a scan sums table entries over all rows. The best of each chunk are compared exactly in double precision, and then
+every other row whose table score is within its residual's norm of the k-th best: a row left out can't be among the ``k``.
 
 The codebooks are fitted on at most ``sample`` vectors (least hashes of ids; a documented bound); the index holds every
 row. Queries are taken in blocks of bounded size, each scanned against all rows.
@@ -102,6 +103,12 @@ class Quantiser:
         codes = self._encode(self.parts(x), 2)
         return (codes[:, 0::2] * 16 + codes[:, 1::2]).astype(np.uint8)
 
+    def residual(self, x: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Norms of what the codes leave out: no unit vector's product is further from its table score."""
+        codes = np.stack([code >> 4, code & 15], axis=2).reshape(len(x), self.m)
+        r = self.parts(x) - self.centers[np.arange(self.m), codes]
+        return np.sqrt((r * r).sum(axis=(1, 2)))
+
     def tables(self, queries: np.ndarray) -> np.ndarray:
         """queries x m / 2 x 256 inner products."""
         t = np.einsum("qms,mcs->qmc", self.parts(queries), self.centers).astype(np.float32)
@@ -118,11 +125,11 @@ def _stack(b: pa.RecordBatch) -> np.ndarray:
 
 
 def build(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", sample: int = SAMPLE) -> tuple[DataFrame, Quantiser | None]:
-    """The index (id, v, code) of every usable row, and its quantiser (None: no rows)."""
+    """The index (id, v, code, off: its residual's norm) of every usable row, and its quantiser (None: no rows)."""
     rows = vectors.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where(usable(F.col("v")))
     dims = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
     if dims is None:
-        return rows.withColumn("code", F.lit(None).cast("binary")), None
+        return rows.withColumn("code", F.lit(None).cast("binary")).withColumn("off", F.lit(None).cast("double")), None
     rows = rows.where(F.size("v") == dims["d"])
     taken = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toPandas()
     quantiser = Quantiser(unit(np.stack(taken["v"].to_numpy())))
@@ -132,10 +139,11 @@ def build(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embe
         for b in batches:
             for lo in range(0, b.num_rows, CHUNK):
                 part = b.slice(lo, CHUNK)
-                code = data.value.encode(unit(_stack(part)))
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("v"), pa.array([c.tobytes() for c in code], pa.binary())], names=["id", "v", "code"])
+                u = unit(_stack(part))
+                code = data.value.encode(u)
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("v"), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(data.value.residual(u, code))], names=["id", "v", "code", "off"])
 
-    return cut(rows.mapInArrow(run, "id long, v array<double>, code binary"), "index"), quantiser
+    return cut(rows.mapInArrow(run, "id long, v array<double>, code binary, off double"), "index"), quantiser
 
 
 def _scan(quantiser, block, k: int, candidates: int):
@@ -172,14 +180,29 @@ def _scan(quantiser, block, k: int, candidates: int):
                 for lo_q in range(0, len(q), 256):
                     s = slice(lo_q, lo_q + 256)
                     exact[s] = (x[near[s]] * q[s, None, :]).sum(axis=2) / (norm[s, None] * size[near[s]])
+                # a lower bound of each query's k-th best: of this chunk (besides itself) or of what was found before
+                least = np.full(len(q), -np.inf)
+                if n > k:
+                    least = np.partition(exact, n - k - 1, axis=1)[:, n - k - 1]
+                last = np.flatnonzero(np.arange(len(top[1])) - np.searchsorted(top[1], top[1]) == k - 1)
+                least[top[1][last]] = np.maximum(least[top[1][last]], top[2][last])
+                off = b.column("off").to_numpy()[order][one]
+                may = approx + off[None, :] + 1e-4 >= least[:, None]  # 1e-4: more than single precision loses
+                if may.sum() > len(q) * n:  # the products in one go, and a margin over their rounding
+                    may &= (q @ x.T) / (norm[:, None] * size[None, :]) >= least[:, None] - 1e-9
+                owner, near = np.nonzero(may)
+                exact = np.empty(len(owner))
+                for lo_p in range(0, len(owner), 1 << 16):
+                    s = slice(lo_p, lo_p + (1 << 16))
+                    exact[s] = (x[near[s]] * q[owner[s]]).sum(axis=1) / (norm[owner[s]] * size[near[s]])
                 by_group = np.argsort(group, kind="stable")
                 begin = np.searchsorted(group[by_group], np.arange(len(one)))
                 count = np.minimum(np.bincount(group, minlength=len(one)), k + 1)
-                times = count[near].ravel()
-                owner = np.repeat(np.repeat(np.arange(len(q)), n), times)
-                score = np.repeat(exact.ravel(), times)
+                times = count[near]
+                owner = np.repeat(owner, times)
+                score = np.repeat(exact, times)
                 nth = np.arange(len(owner)) - np.repeat(np.cumsum(times) - times, times)
-                member = ids[by_group[np.repeat(begin[near].ravel(), times) + nth]]
+                member = ids[by_group[np.repeat(begin[near], times) + nth]]
                 other = member != qid[owner]
                 top = best(*(np.concatenate(p) for p in zip(top, (member[other], owner[other], score[other]), strict=True)))
         if len(top[0]):

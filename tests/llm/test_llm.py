@@ -383,3 +383,18 @@ def test_vocabulary_grows_with_the_corpus(spark):
     counts = spark.range(3000).selectExpr("concat('w', id) as word", "1000 + id as n")
     vocab = pseudo_lm.vocabulary(counts, 12, 20)
     assert vocab.classes == 53 and len(vocab.ids) == 53 * 53 - 20  # 7,498,500 words
+
+
+def test_nearest_in_a_dense_cluster(spark):
+    r = np.random.default_rng(3)
+    x = r.normal(size=(8192, 64))
+    x[::3] = x[0] + 0.02 * r.normal(size=x[::3].shape)
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").coalesce(1)
+    got = {}
+    for y in ann.search(d, F.pmod(F.col("id"), F.lit(50)) == 0).collect():
+        got.setdefault(y["query_id"], set()).add(y["vec_id"])
+    u = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    s = u[::50] @ u.T
+    s[np.arange(len(s)), np.arange(0, 8192, 50)] = -2
+    assert len(got) == len(s)
+    assert np.mean([len(got[50 * i] & set(np.argsort(-row)[:5].tolist())) / 5 for i, row in enumerate(s)]) == 1.0
