@@ -5,7 +5,8 @@ vector, keeps the states whose letter matches, and keeps states under a ``*`` wh
 at once, for a whole batch of URLs at once.
 
 Globs match the whole canonical URL ``host/path``; ``*`` stands for any bytes, ``?`` for one byte; all other bytes stand
-for themselves. Defined results: a null URL or one without ``://`` has an empty host and path and fits no rule;
+for themselves. In the rules for domains the subdomains are bytes other than ``/``, so that the host's end is the rule's and
+the path starts with the rule's path. Defined results: a null URL or one without ``://`` has an empty host and path and fits no rule;
 repeated URLs get the same verdict; an empty table gives no rows.
 """
 
@@ -24,6 +25,10 @@ CONTRACT_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("blo
 SPAM_GLOBS = ("*spam-*/*", "*-spam*/*", "*cheap-*/*", "*-pills*/*", "*casino*/*", "*free-money*/*", "*:*/*.exe")
 
 
+#: A wildcard for any bytes but ``/``.
+WITHIN = "\0"
+
+
 @dataclass(frozen=True)
 class Rule:
     name: str
@@ -34,11 +39,11 @@ class Rule:
 
 def domain_rules(rules=CONTRACT_RULES) -> list[Rule]:
     """Rules for a host with its subdomains and a path prefix, as globs; longer ones rank higher."""
-    return [Rule(f"{host}{path}", verdict, (f"{_literal(host)}{_literal(path)}*", f"*.{_literal(host)}{_literal(path)}*"), 1000 + len(host) + len(path)) for verdict, host, path in rules]
+    return [Rule(f"{host}{path}", verdict, (f"{_literal(host)}{_literal(path)}*", f"{WITHIN}.{_literal(host)}{_literal(path)}*"), 1000 + len(host) + len(path)) for verdict, host, path in rules]
 
 
 def _literal(s: str) -> str:
-    if "*" in s or "?" in s:
+    if "*" in s or "?" in s or WITHIN in s:
         raise ValueError(f"a wildcard in a literal part of a rule: {s}")
     return s
 
@@ -47,27 +52,29 @@ class GlobAutomaton:
     """Multiword Shift-And over all globs of ``rules``."""
 
     def __init__(self, rules: list[Rule]):
-        bits: list[tuple[int, int, bool]] = []  # (letter or -1 any or -2 start, pattern, stays)
+        bits: list[tuple[int, int, int]] = []  # (letter or -1 any or -2 start, pattern, stays: 0 no, 1 yes, 2 until a /)
         self.accept: list[tuple[int, int]] = []  # (bit, rule)
         starts = []
         for r, rule in enumerate(rules):
             for glob in rule.globs:
                 starts.append(len(bits))
-                bits.append((-2, r, False))
+                bits.append((-2, r, 0))
                 for c in glob.encode():
-                    if c == 42:
-                        bits[-1] = (bits[-1][0], r, True)
+                    if c in (42, 0):
+                        bits[-1] = (bits[-1][0], r, 1 if c == 42 else bits[-1][2] or 2)
                     else:
-                        bits.append((-1 if c == 63 else c, r, False))
+                        bits.append((-1 if c == 63 else c, r, 0))
                 self.accept.append((len(bits) - 1, r))
         self.words = max(1, -(-len(bits) // 64))
         self.match = np.zeros((256, self.words), np.uint64)
-        self.stay = np.zeros(self.words, np.uint64)
+        self.stay = np.zeros((256, self.words), np.uint64)
         self.init = np.zeros(self.words, np.uint64)
         for i, (letter, _, stays) in enumerate(bits):
             w, one = i // 64, np.uint64(1 << (i % 64))
             if stays:
-                self.stay[w] |= one
+                self.stay[:, w] |= one
+            if stays == 2:
+                self.stay[47, w] &= ~one
             if letter == -1:
                 self.match[:, w] |= one
             elif letter >= 0:
@@ -91,7 +98,8 @@ class GlobAutomaton:
             s = state[:live]
             moved = s << one
             moved[:, 1:] |= s[:, :-1] >> top
-            state[:live] = (moved & self.match[buf[at[:live] + k]]) | (s & self.stay)
+            letter = buf[at[:live] + k]
+            state[:live] = (moved & self.match[letter]) | (s & self.stay[letter])
         for j, (bit, _) in enumerate(self.accept):
             out[order, j] = (state[:, bit // 64] >> np.uint64(bit % 64)) & one != 0
         return out

@@ -398,3 +398,11 @@ def test_nearest_in_a_dense_cluster(spark):
     s[np.arange(len(s)), np.arange(0, 8192, 50)] = -2
     assert len(got) == len(s)
     assert np.mean([len(got[50 * i] & set(np.argsort(-row)[:5].tolist())) / 5 for i, row in enumerate(s)]) == 1.0
+
+
+def test_url_rules_hold_for_the_host_and_the_start_of_the_path(spark):
+    rows = ["http://example.com/a.net/b", "http://example.com/x/y.org/fr/z", "http:///a.net/b", "http://example.com/r?u=http://a.net/b", "http://a.example.com/de/b.net/", "http://example.com/b.example.com/de/", "http://a.b.net/c.org/fr/", "http://xnet/"]
+    p = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.judge(p).collect()}
+    none = (None, "allow")
+    assert got == {0: none, 1: none, 2: none, 3: none, 4: ("example.com/de/", "block"), 5: none, 6: ("net/", "block"), 7: none}
