@@ -1,8 +1,8 @@
 """Line deduplication by a segment-partition edit join.
 
-A line (stripped of white space, at least ``min_chars`` code points) repeats another if their edit distance is at most
-``edits``. Of each class of lines linked this way the first occurrence stays (by document id, then text, then line
-number) and all others are removed from their documents; shorter lines always stay.
+A line (stripped of white space, not empty) repeats another if they are equal or, where both have at least ``min_chars``
+code points, if their edit distance is at most ``edits``. Of each class of lines linked this way the first occurrence stays (by document id, then text, then line
+number) and all others are removed from their documents; blank lines always stay.
 
 1. Each distinct line is cut into ``edits + 1`` segments. A line within the distance has one of them as a substring near
    the same place, so each line is entered under its segments and probes those of its own and slightly shorter lengths
@@ -145,13 +145,13 @@ def _batches(texts: list[str], limit: int = 1 << 19) -> Iterator[tuple[int, list
         yield at, part
 
 
-def _occurrences(least: int):
-    """(uid, doc_id, line, h1, h2) of every long enough line."""
+def _occurrences():
+    """(uid, doc_id, line, h1, h2) of every line that isn't blank."""
 
     def run(batches):
         for b in small(batches):
             for at, part in _batches([t or "" for t in b.column("text").to_pylist()]):
-                w = Lines(part, least)
+                w = Lines(part, 1)
                 src = pa.array(w.owner + at)
                 yield pa.RecordBatch.from_arrays([b.column("uid").take(src), b.column("doc_id").take(src), pa.array(w.number.astype(np.int32)), pa.array(w.hash(w.start, w.end).view(np.int64)), pa.array(w.hash(w.start, w.end, 1).view(np.int64))], names=["uid", "doc_id", "line", "h1", "h2"])
 
@@ -252,7 +252,7 @@ def removals(documents: DataFrame, *, doc_col: str = "doc_id", text_col: str = "
     """(uid, removed: line numbers from 0) of the documents that lose lines."""
     spark = documents.sparkSession
     docs = documents.select(F.col(doc_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("uid", _uid("doc_id", "text"))
-    occ = docs.mapInArrow(_occurrences(min_chars), docs.select("uid", "doc_id").schema.add("line", "integer").add("h1", "long").add("h2", "long"))
+    occ = docs.mapInArrow(_occurrences(), docs.select("uid", "doc_id").schema.add("line", "integer").add("h1", "long").add("h2", "long"))
     occ = cut(occ, "lines")
     text = docs.select("text")
     shape = "key long, h1 long, role int"
@@ -302,7 +302,7 @@ def apply(documents: DataFrame, *, text_col: str = "text", **options) -> DataFra
 
 
 def brute_force(documents: list[tuple], edits: int = EDITS, min_chars: int = MIN_CHARS) -> dict:
-    """For tests: doc_id to the text that stays, by plain edit distance over all pairs of distinct lines; ids differ."""
+    """For tests: doc_id to the text that stays, by plain edit distance over all pairs of distinct lines (shorter ones: equality); ids differ."""
 
     def distance(a: str, b: str) -> int:
         row = list(range(len(b) + 1))
@@ -313,11 +313,11 @@ def brute_force(documents: list[tuple], edits: int = EDITS, min_chars: int = MIN
         return row[-1]
 
     docs = sorted(documents)
-    distinct = list(dict.fromkeys(x.strip() for _, t in docs for x in (t or "").split("\n") if len(x.strip()) >= min_chars))
+    distinct = list(dict.fromkeys(x.strip() for _, t in docs for x in (t or "").split("\n") if x.strip()))
     label = list(range(len(distinct)))
     for i, x in enumerate(distinct):
         for j in range(i):
-            if abs(len(x) - len(distinct[j])) <= edits and label[i] != label[j] and distance(x, distinct[j]) <= edits:
+            if min(len(x), len(distinct[j])) >= min_chars and abs(len(x) - len(distinct[j])) <= edits and label[i] != label[j] and distance(x, distinct[j]) <= edits:
                 old, new = max(label[i], label[j]), min(label[i], label[j])
                 label = [new if y == old else y for y in label]
     of, seen, out = dict(zip(distinct, label, strict=True)), set(), {}

@@ -406,3 +406,10 @@ def test_url_rules_hold_for_the_host_and_the_start_of_the_path(spark):
     got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.judge(p).collect()}
     none = (None, "allow")
     assert got == {0: none, 1: none, 2: none, 3: none, 4: ("example.com/de/", "block"), 5: none, 6: ("net/", "block"), 7: none}
+
+
+def test_short_lines_repeat_exactly(spark):
+    rows = [(1, "All rights reserved.\n\nx"), (2, " All rights reserved. \n\nAll rights reserved!"), (3, "y\nx\n\n")]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = {x["row"]["doc_id"]: x["text"] for x in line_dedup.dedup(d).collect()}
+    assert got == {1: rows[0][1], 2: "\nAll rights reserved!", 3: "y\n\n"} == line_dedup.brute_force(rows)
