@@ -18,9 +18,11 @@ _pow: dict[int, np.ndarray] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or one of our own where that is unset (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``; one of our own where that is unset on one machine (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = getattr(shared_dir, "own", None) or "file://" + tempfile.mkdtemp(prefix="loomspark-")
         shared_dir.own = found  # type: ignore[attr-defined]
     return found.rstrip("/")
@@ -31,7 +33,45 @@ def cut(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/loomspark/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._loomspark_path = path  # type: ignore[attr-defined]
+    return out
+
+
+def drop_tables(*tables: DataFrame) -> None:
+    """Delete tables of :func:`cut` that nothing reads any more."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._loomspark_path)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class Bloom:
+    """Two bits a key, taken from the key itself, which must be a mixed hash; None bits: it may have any key."""
+
+    def __init__(self, words: np.ndarray | None):
+        self.words = words
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        ok = np.ones(len(keys), bool)
+        if self.words is not None:
+            k, top = keys.view(np.uint64), np.uint64(len(self.words) * 64 - 1)
+            for bit in (k & top, (k >> np.uint64(32)) & top):
+                ok &= (self.words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+        return ok
+
+
+def bloom_of(keys: DataFrame, column: str, n: int, most_bits: int = 1 << 27) -> Bloom:
+    """A filter of eight bits a key (``n`` of them), or, where that is over ``most_bits``, one that lets all keys pass: the
+    join that follows is exact either way. Built by map-side or, so at most bits / 64 rows meet."""
+    bits = 1 << max(16, (8 * n - 1).bit_length())
+    if bits > most_bits:
+        return Bloom(None)
+    key, top = F.col(column), F.lit(bits - 1)
+    both = keys.select(F.explode(F.array(key.bitwiseAND(top), F.shiftrightunsigned(key, 32).bitwiseAND(top))).alias("bit"))
+    words = both.groupBy(F.expr("cast(bit div 64 as int)").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).toPandas()
+    out = np.zeros(bits // 64, np.int64)
+    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return Bloom(out.view(np.uint64))
 
 
 def row_of(df: DataFrame, carry: list[str] | None, without: tuple[str, ...] = ()) -> Column:

@@ -1,48 +1,123 @@
-"""Connected components and groups dealt in blocks, without collecting links anywhere."""
+"""Connected components, and groups dealt in bounded blocks, without collecting links anywhere."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, drop_tables
+
+HUB, HUBS, LARGE = 500, 1000, 100_000
 
 
-def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(id, component) of every node of ``edges`` (a, b: longs); a component is named by its least node.
 
-    Alternating large and small stars: each step joins the edges with one least neighbour per node, which is an
-    aggregate with map-side combining, so a hub's edges can be split over tasks. Self-loops and repeated edges count once.
+    Alternating large and small stars until nothing changes. Each step joins the edges with one least neighbour per node, an
+    aggregate with map-side combining. The rows of hubs (nodes with over ``HUB`` edges and over a ``HUBS``-th of all, so at
+    most twice ``HUBS`` of them) never meet in one task: their least neighbours are broadcast. A round's tables go when the
+    next ones are written. Null ends, self-loops and repeated edges add nothing.
     """
-    e = edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    e = cut(e, "edges")
+    pairs = edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    e, total, mark = _edges(pairs)
     before = None
-    for _ in range(rounds):
-        both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(down, "u")
-        small = joined.select("u", F.col("m").alias("v")).union(joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
-        e = cut(small, "edges")
-        now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if now == before:
-            break
-        before = now
-    return e.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("id"), "component").union(e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+    while mark != before:
+        before = mark
+        both = e.select("u", "v").unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        near, hubs = _least(both, total)
+        large = _with_least(e, "v", near, hubs).select("u", F.least("v", "m").alias("v")).where("u != v").distinct()
+        down, more = _least(large, total)
+        joined = _with_least(large, "u", down, more)
+        small = joined.select("u", F.col("m").alias("v")).unionAll(joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
+        new, total, mark = _edges(small)
+        drop_tables(e, near, down)
+        e = new
+    return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionAll(e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+
+
+def _edges(pairs: DataFrame) -> tuple[DataFrame, int, tuple]:
+    """The written edges, their number and a digest of the set; counted while they are written."""
+    seen = Observation()
+    e = cut(pairs.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")), "edges")
+    return e, seen.get["n"], (seen.get["n"], seen.get["h"])
+
+
+def _least(edges: DataFrame, total: int) -> tuple[DataFrame, DataFrame | None]:
+    """(u, m, n) of each node, and those of hubs in a small table (None: there are none)."""
+    seen, limit = Observation(), max(HUB, total // HUBS)
+    near = cut(edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).observe(seen, F.max("n").alias("n")), "least")
+    return near, near.where(F.col("n") > limit).select("u", "m") if (seen.get["n"] or 0) > limit else None
+
+
+def _with_least(edges: DataFrame, key: str, near: DataFrame, hubs: DataFrame | None) -> DataFrame:
+    """(u, v, m) of every edge; ``key``: the end that looks its least neighbour up."""
+    rest = edges
+    if hubs is not None:
+        ids = F.broadcast(hubs.select(F.col("u").alias(key)))
+        rest = edges.join(ids, key, "left_anti")
+    out = rest.join(near.select(F.col("u").alias(key), "m"), key).select("u", "v", "m")
+    if hubs is None:
+        return out
+    return out.unionAll(edges.join(F.broadcast(hubs.withColumnRenamed("u", key)), key).select("u", "v", "m"))
 
 
 def in_blocks(members: DataFrame, group: str, ident: str, block: int) -> DataFrame:
     """Deal each group's rows into tasks: adds ``side`` (the row's block), and ``bi <= bj``, the pair of blocks a copy is for.
 
-    A group of up to ``block`` rows is one task; a larger one is split in blocks, and every pair of blocks meets once.
+    A group of up to ``block`` rows is one task's; a larger one is split in blocks, and every pair of blocks meets once. Only
+    large groups' sizes are looked up (broadcast while they are few), so no group's rows meet before they are dealt.
     """
-    sizes = members.groupBy(group).agg(F.count("*").alias("size"))
-    parts = F.ceil(F.col("size") / block).cast("int")
-    out = members.join(sizes, group).withColumn("parts", parts).withColumn("side", F.pmod(F.xxhash64(ident), F.col("parts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    return out.withColumn("other", other).withColumn("bi", F.least("side", "other")).withColumn("bj", F.greatest("side", "other")).drop("size", "other")
+    seen = Observation()
+    sizes = members.groupBy(group).agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") > block)
+    sizes = cut(sizes.observe(seen, F.count(F.lit(1)).alias("n")), "sizes")
+    n = seen.get["n"]
+    if n:
+        out = members.join(F.broadcast(sizes) if n <= LARGE else sizes, group, "left")
+    else:
+        out = members.withColumn("_size", F.lit(1))
+    parts = F.ceil(F.coalesce("_size", F.lit(1)) / block).cast("int")
+    out = out.withColumn("_parts", parts).withColumn("side", F.pmod(F.xxhash64(ident), F.col("_parts")).cast("int"))
+    out = out.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    out = out.withColumn("bi", F.least("side", "_other")).withColumn("bj", F.greatest("side", "_other")).drop("_size", "_parts", "_other")
+    return out.repartition(group, "bi", "bj")
+
+
+def by_group(dealt: DataFrame, group: str) -> DataFrame:
+    """Rows of :func:`in_blocks` with each pair of blocks' rows one after the other, for :func:`whole_groups`."""
+    return dealt.sortWithinPartitions(group, "bi", "bj")
+
+
+def whole_groups(batches, keys: tuple[str, ...], rows: int = 8192) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups of sorted rows, with the groups' first rows and the end; one group at least, about ``rows``."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+
+    def bounds(t: pa.Table) -> np.ndarray:
+        new = np.zeros(t.num_rows, bool)
+        new[:1] = True
+        for k in keys:
+            v = t.column(k).to_numpy()
+            new[1:] |= v[1:] != v[:-1]
+        return np.append(np.flatnonzero(new), t.num_rows)
+
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= rows:
+            table = pa.Table.from_batches(held).combine_chunks()
+            at = bounds(table)
+            if len(at) > 2:
+                yield table.slice(0, at[-2]), at[:-1]
+                table = table.slice(at[-2])
+            held, n = table.to_batches(), 0 if len(at) > 2 else -table.num_rows  # a long group waits until it has doubled
+    if held:
+        table = pa.Table.from_batches(held).combine_chunks()
+        if table.num_rows:
+            yield table, bounds(table)
 
 
 def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -7,10 +7,11 @@ number) and all others are removed from their documents; blank lines always stay
 1. Each distinct line is cut into ``edits + 1`` segments. A line within the distance has one of them as a substring near
    the same place, so each line is entered under its segments and probes those of its own and slightly shorter lengths
    (only the places a match can have).
-2. Keys with an entry and a probe of different lines are kept in a Bloom filter of fixed size; a second pass over the
-   documents sends on only the lines those keys name, and components of that relation gather them.
-3. Within a component (split in blocks where large) pairs that share a key are verified by a banded bit-parallel edit
-   distance, unless links already join them.
+2. Keys with an entry and a probe of different lines are live. A second pass over the documents sends on the lines that
+   name live keys (a Bloom filter sized by their number spares the others the shuffle while it is small; the join decides).
+3. The lines of a live key (split in blocks where many) are compared, entries with probes, unless links join them already:
+   letter counts that differ too much rule pairs out, a banded bit-parallel edit distance verifies the rest. Only a spanning
+   forest of the verified links leaves a task; its components are the classes.
 
 Defined results: null texts stay null; empty texts and empty tables pass; repeated rows (equal id and text) are
 one document: all of them lose the same lines. Every other column stays as it is.
@@ -24,14 +25,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import cut, mix, powers, row_of, small
-from .graph import connected_components, in_blocks
+from .common import Bloom, bloom_of, cut, drop_tables, mix, powers, row_of, small
+from .graph import by_group, connected_components, in_blocks, whole_groups
 from .ngram_join import _uid
 
-EDITS, MIN_CHARS, BLOCK, BLOOM_BITS = 2, 30, 2000, 1 << 26
+EDITS, MIN_CHARS, BLOCK, LETTERS = 2, 30, 2000, 64
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: White space as ``str.strip`` takes it.
 SPACES = tuple(c for c in range(0x3001) if chr(c).isspace())
@@ -158,8 +159,8 @@ def _occurrences():
     return run
 
 
-def _keys(edits: int, least: int, bloom=None):
-    """(key, h1, role) of the distinct lines of each batch; with a filter only the keys that it may have."""
+def _keys(edits: int, least: int):
+    """(key, h1, role) of the distinct lines of each batch."""
 
     def run(batches):
         for b in small(batches):
@@ -167,83 +168,69 @@ def _keys(edits: int, least: int, bloom=None):
                 w = Lines(part, least)
                 h = w.hash(w.start, w.end)
                 line, key, role = keys_of(w, np.unique(h, return_index=True)[1], edits, least)
-                if bloom is not None:
-                    ok = bloom_has(bloom.value, key)
-                    line, key, role = line[ok], key[ok], role[ok]
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(h[line].view(np.int64)), pa.array(role)], names=["key", "h1", "role"])
 
     return run
 
 
-def _texts(least: int, bloom):
-    """(h1, line) of the distinct lines of each batch that the filter may have."""
+def _hits(edits: int, least: int, live):
+    """(key, h1, role, line): the keys that may be live, and, once a batch and with no key, the text of each line that has one."""
 
     def run(batches):
         for b in small(batches):
             for _, part in _batches([t or "" for t in b.column("text").to_pylist()]):
                 w = Lines(part, least)
                 h = w.hash(w.start, w.end)
-                once = np.unique(h, return_index=True)[1]
-                once = once[bloom_has(bloom.value, h[once].view(np.int64))]
-                yield pa.RecordBatch.from_arrays([pa.array(h[once].view(np.int64)), pa.array([w.text(i) for i in once], pa.string())], names=["h1", "line"])
+                line, key, role = keys_of(w, np.unique(h, return_index=True)[1], edits, least)
+                ok = live.value.has(key)
+                line, key, role = line[ok], key[ok], role[ok]
+                own = np.unique(line)
+                none = np.zeros(len(own), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([key, none]), mask=np.arange(len(key) + len(own)) >= len(key)),
+                        pa.array(h[np.concatenate([line, own])].view(np.int64)),
+                        pa.array(np.concatenate([role, none.astype(np.int32)])),
+                        pa.array([None] * len(key) + [w.text(i) for i in own], pa.string()),
+                    ],
+                    names=["key", "h1", "role", "line"],
+                )
 
     return run
 
 
-def bloom_of(keys: DataFrame, column: str, bits: int = BLOOM_BITS) -> np.ndarray:
-    """A Bloom filter of ``bits`` bits, whatever the number of keys; two bits a key,
-    taken from the key itself, which must be a mixed hash. Built by map-side or, so at most bits / 64 rows meet."""
-    key, top = F.col(column), F.lit(bits - 1)
-    both = keys.select(F.explode(F.array(key.bitwiseAND(top), F.shiftrightunsigned(key, 32).bitwiseAND(top))).alias("bit"))
-    words = both.groupBy(F.expr("cast(bit div 64 as int)").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).toPandas()
-    out = np.zeros(bits // 64, np.int64)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    return out.view(np.uint64)
-
-
-def bloom_has(bloom: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    ok, k, top = np.ones(len(keys), bool), keys.view(np.uint64), np.uint64(len(bloom) * 64 - 1)
-    for bit in (k & top, (k >> np.uint64(32)) & top):
-        ok &= (bloom[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-    return ok
-
-
-def _verify(edits: int, least: int):
-    """One pair of blocks: lines linked there, each with the least of its class there."""
-
-    def run(table: pa.Table) -> pa.Table:
-        order = np.argsort(table.column("h1").to_numpy(), kind="stable")
-        table = table.take(pa.array(order))
-        ids, side, text = table.column("h1").to_numpy(), table.column("side").to_numpy(), table.column("line").to_pylist()
-        bi, bj = table.column("bi")[0].as_py(), table.column("bj")[0].as_py()
-        root = list(range(len(text)))
-
-        def find(i: int) -> int:
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        entered: dict[tuple[int, int, str], list[int]] = defaultdict(list)
-        for i, t in enumerate(text):
-            for k, at, size in segments(len(t), edits):
-                entered[len(t), k, t[at : at + size]].append(i)
-        for i, t in enumerate(text):
-            for shorter in range(edits + 1):
-                own = len(t) - shorter
-                if own < least:
-                    continue
-                for k, at, size in segments(own, edits):
-                    for shift in range(max(-k, shorter - (edits - k)), min(k, shorter + (edits - k)) + 1):
-                        if at + shift < 0 or at + shift + size > len(t):
-                            continue
-                        for j in entered.get((own, k, t[at + shift : at + shift + size]), ()):
-                            if (shorter or j < i) and (bi == bj or side[i] != side[j]):
-                                a, b = find(i), find(j)
-                                if a != b and within(text[j], t, edits):
-                                    root[max(a, b)] = min(a, b)
-        own = [i for i in range(len(text)) if find(i) != i]
-        return pa.table({"h1": pa.array(ids[own], pa.int64()), "root": pa.array(ids[[find(i) for i in own]], pa.int64())})
+def _letters(text: list[str]) -> np.ndarray:
+    """Each line's number of code points in each of ``LETTERS`` classes."""
+    code = np.frombuffer("".join(text).encode("utf-32-le", "surrogatepass"), np.uint32) % LETTERS
+    owner = np.repeat(np.arange(len(text)), [len(t) for t in text])
+    return np.bincount(owner * LETTERS + code, minlength=len(text) * LETTERS).reshape(len(text), LETTERS).astype(np.int16)
+
+
+def _verify(edits: int):
+    """A spanning forest (h1, root) of the links among the lines of each pair of blocks of a key."""
+
+    def links(text: list[str], role: np.ndarray, side: np.ndarray, cross: bool) -> list[tuple[int, int]]:
+        root = np.arange(len(text))
+        entries, letters = np.flatnonzero(role & 1), _letters(text)
+        out = []
+        for i in np.flatnonzero(role & 2):
+            ok = (root[entries] != root[i]) & (side[entries] != side[i] if cross else True)
+            near = entries[ok]
+            near = near[np.abs(letters[near] - letters[i]).sum(axis=1) <= 2 * edits]
+            for j in near:
+                if root[i] != root[j] and within(text[j], text[i], edits):
+                    low, high = sorted((root[i], root[j]))
+                    root[root == high] = low
+                    out.append((i, j))
+        return out
+
+    def run(batches):
+        for table, at in whole_groups(batches, ("key", "bi", "bj")):
+            h, role, side = (table.column(c).to_numpy() for c in ("h1", "role", "side"))
+            bi, bj, text = table.column("bi").to_numpy(), table.column("bj").to_numpy(), table.column("line").to_pylist()
+            found = [(lo + i, lo + j) for lo, hi in zip(at[:-1], at[1:], strict=True) if hi - lo > 1 for i, j in links(text[lo:hi], role[lo:hi], side[lo:hi], bi[lo] != bj[lo])]
+            a, b = np.array(found, np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([pa.array(h[a]), pa.array(h[b])], names=["h1", "root"])
 
     return run
 
@@ -255,17 +242,17 @@ def removals(documents: DataFrame, *, doc_col: str = "doc_id", text_col: str = "
     occ = docs.mapInArrow(_occurrences(), docs.select("uid", "doc_id").schema.add("line", "integer").add("h1", "long").add("h2", "long"))
     occ = cut(occ, "lines")
     text = docs.select("text")
-    shape = "key long, h1 long, role int"
-    live = text.mapInArrow(_keys(edits, min_chars), shape).groupBy("key").agg(F.min("h1").alias("least"), F.max("h1").alias("most"), F.bit_or("role").alias("role"))
-    live = cut(live.where("least != most and role = 3").select("key", "least"), "keys")
-    bloom = spark.sparkContext.broadcast(bloom_of(live, "key"))
-    near = text.mapInArrow(_keys(edits, min_chars, bloom), shape).join(live, "key").where("h1 != least").select(F.col("h1").alias("a"), F.col("least").alias("b"))
-    groups = cut(connected_components(near), "groups")
-    wanted = spark.sparkContext.broadcast(bloom_of(groups, "id"))
-    lines = text.mapInArrow(_texts(min_chars, wanted), "h1 long, line string").join(groups.select(F.col("id").alias("h1"), "component"), "h1").groupBy("h1", "component").agg(F.min("line").alias("line"))
-    dealt = in_blocks(lines, "component", "h1", block)
-    links = cut(dealt.groupBy("component", "bi", "bj").applyInArrow(_verify(edits, min_chars), "h1 long, root long"), "links")
+    seen = Observation()
+    live = text.mapInArrow(_keys(edits, min_chars), "key long, h1 long, role int").groupBy("key").agg(F.min("h1").alias("least"), F.max("h1").alias("most"), F.bit_or("role").alias("role"))
+    live = cut(live.where("least != most and role = 3").select("key").observe(seen, F.count(F.lit(1)).alias("n")), "keys")
+    bloom = spark.sparkContext.broadcast(bloom_of(live, "key", seen.get["n"]))
+    hits = cut(text.mapInArrow(_hits(edits, min_chars, bloom), "key long, h1 long, role int, line string"), "hits")
+    named = hits.where("key is not null").groupBy("key", "h1").agg(F.bit_or("role").alias("role")).join(live, "key")
+    lines = hits.where("key is null").groupBy("h1").agg(F.min("line").alias("line"))
+    dealt = in_blocks(cut(named.join(lines, "h1"), "named"), "key", "h1", block)
+    links = cut(by_group(dealt, "key").select("key", "h1", "role", "line", "side", "bi", "bj").mapInArrow(_verify(edits), "h1 long, root long"), "links")
     classes = cut(connected_components(links.select(F.col("h1").alias("a"), F.col("root").alias("b"))), "classes")
+    drop_tables(live, hits, links)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid", "line")
     once = occ.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).join(classes.select(F.col("id").alias("h1"), "component"), "h1", "left")
     once = cut(once.where("n > 1 or component is not null"), "repeated")

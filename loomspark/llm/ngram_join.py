@@ -3,10 +3,11 @@
 Words are as in decontamination; a document with fewer than five words, but some, has one shingle of all of them.
 1. Each text is sketched: its distinct shingles' hashes, their 128-bit digest and MinHash values.
 2. Texts with equal shingle sets are one representative with a number of copies.
-3. Representatives that share a band of MinHash values are candidates; components of that relation gather them.
-4. Within a component (split in blocks where large) a pair's MinHash values are compared a few at a time; the pair is
-   dropped once the posterior probability that its similarity reaches the threshold falls below ``tolerance``. The
-   shingle sets of all others are compared exactly.
+3. Representatives that share a band of MinHash values meet there (in blocks where many) with eight bits of each value.
+   A pair's values are compared a few at a time; it is dropped once the posterior probability that its similarity reaches
+   the threshold falls below ``tolerance``. A spanning forest of the pairs that stay is carried on, not the pairs.
+4. Components of those forests hold every pair that may be a link, and little else. Within one (in blocks where large) the
+   pruning is repeated on whole values, and the shingle sets of all pairs that are left are compared exactly.
 5. Links give classes; a class is named by its least document id.
 
 With 25 bands of 4 rows a pair at the threshold is a candidate with probability 1 - 2e-6, and pruning loses about
@@ -24,11 +25,11 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import FOLD, Words, chunks, cut, mix, small
-from .graph import connected_components, in_blocks, local_components
+from .common import FOLD, Words, bloom_of, chunks, cut, drop_tables, mix, small
+from .graph import by_group, connected_components, in_blocks, local_components, whole_groups
 
 WIDTH, THRESHOLD, BANDS, ROWS, STEP, TOLERANCE, BLOCK = 5, 0.8, 25, 4, 20, 1e-7, 2000
 _MULT = np.random.default_rng(20240501).integers(1, 2**63, 64 * 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -72,30 +73,33 @@ def _uid(doc_col: str, text_col: str):
     return F.concat_ws(":", F.coalesce(F.col(doc_col).cast("string"), F.lit("")), F.hex(F.xxhash64(F.col(text_col).cast("string"))))
 
 
-def _sketch(k: int, width: int, sets: bool):
-    """Maps text to digest, number of distinct shingles and either MinHash values or the sorted set itself."""
+def _sketch(k: int, width: int, bloom=None):
+    """Maps text to digest, number of distinct shingles and either MinHash values or, with a filter of the column h of the
+    texts wanted, the sorted set itself."""
 
     def run(batches):
         for b in small(batches):
+            if bloom is not None:
+                b = b.filter(pa.array(bloom.value.has(b.column("h").to_numpy())))
             raw = [(x or b"").translate(FOLD) for x in b.column("text").cast(pa.binary()).to_pylist()]
             digest, size, sig = [], [], []
             for _, part in chunks(raw, 1 << 20):
                 s, at = shingles(Words(part), width)
-                own = None if sets else minhash(s, at, k)
+                own = minhash(s, at, k) if bloom is None else None
                 for i in range(len(part)):
                     distinct = np.unique(s[at[i] : at[i + 1]])
                     size.append(len(distinct))
                     digest.append(hashlib.blake2b(distinct.tobytes(), digest_size=16).hexdigest())
-                    sig.append(distinct.tobytes() if sets else own[i].tobytes())
+                    sig.append(distinct.tobytes() if own is None else own[i].tobytes())
             keep = [c for c in b.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(digest, pa.string()), pa.array(size, pa.int64()), pa.array(sig, pa.binary())], names=[*keep, "digest", "size", "sig"])
 
     return run
 
 
-def _sketched(df: DataFrame, k: int, width: int, sets: bool = False) -> DataFrame:
+def _sketched(df: DataFrame, k: int, width: int, bloom=None) -> DataFrame:
     schema = df.drop("text").schema.add("digest", "string").add("size", "long").add("sig", "binary")
-    return df.mapInArrow(_sketch(k, width, sets), schema)
+    return df.mapInArrow(_sketch(k, width, bloom), schema)
 
 
 def least_matches(threshold: float, k: int, step: int, tolerance: float) -> dict[int, int]:
@@ -111,6 +115,10 @@ def least_matches(threshold: float, k: int, step: int, tolerance: float) -> dict
     return out
 
 
+def _eight_bits(sig: bytes) -> bytes:
+    return sig[::4]
+
+
 def _band_keys(bands: int, rows: int):
     def run(batches):
         for b in batches:
@@ -127,6 +135,70 @@ def _band_keys(bands: int, rows: int):
     return run
 
 
+def _likely(threshold: float, k: int, step: int, tolerance: float, pairs: int = 1 << 18):
+    """A spanning forest (rep, root) of the pairs of each pair of blocks of a band that pruning leaves.
+
+    Eight bits of each value agree by chance more often than whole values, so no pair is dropped that those would keep.
+    """
+    t = Fraction(str(threshold))
+    least = least_matches(threshold, k, step, tolerance)
+
+    def stay(sig, size, a, b):
+        ok = np.minimum(size[a], size[b]) * t.denominator >= t.numerator * np.maximum(size[a], size[b])
+        a, b = a[ok], b[ok]
+        agree = np.zeros(len(a), np.int64)
+        for n in range(step, k + 1, step):
+            agree += (sig[a, n - step : n] == sig[b, n - step : n]).sum(axis=1)
+            ok = agree >= least[n]
+            a, b, agree = a[ok], b[ok], agree[ok]
+        return a, b
+
+    def forest(rep, n, a, b):
+        root = local_components(n, a, b)
+        own = np.flatnonzero(root != np.arange(n))
+        return pa.RecordBatch.from_arrays([pa.array(rep[own]), pa.array(rep[root[own]])], names=["rep", "root"])
+
+    def run(batches):
+        for table, at in whole_groups(batches, ("key", "bi", "bj")):
+            rep, size, side, bi, bj = (table.column(c).to_numpy() for c in ("rep", "size", "side", "bi", "bj"))
+            sig = np.frombuffer(b"".join(table.column("few").to_pylist()), np.uint8).reshape(len(rep), -1)
+            n = np.diff(at)
+            # short groups: all their pairs at once
+            group, froms, tos = np.flatnonzero((n > 1) & (n <= 32)), [], []
+            while len(group):
+                upto = max(1, int(np.searchsorted(np.cumsum(n[group] * n[group]), pairs)))
+                part, group = group[:upto], group[upto:]
+                m = n[part] * n[part]
+                nth = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+                lo, wide = np.repeat(at[part], m), np.repeat(n[part], m)
+                a, b = lo + nth // wide, lo + nth % wide
+                ok = (a < b) & ((bi[a] == bj[a]) | (side[a] != side[b]))
+                a, b = stay(sig, size, a[ok], b[ok])
+                froms.append(a)
+                tos.append(b)
+            if froms:
+                yield forest(rep, len(rep), np.concatenate(froms), np.concatenate(tos))
+            # long ones: each member with those that no pair joins to it yet
+            for g in np.flatnonzero(n > 32):
+                lo, hi = at[g], at[g + 1]
+                own = np.arange(lo, hi)
+                root, cross = np.arange(hi - lo), bi[lo] != bj[lo]
+                for i in range(hi - lo - 1):
+                    other = own[i + 1 :][root[i + 1 :] != root[i]]
+                    if cross:
+                        other = other[side[other] != side[lo + i]]
+                    _, b = stay(sig, size, np.full(len(other), lo + i), other)
+                    if len(b):
+                        joined = np.unique(np.append(root[b - lo], root[i]))
+                        root[np.isin(root, joined)] = joined[0]
+                    if not root.any():
+                        break
+                moved = np.flatnonzero(root != np.arange(hi - lo))
+                yield pa.RecordBatch.from_arrays([pa.array(rep[lo + moved]), pa.array(rep[lo + root[moved]])], names=["rep", "root"])
+
+    return run
+
+
 def _verify(threshold: float, k: int, step: int, tolerance: float):
     """One pair of blocks: each member's links there, and the least member it is linked with there."""
     t = Fraction(str(threshold))
@@ -207,24 +279,32 @@ def _verify(threshold: float, k: int, step: int, tolerance: float):
 def classes(documents: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS, tolerance: float = TOLERANCE, block: int = BLOCK) -> DataFrame:
     """uid, doc_id, class_id, n_links (other documents at the threshold, copies included), n_linked_texts, first (uid of the
     class's least document, by id, then uid)."""
-    k = bands * rows
+    spark, k = documents.sparkSession, bands * rows
     docs = documents.select(F.col(doc_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("uid", _uid("doc_id", "text"))
     sketch = cut(_sketched(docs.select("uid", "doc_id", "text"), k, width), "sketch")
     head = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("head")
-    reps = sketch.where("size > 0").groupBy("digest").agg(head, F.count("*").alias("copies"), F.first("sig").alias("sig"))
+    reps = sketch.where("size > 0").groupBy("digest").agg(head, F.count("*").alias("copies"), F.first("size").alias("size"), F.first("sig").alias("sig"))
     reps = cut(reps.withColumn("rep", F.monotonically_increasing_id()), "representatives")
     keys = reps.select("rep", "sig").mapInArrow(_band_keys(bands, rows), "rep long, key long")
-    buckets = keys.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least != most")
-    edges = keys.join(buckets, "key").where("rep != least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    groups = cut(connected_components(edges), "groups")
+    buckets = keys.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least != most").select("key")
+    few = reps.select("rep", "size", F.udf(_eight_bits, "binary", useArrow=True)("sig").alias("few"))
+    met = cut(keys.join(buckets, "key").join(few, "rep"), "buckets")
+    likely = by_group(in_blocks(met, "key", "rep", block), "key").mapInArrow(_likely(threshold, k, STEP, tolerance), "rep long, root long")
+    likely = cut(likely.distinct(), "likely")
+    groups = cut(connected_components(likely.select(F.col("rep").alias("a"), F.col("root").alias("b"))), "groups")
+    drop_tables(met, likely)
     members = reps.select("rep", "sig", "copies", F.col("head.uid").alias("uid")).join(groups.select(F.col("id").alias("rep"), "component"), "rep")
-    texts = docs.select("uid", "text").join(members.select("uid", "rep"), "uid")
-    sets = _sketched(texts.select("rep", "text"), k, width, sets=True).select("rep", F.col("sig").alias("set"))
+    seen = Observation()
+    members = cut(members.withColumn("h", F.xxhash64("uid")).observe(seen, F.count(F.lit(1)).alias("n")), "members")
+    bloom = spark.sparkContext.broadcast(bloom_of(members, "h", seen.get["n"]))
+    sets = _sketched(docs.select("uid", F.xxhash64("uid").alias("h"), "text"), k, width, bloom).select("uid", F.col("sig").alias("set"))
     #: a representative whose row is repeated comes once
-    full = members.join(sets.groupBy("rep").agg(F.first("set").alias("set")), "rep").select("component", "rep", "sig", "copies", "set")
+    full = members.join(sets, "uid").groupBy("rep").agg(F.first("component").alias("component"), F.first("sig").alias("sig"), F.first("copies").alias("copies"), F.first("set").alias("set"))
+    full = cut(full, "sets")
     dealt = in_blocks(full, "component", "rep", block)
     found = dealt.groupBy("component", "bi", "bj").applyInArrow(_verify(threshold, k, STEP, tolerance), "rep long, links long, linked long, root long")
     found = cut(found, "links")
+    drop_tables(full, members)
     linked = found.groupBy("rep").agg(F.sum("links").alias("links"), F.sum("linked").alias("linked"))
     roots = cut(connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b"))), "classes")
     info = reps.select("digest", "rep", "copies", "head").join(linked, "rep", "left").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
