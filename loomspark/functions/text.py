@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 #: Fixed class: the white space of the data's text rules, as a Java regular expression.
 WS = r"[\t-\r\x1c-\x20\x85\xa0  -     　]"
+NOT_WS = "[^" + WS[1:]
 #: Fixed class: line ends; a carriage return with a line feed is one.
 EOL = r"\r\n|[\n-\r\x1c-\x1e\x85  ]"
 
@@ -41,9 +42,24 @@ def lines(c: Column | str) -> Column:
     return F.when(F.element_at(a, -1) == "", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))).otherwise(a)
 
 
-def solid_lines(c: Column | str) -> Column:
-    """Stripped lines that aren't blank."""
-    return F.filter(F.transform(lines(c), strip), lambda x: x != "")
+def newlines(c: Column | str) -> Column:
+    """The text with each line end as one line feed."""
+    return F.translate(F.replace(col(c), F.lit("\r\n"), F.lit("\n")), "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029", "\n" * 9)
+
+
+def n_lines(nl: Column) -> Column:
+    """Lines of a text with plain line ends."""
+    return F.length(nl) - F.length(F.replace(nl, F.lit("\n"), F.lit(""))) + F.when((nl == "") | F.endswith(nl, F.lit("\n")), 0).otherwise(1)
+
+
+def n_solid(nl: Column) -> Column:
+    """Lines that aren't blank, of a text with plain line ends: each is a match from its first solid character on."""
+    return F.regexp_count(nl, F.lit(f"{NOT_WS}[^\n]*+"))
+
+
+def lines_with(nl: Column, pattern: str) -> Column:
+    """Lines that have a match, of a text with plain line ends: a match takes the rest of its line."""
+    return F.regexp_count(nl, F.lit(f"(?:{pattern})[^\n]*+"))
 
 
 def estimated_tokens(c: Column | str) -> Column:
@@ -67,26 +83,18 @@ def hits(c: Column | str, parts: tuple[str, ...]) -> Column:
     return sum((F.contains(col(c), F.lit(p)).cast("int") for p in parts), F.lit(0))
 
 
-def singles(a: Column) -> Column:
-    """How many values of an array of strings stand in it once; one pass over the sorted array."""
-    zero = F.struct(F.lit(None).cast("string").alias("was"), F.lit(0).alias("run"), F.lit(0).alias("n"))
-    step = lambda s, x: F.when(
-        x.eqNullSafe(s["was"]), F.struct(s["was"].alias("was"), (s["run"] + 1).alias("run"), s["n"].alias("n"))
-    ).otherwise(F.struct(x.alias("was"), F.lit(1).alias("run"), (s["n"] + (s["run"] == 1).cast("int")).alias("n")))
-    return F.aggregate(F.array_sort(a), zero, step, lambda s: s["n"] + (s["run"] == 1).cast("int"))
-
-
-def _char_stats(text: str | None) -> dict | None:
-    text = "".join(text.split()) if text else ""
-    if not text:
-        return {"n": 0, "top": 0, "entropy": 0.0}
-    n, seen = len(text), Counter(text)
-    return {"n": n, "top": max(seen.values()), "entropy": -sum(k / n * log2(k / n) for k in seen.values())}
+def _stats(text: str | None) -> dict:
+    own = [x for x in map(str.strip, (text or "").splitlines()) if x]
+    seen, lines = Counter("".join((text or "").split())), Counter(own)
+    n = seen.total()
+    entropy = -sum(k / n * log2(k / n) for k in seen.values()) if n else 0.0
+    return {"n": n, "top": max(seen.values(), default=0), "entropy": entropy, "solid": len(own), "once": sum(k == 1 for k in lines.values())}
 
 
-def char_stats(c: Column | str) -> Column:
-    """(n, top, entropy) of a text's characters without white space: a count per document in one Arrow batch, not an exploded row each."""
-    return F.udf(_char_stats, "n int, top int, entropy double", useArrow=True)(col(c))
+def stats(c: Column | str) -> Column:
+    """(n, top, entropy) of a text's characters without white space, (solid, once) of its lines that aren't blank: histograms in
+    one pass over an Arrow batch. Built-in functions would sort or explode every character."""
+    return F.udf(_stats, "n int, top int, entropy double, solid int, once int", useArrow=True)(col(c))
 
 
 # The same in the dialect the results are compared in.

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import ast
-from collections import Counter
-from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,15 +37,15 @@ PINNED = r"(?m)(^|\n)\s*[A-Za-z0-9_.-]+(==|>=|<=|~=)[0-9]"
 
 def hard_rejection(t: Column) -> Column:
     """The first rule that rules a prepared row's text out, or null."""
-    solid, stats = F.col("_solid"), F.col("_stats")
+    nl, stats = F.col("_nl"), F.col("_stats")
     signal = tx.has_any(t, ("def ", "class ", "Traceback"))
-    repeats = filters.is_char_spam(stats) | filters.is_low_entropy(stats) | filters.is_line_spam(solid)
+    repeats = filters.is_char_spam(stats) | filters.is_low_entropy(stats) | filters.is_line_spam(stats)
     return (
-        F.when(F.size(solid) == 0, "empty_text")
+        F.when(stats["solid"] == 0, "empty_text")
         .when(filters.is_binary(t), "binary_or_corrupt_text")
         .when(filters.is_dangerous(t), "unsafe_or_malware_like_code")
-        .when(filters.is_minified(t, F.col("_lines")), "minified_or_obfuscated_text")
-        .when(filters.is_license(solid), "mostly_license_boilerplate")
+        .when(filters.is_minified(t, nl), "minified_or_obfuscated_text")
+        .when(filters.is_license(nl, stats), "mostly_license_boilerplate")
         .when(~signal & repeats, "corrupted_or_repetitive_text")
         .when(tx.count_of(t, PINNED) >= 20, "mostly_dependency_dump")
     )
@@ -58,31 +56,31 @@ def debug_signal(source: Column, t: Column) -> Column:
     return ((source == "debugbench") | tx.has_any(low, DEBUG_CONTEXT)) & tx.has_any(low, DEBUG_MARKERS)
 
 
-def messy(t: Column, solid: Column, lines: Column) -> Column:
+def messy(t: Column, nl: Column, stats: Column) -> Column:
     """Eight or more lines, with a bare except, deep nesting or many long lines."""
-    own = F.filter(lines, lambda x: tx.strip(x) != "")
-    n = F.size(own)
-    long = F.size(F.filter(own, lambda x: F.length(x) > 100))
-    deep = F.exists(own, lambda x: F.startswith(x, F.lit(" " * 12)))
-    return (n >= 8) & (F.contains(t, F.lit("except:")) | (long / n > 0.25) | deep)
+    blank = f"[{tx.WS[1:-1]}&&[^\n]]*+"
+    long = tx.count_of(nl, f"(?<![^\n])(?=[^\n]{{101}}){blank}{tx.NOT_WS}[^\n]*+")
+    deep = F.rlike(nl, F.lit(f"(?<![^\n]) {{12}}{blank}{tx.NOT_WS}"))
+    return (stats["solid"] >= 8) & (F.contains(t, F.lit("except:")) | (long / stats["solid"] > 0.25) | deep)
 
 
-def trivial(t: Column, solid: Column) -> Column:
-    return ((F.size(solid) <= 3) & (F.length(t) < 160)) | tx.without_space(t).isin("deff():pass", "defmain():pass")
+def trivial(t: Column, stats: Column) -> Column:
+    return ((stats["solid"] <= 3) & (F.length(t) < 160)) | tx.without_space(t).isin("deff():pass", "defmain():pass")
 
 
 def text_features(source: Column, t: Column) -> Column:
     """The features a prepared row's text shows without a syntax tree."""
-    solid, lines = F.col("_solid"), F.col("_lines")
+    nl, stats = F.col("_nl"), F.col("_stats")
     return F.struct(
         tx.has_any(t, ('"""', "'''")).alias("quotes"),
         F.contains(t, F.lit("#")).alias("comments"),
         debug_signal(source, t).alias("debug"),
         tx.has_any(t, ("assert ", "pytest")).alias("tests"),
         tx.hits(t, EDGE_MARKERS).alias("edges"),
-        messy(t, solid, lines).alias("messy"),
-        trivial(t, solid).alias("trivial"),
-        F.size(solid).alias("n_lines"),
+        messy(t, nl, stats).alias("messy"),
+        trivial(t, stats).alias("trivial"),
+        stats["solid"].alias("n_lines"),
+        stats["solid"].between(20, 50).alias("clean_size"),
     )
 
 
@@ -137,40 +135,57 @@ def loss_weight(grade: Column, points: Column) -> Column:
 
 
 def select_text(text: str, most_tokens: int) -> tuple[str, bool]:
-    """The whole text, its best definition that fits, or a window about the first sign of debugging or a definition."""
-    if -(-len(text) // 4) <= most_tokens:
+    """A text that fits, else its best definition that does, else a window about its first sign of debugging or a definition.
+
+    Best: most marks of a whole function, then the shortest, then the first found; with two lines before and after.
+    """
+    most = most_tokens * 4
+    if len(text) <= most:
         return text, False
-    tree = filters.parse(text)
-    if tree is not None:
-        own = text.splitlines()
-        parts = ("\n".join(own[max(0, n.lineno - 3) : n.end_lineno + 2]).strip() for n in ast.walk(tree) if isinstance(n, (ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef)))
-        fit = [p for p in parts if p and -(-len(p) // 4) <= most_tokens]
-        if fit:
-            return max(fit, key=lambda p: (sum(m in p for m in CHUNK_MARKERS), -len(p))), True
+    best, found = None, None
+    if (tree := filters.parse(text)) is not None:
+        rows = text.splitlines()
+        for node in ast.walk(tree):
+            if isinstance(node, filters.DEFINITIONS):
+                part = "\n".join(rows[max(node.lineno - 3, 0) : node.end_lineno + 2]).strip()
+                rank = (sum(m in part for m in CHUNK_MARKERS), -len(part))
+                if part and len(part) <= most and (best is None or rank > best):
+                    best, found = rank, part
+    if found is not None:
+        return found, True
     low = text.lower()
-    found = [i for m in (*DEBUG_MARKERS, "def ", "class ") if (i := low.find(m)) >= 0]
-    start = max(0, min(found, default=0) - most_tokens * 4 // 3)
-    return text[start : start + most_tokens * 4].strip(), True
+    signs = [at for at in map(low.find, (*DEBUG_MARKERS, "def ", "class ")) if at >= 0]
+    start = max(0, min(signs, default=0) - most // 3)
+    return text[start : start + most].strip(), True
 
 
 def scored(examples: DataFrame, *, min_score: float = 0.70, min_tokens: int = 80, max_tokens: int = 1600) -> DataFrame:
-    """Adds selected, rejected (why, or null), score, tier, accepted, tasks, stage and loss_weight. Columns used: source, text; docstring if there."""
-    pick = F.udf(lambda t: (lambda s: {"text": s[0], "cut": s[1]})(select_text(t or "", max_tokens)), "text string, cut boolean", useArrow=True)
+    """Adds selected, rejected (why, or null), score, tier, accepted, tasks, stage, loss_weight, reason and rescue.
+
+    Columns used: source, text; docstring if there. ``rescue``: a long text that no excerpt could be made of.
+    """
+    pick = F.udf(lambda t: dict(zip(("text", "cut"), select_text(t or "", max_tokens), strict=True)), "text string, cut boolean", useArrow=True)
     facts = F.udf(_tree_features, "valid boolean, defines boolean, compact boolean, docstring boolean", useArrow=True)
     df = filters.prepare(examples.withColumn("_whole", tx.strip(F.coalesce("text", F.lit("")))), "_whole")
     df = df.withColumn("_why", hard_rejection(F.col("_whole"))).withColumn("_pick", pick("_whole")).withColumn("selected", F.col("_pick.text"))
-    df = filters.prepare(df.drop("_lines", "_solid", "_stats"), "selected")
+    df = filters.prepare(df.drop("_nl", "_stats"), "selected")
     doc = F.coalesce(tx.strip(F.col("docstring")) != "", F.lit(False)) if "docstring" in examples.columns else F.lit(False)
     df = df.withColumn("_t", text_features(F.col("source"), F.col("selected"))).withColumn("_tree", facts("selected"))
     df = df.withColumn("_doc", doc | F.col("_tree.docstring") | F.col("_t.quotes"))
     short = (tx.estimated_tokens("selected") < min_tokens) & ~(F.col("_t.debug") | F.col("_tree.defines"))
     points = score(F.col("source"), F.col("_t"), F.col("_tree"), F.col("_doc")) - F.when(short, 0.18).otherwise(0.0)
-    long = (tx.estimated_tokens("_whole") > max_tokens) & ~F.col("_pick.cut")
+    rescue = (tx.estimated_tokens("_whole") > max_tokens) & ~F.col("_pick.cut")
     df = df.withColumn("score", F.when(F.col("_why").isNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.round(points, 3)))).otherwise(0.0))
-    df = df.withColumn("_grade", tier(F.col("score"), long)).withColumn("accepted", F.col("_why").isNull() & ((F.col("score") >= min_score) | (F.col("_grade") == "RESCUE")))
+    df = df.withColumn("rescue", rescue).withColumn("_grade", tier(F.col("score"), rescue)).withColumn("accepted", F.col("_why").isNull() & ((F.col("score") >= min_score) | (F.col("_grade") == "RESCUE")))
     df = df.withColumn("tier", F.when(F.col("accepted"), F.col("_grade")).otherwise("C")).withColumn("tasks", F.when(F.col("_why").isNull(), preferences(F.col("source"), F.col("_t"), F.col("_tree.defines"), F.col("_doc"))))
+    on = lambda c, name: F.when(c, F.lit(name))
+    parts = F.concat_ws(
+        ",", F.concat(F.lit("source="), "source"), on(F.col("_tree.defines"), "function_or_class"), on(F.col("_tree.compact"), "compact_function"), on(F.col("_doc"), "docstring"), on(F.col("_t.debug"), "debug_signal"),
+        on(F.col("_t.tests"), "tests_signal"), on(F.col("_t.messy"), "messy"), on(F.col("_pick.cut"), "excerpted_long_useful_input"), on(short, "too_short_without_python_signal"),
+    )
+    df = df.withColumn("reason", F.when(F.col("_why").isNotNull(), F.col("_why")).when(F.col("accepted"), parts).otherwise(F.concat(F.lit("below_min_score:"), parts)))
     stage = F.when(F.col("accepted") & (F.element_at("tasks", 1) == "code_writing"), "teacher_structuring").otherwise("instruction_tune")
-    return df.withColumn("stage", stage).withColumn("loss_weight", F.when(F.col("accepted"), loss_weight(F.col("tier"), F.col("score"))).otherwise(0.0)).withColumnRenamed("_why", "rejected").drop("_whole", "_pick", "_lines", "_solid", "_stats", "_t", "_tree", "_doc", "_grade")
+    return df.withColumn("stage", stage).withColumn("loss_weight", F.when(F.col("accepted"), loss_weight(F.col("tier"), F.col("score"))).otherwise(0.0)).withColumnRenamed("_why", "rejected").drop("_whole", "_pick", "_nl", "_stats", "_t", "_tree", "_doc", "_grade")
 
 
 def skills(t: Column, task: Column) -> Column:
@@ -181,7 +196,7 @@ def skills(t: Column, task: Column) -> Column:
 
 
 def difficulty(t: Column, points: Column) -> Column:
-    n, marks = F.size(tx.solid_lines(t)), tx.hits(t, COMPLEX_MARKERS)
+    n, marks = tx.n_solid(tx.newlines(t)), tx.hits(t, COMPLEX_MARKERS)
     return F.when((n >= 35) | (marks >= 3) | F.coalesce(points >= 0.95, F.lit(False)), "advanced").when((n >= 12) | (marks >= 1), "intermediate").otherwise("beginner")
 
 
@@ -193,29 +208,6 @@ def normal_weight(weight: Column, grade: Column) -> Column:
     return F.when(weight.isin(0.5, 1.0, 1.5), weight).when(grade == "A", 1.5).when(grade == "C", 0.5).otherwise(1.0)
 
 
-def route(rows: list[tuple[str, list[str]]], *, per_source: Mapping[str, int] | None = None, per_task: Mapping[str, int] | None = None, mix: Mapping[str, float] | None = None, most: int | None = None) -> list[str | None]:
-    """Each accepted row's task in order, or None: a fold over (source, preferred tasks), which are short columns.
-
-    A source's cap, the tasks' caps (explicit, or a share of ``most``) and the total are taken in order; a row whose
-    preferred tasks are full goes to the first free task by name.
-    """
-    by_source, by_task, total, out = Counter(), Counter(), 0, []
-    cap = dict(per_task or {})
-    if most is not None:
-        for t, share in (mix or {}).items():
-            cap.setdefault(t, max(1, round(most * share)))
-    free = lambda t: t not in cap or by_task[t] < cap[t]
-    for source, wanted in rows:
-        full = most is not None and total >= most or per_source is not None and source in per_source and by_source[source] >= per_source[source]
-        task = None if full else next((t for t in [*(w for w in wanted if w in TASKS), *sorted(TASKS)] if free(t)), None)
-        if task is not None:
-            by_source[source] += 1
-            by_task[task] += 1
-            total += 1
-        out.append(task)
-    return out
-
-
 def routed(candidates: DataFrame, order: str, *, per_source: int | None = None) -> DataFrame:
     """Without task caps routing is parallel: each accepted row takes its first task, up to ``per_source`` rows of a source."""
     df = candidates.where("accepted").withColumn("task", F.element_at("tasks", 1))

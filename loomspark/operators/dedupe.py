@@ -5,10 +5,11 @@ from __future__ import annotations
 import json
 from difflib import SequenceMatcher
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspark.functions import text as tx
+from loomspark.session import cut
 
 WIDTH = 5
 
@@ -48,11 +49,29 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b)))
 
 
+SMALL = 2_000_000
+
+
 def overlaps(left: DataFrame, right: DataFrame, left_id: str, right_id: str, text: str = "text", width: int = WIDTH) -> DataFrame:
-    """(left id, right id, shared, similarity) of all pairs that share a shingle, by a join on shingle hashes."""
-    a = left.select(F.col(left_id).alias("l"), shingles(text, width).alias("s")).select("l", F.size("s").alias("nl"), F.explode("s").alias("g"))
-    b = right.select(F.col(right_id).alias("r"), shingles(text, width).alias("s")).select("r", F.size("s").alias("nr"), F.explode("s").alias("g"))
-    shared = a.join(b, "g").groupBy("l", "r").agg(F.count("*").alias("shared"), F.first("nl").alias("nl"), F.first("nr").alias("nr"))
+    """(left id, right id, shared, similarity) of all pairs that share a shingle, by a join on 64-bit hashes of the shingles.
+
+    The right side is broadcast while it has at most ``SMALL`` distinct shingles; else its shingles are salted by the left
+    side's rows, so a shingle that many documents share is matched by many tasks. A pair's shingles are counted map-side.
+    """
+
+    def exploded(df: DataFrame, ident: str, n: str) -> DataFrame:
+        hashed = df.select(F.col(ident).alias(ident), F.transform(shingles(text, width), lambda g: F.xxhash64(g)).alias("s"))
+        sized = hashed.select(ident, "s", F.size("s").alias(n))  # below the explode, so no array goes along with every shingle
+        return sized.select(ident, n, F.explode_outer("s").alias("g"))  # no inferred filter that would compute them twice
+
+    a, b = exploded(left.withColumnRenamed(left_id, "l"), "l", "nl"), exploded(right.withColumnRenamed(right_id, "r"), "r", "nr")
+    b = cut(b.where("g is not null"), "shingles")
+    if b.count() <= SMALL:
+        met = a.join(F.broadcast(b), "g")
+    else:
+        salted = b.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
+        met = a.withColumn("salt", F.pmod(F.xxhash64("l"), F.lit(16)).cast("int")).join(salted, ["g", "salt"])
+    shared = met.groupBy("l", "r", "nl", "nr").agg(F.count("*").alias("shared"))
     return shared.select(F.col("l").alias(left_id), F.col("r").alias(right_id), "shared", (F.col("shared") / (F.col("nl") + F.col("nr") - F.col("shared"))).alias("similarity"))
 
 
@@ -69,6 +88,36 @@ def canonical_json(value: object) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=True)
 
 
+def json_string(c: Column) -> Column:
+    """A string as canonical JSON; only texts beyond printable ASCII need Python."""
+    plain = F.concat(F.lit('"'), F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
+    ascii_ = F.rlike(c, F.lit(r"^[ -~]*$"))
+    return F.when(ascii_, plain).otherwise(F.udf(lambda t: None if t is None else json.dumps(t), "string", useArrow=True)(F.when(~ascii_, c)))
+
+
+def canonical(value: Column) -> Column:
+    """Rows' JSON texts in canonical form (sorted keys, no spaces, ASCII), which ``to_json`` doesn't give; null where unreadable."""
+
+    def run(t: str | None) -> str | None:
+        try:
+            return None if t is None else canonical_json(json.loads(t))
+        except ValueError:
+            return None
+
+    return F.udf(run, "string", useArrow=True)(value)
+
+
+def json_hash(value: Column) -> Column:
+    """SHA-256 of a JSON text's canonical form."""
+    return F.sha2(canonical(value), 256)
+
+
+def file_hashes(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, size, sha256) of files, each read by one task."""
+    files = spark.read.format("binaryFile").load(paths)
+    return files.select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+
+
 def _ratio(a: str | None, b: str | None) -> float | None:
     return None if a is None or b is None else SequenceMatcher(None, a, b).ratio()
 

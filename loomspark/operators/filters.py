@@ -24,6 +24,7 @@ CS_TERMS = ("python", "code", "programming", "algorithm", "data structure", "deb
 USELESS_DOCSTRINGS = ("", "todo", "tbd", "none", "n/a", "fixme", "function", "method")
 TIER_WEIGHTS = {"A": 1.0, "B": 0.35, "C": 0.0, "RESCUE": 0.15}
 LONG_TOKENS = 8192
+DEFINITIONS = (ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef)
 
 
 def is_binary(t: Column) -> Column:
@@ -39,31 +40,28 @@ def is_low_entropy(stats: Column) -> Column:
     return (stats["n"] >= 160) & (stats["entropy"] < 2.2)
 
 
-def is_line_spam(solid: Column) -> Column:
-    n = F.size(solid)
-    return (n >= 8) & ((n - tx.singles(solid)) / n > 0.55)
+def is_line_spam(stats: Column) -> Column:
+    n = stats["solid"]
+    return (n >= 8) & ((n - stats["once"]) / n > 0.55)
 
 
-def has_unbroken_line(lines: Column, longest: int = 5000) -> Column:
-    return F.exists(lines, lambda x: (F.length(x) > longest) & ~F.rlike(x, F.lit(tx.WS)))
+def has_unbroken_line(nl: Column, longest: int = 5000) -> Column:
+    return F.rlike(nl, F.lit(f"(?<![^\n]){tx.NOT_WS}{{{longest + 1},}}+(?![^\n])"))
 
 
-def is_minified(t: Column, lines: Column) -> Column:
-    return (F.length(t) >= 1000) & (F.size(lines) <= 4) & (tx.count_of(t, r"[{}\[\]();,:]") / F.length(t) > 0.18)
+def is_minified(t: Column, nl: Column) -> Column:
+    return (F.length(t) >= 1000) & (tx.n_lines(nl) <= 4) & (tx.count_of(t, r"[{}\[\]();,:]") / F.length(t) > 0.18)
 
 
-def is_dependency_dump(t: Column, lines: Column, path: Column | None = None) -> Column:
+def is_dependency_dump(t: Column, nl: Column, path: Column | None = None) -> Column:
     name = F.element_at(F.split(F.replace(F.coalesce(path, F.lit("")), F.lit("\\"), F.lit("/")), "/"), -1) if path is not None else F.lit("")
     toml = F.contains(t, F.lit("version =")) & F.contains(t, F.lit("[[package]]")) & F.contains(t, F.lit("dependencies ="))
-    pinned = F.size(F.filter(lines, lambda x: F.rlike(x, F.lit(r"==[0-9]|>=[0-9]|~=[0-9]"))))
-    return name.isin(*LOCKFILES) | toml | (pinned >= 20)
+    return name.isin(*LOCKFILES) | toml | (tx.lines_with(nl, "[=>~]=[0-9]") >= 20)
 
 
-def is_license(solid: Column) -> Column:
-    legal = F.size(F.filter(solid, lambda x: F.rlike(F.lower(x), F.lit("|".join(LICENSE_WORDS)))))
-    code = F.size(F.filter(solid, lambda x: F.rlike(F.lower(x), F.lit("|".join(CODE_LINE_WORDS)))))
-    n = F.size(solid)
-    return (n > 0) & (legal / F.greatest(n, F.lit(1)) > 0.45) & (code < 3)
+def is_license(nl: Column, stats: Column) -> Column:
+    low, n = F.lower(nl), stats["solid"]
+    return (n > 0) & (tx.lines_with(low, "|".join(LICENSE_WORDS)) / F.greatest(n, F.lit(1)) > 0.45) & (tx.lines_with(low, "|".join(CODE_LINE_WORDS)) < 3)
 
 
 def is_dangerous(t: Column) -> Column:
@@ -75,23 +73,22 @@ def has_code_signal(t: Column) -> Column:
 
 
 def prepare(df: DataFrame, text: str = "text") -> DataFrame:
-    """Adds what several rules use, each computed once: _lines, _solid (stripped, not blank) and _stats (of the characters)."""
-    df = df.withColumn("_lines", tx.lines(text)).withColumn("_stats", tx.char_stats(text))
-    return df.withColumn("_solid", F.filter(F.transform("_lines", tx.strip), lambda x: x != ""))
+    """Adds what several rules use, each computed once: _nl (the text with plain line ends) and _stats (of characters and lines)."""
+    return df.withColumn("_nl", tx.newlines(text)).withColumn("_stats", tx.stats(text))
 
 
 def trash_reason(t: Column, *, path: Column | None = None, duplicate: Column | None = None) -> Column:
     """The first rule that rejects a prepared row's text, or null. ``duplicate``: rows that repeat an earlier one."""
-    lines, solid, stats = F.col("_lines"), F.col("_solid"), F.col("_stats")
+    nl, stats = F.col("_nl"), F.col("_stats")
     return (
-        F.when(t.isNull() | (F.size(solid) < 1), "empty_text")
+        F.when(t.isNull() | (stats["solid"] < 1), "empty_text")
         .when(is_binary(t), "binary_or_corrupt_text")
         .when(F.lit(False) if duplicate is None else duplicate, "duplicate_content")
-        .when(is_dependency_dump(t, lines, path), "lockfile_or_dependency_dump")
-        .when(is_minified(t, lines), "minified_or_raw_dump")
-        .when(is_license(solid), "mostly_license_boilerplate")
+        .when(is_dependency_dump(t, nl, path), "lockfile_or_dependency_dump")
+        .when(is_minified(t, nl), "minified_or_raw_dump")
+        .when(is_license(nl, stats), "mostly_license_boilerplate")
         .when(is_char_spam(stats) | is_low_entropy(stats), "low_entropy_or_repeated_characters")
-        .when(is_line_spam(solid), "repetition_spam")
+        .when(is_line_spam(stats), "repetition_spam")
         .when(is_dangerous(t), "dangerous_code")
     )
 
@@ -128,7 +125,7 @@ def debugging(t: Column) -> Column:
 def educational(t: Column) -> Column:
     terms = tx.hits(F.lower(t), CS_TERMS)
     return _first(
-        (has_unbroken_line(F.col("_lines")), "C", "very_long_unbroken_line"),
+        (has_unbroken_line(F.col("_nl")), "C", "very_long_unbroken_line"),
         ((terms >= 2) & has_code_signal(t), "A", "cs_programming_educational_text"),
         (terms >= 1, "B", "possibly_relevant_educational_text"),
         (None, "C", "non_cs_or_non_educational_text"),
@@ -215,17 +212,16 @@ def decide(examples: DataFrame, *, duplicate: Column | None = None) -> DataFrame
         .when(s == "synthetic", synthetic(t))
         .otherwise(general(t))
     )
-    return with_decision(df, trash_reason(t, path=have("path"), duplicate=duplicate), rule).drop("_lines", "_solid", "_stats", "_facts")
+    return with_decision(df, trash_reason(t, path=have("path"), duplicate=duplicate), rule).drop("_nl", "_stats", "_facts")
 
 
 def chunk_definitions(text: str | None, most: int = 12_000) -> list[str]:
-    """The top-level functions and classes of Python source, or the whole text."""
-    tree = parse(text)
-    if tree is None:
-        return [text or ""]
-    own = (text or "").splitlines()
-    parts = ["\n".join(own[n.lineno - 1 : n.end_lineno]) for n in tree.body if isinstance(n, (ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef))]
-    return [p for p in parts if p and len(p) <= most] or [text or ""]
+    """Top-level functions and classes of Python source that have at most ``most`` characters; the whole text if there are none."""
+    source, tree = text or "", parse(text)
+    spans = [] if tree is None else [(n.lineno, n.end_lineno) for n in tree.body if isinstance(n, DEFINITIONS)]
+    rows = source.splitlines()
+    found = ["\n".join(rows[a - 1 : z]) for a, z in spans]
+    return [c for c in found if 0 < len(c) <= most] or [source]
 
 
 def chunked(examples: DataFrame, most: int = 12_000) -> DataFrame:

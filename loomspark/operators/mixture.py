@@ -1,13 +1,12 @@
 """Mixing sources to target weights, sampling by tier and weight, audits of what came out.
 
 Deterministic, distributed forms: the k-th row of a source with ratio r is due at (k - 1/2) / r, so an order by due place
-interleaves sources to within one row of their shares; Bernoulli draws are hashes of a key. :func:`exact_order` gives the
-one-row-at-a-time sampler's order from the rows' sources alone.
+interleaves sources to within one row of their shares; Bernoulli draws are hashes of a key. :mod:`ordered` has the
+one-row-at-a-time sampler.
 """
 
 from __future__ import annotations
 
-import random
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,30 +76,15 @@ def ranked(df: DataFrame, groups: list[str], order: str, name: str) -> DataFrame
     return running(df, groups, order, F.lit(1), name).withColumn(name, F.col(name) + 1)
 
 
-def exact_order(sources: list[str], weights: Mapping[str, float], seed: int = 0) -> list[tuple[str, int]]:
-    """(source, index) in the order of the one-at-a-time sampler, for driver-side schedules of bounded length."""
-    r, rng, left, out = ratios(weights), random.Random(seed), {}, []
-    for s in sources:
-        left[s] = left.get(s, 0) + 1
-    active, taken = {s for s in r if s in left}, dict.fromkeys(r, 0)
-    total = sum(weights[s] for s in r)
-    share = {s: weights[s] / total for s in r}
-    while active:
-        due = {s: max(0.0, share[s] * (len(out) + 1) - taken[s]) for s in active}
-        pool = {s: d for s, d in due.items() if d > 1e-12} or {s: share[s] for s in active}
-        at, pick = rng.random() * sum(pool.values()), None
-        for s in sorted(pool):
-            at -= pool[s]
-            if at <= 0:
-                pick = s
-                break
-        pick = pick or max(pool)
-        if taken[pick] == left[pick]:
-            active.discard(pick)
-            continue
-        out.append((pick, taken[pick]))
-        taken[pick] += 1
-    return out
+def check_sampler(sources, weights: Mapping[str, float], rates: Mapping[str, float] | None = None) -> None:
+    """A sampler needs sources, a positive weight, no weight without a source, and rates from 0 to 1."""
+    if not sources:
+        raise ValueError("at least one source is needed")
+    if orphans := [s for s in weights if s not in sources]:
+        raise ValueError(f"weights of sources that aren't there: {orphans}")
+    ratios(weights)
+    if bad := [t for t, r in (rates or {}).items() if not 0 <= r <= 1]:
+        raise ValueError(f"sampling rates must be between 0 and 1: {bad}")
 
 
 def draw(key: Column, seed: int = 0) -> Column:

@@ -6,6 +6,7 @@ order; the first that isn't blank is taken as it is.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,7 @@ from loomspark.operators.dedupe import input_hash
 
 TASKS = ("code_writing", "debugging", "explanation", "comments", "refactoring", "tests")
 #: Fixed: columns that hold a row's text, and names that may hold a secret.
-RAW_TEXT = ("text", "content", "code", "prompt", "completion", "messages", "article")
+RAW_TEXT = ("content", "text", "code", "func_code", "function", "prompt", "completion", "messages", "buggy_code", "fixed_code", "stack_trace", "traceback")
 SECRET_NAMES = ("token", "api_key", "secret")
 
 
@@ -61,14 +62,32 @@ def algorithm_text(df: DataFrame) -> DataFrame:
     return _example(df, first_text(df, names), "cosmopedia_cs", "cs_algorithm_text", "base_pretrain", names)
 
 
+def _joined(messages: str | None) -> str | None:
+    got = json.loads(messages) if messages else None
+    return "\n".join(str(m) for m in got) if isinstance(got, list) else None
+
+
+def joined_messages(messages: Column) -> Column:
+    """A JSON list's items by lines, each as Python prints it, so only rows that have such a list need Python."""
+    return F.udf(_joined, "string", useArrow=True)(messages)
+
+
 def synthetic(df: DataFrame) -> DataFrame:
-    """Rows may name their own source, type, stage; an array ``messages`` is joined by lines where no text is."""
+    """Rows may name their own source, type, tier, weight, stage; an array ``messages`` is joined by lines where no text is."""
     text = first_text(df, ("text", "prompt", "completion"))
     if "messages" in df.columns:
-        text = F.when(text == "", F.coalesce(F.array_join(F.transform("messages", lambda m: m.cast("string")), "\n"), F.lit(""))).otherwise(text)
+        kind = df.schema["messages"].dataType
+        plain = kind.typeName() == "array" and kind.elementType.typeName() == "string"
+        listed = F.array_join("messages", "\n") if plain else joined_messages(F.when(text == "", F.to_json("messages", {"ignoreNullFields": "false"})))
+        text = F.when(text == "", F.coalesce(listed, F.lit(""))).otherwise(text)
     own = lambda names, default: F.coalesce(*(F.nullif(F.col(n), F.lit("")) for n in names if n in df.columns), F.lit(default))
-    keep = [c for c in df.columns if c not in ("text", "prompt", "completion", "messages", "source", "example_type", "type", "training_stage")]
-    return df.select(text.alias("text"), own(("source",), "synthetic").alias("source"), own(("example_type", "type"), "synthetic_instruction").alias("example_type"), own(("training_stage",), "instruction_tune").alias("training_stage"), *keep)
+    have = lambda name, kind: F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind)
+    used = ("text", "prompt", "completion", "messages", "source", "example_type", "type", "training_stage", "quality_tier", "loss_weight")
+    keep = [c for c in df.columns if c not in used]
+    return df.select(
+        text.alias("text"), own(("source",), "synthetic").alias("source"), own(("example_type", "type"), "synthetic_instruction").alias("example_type"), own(("training_stage",), "instruction_tune").alias("training_stage"),
+        have("quality_tier", "string").alias("quality_tier"), have("loss_weight", "double").alias("loss_weight"), *keep,
+    )
 
 
 EXTRACTORS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -88,34 +107,45 @@ def extract(source: str, df: DataFrame) -> DataFrame:
 
 
 def safe_fields(df: DataFrame) -> Column:
-    """A map of the row's short scalar columns, without text and secrets."""
+    """A map of the row's scalar columns: strings of up to 500 characters but no texts and secrets, other scalars, nulls."""
     pairs = []
     for f in df.schema.fields:
-        name = f.name
-        if name in RAW_TEXT or name.lower() in SECRET_NAMES or f.dataType.typeName() in ("array", "struct", "map", "binary"):
+        kind = f.dataType.typeName()
+        if f.name in RAW_TEXT or kind in ("array", "struct", "map", "binary") or kind == "string" and f.name.lower() in SECRET_NAMES:
             continue
-        v = F.col(name).cast("string")
-        pairs.append(F.struct(F.lit(name).alias("key"), (F.when(F.length(v) <= 500, v) if f.dataType.typeName() == "string" else v).alias("value")))
-    return F.map_from_entries(F.filter(F.array(*pairs), lambda p: p["value"].isNotNull()))
+        keep = (F.length(F.col(f.name)) <= 500) | F.col(f.name).isNull() if kind == "string" else F.lit(True)
+        pairs.append(F.when(keep, F.struct(F.lit(f.name).alias("key"), F.col(f.name).cast("string").alias("value"))))
+    return F.map_from_entries(F.array_compact(F.array(*pairs))) if pairs else F.create_map().cast("map<string,string>")
 
 
 PYTHON_SOURCES = ("stack_v2_python", "codesearchnet_python", "debugbench", "synthetic")
 
 
-def enrich(df: DataFrame) -> DataFrame:
-    """Adds chars, estimated_tokens, language and input_hash; values that are there stay."""
+def enrich(df: DataFrame, tokens: Column | None = None) -> DataFrame:
+    """Adds chars, estimated_tokens (or the number of ``tokens``), language and input_hash; the latter two stay where they are there."""
     have = lambda c: F.col(c) if c in df.columns else F.lit(None).cast("string")
-    language = F.coalesce(have("language"), F.when(F.col("source").isin(*PYTHON_SOURCES), "python"))
+    language = F.coalesce(have("language"), F.when(F.col("source").isin(*PYTHON_SOURCES), "python").otherwise("text"))
     digest = F.coalesce(have("input_hash"), input_hash(F.col("source"), F.col("example_type"), F.col("text")))
-    return df.withColumns({"chars": F.length("text").cast("long"), "estimated_tokens": tx.estimated_tokens("text"), "language": language, "input_hash": digest})
+    return df.withColumns({"chars": F.length("text").cast("long"), "estimated_tokens": tx.estimated_tokens("text") if tokens is None else F.size(tokens).cast("long"), "language": language, "input_hash": digest})
+
+
+def metadata(df: DataFrame) -> Column:
+    """The ten fields that go along with an enriched example."""
+    have = lambda c, kind="string": F.col(c) if c in df.columns else F.lit(None).cast(kind)
+    return F.struct(
+        "source", "example_type", "language", have("quality_tier").alias("quality_tier"), F.col("chars").alias("estimated_length_chars"), "estimated_tokens",
+        have("training_stage").alias("training_stage"), have("loss_weight", "double").alias("loss_weight"), F.col("input_hash").alias("stable_input_hash"), have("original_fields", "map<string,string>").alias("original_fields"),
+    )
 
 
-def instruction(prompt: Column, response: Column, end: str = "") -> Column:
-    return F.concat(F.lit("User:\n"), prompt, F.lit("\n\nAssistant:\n"), response, F.lit(end))
+def instruction(prompt: Column, response: Column, end: str = "", task: Column | None = None) -> Column:
+    """``task``: where given, one that is not in ``TASKS`` is an error when the row is read."""
+    text = F.concat(F.lit("User:\n"), prompt, F.lit("\n\nAssistant:\n"), response, F.lit(end))
+    return text if task is None else F.when(task.isin(*TASKS), text).otherwise(F.raise_error(F.concat(F.lit("unsupported instruction task_type: "), F.coalesce(task, F.lit("null")))).cast("string"))
 
 
 def debugging_instruction(buggy: Column, error: Column, fixed: Column, end: str = "") -> Column:
-    return instruction(F.concat(F.lit("Debug this Python code.\n\nError:\n"), error, F.lit("\n\nCode:\n"), buggy), fixed, end)
+    return instruction(F.concat(F.lit("Debug this Python code.\n\nError:\n"), error, F.lit("\n\nCode:\n"), buggy), fixed, end, F.lit("debugging"))
 
 
 def turns(conversations: DataFrame) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def request_queue(candidates: DataFrame, completed: DataFrame, order: str, *, ident: str = "candidate_id", digest: str = "request_hash", most: int | None = None) -> DataFrame:
@@ -46,6 +49,14 @@ def next_session(names: DataFrame, column: str = "session_id", prefix: str = "se
     return names.agg(F.concat(F.lit(prefix), F.lpad(n.cast("string"), 4, "0")).alias("next"))
 
 
+def slug_text(t: str) -> str:
+    """:func:`slug` of one string; an empty result is an error."""
+    out = re.sub(r"[^a-z0-9]+", "-", t.lower()).strip("-")
+    if not out:
+        raise ValueError("nothing is left of the name")
+    return out
+
+
 def slug(t: Column) -> Column:
     """Lower case, runs of other characters as one hyphen, none outside; an empty result is null."""
     return F.nullif(F.regexp_replace(F.regexp_replace(F.lower(t), "[^a-z0-9]+", "-"), "^-+|-+$", ""), F.lit(""))
@@ -72,13 +83,63 @@ def latest_checkpoint(files: DataFrame, path: str = "path", prefix: str = "model
     return p.select("path", "p.*").orderBy(F.desc("step"), "path").limit(1)
 
 
-def metadata_errors(df: DataFrame) -> Column:
-    """Of checkpoint rows (step, tokens, sequences, cursor_step, cursor_tokens, stage)."""
-    rules = (
-        (F.col("step") < 0, "negative_step"),
-        (F.col("tokens") < 0, "negative_tokens"),
-        (~F.col("stage").isin("base_pretrain", "fim_train", "instruction_tune", "eval_only"), "invalid_stage"),
-        (F.col("step") != F.col("cursor_step"), "cursor_step_mismatch"),
-        (F.col("tokens") != F.col("cursor_tokens"), "cursor_tokens_mismatch"),
-    )
-    return F.array_compact(F.array(*(F.when(F.coalesce(c, F.lit(True)), F.lit(r)) for c, r in rules)))
+#: Fixed values of checkpoint metadata.
+BACKENDS = ("cpu", "cuda", "xla_tpu")
+STAGES = ("base_pretrain", "fim_train", "instruction_tune", "eval_only")
+SNAPSHOT = ("datasets_config_hash", "mixture_config_hash", "tokenizer_id", "prepacked_dataset_name", "prepacked_dataset_version", "prepacked_manifest_hash", "shard_manifest_hash", "token_dtype")
+IDENTITY = ("prepacked_dataset_name", "prepacked_dataset_version", "prepacked_manifest_hash", "shard_manifest_hash", "seq_len_plus_one", "token_dtype")
+
+
+def metadata_errors(df: DataFrame, *, sizes: tuple[str, ...] | None = None, trainers: tuple[str, ...] | None = None, platforms: tuple[str, ...] | None = None) -> Column:
+    """All that is wrong with checkpoint rows; rules whose columns aren't there don't apply.
+
+    Columns: step, tokens, sequences, stage; cursor_step, cursor_tokens, cursor_sequences, cursor_drop_last (null: no cursor);
+    backend, size, trainer, platform; the names of ``SNAPSHOT``, seq_len_plus_one, shard_file_list.
+    """
+    have = set(df.columns)
+    c = F.col
+    cursor = c("cursor_step").isNotNull() | (c("cursor_tokens").isNotNull() if "cursor_tokens" in have else F.lit(False)) if "cursor_step" in have else F.lit(False)
+    rules = [
+        ("step", c("step") < 0, "negative_step"),
+        ("tokens", c("tokens") < 0, "negative_tokens"),
+        ("sequences", c("sequences") < 0, "negative_sequences"),
+        ("stage", ~c("stage").isin(*STAGES), "invalid_stage"),
+        ("backend", ~c("backend").isin(*BACKENDS), "invalid_backend"),
+        ("size", ~c("size").isin(*(sizes or ())) if sizes else F.lit(False), "invalid_size"),
+        ("trainer", ~c("trainer").isin(*(trainers or ())) if trainers else F.lit(False), "invalid_trainer"),
+        ("platform", ~c("platform").isin(*(platforms or ())) if platforms else F.lit(False), "invalid_platform"),
+        ("cursor_step", cursor & (c("step") != c("cursor_step")), "cursor_step_mismatch"),
+        ("cursor_tokens", cursor & (c("tokens") != c("cursor_tokens")), "cursor_tokens_mismatch"),
+        ("cursor_sequences", cursor & (c("sequences") != c("cursor_sequences")), "cursor_sequences_mismatch"),
+        ("cursor_drop_last", cursor & ~c("cursor_drop_last"), "cursor_keeps_last"),
+        *((n, F.coalesce(c(n), F.lit("")) == "", f"snapshot_lacks_{n}") for n in SNAPSHOT),
+        ("seq_len_plus_one", c("seq_len_plus_one") <= 1, "snapshot_sequences_too_short"),
+        ("shard_file_list", F.size("shard_file_list") <= 0, "snapshot_without_shards"),
+    ]
+    if {"backend", "cursor_step"} <= have:
+        rules.append(("backend", (c("backend") == "xla_tpu") & ~cursor, "cursor_missing"))
+    return F.array_compact(F.array(*(F.when(F.coalesce(x, F.lit(True)), F.lit(r)) for n, x, r in rules if n in have)))
+
+
+def resume_errors(df: DataFrame, expected: dict, *, other_stage: bool = False, other_data: bool = False) -> Column:
+    """Why checkpoint rows can't be gone on from: another size, stage or prepacked dataset than expected (keys that are given)."""
+    rules = [(F.col("size") != expected["size"], "size_mismatch")] if "size" in expected else []
+    if "stage" in expected and not other_stage:
+        rules.append((F.col("stage") != expected["stage"], "stage_mismatch"))
+    if not other_data and set(IDENTITY) <= set(expected):
+        same = F.lit(True)
+        for n in IDENTITY:
+            same = same & F.col(n).eqNullSafe(F.lit(expected[n]))
+        rules.append((~same, "prepacked_dataset_mismatch"))
+    return F.array_compact(F.array(F.lit(None).cast("string"), *(F.when(F.coalesce(x, F.lit(True)), F.lit(r)) for x, r in rules)))
+
+
+def step_metrics(steps: DataFrame, order: str, *, within: list[str] | None = None) -> DataFrame:
+    """Adds step_time, tokens_per_second and sequences_per_second of each step, from ``seconds`` if there, else from the time
+    since the step before (``at``, seconds; the first step of a run has none and takes the floor of 1e-12)."""
+    if "seconds" in steps.columns:
+        spent = F.col("seconds").cast("double")
+    else:
+        spent = F.col("at") - F.lag("at").over(Window.partitionBy(*(within or [F.lit(0)])).orderBy(order))
+    floor = F.greatest(F.coalesce(spent, F.lit(0.0)), F.lit(1e-12))
+    return steps.withColumn("step_time", floor).withColumns({"tokens_per_second": F.col("tokens") / F.col("step_time"), "sequences_per_second": F.col("sequences") / F.col("step_time")})

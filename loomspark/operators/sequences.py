@@ -1,18 +1,20 @@
 """Tokens, fill-in-the-middle, packing into windows, batches.
 
 Windows have ``max_seq_len + 1`` ids. Continuous packing needs each example's offset only, which is a two-level running
-sum of lengths; slices of examples then meet by window. Atomic packing is a fold over lengths, in order, within a group.
+sum of lengths; slices of examples then meet by window. Atomic packing is an automaton over lengths whose state is the open
+window's fill: every range of examples becomes a map from fill to fill, the maps are composed, and each range runs from its
+own start (:func:`next_fit`), so the exact order-dependent result needs no single task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.operators.mixture import ranked, running
+from loomspark.operators.mixture import _ranges, ranked, running
+from loomspark.session import cut
 
 #: Marks around the parts of a text where the tokenizer has none of its own.
 FIM_PREFIX, FIM_SUFFIX, FIM_MIDDLE = "<FIM_PREFIX>", "<FIM_SUFFIX>", "<FIM_MIDDLE>"
@@ -88,37 +90,70 @@ def share(lengths: list[int], budget: int) -> list[int]:
     return kept
 
 
-def atomic(examples: DataFrame, group: str, order: str, tokens: str, max_seq_len: int, *, only_full: bool = False, marks: tuple[int, int, int] | None = None) -> DataFrame:
-    """Whole examples in windows, in order, within each group: group, window, token_ids, n_examples.
-
-    An example that doesn't fit the open window closes it; with ``only_full`` a window that isn't full is dropped. Groups
-    are packed apart, so they should be bounded, such as a shard's rows.
+def _ends(lengths: list[int], orders: list[int], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each fill a range may start from: the fill it ends with, and the order of the open window's first example (-1: from before)."""
+    fill, first = np.arange(size), np.full(size, -1, np.int64)
+    for n, o in zip(lengths, orders, strict=True):
+        new = fill + n
+        over = new > size
+        first = np.where(over | (fill == 0), o, first)
+        fill = np.where(over, n, new)
+        fill[fill == size] = 0
+    return fill, first
+
+
+def _places(lengths: list[int], orders: list[int], size: int, fill: int, first: int) -> tuple[list[int], list[int]]:
+    """Each example's window (the order of its first example) and offset, from a start."""
+    windows, offsets = [], []
+    for n, o in zip(lengths, orders, strict=True):
+        if fill == 0 or fill + n > size:
+            fill, first = 0, o
+        windows.append(first)
+        offsets.append(fill)
+        fill = 0 if fill + n == size else fill + n
+    return windows, offsets
+
+
+def next_fit(examples: DataFrame, order: str, length: Column, size: int) -> DataFrame:
+    """(order, window, offset, length) of examples put whole, in order, in windows of ``size``; one that doesn't fit opens the
+    next. Lengths over ``size`` count as ``size``, 0 drops out; a window is named by its first example's order (a long)."""
+    rows = examples.select(F.col(order).cast("long").alias("o"), F.least(length, F.lit(size)).cast("int").alias("n")).where("n > 0")
+    rows = cut(rows.withColumn("r", _ranges(rows, "o")), "lengths")
+
+    def ends(table: pa.Table) -> pa.Table:
+        t = table.sort_by("o")
+        fill, first = _ends(t.column("n").to_pylist(), t.column("o").to_pylist(), size)
+        return pa.table({"r": t.column("r").slice(0, 1), "fill": [fill.astype(np.int32).tobytes()], "first": [first.tobytes()]})
+
+    starts, fill, first = {}, 0, -1
+    for x in sorted(rows.groupBy("r").applyInArrow(ends, "r int, fill binary, first binary").collect(), key=lambda x: x["r"]):  # a row for each range
+        starts[x["r"]] = (fill, first)
+        new, own = np.frombuffer(x["fill"], np.int32)[fill], np.frombuffer(x["first"], np.int64)[fill]
+        fill, first = int(new), int(own) if own >= 0 else first
+
+    def places(table: pa.Table) -> pa.Table:
+        t = table.sort_by("o")
+        windows, offsets = _places(t.column("n").to_pylist(), t.column("o").to_pylist(), size, *starts[t.column("r")[0].as_py()])
+        return pa.table({"o": t.column("o"), "window": pa.array(windows, pa.int64()), "offset": pa.array(offsets, pa.int32()), "n": t.column("n")})
+
+    out = rows.groupBy("r").applyInArrow(places, "o long, window long, offset int, n int")
+    return out.select(F.col("o").alias(order), "window", "offset", F.col("n").alias("length"))
+
+
+def atomic(examples: DataFrame, order: str, tokens: str, max_seq_len: int, *, only_full: bool = False, marks: tuple[int, int, int] | None = None) -> DataFrame:
+    """Whole examples in windows, in order: window (from 0), token_ids, n_examples.
+
+    An example that doesn't fit the open window closes it; longer ones are cut (about their three ``marks``, if given); with
+    ``only_full`` a window that isn't full is dropped. ``order``: longs from 0 without ties.
     """
     size = max_seq_len + 1
-
-    def pack(key: tuple, pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        done: list[tuple[list[int], int]] = []
-        held: list[int] = []
-        n = 0
-        for ids in pdf.sort_values(order)[tokens]:
-            ids = truncate([int(x) for x in ids], size, marks)
-            if held and len(held) + len(ids) > size:
-                done.append((held, n))
-                held, n = [], 0
-            if len(ids) == size:
-                done.append((ids, 1))
-                continue
-            held, n = held + ids, n + 1
-            if len(held) == size:
-                done.append((held, n))
-                held, n = [], 0
-        if held:
-            done.append((held, n))
-        keep = [x for x in done if not only_full or len(x[0]) == size]
-        return pd.DataFrame({group: [key[0]] * len(keep), "window": range(len(keep)), "token_ids": [x[0] for x in keep], "n_examples": [x[1] for x in keep]})
-
-    kind = examples.schema[group].dataType.simpleString()
-    return examples.select(group, order, tokens).groupBy(group).applyInPandas(pack, f"{group} {kind}, window int, token_ids array<int>, n_examples int")
+    short = F.slice(tokens, 1, size) if marks is None else F.udf(lambda ids: truncate(list(ids or []), size, marks), "array<int>", useArrow=True)(tokens)
+    placed = next_fit(examples, order, F.size(tokens), size)
+    joined = examples.select(order, short.alias("part")).join(placed, order)
+    whole = joined.groupBy("window").agg(F.array_sort(F.collect_list(F.struct("offset", "part"))).alias("parts"))  # at most ``size`` ids
+    out = whole.select(F.col("window").alias("first"), F.flatten(F.transform("parts", lambda p: p["part"])).alias("token_ids"), F.size("parts").alias("n_examples"))
+    out = out.where(F.size("token_ids") == size) if only_full else out
+    return ranked(out, [], "first", "window").withColumn("window", F.col("window") - 1).drop("first")
 
 
 def requires_atomic(kind: Column, task: Column, stage: Column, fim: Column) -> Column:

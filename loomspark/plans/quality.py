@@ -69,20 +69,20 @@ _STATUS = "CASE tier WHEN 'RESCUE' THEN 'rescued' WHEN 'C' THEN 'rejected' ELSE
 
 def q_text_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = filters.prepare(_docs(spark, sf_dir).select("doc_id", "text"))
-    lines, solid, s = F.col("_lines"), F.col("_solid"), F.col("_stats")
-    return df.select("doc_id", filters.is_binary(F.col("text")).alias("is_binary"), filters.is_dependency_dump(F.col("text"), lines).alias("is_dump"), filters.is_minified(F.col("text"), lines).alias("is_minified"), filters.is_license(solid).alias("is_license"), filters.is_char_spam(s).alias("is_spam"), filters.is_low_entropy(s).alias("is_flat"), filters.is_line_spam(solid).alias("is_lines"), filters.is_dangerous(F.col("text")).alias("is_dangerous"), filters.has_code_signal(F.col("text")).alias("has_signal"), tx.estimated_tokens(F.col("text")).alias("tokens"))
+    nl, s = F.col("_nl"), F.col("_stats")
+    return df.select("doc_id", filters.is_binary(F.col("text")).alias("is_binary"), filters.is_dependency_dump(F.col("text"), nl).alias("is_dump"), filters.is_minified(F.col("text"), nl).alias("is_minified"), filters.is_license(nl, s).alias("is_license"), filters.is_char_spam(s).alias("is_spam"), filters.is_low_entropy(s).alias("is_flat"), filters.is_line_spam(s).alias("is_lines"), filters.is_dangerous(F.col("text")).alias("is_dangerous"), filters.has_code_signal(F.col("text")).alias("has_signal"), tx.estimated_tokens(F.col("text")).alias("tokens"))
 
 
 def q_page_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h, lines = F.col("html"), F.col("_lines")
-    return read(spark, sf_dir, "pages").withColumn("_lines", tx.lines("html")).select("page_id", filters.is_minified(h, lines).alias("is_minified"), filters.has_unbroken_line(lines, 200).alias("has_unbroken"), F.size(lines).cast("long").alias("n_lines"))
+    h, nl = F.col("html"), F.col("_nl")
+    return read(spark, sf_dir, "pages").withColumn("_nl", tx.newlines("html")).select("page_id", filters.is_minified(h, nl).alias("is_minified"), filters.has_unbroken_line(nl, 200).alias("has_unbroken"), tx.n_lines(nl).cast("long").alias("n_lines"))
 
 
 def q_code_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = code(spark, sf_dir)
     t = F.col("text")
     head = filters.without_header(t)
-    return c.select("id", filters.is_dependency_dump(t, tx.lines(t), F.col("path")).alias("is_dump"), filters.is_dangerous(t).alias("is_dangerous"), filters.has_code_signal(t).alias("has_signal"), tx.has_any(F.lower(t), filters.DEBUG_WORDS).alias("is_debug"), tx.hits(F.lower(t), filters.CS_TERMS).cast("long").alias("cs_terms"), head["stripped"].alias("stripped"), head["text"].alias("rest"))
+    return c.select("id", filters.is_dependency_dump(t, tx.newlines(t), F.col("path")).alias("is_dump"), filters.is_dangerous(t).alias("is_dangerous"), filters.has_code_signal(t).alias("has_signal"), tx.has_any(F.lower(t), filters.DEBUG_WORDS).alias("is_debug"), tx.hits(F.lower(t), filters.CS_TERMS).cast("long").alias("cs_terms"), head["stripped"].alias("stripped"), head["text"].alias("rest"))
 
 
 _HEAD = f"list_position(list_transform({sql_lines('text')}, lambda l: NOT regexp_matches({sql_strip('l')}, '^($|#|\"\"\"|'''''')')), true)"
@@ -131,7 +131,19 @@ def _sh(table: str, key: str, keep: str) -> str:
 
 
 QUERIES = {f.__name__: f for f in (q_quality_tiers, q_trash_reasons, q_text_facts, q_page_facts, q_code_filters, q_source_filters, q_code_decisions, q_code_chunks, q_exact_dedupe, q_dedupe_per_source, q_benchmark_overlap, q_shingle_counts)}
+#: Source code's decisions, with what a syntax tree says given by each row's kind of text.
+_CODE_DECIDED = f"""h0 AS (SELECT *, coalesce({_HEAD}, len({sql_lines('text')}) + 1) - 1 AS first FROM code),
+src AS (SELECT * REPLACE (CASE WHEN source = 'stack_v2_python' AND first > 40 THEN regexp_replace(array_to_string({sql_lines('text')}[first + 1:], chr(10)), '^{tx.SQL_WS}+', '') ELSE text END AS text), source = 'stack_v2_python' AND first > 40 AS header_stripped FROM h0), {_FACTS},
+g AS (SELECT *, {sql_hits("lower(text)", filters.CS_TERMS)} AS cs, {sql_any("lower(text)", filters.DEBUG_WORDS)} AS is_debug, list_contains(['{"', '".join(filters.LOCKFILES)}'], string_split(replace(path, '\\', '/'), '/')[-1]) AS is_lock, id % 8 IN (0, 1, 4, 7) AS valid, id % 8 IN (0, 7) AS compact, lower({sql_strip("regexp_replace(docstring, '[^0-9A-Za-z_]+', ' ', 'g')")}) AS plain, length(docstring) / greatest(1, length(text) - length(docstring)) AS density FROM f),
+t AS (SELECT * REPLACE (is_dump OR is_lock AS is_dump), false AS dup FROM g), u AS (SELECT *, {_RULES} AS trash FROM t),
+v AS (SELECT *, CASE source WHEN 'stack_v2_python' THEN CASE WHEN NOT valid THEN 'C:invalid_python_for_base_pretrain' WHEN compact THEN 'A:valid_python_compact_utility_function' ELSE 'B:valid_python' END
+  WHEN 'codesearchnet_python' THEN CASE WHEN NOT valid THEN 'C:invalid_python_docstring_code_pair' WHEN len(string_split(plain, ' ')) < 3 THEN 'C:empty_or_useless_docstring' WHEN density > 2 THEN 'B:docstring_heavy_but_valid' ELSE 'A:dense_docstring_code_pair' END
+  WHEN 'debugbench' THEN CASE WHEN is_debug THEN 'A:debugging_case_preserve_broken_code' ELSE 'B:debugbench_case_without_explicit_trace' END
+  WHEN 'synthetic' THEN CASE WHEN has_signal THEN 'B:synthetic_programming_example_pending_phase11_validation' ELSE 'B:synthetic_example_pending_phase11_validation' END
+  ELSE CASE WHEN cs >= 2 AND has_signal THEN 'A:cs_programming_educational_text' WHEN cs >= 1 THEN 'B:possibly_relevant_educational_text' ELSE 'C:non_cs_or_non_educational_text' END END AS rule FROM u)"""
 ORACLE_SQL = {
+    "q_code_decisions": f"WITH {CODE_SQL}, {_CODE_DECIDED} SELECT id, source, CASE WHEN trash IS NOT NULL THEN 'C' ELSE split_part(rule, ':', 1) END AS tier, coalesce(trash, split_part(rule, ':', 2)) AS reason, header_stripped FROM v",
+    "q_code_chunks": f"WITH {CODE_SQL}, b AS (SELECT id, text, id % 8 AS m, substr(text, instr(text, 'def f_')) AS d FROM code), c AS (SELECT id, 0 AS chunk, CASE m WHEN 0 THEN rtrim(d, chr(10)) WHEN 7 THEN substr(d, 1, instr(d, chr(10) || chr(10) || chr(10)) - 1) ELSE text END AS chunk_text FROM b UNION ALL SELECT id, 1, concat('class C:', chr(10), '    def g(self):', chr(10), '        return self.x') FROM b WHERE m = 7) SELECT * FROM c",
     "q_quality_tiers": f"WITH {_DECIDED} SELECT source, tier, reason, count(*) AS n, CAST(sum(tokens) AS BIGINT) AS tokens, round(avg({_WEIGHT}), 6) AS mean_weight FROM d GROUP BY source, tier, reason",
     "q_trash_reasons": f"WITH {_DECIDED} SELECT doc_id, tier, reason, tier IN ('A', 'B') AS accepted, {_STATUS} AS status, {_WEIGHT} AS loss_weight FROM d",
     "q_text_facts": f"WITH src AS (SELECT doc_id, text FROM documents), {_FACTS} SELECT doc_id, is_binary, is_dump, is_minified, is_license, is_spam, is_flat, is_lines, is_dangerous, has_signal, tokens FROM f",

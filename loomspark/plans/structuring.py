@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspark.functions.text import sql_any, sql_hits, sql_lines, sql_quote, sql_solid, sql_squeeze, sql_strip
-from loomspark.operators import candidates, dedupe, filters, records, runs, validation
+from loomspark.operators import candidates, dedupe, evaluation, filters, mixture, ordered, records, runs, structuring, validation
 from loomspark.plans.quality import _FACTS
 from loomspark.plans.samples import CODE_SQL, code, read
+from loomspark.session import shared_dir
+from loomspark.sources import engine, rows
+from loomspark.sources.config import Run
 
 
 def q_candidate_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +32,107 @@ def q_candidate_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_candidate_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return candidates.scored(code(spark, sf_dir)).select("id", "source", "rejected", "score", "tier", "accepted", "stage", "loss_weight", F.array_join("tasks", ",").alias("tasks"))
+    return candidates.scored(code(spark, sf_dir)).select("id", "source", "rejected", "score", "tier", "accepted", "stage", "loss_weight", "reason", F.array_join("tasks", ",").alias("tasks"))
+
+
+def q_candidate_router(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routing under caps by source, task and in all, one row after the other, with the candidates' ids."""
+    out = ordered.routed(candidates.scored(code(spark, sf_dir)), "id", per_source={"debugbench": 40}, per_task={"debugging": 60}, task_mix={"tests": 0.2, "comments": 0.1}, most=400)
+    return out.select("id", "source", "task_type", "ordinal", "candidate_id")
+
+
+def q_exact_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one-row-at-a-time sampler over documents, with tiers drawn in the same stream."""
+    d = read(spark, sf_dir, "documents").select("doc_id", "source", F.when(F.col("doc_id") % 3 == 0, "B").otherwise("A").alias("tier"))
+    return ordered.mixed(d, {"src0": 0.5, "src1": 0.3, "src2": 0.2}, "doc_id", seed=7, rates={"B": 0.5}, tier="tier")
+
+
+def q_rolling_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordered.rolling_shuffle(read(spark, sf_dir, "documents").select("doc_id"), "doc_id", 100, seed=3)
+
+
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = code(spark, sf_dir)
+    task = F.element_at(F.array(*map(F.lit, ("debugging", "tests", "refactor", "explanation"))), (F.col("id") % 4 + 1).cast("int"))
+    return c.select(F.col("id").cast("string").alias("candidate_id"), "source", task.alias("task_type"), "text", F.when(F.col("id") % 3 == 0, "A").otherwise("C").alias("tier"), (F.col("id") % 100 / 100.0).alias("score"), F.sha2("text", 256).alias("input_hash"), F.col("id").alias("ord"))
+
+
+def q_mock_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests, the stand-in's replies and their normal form."""
+    asked = structuring.prompts(_candidates(spark, sf_dir))
+    df = structuring.normalized(asked.withColumn("reply", F.when(F.col("ord") % 10 == 9, F.lit("[1]")).otherwise(structuring.mock_reply(asked))), provider="mock", model="mock", time="2024-01-01T00:00:00Z")
+    return df.select("ord", F.array_join("blocked", ",").alias("blocked"), "error", "user_prompt", F.length("assistant_response").cast("long").alias("answer"), "train_stage", "loss_weight", "record_type", "difficulty", F.array_join("skills", ",").alias("skills"), F.array_join(validation.reply_errors(df, strict=True), ";").alias("errors"))
+
+
+def q_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _candidates(spark, sf_dir)
+    return df.select("ord", structuring.curriculum(df).alias("c")).select("ord", "c.difficulty", F.array_join("c.skills", ",").alias("skills"), "c.train_stage", "c.loss_weight", "c.quality_tier")
+
+
+def q_structuring_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that stops at its limit, and its continuation: requests are made once, states and records are appended."""
+    folder = f"{shared_dir(spark)}/loomspark/run-{uuid.uuid4().hex}"
+    c = Run(run_id="r", output_dir=folder, max_requests_per_run=70)
+    out = []
+    for k in range(2):
+        got = engine.run(spark, _candidates(spark, sf_dir), c)
+        out.append((k, got["planned"], got["completed"] + got["failed"], got["total_requests"]))
+    return spark.createDataFrame(out, "run int, planned long, tried long, total long")
+
+
+def q_tier_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read(spark, sf_dir, "orders")
+    t = filters.tier_from_signal(F.col("o_orderstatus") == "F", F.col("o_orderkey") % 5 == 0, F.col("o_totalprice") > 200_000, F.col("o_custkey") % 2 == 0)
+    return o.select(t.alias("tier")).groupBy("tier").agg(F.count("*").alias("n"))
+
+
+def q_json_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as JSON lines with faults, read back: each line's number and what is wrong with it."""
+    c = mixture.ranked(read(spark, sf_dir, "conversations").withColumn("at", F.col("conv_id") * 1000 + F.col("turn")), [], "at", "k")
+    k = F.col("k")
+    line = F.when(k % 5 == 0, '{"text": ').when(k % 7 == 0, "[1]").when(k % 11 == 0, " ").when(k % 13 == 0, '{"text": " "}').otherwise(F.to_json(F.struct(F.concat(F.lit("t "), "text").alias("text"), F.col("role").alias("source"))))
+    folder = f"{shared_dir(spark)}/loomspark/lines-{uuid.uuid4().hex}"
+    c.select("at", line.alias("value")).repartition(1).sortWithinPartitions("at").select("value").write.text(folder)  # one file, so lines have numbers
+    return rows.json_examples(spark, folder).select("line", "error", "source", F.sha2("text", 256).alias("h"))
+
+
+def q_record_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records as JSON, some of them no records; all reasons of the others."""
+    r = _records(spark, sf_dir)
+    m = F.col("ord") % 17
+    names = ("synthetic_id", "source", "task_type", "difficulty", "assistant_response", "train_stage")
+    one = {n: F.col(n) for n in names} | {"record_type": F.lit("structured"), "teacher_provider": F.lit("p"), "teacher_model": F.lit("m"), "generation_time": F.lit("now"), "input_hash": F.lit("i"), "output_hash": F.lit("o")}
+    parts = [v.alias(n) for n, v in one.items()]
+    full = F.struct(*parts, "user_prompt", "skills", "loss_weight", "candidate_id")
+    payload = (
+        F.when(m == 0, F.to_json(F.struct(*parts, "user_prompt", "loss_weight")))
+        .when(m == 1, F.to_json(F.struct(*parts, "user_prompt", "loss_weight", F.lit("x").alias("skills"))))
+        .when(m == 2, F.to_json(F.struct(*parts, "loss_weight", "skills", F.lit("  ").alias("user_prompt"))))
+        .when(m == 3, F.to_json(F.struct(*parts, "user_prompt", "skills", F.lit("much").alias("loss_weight"))))
+        .when(m == 4, F.to_json(F.struct(*parts, "user_prompt", "skills", "loss_weight", F.lit(5).alias("candidate_id"))))
+        .when(m == 5, F.lit("[2]"))
+        .otherwise(F.to_json(full))
+    )
+    return validation.validated(r.select("ord", payload.alias("payload")), "payload", near=False).select("ord", "valid", F.array_join("reasons", ",").alias("reasons"), F.col("record.difficulty").alias("difficulty"))
+
+
+def q_record_full_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = _checked(spark, sf_dir).withColumn("reasons", F.array_intersect("reasons", F.array(F.lit("missing_candidate_id"), F.lit("invalid_loss_weight"))))
+    key = validation.duplicate_key(F.col("candidate_id"), F.col("synthetic_id"), F.lit("t"), F.lit("p"), F.lit("same"), F.col("assistant_response"))
+    d = dedupe.mark_duplicates(r.withColumn("key", key), ["key"], "ord", among=F.size("reasons") == 0)
+    return validation.full_report(d.withColumn("duplicate", F.col("duplicate_of").isNotNull()), ["source", "task_type", "difficulty", "train_stage"])
+
+
+def q_resume_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read(spark, sf_dir, "orders")
+    df = o.select(F.when(F.col("o_custkey") % 2 == 0, "354m").otherwise("420m").alias("size"), F.when(F.col("o_orderstatus") == "F", "fim_train").otherwise("base_pretrain").alias("stage"), *(F.lit("x").alias(n) for n in runs.IDENTITY if n not in ("seq_len_plus_one", "prepacked_dataset_version")), F.lit(1025).alias("seq_len_plus_one"), F.col("o_orderpriority").alias("prepacked_dataset_version"))
+    want = {n: "x" for n in runs.IDENTITY} | {"seq_len_plus_one": 1025, "prepacked_dataset_version": "5-LOW", "size": "354m", "stage": "base_pretrain"}
+    return df.withColumn("errors", F.array_join(runs.resume_errors(df, want), ",")).groupBy("errors").agg(F.count("*").alias("n"))
+
+
+def q_unified_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read(spark, sf_dir, "events").select(F.col("user_id").alias("prompt_id"), F.when(F.col("event_id") % 2 == 0, F.col("event_type")).alias("generated"), F.col("props").alias("output"))
+    return evaluation.unified(e).groupBy("prompt_id").agg(F.max("generated").alias("greatest"))
 
 
 def q_candidate_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,7 +291,30 @@ chk AS (SELECT *, {_when(("candidate_id IS NULL", "missing_candidate_id"), ("no_
 _GOOD = "ok AS (SELECT * FROM chk WHERE len(list_filter(reasons, lambda z: z NOT IN ('invalid_task_type', 'invalid_difficulty', 'invalid_train_stage', 'missing_skills'))) = 0)"
 _NAME = "concat('model_354M_step', lpad(CAST(s_suppkey % 40 * 100 AS VARCHAR), 8, '0'), '_loss', printf('%.3f', floor(abs(s_acctbal)) / 1000), '_stage_fim_train_train_cpu_2024-05-01_box_', s_nationkey, '.pt')"
 _FILES = f"fl AS (SELECT concat('/runs/', CASE WHEN s_suppkey % 9 = 0 THEN 'x_' ELSE '' END, {_NAME}) AS path, s_suppkey % 9 = 0 AS bad, CAST(s_suppkey % 40 * 100 AS INT) AS step, CAST(printf('%.3f', floor(abs(s_acctbal)) / 1000) AS DOUBLE) AS loss, 'box_' || s_nationkey AS platform FROM supplier)"
+_SCORED = f"""{_F.replace("src AS (SELECT * FROM code)", "src AS (SELECT * REPLACE (" + sql_strip("text") + " AS text) FROM code)")},
+h AS (SELECT *, id % 8 IN (0, 1, 4, 7) AS valid, id % 8 IN (0, 7) AS defines, length(text) / 4 <= 79 AND NOT debug AND id % 8 NOT IN (0, 7) AS short FROM g),
+k AS (SELECT *, CASE WHEN why IS NULL THEN greatest(0::DOUBLE, least(1::DOUBLE, round({_POINTS.replace("CASE WHEN quotes THEN 0.08", "CASE WHEN true THEN 0.08")} - CASE WHEN short THEN 0.18::DOUBLE ELSE 0 END, 3))) ELSE 0::DOUBLE END AS points FROM h),
+l AS (SELECT *, why IS NULL AND points >= 0.7 AS accepted, CASE WHEN points >= 0.85 THEN 'A' WHEN points >= 0.7 THEN 'B' ELSE 'C' END AS grade FROM k),
+m AS (SELECT *, CASE WHEN why IS NOT NULL THEN NULL WHEN source = 'debugbench' OR debug THEN 'debugging,tests,explanation' WHEN source = 'codesearchnet_python' THEN 'explanation,comments,tests' WHEN messy THEN 'refactor,code_writing,comments' WHEN edges >= 2 OR tests THEN 'tests,code_writing,explanation'
+ WHEN source = 'stack_v2_python' THEN 'code_writing,comments,tests' ELSE 'code_writing,explanation,comments' END AS tasks,
+ concat_ws(',', 'source=' || source, CASE WHEN defines THEN 'function_or_class' END, CASE WHEN defines THEN 'compact_function' END, 'docstring', CASE WHEN debug THEN 'debug_signal' END, CASE WHEN tests THEN 'tests_signal' END, CASE WHEN messy THEN 'messy' END, CASE WHEN short THEN 'too_short_without_python_signal' END) AS parts FROM l)"""
+_CAND = "cd AS (SELECT *, ['debugging', 'tests', 'refactor', 'explanation'][id % 4 + 1] AS task, CASE WHEN id % 3 = 0 THEN 'A' ELSE 'C' END AS tier, id % 100 / 100.0 AS sc FROM code)"
+_DIFF = f"CASE WHEN len({sql_solid('text')}) >= 35 OR {sql_hits('text', candidates.COMPLEX_MARKERS)} >= 3 OR sc >= 0.95 THEN 'advanced' WHEN len({sql_solid('text')}) >= 12 OR {sql_hits('text', candidates.COMPLEX_MARKERS)} >= 1 THEN 'intermediate' ELSE 'beginner' END"
+_KINDS = f"sk AS (SELECT *, {_SKILL_SQL} AS k0 FROM cd), s2 AS (SELECT *, list_concat(k0, CASE WHEN task = 'tests' AND NOT list_contains(k0, 'tests') THEN ['tests'] WHEN task = 'debugging' AND NOT list_contains(k0, 'errors') THEN ['errors'] ELSE [] END) AS k1 FROM sk), s3 AS (SELECT *, CASE WHEN len(k1) = 0 THEN 'python' ELSE array_to_string(k1, ',') END AS skills FROM s2)"
+_ASK = "CASE task " + " ".join(f"WHEN '{t}' THEN {sql_quote(structuring.MOCK[t][0])}" for t in ("debugging", "tests", "refactor", "explanation")) + " END"
+_ANSWER = "CASE task " + " ".join(f"WHEN '{t}' THEN {sql_quote(structuring.MOCK[t][1])}" for t in ("debugging", "tests", "refactor", "explanation")) + " END"
 ORACLE_SQL = {
+    "q_candidate_scores": f"WITH {CODE_SQL}, {_SCORED} SELECT id, source, why AS rejected, points AS score, CASE WHEN accepted THEN grade ELSE 'C' END AS tier, accepted, CASE WHEN accepted AND starts_with(tasks, 'code_writing') THEN 'teacher_structuring' ELSE 'instruction_tune' END AS stage, CASE WHEN NOT accepted THEN 0::DOUBLE WHEN grade = 'A' THEN 1::DOUBLE ELSE round_even(greatest(0.45::DOUBLE, least(0.85::DOUBLE, points)), 2) END AS loss_weight, CASE WHEN why IS NOT NULL THEN why WHEN accepted THEN parts ELSE 'below_min_score:' || parts END AS reason, tasks FROM m",
+    "q_candidate_routing": f"WITH {CODE_SQL}, {_SCORED}, r AS (SELECT source, split_part(tasks, ',', 1) AS task, row_number() OVER (PARTITION BY source ORDER BY id) AS k FROM m WHERE accepted) SELECT source, task, count(*) AS n FROM r WHERE k <= 50 GROUP BY source, task",
+    "q_curriculum": f"WITH {CODE_SQL}, {_CAND}, {_KINDS} SELECT id AS ord, {_DIFF} AS difficulty, skills, 'instruction_tune' AS train_stage, CASE WHEN tier = 'A' THEN 1.5::DOUBLE ELSE 0.5::DOUBLE END AS loss_weight, tier AS quality_tier FROM s3",
+    "q_mock_replies": f"WITH {CODE_SQL}, {_CAND}, {_KINDS}, z AS (SELECT *, id % 10 = 9 AS bad, {_ANSWER} AS answer FROM s3) SELECT id AS ord, CASE WHEN bad THEN '' ELSE 'task_type' END AS blocked, CASE WHEN bad THEN 'JSON response must be an object' END AS error, CASE WHEN bad THEN '' ELSE {sql_strip("concat(" + _ASK + ", chr(10), chr(10), substr(" + sql_strip('text') + ", 1, 1200))")} END AS user_prompt, CASE WHEN bad THEN 0 ELSE length(answer) END AS answer, 'instruction_tune' AS train_stage, CASE WHEN tier = 'A' THEN 1.5::DOUBLE ELSE 0.5::DOUBLE END AS loss_weight, 'structured' AS record_type, {_DIFF} AS difficulty, skills, CASE WHEN bad THEN 'empty user_prompt;empty assistant_response;assistant_response too short' || CASE WHEN {sql_any("lower(replace(skills, ',', ' '))", validation.REPLY_PYTHON)} THEN '' ELSE ';not Python-related' END ELSE '' END AS errors FROM z",
+    "q_structuring_run": "WITH n AS (SELECT CAST(count(*) AS BIGINT) AS n FROM part) SELECT 0 AS run, least(n, 70) AS planned, least(n, 70) AS tried, least(n, 70) AS total FROM n UNION ALL SELECT 1, least(n - 70, 70), least(n, 140), least(n, 140) FROM n",
+    "q_tier_signals": "SELECT CASE WHEN o_orderstatus = 'F' THEN 'C' WHEN o_orderkey % 5 = 0 THEN 'RESCUE' WHEN o_totalprice > 200000 THEN 'A' WHEN o_custkey % 2 = 0 THEN 'B' ELSE 'C' END AS tier, count(*) AS n FROM orders GROUP BY 1",
+    "q_json_examples": "WITH c AS (SELECT *, row_number() OVER (ORDER BY conv_id * 1000 + turn) AS k FROM conversations) SELECT k AS line, CASE WHEN k % 5 = 0 THEN 'line ' || k || ': malformed JSON: Expecting value' WHEN k % 7 = 0 THEN 'line ' || k || ': expected JSON object' WHEN k % 13 = 0 THEN 'line ' || k || ': missing text' END AS error, CASE WHEN k % 5 = 0 OR k % 7 = 0 OR k % 13 = 0 THEN 'synthetic' ELSE role END AS source, CASE WHEN k % 5 > 0 AND k % 7 > 0 AND k % 13 > 0 THEN sha256('t ' || text) END AS h FROM c WHERE k % 5 = 0 OR k % 7 = 0 OR k % 11 > 0",
+    "q_record_schema": f"WITH {_REC}, e AS (SELECT ord, difficulty, reasons, CASE ord % 17 WHEN 0 THEN 'missing required field: skills' WHEN 1 THEN 'skills must be a list' WHEN 2 THEN 'user_prompt must be a non-empty string' WHEN 3 THEN 'loss_weight must be a number' WHEN 4 THEN 'candidate_id must be a string when present' WHEN 5 THEN 'malformed_json:expected_object' END AS e FROM chk) SELECT ord, e IS NULL AND len(reasons) = 0 AS valid, coalesce(e, array_to_string(reasons, ',')) AS reasons, CASE WHEN e IS NULL AND len(reasons) = 0 THEN difficulty END AS difficulty FROM e",
+    "q_record_full_report": f"WITH {_REC}, v AS (SELECT *, list_filter(reasons, lambda z: z IN ('missing_candidate_id', 'invalid_loss_weight')) AS why FROM chk), w AS (SELECT *, len(why) = 0 AS ok, min(CASE WHEN len(why) = 0 THEN ord END) OVER (PARTITION BY coalesce(candidate_id, synthetic_id)) AS first FROM v), x AS (SELECT *, ok AND first < ord AS dup FROM w), tt AS (SELECT count(*) AS n, count(*) FILTER (ok) AS g, count(*) FILTER (dup) AS d, coalesce(round(avg(loss_weight) FILTER (ok), 9), 0::DOUBLE) AS a FROM x) SELECT 'total' AS section, '' AS value, n, NULL::DOUBLE AS mean_weight FROM tt UNION ALL SELECT 'valid', '', greatest(g - d, 0), NULL FROM tt UNION ALL SELECT 'rejected', '', n - g, NULL FROM tt UNION ALL SELECT 'duplicates', '', d, NULL FROM tt UNION ALL SELECT 'average', '', g, a FROM tt UNION ALL SELECT 'by source', source, count(*), NULL FROM x WHERE ok GROUP BY source UNION ALL SELECT 'by task_type', task_type, count(*), NULL FROM x WHERE ok GROUP BY task_type UNION ALL SELECT 'by difficulty', difficulty, count(*), NULL FROM x WHERE ok GROUP BY difficulty UNION ALL SELECT 'by train_stage', train_stage, count(*), NULL FROM x WHERE ok GROUP BY train_stage UNION ALL SELECT 'reason', r, count(*), NULL FROM (SELECT unnest(why) AS r FROM x UNION ALL SELECT 'duplicate_candidate_task_provider_output' FROM x WHERE dup) GROUP BY r",
+    "q_resume_errors": "SELECT concat_ws(',', CASE WHEN o_custkey % 2 = 1 THEN 'size_mismatch' END, CASE WHEN o_orderstatus = 'F' THEN 'stage_mismatch' END, CASE WHEN o_orderpriority <> '5-LOW' THEN 'prepacked_dataset_mismatch' END) AS errors, count(*) AS n FROM orders GROUP BY 1",
+    "q_unified_results": "SELECT user_id AS prompt_id, max(CASE WHEN event_id % 2 = 0 THEN event_type ELSE props END) AS greatest FROM events GROUP BY user_id",
     "q_candidate_features": f"WITH {CODE_SQL}, {_F} SELECT id, why, quotes::INT AS quotes, comments::INT AS comments, debug::INT AS debug, tests::INT AS tests, edges::INT AS edges, messy::INT AS messy, trivial::INT AS trivial, n_lines::INT AS n_lines FROM g",
     "q_candidate_tasks": f"""WITH {CODE_SQL}, {_F}, h AS (SELECT *, id % 8 IN (0, 1, 7) AS valid, id % 8 IN (0, 7) AS defines FROM g), k AS (SELECT *, {_POINTS} AS points FROM h), l AS (SELECT *, CASE WHEN id % 50 = 0 THEN 'RESCUE' WHEN points >= 0.85 THEN 'A' WHEN points >= 0.7 THEN 'B' ELSE 'C' END AS tier FROM k)
 SELECT id, CASE WHEN source = 'debugbench' OR debug THEN 'debugging,tests,explanation' WHEN source = 'codesearchnet_python' AND quotes THEN 'explanation,comments,tests' WHEN messy THEN 'refactor,code_writing,comments' WHEN edges >= 2 OR tests THEN 'tests,code_writing,explanation'

@@ -1,80 +1,16 @@
-"""Readers and writers: JSON lines with an error branch, example and candidate shards, prompts, token shards with manifests.
+"""Tables of sequences as Parquet: shuffled shards by split with a manifest and its verification, examples as JSON lines.
 
 Paths may be of any store Spark reads; nothing here opens files by itself but :func:`export_npy`.
 """
 
 from __future__ import annotations
 
-import json
 import re
-from collections.abc import Mapping
-from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from loomspark.functions import text as tx
-
-
-@dataclass(frozen=True)
-class Source:
-    """A configured source; keys it doesn't know stay in ``extra``."""
-
-    name: str
-    dataset_id: str | None = None
-    subset: str | None = None
-    split: str = "train"
-    streaming: bool = True
-    extractor: str | None = None
-    local_path: str | None = None
-    gated: bool = False
-    extra: Mapping[str, object] = field(default_factory=dict)
-
-
-def source_configs(text: str) -> dict[str, Source]:
-    """Sources of a JSON object {name: settings}; the extractor is named like the source unless it says otherwise."""
-    known = set(Source.__dataclass_fields__) - {"name", "extra"}
-    out = {}
-    for name, given in json.loads(text).items():
-        own = {k: v for k, v in (given or {}).items() if k in known}
-        own.setdefault("extractor", name)
-        out[name] = Source(name=name, extra={k: v for k, v in (given or {}).items() if k not in known}, **own)
-    return out
-
-
-def json_lines(spark: SparkSession, path: str | list[str], schema: str | T.StructType) -> DataFrame:
-    """record, line and error of every line that isn't blank: malformed lines are rows with an error, never exceptions.
-
-    ``line`` is the line's offset order within its file's splits (file, then position), not a number: numbering lines
-    would need the counts of all splits before.
-    """
-    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    full = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    raw = spark.read.text(path).select(F.col("value"), F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line")).where(tx.strip("value") != "")
-    parsed = raw.withColumn("record", F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
-    error = F.when(~F.startswith(tx.strip("value"), F.lit("{")), "malformed_json:expected_object").when(F.col("record").isNull() | F.col("record._corrupt_record").isNotNull(), "malformed_json")
-    return parsed.select("file", "line", error.alias("error"), F.when(error.isNull(), F.col("record").dropFields("_corrupt_record")).alias("record"))
-
-
-def examples(lines: DataFrame) -> DataFrame:
-    """The records of lines without error."""
-    return lines.where("error is null").select("record.*")
-
-
-def candidate_shards(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """All ``*_candidates.jsonl`` files below a folder, plain or gzipped."""
-    return spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*_candidates.jsonl*").json(path)
-
-
-def prompts(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Evaluation prompts; an id that comes twice, or an empty set, is an error when the rows are read."""
-    df = spark.read.schema("prompt_id string, prompt string, category string, notes string").json(paths)
-    times = F.count("*").over(Window.partitionBy("prompt_id"))
-    checked = F.when(times > 1, F.raise_error(F.concat(F.lit("duplicate prompt_id: "), "prompt_id"))).otherwise(F.col("prompt_id"))
-    return df.withColumn("prompt_id", F.coalesce(checked, F.raise_error(F.lit("prompt without prompt_id")).cast("string")))
-
 
 def write_examples(df: DataFrame, path: str, *, rows_per_file: int = 50_000, by: list[str] | None = None, overwrite: bool = False) -> None:
     """JSON lines in files of bounded length; an existing folder is an error unless told otherwise."""

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from loomspark.functions import text as tx
-from loomspark.operators import candidates, dedupe, filters, mixture, records, runs, sequences, splits, validation
+from loomspark.operators import candidates, dedupe, filters, mixture, ordered, records, runs, sequences, splits, validation
 
 
 def decide(spark, rows):
@@ -105,12 +105,44 @@ def test_splits_are_pure(spark):
             bad()
 
 
-def test_mixture_order():
-    got = Counter(s for s, _ in mixture.exact_order(["a"] * 10 + ["b"] * 10, {"a": 0.75, "b": 0.25}, 7)[:8])
-    assert got == {"a": 6, "b": 2}
+def test_mixture_order(spark):
+    out, skipped, gone = ordered.mix({"a": [None] * 10, "b": [None] * 10}, {"a": 0.75, "b": 0.25}, seed=7)
+    assert Counter(s for s, _ in out[:8]) == {"a": 6, "b": 2} and len(out) == 20 and sorted(gone) == ["a", "b"] and not skipped
+    assert [i for s, i in out if s == "a"] == list(range(10))
+    out, skipped, _ = ordered.mix({"a": ["A", "B"] * 5}, {"a": 2}, rates={"B": 0})
+    assert len(out) == 5 and skipped == {"B": 5}
+    with pytest.raises(ordered.SourceExhausted):
+        ordered.mix({"a": [None], "b": [None] * 9}, {"a": 1, "b": 1}, allow_exhausted=False)
+    for bad in (lambda: ordered.mix({}, {}), lambda: ordered.mix({"a": []}, {"b": 1}), lambda: ordered.mix({"a": []}, {"a": 0}), lambda: ordered.mix({"a": []}, {"a": 1}, rates={"A": 2})):
+        with pytest.raises(ValueError):
+            bad()
+    df = spark.createDataFrame([(i, "ab"[i % 2], "A") for i in range(20)], "id long, source string, tier string").repartition(3)
+    got = [(r["source"], r["id"]) for r in ordered.mixed(df, {"a": 0.75, "b": 0.25}, "id", seed=7, tier="tier").orderBy("place").collect()]
+    assert got == [(s, 2 * i + (s == "b")) for s, i in ordered.mix({"a": ["A"] * 10, "b": ["A"] * 10}, {"a": 0.75, "b": 0.25}, seed=7)[0]]
+    report = ordered.mixture_report(df, {"a": 0.75, "b": 0.25}, "id", seed=7)
+    assert report["total_emitted"] == 20 and report["emitted_counts"] == {"a": 10, "b": 10} and len(report["exhausted_sources"]) == 2
     assert mixture.apportion({"x": 1, "y": 1, "z": 1}, 4) == {"x": 1, "y": 1, "z": 2}
 
 
+def test_rolling_shuffle(spark):
+    out = list(ordered.rolling(iter(range(50)), 8, 3))
+    assert sorted(out) == list(range(50)) and out == list(ordered.rolling(iter(range(50)), 8, 3)) and all(x - i < 9 for i, x in enumerate(out))
+    got = ordered.rolling_shuffle(spark.range(50).repartition(3).withColumnRenamed("id", "k"), "k", 8, 3).orderBy("place").collect()
+    assert [r["k"] for r in got] == out
+    assert ordered.buffer_size(100, 10, 50, available=1000) == 10 and ordered.buffer_size(100, 10, 2, available=1000) == 100 and ordered.buffer_size(100, 10, 2, guard=False) == 100 and ordered.buffer_size(100, 10, 2) == 10
+
+
+def test_exact_oversampling(spark):
+    import numpy as np
+
+    m = [2.0, 0.0, 1.5, -1.0, 0.25, 1.5]
+    rng, want = np.random.default_rng(5), []
+    for i, x in enumerate(m):
+        want += [i] * (0 if x <= 0 else int(x) + (x % 1 > 0 and rng.random() < x % 1))
+    got = ordered.oversampled(spark.createDataFrame(list(enumerate(m)), "id long, w double"), F.col("w"), "id", 5).collect()
+    assert sorted(r["id"] for r in got) == want and {r["id"]: r["multiplier"] for r in got}[0] == 2.0
+
+
 def test_interleave_keeps_shares(spark):
     df = spark.createDataFrame([(i, "abc"[i % 3]) for i in range(300)], "id int, source string")
     due = mixture.interleave(df, {"a": 0.5, "b": 0.3, "c": 0.2}, "id").orderBy("due", "source").limit(100)
@@ -135,12 +167,32 @@ def test_continuous_packing(spark):
 
 
 def test_atomic_packing(spark):
-    got = lambda rows, full=False: [list(r["token_ids"]) for r in sequences.atomic(tokens(spark, rows), "g", "ord", "tokens", 4, only_full=full).orderBy("window").collect()]
+    got = lambda rows, full=False: [list(r["token_ids"]) for r in sequences.atomic(tokens(spark, rows), "ord", "tokens", 4, only_full=full).orderBy("window").collect()]
     assert got([[1, 2, 0], [3, 4, 0], [5, 6, 7, 8, 0]]) == [[1, 2, 0], [3, 4, 0], [5, 6, 7, 8, 0]]
     assert got([[1, 2, 0], [3, 4, 5, 6, 0]], True) == [[3, 4, 5, 6, 0]]
     assert got([[1, 2], [3, 4, 0]], True) == [[1, 2, 3, 4, 0]]
 
 
+def test_next_fit_equals_one_at_a_time(spark):
+    import random
+
+    r = random.Random(4)
+    rows = [(i * 3, r.choice([0, 1, 2, 3, 5, 8, 9, 13])) for i in range(300)]
+    want, fill, first = {}, 0, None
+    for o, n in rows:
+        n = min(n, 9)
+        if n and (fill == 0 or fill + n > 9):
+            fill, first = 0, o
+        if n:
+            want[o] = (first, fill)
+            fill = 0 if fill + n == 9 else fill + n
+    got = sequences.next_fit(spark.createDataFrame(rows, "o long, n int").repartition(4), "o", F.col("n"), 9).collect()
+    assert {x["o"]: (x["window"], x["offset"]) for x in got} == want
+    marked = [[101, *range(8), 102, 1, 103, 2], [7, 7]]
+    out = sequences.atomic(tokens(spark, marked), "ord", "tokens", 6, marks=(101, 102, 103)).orderBy("window").collect()
+    assert [[x for x in w["token_ids"] if x > 100] for w in out] == [[101, 102, 103], []] and len(out[0]["token_ids"]) == 7
+
+
 def test_truncation_keeps_marks():
     got = sequences.truncate([101, 1, 2, 3, 102, 4, 5, 103, 6, 7, 8, 9], 7, (101, 102, 103))
     assert len(got) == 7 and [x for x in got if x > 100] == [101, 102, 103]
@@ -181,10 +233,26 @@ def test_candidate_scores(spark):
     assert not got[2]["accepted"] and got[3]["rejected"] == "empty_text"
 
 
-def test_routing_caps():
+def test_routing_caps(spark):
     rows = [("a", ["debugging", "tests"])] * 4 + [("b", ["tests"])]
-    assert candidates.route(rows, per_task={"debugging": 1}, per_source={"a": 3}) == ["debugging", "tests", "tests", None, "tests"]
-    assert candidates.route(rows, most=2) == ["debugging", "debugging", None, None, None]
+    route = lambda **caps: (lambda r: [r.route(s, w) for s, w in rows])(ordered.Router(**caps))
+    assert route(per_task={"debugging": 1}, per_source={"a": 3}) == ["debugging", "tests", "tests", None, "tests"]
+    assert route(most=2) == ["debugging", "debugging", None, None, None]
+    assert route(most=5, task_mix={"debugging": 0.5, "tests": 0.1}) == ["debugging", "debugging", "tests", "code_writing", "code_writing"]
+    df = spark.createDataFrame([(i, s, w, "text", i != 1) for i, (s, w) in enumerate(rows)], "id long, source string, tasks array<string>, selected string, accepted boolean")
+    got = ordered.routed(df.repartition(2), "id", per_task={"debugging": 1}).orderBy("id").collect()
+    assert [(r["id"], r["task_type"], r["ordinal"]) for r in got] == [(0, "debugging", 1), (2, "tests", 2), (3, "tests", 3), (4, "tests", 4)]
+    assert got[0]["candidate_id"] == f"a:debugging:{got[0]['input_hash'][:16]}:000001"
+
+
+def test_long_texts_are_excerpted():
+    body = "def best(x):\n    if x:\n        return x\n    raise ValueError\n"
+    text = "a = 1\n" * 100 + body + "b = 2\n" * 100
+    got = candidates.select_text(text, 40)
+    assert got[1] and body.strip() in got[0] and len(got[0]) <= 160
+    low = "word " * 200 + "Traceback here " + "word " * 200
+    got = candidates.select_text(low, 30)
+    assert got[1] and "Traceback" in got[0] and len(got[0]) <= 120 and candidates.select_text("short", 30) == ("short", False)
 
 
 def test_record_reasons(spark):
@@ -212,12 +280,80 @@ def test_structuring(spark):
     good = asked.withColumn("reply", structuring.mock_reply(asked))
     bad = asked.withColumn("reply", F.lit('{"user_prompt": "p", "loss_weight": 9, "source": "x"}')).unionByName(asked.withColumn("reply", F.lit("not json")))
     got = structuring.normalized(good.unionByName(bad), provider="mock", model="m", time="2024-01-01T00:00:00Z").collect()
-    assert got[0]["error"] is None and got[0]["skills"] == ["python", "tests"] and got[0]["loss_weight"] == 1.5
+    assert got[0]["error"] is None and got[0]["skills"] == ["tests"] and got[0]["loss_weight"] == 1.5
     assert got[1]["blocked"] == ["loss_weight", "source"] and got[1]["source"] == "s" and got[2]["error"] == "invalid JSON response"
-    assert structuring.scrub({"api_key": "x", "a": ["y" * 600] * 30})["api_key"] == "[redacted]"
-    raw = spark.createDataFrame([(json.dumps({"Token": "x", "a": 1}),), ("[",)], "r string").select(structuring.scrubbed(F.col("r")).alias("s")).collect()
-    assert json.loads(raw[0]["s"]) == {"Token": "[redacted]", "a": 1} and raw[1]["s"] is None
+    clean = structuring.scrub({"api_key": "x", "a": ["y" * 600] * 30, "b": {"c": {"d": {"e": {"f": 1}}}}})
+    assert clean["api_key"] == "<redacted>" and len(clean["a"]) == 20 and clean["a"][0] == "y" * 500 + "...<truncated>" and clean["b"] == {"c": {"d": {"e": "<omitted>"}}}
+    many = json.dumps({str(i): "y" * 400 for i in range(20)})
+    raw = spark.createDataFrame([(json.dumps({"Token": "x", "a": 1}),), ("[",), (many,)], "r string").select(structuring.scrubbed(F.col("r")).alias("s")).collect()
+    assert json.loads(raw[0]["s"]) == {"Token": "<redacted>", "a": 1} and raw[1]["s"] is None and raw[2]["s"] is None
     assert structuring.ask(asked, lambda ps: [p[:4] for p in ps]).first()["reply"] == "Writ"
+    failed = structuring.ask(asked, lambda ps: 1 / 0, retries=0).first()
+    assert failed["reply"] is None and "after 1 attempts" in failed["call_error"]
+
+
+def test_retries_and_rate():
+    from loomspark.operators import structuring
+
+    waits, calls, now = [], [], [0.0]
+
+    def flaky():
+        calls.append(1)
+        if len(calls) < 4:
+            raise OSError("no")
+        return "yes"
+
+    assert structuring.with_retries(flaky, retries=5, most=1.5, sleep=waits.append) == "yes" and waits == [0.5, 1.0, 1.5]
+    limit = structuring.RateLimit(30, sleep=lambda s: now.__setitem__(0, now[0] + s), clock=lambda: now[0])
+    for _ in range(3):
+        limit.wait()
+    assert now[0] == 4.0
+
+
+def test_records_of_messages(spark):
+    rows = [(None, [{"role": "user", "content": "it's"}, {"role": "b", "content": None}], "A", 1.5), ("t", [], None, None)]
+    df = spark.createDataFrame(rows, "text string, messages array<struct<role:string,content:string>>, quality_tier string, loss_weight double")
+    got = records.extract("synthetic", df).collect()
+    assert got[0]["text"] == "\n".join(str(m) for m in rows[0][1]) and (got[0]["quality_tier"], got[0]["loss_weight"], got[1]["text"]) == ("A", 1.5, "t")
+    with pytest.raises(Exception, match="unsupported instruction"):
+        spark.range(1).select(records.instruction(F.lit("p"), F.lit("r"), task=F.lit("refactor"))).collect()
+    m = records.enrich(spark.createDataFrame([("x", "debugbench", "debugging_case")], "text string, source string, example_type string"))
+    assert m.select(records.metadata(m).alias("m")).first()["m"]["language"] == "python"
+
+
+def test_checkpoint_rules(spark):
+    df = spark.createDataFrame([(1, 2, 3, "fim_train", "xla_tpu", None, None, None), (1, 2, 3, "fim_train", "xla_tpu", 1, 2, 4), (-1, 2, 3, "x", "tpu", None, None, None)], "step int, tokens int, sequences int, stage string, backend string, cursor_step int, cursor_tokens int, cursor_sequences int")
+    assert [r[0] for r in df.select(runs.metadata_errors(df)).collect()] == [["cursor_missing"], ["cursor_sequences_mismatch"], ["negative_step", "invalid_stage", "invalid_backend"]]
+
+
+def test_canonical_json(spark):
+    import json
+
+    values = ["plain", 'q"\\x', "é\u2028", "", None]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    assert [r[0] for r in df.select(dedupe.json_string(F.col("v"))).collect()] == [None if v is None else json.dumps(v) for v in values]
+    df = spark.createDataFrame([('{"b": 1, "a": "é"}',), ("[",)], "v string")
+    assert [r[0] for r in df.select(dedupe.canonical(F.col("v"))).collect()] == ['{"a":"\\u00e9","b":1}', None]
+
+
+def test_tokenizers(spark):
+    from loomspark.functions import tokenizers as tk
+
+    tok = tk.Characters(eos_token_id=0)
+    assert tk.report(tok, "c")["max_token_id"] == 127 and tk.end_id(tk.Characters(eos_token="!", eos_token_id=None)) == 33
+    for bad in (tk.Characters(eos_token=None, eos_token_id=None), tk.Characters(eos_token="ab", eos_token_id=None)):
+        with pytest.raises(ValueError):
+            tk.end_id(bad)
+    df = spark.createDataFrame([("ab",), (None,), ("a\x00",)], "t string")
+    assert [r[0] for r in df.select(tk.tokens(F.col("t"), lambda: tk.Characters(), name="c")).collect()] == [[97, 98, 0], [0], [97, 0]]
+
+    class Marked(tk.Characters):
+        def vocab(self):
+            return {"<fim_prefix>": 1, "<fim_middle>": 3, "<fim_suffix>": 2, "a": 70_000}
+
+    assert tk.fim_marks(Marked()) == (1, 2, 3) and len(tk.fim_tokens(Marked())) == 3 and tk.fim_marks(tok) is None
+    with pytest.raises(ValueError):
+        tk.fits_uint16(Marked())
 
 
 def test_stage_chain(spark):
