@@ -8,13 +8,16 @@ method  url (an address with a user part or a bare IP host, or after mailto: / t
         digits, or the value after an identifier cue such as "account" or "passport"), secret (the value after a cue
         such as "password" or "api key")
 
-Defined results: a null text counts as empty and has no spans; repeated documents each get a row. Every character is
-visited a bounded number of times, so very long texts cost in proportion to their length.
+Cues and schemes count in any case of ASCII letters. Defined results: a null text counts as empty and has no spans; repeated
+documents each get a row. A run of characters that several anchors look at (a link, a secret, an account) is measured once and
+answers all of them, so each character is visited a bounded number of times and very long texts cost in proportion to their
+length, hostile ones too.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import ahocorasick
 from pyspark.sql import DataFrame
@@ -41,7 +44,10 @@ PLUS = re.compile(r"[ ().0-9-]+")
 LINK = re.compile(r"[^\s<>\"'`\\{}|^\[\]]+")
 LABEL = re.compile(r"(?:[ _-]?(?:number|no\.?|nr\.?|id|key))?[ \t]*(?::|=|#|is)?[ \t]*[\"']?", re.I)
 ACCOUNT = re.compile(r"[A-Z]{0,4}[0-9][A-Z0-9]*(?:[ -][A-Z0-9]*[0-9][A-Z0-9]*)*")
-SECRET = re.compile(r"[A-Za-z0-9+/_.=-]{8,}")
+SECRET_LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+AUTHORITY = re.compile(r"[^/?#]*")
+HEAD = re.compile(r"[A-Z]{0,4}[0-9]")
+_LOWER = {c: c + 32 for c in range(65, 91)}
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?")
 
 _auto = None
@@ -60,8 +66,7 @@ def anchors():
             a.add_word(s, ("scheme", len(s)))
         for kind, cues in (("account", ACCOUNT_CUES), ("secret", SECRET_CUES)):
             for cue in cues:
-                for form in {cue, cue.upper(), cue.title(), cue.capitalize()}:
-                    a.add_word(form, (kind, len(form)))
+                a.add_word(cue, (kind, len(cue)))
         a.make_automaton()
         _auto = a
     return _auto
@@ -93,8 +98,9 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
     if not text:
         return []
     out: list[tuple[str, int, int]] = []
+    runs_of = Runs(text)
     email_end = dotted_end = spaced_end = phone_end = url_end = value_end = 0
-    for at, (kind, k) in anchors().iter(text):
+    for at, (kind, k) in anchors().iter(text.lower() if text.isascii() else text.translate(_LOWER)):
         start = at - k + 1
         if kind == "digit":
             if at >= dotted_end:
@@ -125,43 +131,94 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
                     if 10 <= sum("0" <= c <= "9" for c in text[at:phone_end]) <= 15:
                         out.append(("phone", at, phone_end))
         elif kind == "scheme":
-            if start >= url_end and (s := _address(text, start, at + 1)):
+            if start >= url_end and (s := _address(runs_of, start, at + 1)):
                 out.append(("url", *s))
                 url_end = s[1]
-        elif at + 1 > value_end and not (start and text[start - 1].isalnum()) and (s := _value(text, kind, at + 1)):
+        elif at + 1 > value_end and not (start and text[start - 1].isalnum()) and (s := _value(runs_of, kind, at + 1)):
             out.append((kind, *s))
             value_end = s[1]
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
-def _address(text: str, start: int, end: int) -> tuple[int, int] | None:
-    m = LINK.match(text, end)
-    if not m:
+class Runs:
+    """The runs of a text's characters that anchors look at, each measured when the first of them comes."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self._link = self._secret = self._account = (-1, -1)
+        self._mail = (-1, -1)  # where a domain was looked for, and where one begins (the text's end: nowhere)
+
+    def link(self, at: int) -> tuple[int, list[int]]:
+        """Where the link text from ``at`` on stops, and the digits of its run."""
+        if not self._link[0] <= at < self._link[1]:
+            m = LINK.match(self.text, at)
+            end = m.end() if m else at
+            stop = at + len(self.text[at:end].rstrip(".,;:!?)"))
+            self._link, self._stop, self._digits = (at, end), stop, [i for i in range(at, stop) if self.text[i].isdigit()]
+            self._mail = (-1, -1)
+        return self._stop, self._digits
+
+    def has_domain(self, at: int, stop: int) -> bool:
+        """Whether a domain begins between ``at`` and ``stop``, the end of the link's run."""
+        known, found = self._mail
+        if not (0 <= known <= at <= found):
+            m = DOMAIN.search(self.text, at, stop)
+            self._mail = (at, m.start() if m else len(self.text))
+        return self._mail[1] < stop
+
+    def secret(self, at: int) -> tuple[int, int] | None:
+        """The run from ``at`` on, where it is long enough and has a digit and a letter."""
+        if not self._secret[0] <= at < self._secret[1]:
+            end = at
+            while end < len(self.text) and self.text[end] in SECRET_LETTERS:
+                end += 1
+            last = lambda ok: next((i for i in range(end - 1, at - 1, -1) if ok(self.text[i])), -1)
+            self._secret, self._last = (at, end), min(last(str.isdigit), last(str.isalpha))
+        end = self._secret[1]
+        return (at, end) if end - at >= 8 and self._last >= at else None
+
+    def account(self, at: int) -> tuple[int, int] | None:
+        """The number from ``at`` on, of 6 to 34 digits; it ends where that of an earlier start in the same run does."""
+        head = HEAD.match(self.text, at)
+        if not head:
+            return None
+        if not (self._account[0] <= at and head.end() <= self._account[1]):
+            m = ACCOUNT.match(self.text, at)
+            self._account, self._numbers = m.span(), [i for i in range(*m.span()) if self.text[i].isdigit()]
+        end = self._account[1]
+        return (at, end) if 6 <= len(self._numbers) - bisect_left(self._numbers, at) <= 34 else None
+
+
+def _address(runs: Runs, start: int, end: int) -> tuple[int, int] | None:
+    text = runs.text
+    stop, digits = runs.link(end)
+    if stop <= end:
         return None
-    rest = m.group().rstrip(".,;:!?)")
     if text[start:end] == "://":
         left = start
         while left and start - left < 12 and text[left - 1].isascii() and (text[left - 1].isalnum() or text[left - 1] in "+-."):
             left -= 1
-        authority = re.split(r"[/?#]", rest, maxsplit=1)[0]
+        authority = AUTHORITY.match(text, end, stop).group()
         host = authority.rpartition("@")[2].partition(":")[0].split(".")
         if left == start or not ("@" in authority or len(host) == 4 and all(h.isascii() and h.isdigit() and small(h) for h in host)):
             return None
-        return left, end + len(rest)
-    good = DOMAIN.search(rest.partition("@")[2]) if text[start:end] == "mailto:" else 7 <= sum(c.isdigit() for c in rest) <= 15
-    return (start, end + len(rest)) if good else None
+        return left, stop
+    if text[start:end].lower() == "mailto:":
+        sign = text.find("@", end, stop)
+        good = sign >= 0 and runs.has_domain(sign + 1, stop)
+    else:
+        good = 7 <= len(digits) - bisect_left(digits, end) <= 15
+    return (start, stop) if good else None
 
 
-def _value(text: str, kind: str, end: int) -> tuple[int, int] | None:
-    at = LABEL.match(text, end).end()
+def _value(runs: Runs, kind: str, end: int) -> tuple[int, int] | None:
+    at = LABEL.match(runs.text, end).end()
     if kind == "secret":
-        m = SECRET.match(text, at)
-        return (m.start(), m.end()) if m and any(c.isdigit() for c in m.group()) and any(c.isalpha() for c in m.group()) else None
-    if m := IBAN.match(text, at):
+        return runs.secret(at)
+    if m := IBAN.match(runs.text, at):
         if iban(m.group()):
             return m.span()
-    m = ACCOUNT.match(text, at)
-    return m.span() if m and 6 <= sum(c.isdigit() for c in m.group()) <= 34 else None
+    return runs.account(at)
 
 
 def brute_force(text: str | None) -> list[tuple[str, int, int]]:
