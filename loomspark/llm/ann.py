@@ -6,8 +6,13 @@ is what changes large inner products. A query becomes a table of 16 inner produc
 byte); a scan sums table entries over all rows. The best of each chunk are compared exactly in double precision, and then
 every other row whose table score is within its residual's norm of the k-th best: a row left out can't be among the ``k``.
 
-The codebooks are fitted on at most ``sample`` vectors (least hashes of ids; a documented bound); the index holds every
-row. Queries are taken in blocks of bounded size, each scanned against all rows.
+Rows lie in cells about coarse centres, one for about ``PER_CELL`` rows and at most ``CELLS``; a query is compared with the
+rows of its nearest cells. How many those are is measured when the index is made: so many that ``FOUND`` of the sample's own
+nearest neighbours lie in them (all cells, where neighbours are everywhere). Rows and queries of a cell meet by shuffle, in
+blocks of bounded size, so a cell that holds a third of all rows is many tasks' work and nothing of the queries is broadcast.
+
+Codebooks and centres are fitted on at most ``sample`` vectors (least hashes of ids; a documented bound); the index holds
+every row.
 
 Defined results: null or zero vectors, those with null or non-finite components, those of another length than most rows
 (ties: the greater length), and rows with a null id take no part; repeated ids are one candidate, by its best score, and
@@ -25,14 +30,52 @@ from pyspark.sql.window import Window
 from .common import cut
 
 SAMPLE, SUB, QUERY_BLOCK, CHUNK, CANDIDATES = 16_384, 2, 1024, 4096, 100
+PER_CELL, CELLS, FOUND, ROW_BLOCK, QUERIES = 8192, 4096, 0.99, 20_000, 20_000
 
 
-def unit(x: np.ndarray) -> np.ndarray:
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Vectors times powers of two that bring their largest components near 1: squares neither overflow nor vanish, and cosines stay."""
     x = np.asarray(x, np.float64)
-    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+class Cells:
+    """Coarse centres of unit vectors, and how many of a query's nearest hold its neighbours."""
+
+    def __init__(self, sample: np.ndarray, rows: int, *, k: int = 5, rounds: int = 8, seed: int = 0):
+        n = max(1, min(CELLS, -(-rows // PER_CELL), len(sample) // 4))
+        rng = np.random.default_rng(seed)
+        self.centers = sample[rng.choice(len(sample), n, replace=False)]
+        for _ in range(rounds if n > 1 else 0):
+            near = self.nearest(sample, 1)[:, 0]
+            for c in np.unique(near):
+                mean = sample[near == c].sum(axis=0)
+                if mean.any():
+                    self.centers[c] = unit(mean[None])[0]
+        self.probes = n
+        if n > 1:
+            own = self.nearest(sample, 1)[:, 0]
+            some = rng.choice(len(sample), min(256, len(sample)), replace=False)
+            like = sample[some] @ sample.T
+            like[np.arange(len(some)), some] = -2
+            near = np.argpartition(-like, min(k, len(sample) - 1) - 1, axis=1)[:, :k]
+            place = np.argsort(self.nearest(sample[some], n), axis=1)  # of each cell in each query's order
+            rank = np.take_along_axis(place, own[near], axis=1).ravel()
+            self.probes = int(np.quantile(rank, FOUND, method="higher")) + 1
+
+    def nearest(self, x: np.ndarray, n: int) -> np.ndarray:
+        """The nearest ``n`` cells of each unit vector, nearest first."""
+        like = x @ self.centers.T
+        if n == 1:
+            return like.argmax(axis=1)[:, None]
+        return np.argsort(-like, axis=1, kind="stable")[:, :n]
+
+
 class Quantiser:
     """Anisotropic product code of unit vectors."""
 
@@ -120,118 +163,130 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & F.forall(vector, good) & F.exists(vector, lambda x: x != 0)
 
 
-def _stack(b: pa.RecordBatch) -> np.ndarray:
-    return b.column("v").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+def _stack(b: pa.RecordBatch | pa.Table) -> np.ndarray:
+    v = b.column("v")
+    v = v.combine_chunks() if isinstance(v, pa.ChunkedArray) else v
+    return v.flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
 
 
-def build(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", sample: int = SAMPLE) -> tuple[DataFrame, Quantiser | None]:
-    """The index (id, v, code, off: its residual's norm) of every usable row, and its quantiser (None: no rows)."""
+def build(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", sample: int = SAMPLE) -> tuple[DataFrame, Quantiser | None, Cells | None]:
+    """The index (id, v, code, off: its residual's norm, cell) of every usable row, its quantiser and its cells (None: no rows)."""
     rows = vectors.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where(usable(F.col("v")))
     dims = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
     if dims is None:
-        return rows.withColumn("code", F.lit(None).cast("binary")).withColumn("off", F.lit(None).cast("double")), None
+        return rows, None, None
     rows = rows.where(F.size("v") == dims["d"])
-    taken = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toPandas()
-    quantiser = Quantiser(unit(np.stack(taken["v"].to_numpy())))
-    data = vectors.sparkSession.sparkContext.broadcast(quantiser)
+    taken = unit(np.stack(rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toPandas()["v"].to_numpy()))
+    quantiser, cells = Quantiser(taken), Cells(taken, dims["n"])
+    data = vectors.sparkSession.sparkContext.broadcast((quantiser, cells))  # a fixed size
 
     def run(batches):
+        code_of, cells_of = data.value
         for b in batches:
             for lo in range(0, b.num_rows, CHUNK):
                 part = b.slice(lo, CHUNK)
                 u = unit(_stack(part))
-                code = data.value.encode(u)
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("v"), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(data.value.residual(u, code))], names=["id", "v", "code", "off"])
-
-    return cut(rows.mapInArrow(run, "id long, v array<double>, code binary, off double"), "index"), quantiser
-
-
-def _scan(quantiser, block, k: int, candidates: int):
-    """Each query's best rows of one partition, exactly scored."""
-
-    def best(ids, owner, score):
-        order = np.lexsort((ids, -score, owner))
-        ids, owner, score = ids[order], owner[order], score[order]
-        nth = np.arange(len(owner)) - np.searchsorted(owner, owner)
-        return ids[nth < k], owner[nth < k], score[nth < k]
-
-    def run(batches):
-        qid, q = block.value
-        table = quantiser.value.tables(unit(q))
-        norm = np.sqrt((q * q).sum(axis=1))
-        top = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        for whole in batches:
-            for lo in range(0, whole.num_rows, CHUNK):
-                b = whole.slice(lo, CHUNK)
-                v, ids = _stack(b), b.column("id").to_numpy()
-                order = np.argsort(ids, kind="stable")
-                v, ids = np.ascontiguousarray(v[order]), ids[order]
-                # equal vectors are one candidate with its least ids
-                _, one, group = np.unique(v.view(np.dtype((np.void, v.itemsize * v.shape[1])))[:, 0], return_index=True, return_inverse=True)
-                byte = np.frombuffer(b"".join(b.column("code").to_pylist()), np.uint8).reshape(len(ids), -1)[order][one].astype(np.intp)
-                approx = np.zeros((len(q), len(one)), np.float32)
-                for j in range(byte.shape[1]):
-                    approx += table[:, j, byte[:, j]]
-                n = min(candidates, len(one))
-                near = np.argpartition(-approx, n - 1, axis=1)[:, :n]
-                x = v[one]
-                size = np.sqrt((x * x).sum(axis=1))
-                exact = np.empty((len(q), n))
-                for lo_q in range(0, len(q), 256):
-                    s = slice(lo_q, lo_q + 256)
-                    exact[s] = (x[near[s]] * q[s, None, :]).sum(axis=2) / (norm[s, None] * size[near[s]])
-                # a lower bound of each query's k-th best: of this chunk (besides itself) or of what was found before
-                least = np.full(len(q), -np.inf)
-                if n > k:
-                    least = np.partition(exact, n - k - 1, axis=1)[:, n - k - 1]
-                last = np.flatnonzero(np.arange(len(top[1])) - np.searchsorted(top[1], top[1]) == k - 1)
-                least[top[1][last]] = np.maximum(least[top[1][last]], top[2][last])
-                off = b.column("off").to_numpy()[order][one]
-                may = approx + off[None, :] + 1e-4 >= least[:, None]  # 1e-4: more than single precision loses
-                if may.sum() > len(q) * n:  # the products in one go, and a margin over their rounding
-                    may &= (q @ x.T) / (norm[:, None] * size[None, :]) >= least[:, None] - 1e-9
-                owner, near = np.nonzero(may)
-                exact = np.empty(len(owner))
-                for lo_p in range(0, len(owner), 1 << 16):
-                    s = slice(lo_p, lo_p + (1 << 16))
-                    exact[s] = (x[near[s]] * q[owner[s]]).sum(axis=1) / (norm[owner[s]] * size[near[s]])
-                by_group = np.argsort(group, kind="stable")
-                begin = np.searchsorted(group[by_group], np.arange(len(one)))
-                count = np.minimum(np.bincount(group, minlength=len(one)), k + 1)
-                times = count[near]
-                owner = np.repeat(owner, times)
-                score = np.repeat(exact, times)
-                nth = np.arange(len(owner)) - np.repeat(np.cumsum(times) - times, times)
-                member = ids[by_group[np.repeat(begin[near], times) + nth]]
-                other = member != qid[owner]
-                top = best(*(np.concatenate(p) for p in zip(top, (member[other], owner[other], score[other]), strict=True)))
-        if len(top[0]):
-            yield pa.RecordBatch.from_arrays([pa.array(qid[top[1]]), pa.array(top[0]), pa.array(top[2])], names=["query_id", "vec_id", "score"])
-
-    return run
+                code = code_of.encode(u)
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("v"), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(code_of.residual(u, code)), pa.array(cells_of.nearest(u, 1)[:, 0].astype(np.int32))], names=["id", "v", "code", "off", "cell"])
+
+    return cut(rows.mapInArrow(run, "id long, v array<double>, code binary, off double, cell int"), "index"), quantiser, cells
+
+
+def _best(ids: np.ndarray, owner: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.lexsort((ids, -score, owner))
+    ids, owner, score = ids[order], owner[order], score[order]
+    nth = np.arange(len(owner)) - np.searchsorted(owner, owner)
+    return ids[nth < k], owner[nth < k], score[nth < k]
+
+
+def nearest(quantiser: Quantiser, qid: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, code: np.ndarray, off: np.ndarray, k: int, candidates: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(vec_id, query's index, score) of each query's ``k`` nearest of some rows but itself, by tables, then exactly."""
+    table, q = quantiser.tables(unit(q)), scaled(q)
+    norm = np.sqrt((q * q).sum(axis=1))
+    top = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    order = np.argsort(ids, kind="stable")
+    ids, v, code, off = ids[order], scaled(v[order]), code[order], off[order]
+    for lo in range(0, len(ids), CHUNK):
+        own = slice(lo, lo + CHUNK)
+        x, name = np.ascontiguousarray(v[own]), ids[own]
+        # equal vectors are one candidate with its least ids
+        _, one, group = np.unique(x.view(np.dtype((np.void, x.itemsize * x.shape[1])))[:, 0], return_index=True, return_inverse=True)
+        byte = code[own][one].astype(np.intp)
+        approx = np.zeros((len(q), len(one)), np.float32)
+        for j in range(byte.shape[1]):
+            approx += table[:, j, byte[:, j]]
+        n = min(candidates, len(one))
+        near = np.argpartition(-approx, n - 1, axis=1)[:, :n]
+        x = x[one]
+        size = np.sqrt((x * x).sum(axis=1))
+        exact = np.empty((len(q), n))
+        for lo_q in range(0, len(q), 256):
+            s = slice(lo_q, lo_q + 256)
+            exact[s] = (x[near[s]] * q[s, None, :]).sum(axis=2) / (norm[s, None] * size[near[s]])
+        # a lower bound of each query's k-th best: of this chunk (besides itself) or of what was found before
+        least = np.full(len(q), -np.inf)
+        if n > k:
+            least = np.partition(exact, n - k - 1, axis=1)[:, n - k - 1]
+        last = np.flatnonzero(np.arange(len(top[1])) - np.searchsorted(top[1], top[1]) == k - 1)
+        least[top[1][last]] = np.maximum(least[top[1][last]], top[2][last])
+        may = approx + off[own][one][None, :] + 1e-4 >= least[:, None]  # 1e-4: more than single precision loses
+        if may.sum() > len(q) * n:  # the products in one go, and a margin over their rounding
+            may &= (q @ x.T) / (norm[:, None] * size[None, :]) >= least[:, None] - 1e-9
+        owner, near = np.nonzero(may)
+        exact = np.empty(len(owner))
+        for lo_p in range(0, len(owner), 1 << 16):
+            s = slice(lo_p, lo_p + (1 << 16))
+            exact[s] = (x[near[s]] * q[owner[s]]).sum(axis=1) / (norm[owner[s]] * size[near[s]])
+        by_group = np.argsort(group, kind="stable")
+        begin = np.searchsorted(group[by_group], np.arange(len(one)))
+        times = np.minimum(np.bincount(group, minlength=len(one)), k + 1)[near]
+        owner, score = np.repeat(owner, times), np.repeat(exact, times)
+        nth = np.arange(len(owner)) - np.repeat(np.cumsum(times) - times, times)
+        member = name[by_group[np.repeat(begin[near], times) + nth]]
+        other = member != qid[owner]
+        top = _best(*(np.concatenate(p) for p in zip(top, (member[other], owner[other], score[other]), strict=True)), k)
+    return top
 
 
 def search(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, candidates: int = CANDIDATES, query_block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score of each query's ``k`` nearest by cosine. ``is_query``: a condition on the column ``id``."""
     spark = vectors.sparkSession
-    index, quantiser = build(vectors, id_col=id_col, vector_col=vector_col)
-    empty = "query_id long, rank int, vec_id long, score double"
+    index, quantiser, cells = build(vectors, id_col=id_col, vector_col=vector_col)
     if quantiser is None:
-        return spark.createDataFrame([], empty)
-    queries = index.where(is_query).groupBy("id").agg(F.min("v").alias("v"))
-    blocks = max(1, -(-queries.count() // query_block))
-    code, parts = spark.sparkContext.broadcast(quantiser), []
-    for b in range(blocks):
-        own = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b)
-        got = own.toPandas()  # about query_block rows
-        if len(got):
-            block = spark.sparkContext.broadcast((got["id"].to_numpy(np.int64), np.stack(got["v"].to_numpy())))
-            parts.append(index.mapInArrow(_scan(code, block, k, candidates), "query_id long, vec_id long, score double"))
-    if not parts:
-        return spark.createDataFrame([], empty)
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionAll(p)
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    data = spark.sparkContext.broadcast((quantiser, cells))
+
+    def probe(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, CHUNK):
+                part = b.slice(lo, CHUNK)
+                own = data.value[1].nearest(unit(_stack(part)), data.value[1].probes)
+                src = pa.array(np.repeat(np.arange(part.num_rows), own.shape[1]))
+                yield pa.RecordBatch.from_arrays([part.column("id").take(src), part.column("v").take(src), pa.array(own.ravel().astype(np.int32))], names=["id", "v", "cell"])
+
+    queries = cut(index.where(is_query).groupBy("id").agg(F.min("v").alias("v")).mapInArrow(probe, "id long, v array<double>, cell int"), "queries")
+    sizes = index.groupBy("cell").agg(F.count("*").alias("n")).join(queries.groupBy("cell").agg(F.count("*").alias("m")), "cell")
+    parts = F.broadcast(sizes.select("cell", F.ceil(F.col("n") / ROW_BLOCK).cast("int").alias("rb"), F.ceil(F.col("m") / QUERIES).cast("int").alias("qb")))  # at most CELLS rows
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    side = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    left = index.join(parts, "cell").withColumn("r", side("rb")).withColumn("s", each("qb")).select("cell", "r", "s", "id", "v", "code", "off")
+    right = queries.join(parts, "cell").withColumn("s", side("qb")).withColumn("r", each("rb")).select("cell", "r", "s", "id", "v")
+
+    def meet(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        found = []
+        if rows.num_rows and asked.num_rows:
+            t = rows.combine_chunks()
+            v, code = _stack(t), np.frombuffer(b"".join(t.column("code").to_pylist()), np.uint8).reshape(t.num_rows, -1)
+            ids, off = t.column("id").to_numpy(), t.column("off").to_numpy()
+            for lo in range(0, asked.num_rows, query_block):
+                a = asked.slice(lo, query_block).combine_chunks()
+                qid = a.column("id").to_numpy()
+                got = nearest(data.value[0], qid, _stack(a), ids, v, code, off, k, candidates)
+                found.append((qid[got[1]], got[0], got[2]))
+        q, i, s = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        return pa.table({"query_id": q, "vec_id": i, "score": s})
+
+    found = left.groupBy("cell", "r", "s").cogroup(right.groupBy("cell", "r", "s")).applyInArrow(meet, "query_id long, vec_id long, score double")
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return once.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
