@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import Bloom, bloom_of, cut, drop_tables, mix, powers, row_of, small
-from .graph import by_group, connected_components, in_blocks, whole_groups
+from .graph import by_group, connected_components, in_blocks, whole_groups, with_hot
 from .ngram_join import _uid
 
 EDITS, MIN_CHARS, BLOCK, LETTERS = 2, 30, 2000, 64
@@ -257,7 +257,8 @@ def removals(documents: DataFrame, *, doc_col: str = "doc_id", text_col: str = "
     once = occ.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).join(classes.select(F.col("id").alias("h1"), "component"), "h1", "left")
     once = cut(once.where("n > 1 or component is not null"), "repeated")
     linked = once.where("component is not null").groupBy("component").agg(F.min("first").alias("stays"))
-    stays = once.join(linked, "component", "left").select("h1", "h2", F.coalesce("stays", "first").alias("stays"))
+    alone = once.where("component is null").select("h1", "h2", F.col("first").alias("stays"))
+    stays = with_hot(once.where("component is not null"), linked, "component").select("h1", "h2", "stays").unionAll(alone)
     gone = occ.join(stays, ["h1", "h2"]).where("uid != stays.uid or line != stays.line")
     return gone.groupBy("uid").agg(F.sort_array(F.collect_set("line")).alias("removed"))
 
