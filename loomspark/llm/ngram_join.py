@@ -74,8 +74,8 @@ def _uid(doc_col: str, text_col: str):
 
 
 def _sketch(k: int, width: int, bloom=None):
-    """Maps text to digest, number of distinct shingles and either MinHash values or, with a filter of the column h of the
-    texts wanted, the sorted set itself."""
+    """Maps text to digest, number of distinct shingles and either MinHash values with eight bits of each or, with a filter of
+    the column h of the texts wanted, the sorted set itself (and no bits)."""
 
     def run(batches):
         for b in small(batches):
@@ -92,13 +92,13 @@ def _sketch(k: int, width: int, bloom=None):
                     digest.append(hashlib.blake2b(distinct.tobytes(), digest_size=16).hexdigest())
                     sig.append(distinct.tobytes() if own is None else own[i].tobytes())
             keep = [c for c in b.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(digest, pa.string()), pa.array(size, pa.int64()), pa.array(sig, pa.binary())], names=[*keep, "digest", "size", "sig"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(digest, pa.string()), pa.array(size, pa.int64()), pa.array(sig, pa.binary()), pa.array([None if bloom is not None else x[::4] for x in sig], pa.binary())], names=[*keep, "digest", "size", "sig", "few"])
 
     return run
 
 
 def _sketched(df: DataFrame, k: int, width: int, bloom=None) -> DataFrame:
-    schema = df.drop("text").schema.add("digest", "string").add("size", "long").add("sig", "binary")
+    schema = df.drop("text").schema.add("digest", "string").add("size", "long").add("sig", "binary").add("few", "binary")
     return df.mapInArrow(_sketch(k, width, bloom), schema)
 
 
@@ -115,10 +115,6 @@ def least_matches(threshold: float, k: int, step: int, tolerance: float) -> dict
     return out
 
 
-def _eight_bits(sig: bytes) -> bytes:
-    return sig[::4]
-
-
 def _band_keys(bands: int, rows: int):
     def run(batches):
         for b in batches:
@@ -283,12 +279,11 @@ def classes(documents: DataFrame, *, doc_col: str = "doc_id", text_col: str = "t
     docs = documents.select(F.col(doc_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("uid", _uid("doc_id", "text"))
     sketch = cut(_sketched(docs.select("uid", "doc_id", "text"), k, width), "sketch")
     head = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("head")
-    reps = sketch.where("size > 0").groupBy("digest").agg(head, F.count("*").alias("copies"), F.first("size").alias("size"), F.first("sig").alias("sig"))
+    reps = sketch.where("size > 0").groupBy("digest").agg(head, F.count("*").alias("copies"), F.first("size").alias("size"), F.first("sig").alias("sig"), F.first("few").alias("few"))
     reps = cut(reps.withColumn("rep", F.monotonically_increasing_id()), "representatives")
     keys = reps.select("rep", "sig").mapInArrow(_band_keys(bands, rows), "rep long, key long")
     buckets = keys.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least != most").select("key")
-    few = reps.select("rep", "size", F.udf(_eight_bits, "binary", useArrow=True)("sig").alias("few"))
-    met = cut(keys.join(buckets, "key").join(few, "rep"), "buckets")
+    met = cut(keys.join(buckets, "key").join(reps.select("rep", "size", "few"), "rep"), "buckets")
     likely = by_group(in_blocks(met, "key", "rep", block), "key").mapInArrow(_likely(threshold, k, STEP, tolerance), "rep long, root long")
     likely = cut(likely.distinct(), "likely")
     groups = cut(connected_components(likely.select(F.col("rep").alias("a"), F.col("root").alias("b"))), "groups")
