@@ -9,10 +9,13 @@ the id's words: its count over the id's words and different words, the latter be
 probabilities of all words, unknown ones included, sum to 1. The counts of tail words are joined to the documents, never
 held in one place.
 
-Training is data-parallel: in each round every partition starts from the common parameters, takes AdaGrad steps on its own
-whole documents (one word in ``mask`` is masked and a target at a time, as in masked language modelling; the rounds share
-out the ``mask`` sets of words, so each word is a target once), and the results are averaged with the numbers of targets as weights, by an aggregate over blocks of parameters. What the
-driver holds is the vocabulary and one set of parameters, which grow with the square root of the corpus.
+Training is data-parallel: the output layer starts from the words' shares; in each round every partition starts from the
+common parameters, takes AdaGrad steps on its own whole documents (one word in ``mask`` is masked and a target at a time, as
+in masked language modelling; the rounds share out the ``mask`` sets of words, so each word is a target once), and the
+results are averaged with the numbers of targets as weights, block by block of parameters and in two levels, so no task sees
+more than the square root of the partitions' blocks. A step takes about a quarter of the square root of the corpus's words
+(512 to 8192). Long documents are taken in parts with their neighbours' words in view. What the driver holds is the vocabulary
+and one set of parameters, which grow with the square root of the corpus.
 
 Defined results: null and empty texts have no words, so a score of 0 and a null mean; repeated documents each get a row;
 in a corpus without words every score is 0. Other columns are kept in ``row``.
@@ -45,6 +48,7 @@ class Vocabulary:
     classes: int
     tail: int
     room: np.ndarray  # of each tail id, its words and different words
+    times: np.ndarray | None = None  # how often the words of ``ids`` occur
 
     @property
     def edge(self) -> int:
@@ -75,7 +79,10 @@ def _bucket(word: bytes, tail: int) -> int:
 
 def _words(text: str | None) -> list[bytes]:
     """The words of a text; those over ``LONGEST`` bytes by a digest, with a letter that no word has."""
-    return [w if len(w) <= LONGEST else b"#" + blake2b(w, digest_size=16).hexdigest().encode() for w in fold(text).split()]
+    words = fold(text).split()
+    if max(map(len, words), default=0) > LONGEST:
+        words = [w if len(w) <= LONGEST else b"#" + blake2b(w, digest_size=16).hexdigest().encode() for w in words]
+    return words
 
 
 def _count(batches):
@@ -106,7 +113,7 @@ def vocabulary(counts: DataFrame, classes: int = CLASSES, tail: int = TAIL) -> V
     classes = max(classes, math.ceil(math.sqrt(math.sqrt(total) + tail)))
     rows = counts.orderBy(F.desc("n"), "word").limit(classes * classes - tail).collect()  # the square root of the words
     ids = {r["word"].encode(): i for i, r in enumerate(rows)}
-    vocab = Vocabulary(ids, classes, tail, np.zeros(tail))
+    vocab = Vocabulary(ids, classes, tail, np.zeros(tail), np.array([r["n"] for r in rows], np.float64))
     if rows:
         last = rows[-1]
         rest = counts.where((F.col("n") < last["n"]) | ((F.col("n") == last["n"]) & (F.col("word") > last["word"])))
@@ -128,7 +135,7 @@ def _rooms(tail: int):
 
 @dataclass
 class Network:
-    embed: np.ndarray  # ids x places x HIDDEN: each context word's contribution, one table a place
+    embed: np.ndarray  # (places x ids) x HIDDEN: each context word's contribution, one table a place
     bias: np.ndarray
     top: np.ndarray  # HIDDEN + 1 x classes
     low: np.ndarray  # classes x HIDDEN + 1 x size
@@ -139,7 +146,18 @@ class Network:
     def fresh(cls, classes: int, seed: int = 0) -> Network:
         r = np.random.default_rng(seed)
         f = np.float32
-        return cls(r.normal(0, 0.1, (classes * classes + 1, 2 * SIDE, HIDDEN)).astype(f), np.zeros(HIDDEN, f), r.normal(0, 0.05, (HIDDEN + 1, classes)).astype(f), r.normal(0, 0.05, (classes, HIDDEN + 1, classes)).astype(f))
+        return cls(r.normal(0, 0.1, (2 * SIDE * (classes * classes + 1), HIDDEN)).astype(f), np.zeros(HIDDEN, f), r.normal(0, 0.05, (HIDDEN + 1, classes)).astype(f), r.normal(0, 0.05, (classes, HIDDEN + 1, classes)).astype(f))
+
+    @classmethod
+    def start(cls, vocab: Vocabulary) -> Network:
+        """A fresh network that gives each id its share of the corpus."""
+        net, n = cls.fresh(vocab.classes), np.ones(vocab.edge)
+        if vocab.times is not None:
+            n[: len(vocab.times)] += vocab.times
+        n[vocab.edge - vocab.tail :] += vocab.room
+        n = n.reshape(vocab.classes, -1)
+        net.top[-1], net.low[:, -1] = np.log(n.sum(axis=1) / n.sum()), np.log(n / n.sum(axis=1, keepdims=True))
+        return net
 
     def flat(self) -> np.ndarray:
         return np.concatenate([getattr(self, n).ravel() for n in self.NAMES])
@@ -154,118 +172,169 @@ class Network:
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
         """Rows of HIDDEN + 1 values, the last of them 1."""
-        z = self.bias + sum(self.embed[context[:, k], k] for k in range(context.shape[1]))
-        return np.concatenate([np.tanh(z), np.ones((len(z), 1), np.float32)], axis=1)
-
-    def log_probability(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+        h = np.ones((len(context), HIDDEN + 1), np.float32)
+        ids = len(self.embed) // context.shape[1]
+        z = self.embed[:ids].take(context[:, 0], axis=0)
+        for k in range(1, context.shape[1]):
+            z += self.embed[k * ids : (k + 1) * ids].take(context[:, k], axis=0)
+        z += self.bias
+        np.tanh(z, out=h[:, :-1])
+        return h
+
+    def log_probability(self, context: np.ndarray, target: np.ndarray, chunk: int = 2048) -> np.ndarray:
+        """Of each target given its context; taken in the order of classes, so each class's table serves many at once."""
         size = self.top.shape[1]
-        h, c, w = self.hidden(context), target // size, target % size
-        out = _log_softmax(h @ self.top)[np.arange(len(c)), c]
+        c = target // size
         order = np.argsort(c, kind="stable")
-        edges = np.searchsorted(c[order], np.arange(size + 1))
-        for k in range(size):
-            own = order[edges[k] : edges[k + 1]]
-            if len(own):
-                out[own] += _log_softmax(h[own] @ self.low[k])[np.arange(len(own)), w[own]]
+        out, free = np.empty(len(c), np.float32), np.empty((chunk, size), np.float32)
+        for lo in range(0, len(order), chunk):
+            own = order[lo : lo + chunk]
+            h, k, w = self.hidden(context[own]), c[own], target[own] % size
+            x, row = free[: len(own)], np.arange(len(own))
+            np.dot(h, self.top, out=x)
+            got = _log_share(x, row, k)
+            for i, a, z in _runs(k):
+                np.dot(h[a:z], self.low[i], out=x[a:z])
+            out[own] = got + _log_share(x, row, w)
         return out
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _runs(c: np.ndarray) -> list[tuple[int, int, int]]:
+    """(value, from, to) of the runs of a sorted array."""
+    first = np.concatenate([[0], np.flatnonzero(c[1:] != c[:-1]) + 1, [len(c)]]) if len(c) else np.zeros(1, np.int64)
+    return list(zip(c[first[:-1]].tolist(), first[:-1].tolist(), first[1:].tolist(), strict=True))
+
+
+def _log_share(x: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The logarithm of one column's softmax in each row; overwrites ``x``."""
+    x -= x.max(axis=1, keepdims=True)
+    own = x[row, at]
+    np.exp(x, out=x)
+    return own - np.log(x.sum(axis=1))
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    x /= x.sum(axis=1, keepdims=True)
-    return x
+def _error(x: np.ndarray, row: np.ndarray, at: np.ndarray) -> None:
+    """Softmax less one at each row's column, over the number of rows; in place."""
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True) * len(x)
+    x[row, at] -= np.float32(1 / len(x))
 
 
 class Trainer:
-    """AdaGrad steps on one copy of the network."""
+    """AdaGrad steps on one copy of the network. A row of weights (a word's at a place, an output's) has one accumulator, the
+    mean of its squared gradients: half the memory to touch, and a root for each row only."""
+
+    AXES = {"embed": 1, "top": 0, "low": 1, "bias": None}
 
     def __init__(self, net: Network, rate: float = 0.15):
-        self.net, self.rate = net, rate
-        self.seen = {n: np.full(getattr(net, n).shape, 1e-2, np.float32) for n in Network.NAMES}
+        self.net, self.rate = net, np.float32(rate)
+        self.seen = {n: np.full(np.delete(getattr(net, n).shape, [] if x is None else x), 1e-2, np.float32) for n, x in self.AXES.items()}
+        self.free = np.empty((0, net.top.shape[1]), np.float32), np.empty((0, net.top.shape[1]), np.float32)
 
     def _step(self, name: str, grad: np.ndarray, at=slice(None)) -> None:
-        seen, a = self.seen[name], getattr(self.net, name)
-        seen[at] += grad * grad
-        a[at] -= self.rate * grad / np.sqrt(seen[at])
+        seen, a, axis = self.seen[name], getattr(self.net, name), self.AXES[name]
+        if axis is None:
+            more = grad * grad
+        elif name == "embed":
+            more = np.einsum("rh,rh->r", grad, grad) / grad.shape[1]
+        else:
+            more = np.einsum("...ho,...ho->...o", grad, grad) / grad.shape[-2]
+        now = seen[at] + more
+        seen[at] = now
+        scale = self.rate / np.sqrt(now)
+        grad = grad * (scale if axis is None else np.expand_dims(scale, axis))
+        if isinstance(at, slice):
+            a -= grad
+        else:
+            a[at] -= grad
 
     def step(self, context: np.ndarray, target: np.ndarray) -> None:
         net, n = self.net, len(target)
         size = net.top.shape[1]
-        h, c, w = net.hidden(context), target // size, target % size
-        order = np.argsort(c, kind="stable")
-        h, c, w, context = h[order], c[order], w[order], context[order]
-        p = _softmax(h @ net.top)
-        p[np.arange(n), c] -= 1
-        p /= n
-        back = p @ net.top.T
-        top = h.T @ p
-        some, first = np.unique(c, return_index=True)
-        spans = list(zip(some.tolist(), first.tolist(), [*first[1:].tolist(), n], strict=True))
-        q, low = np.empty((n, size), np.float32), np.empty((len(some), h.shape[1], size), np.float32)
-        for k, lo, hi in spans:
-            np.matmul(h[lo:hi], net.low[k], out=q[lo:hi])
-        q = _softmax(q)
-        q[np.arange(n), w] -= 1
-        q /= n
-        for i, (k, lo, hi) in enumerate(spans):
-            back[lo:hi] += q[lo:hi] @ net.low[k].T
-            np.matmul(h[lo:hi].T, q[lo:hi], out=low[i])
-        self._step("low", low, some)
-        self._step("top", top)
-        g = back[:, :-1] * (1 - h[:, :-1] ** 2)
+        if len(self.free[0]) < n:
+            self.free = np.empty((n, size), np.float32), np.empty((n, size), np.float32)
+        p, q = self.free[0][:n], self.free[1][:n]
+        c = target // size
+        order = np.argsort(c.astype(np.uint16), kind="stable")
+        context, c, w, row = context[order], c[order], target[order] % size, np.arange(n)
+        h, runs = net.hidden(context), _runs(c)
+        np.dot(h, net.top, out=p)
+        _error(p, row, c)
+        back = np.dot(p, net.top.T)
+        for i, lo, hi in runs:
+            np.dot(h[lo:hi], net.low[i], out=q[lo:hi])
+        _error(q, row, w)
+        grad = np.empty((len(runs), h.shape[1], size), np.float32)
+        for j, (i, lo, hi) in enumerate(runs):
+            back[lo:hi] += np.dot(q[lo:hi], net.low[i].T)
+            np.dot(h[lo:hi].T, q[lo:hi], out=grad[j])
+        some = np.array([i for i, _, _ in runs])
+        self._step("low", grad, slice(None) if len(some) == len(net.low) else some)
+        self._step("top", np.dot(h.T, p))
+        g = back[:, :-1]
+        g *= 1 - h[:, :-1] ** 2
         self._step("bias", g.sum(axis=0))
-        for k in range(context.shape[1]):
-            order = np.argsort(context[:, k], kind="stable")
-            ids, first = np.unique(context[order, k], return_index=True)
-            self._step("embed", np.add.reduceat(g[order], first), (ids, k))
+        # all places' tables as one: a row for each id at each place
+        ids = len(net.embed) // context.shape[1]
+        every = (context + np.arange(context.shape[1]) * ids).ravel()
+        every = every.astype(np.uint16) if len(net.embed) <= 1 << 16 else every  # short keys are sorted by radix
+        order = np.argsort(every, kind="stable")
+        every = every[order]
+        first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        self._step("embed", np.add.reduceat(g.take(order // context.shape[1], axis=0), first), every[first])
+
+
+def contexts(group: list[tuple[int, np.ndarray, int, int]], edge: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(contexts, targets, text) of the words of some parts of texts; ``SIDE`` words on each side."""
+    parts, place, text, at = [np.zeros(0, np.int32)], [], [], SIDE
+    for i, x, lo, hi in group:
+        a, z = max(0, lo - SIDE), min(len(x), hi + SIDE)
+        parts += [np.full(SIDE - lo + a, edge, np.int32), x[a:z].astype(np.int32), np.full(SIDE + hi - z, edge, np.int32)]
+        place.append(np.arange(at, at + hi - lo))
+        text.append(np.full(hi - lo, i))
+        at += hi - lo + 2 * SIDE
+    every, place, text = np.concatenate(parts), np.concatenate(place), np.concatenate(text)
+    around = [k for k in range(-SIDE, SIDE + 1) if k]
+    return np.stack([every[place + k] for k in around], axis=1), every[place], text
 
 
-def contexts(ids: list[np.ndarray], edge: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(contexts, targets, text) of all words of some texts; ``SIDE`` words on each side."""
-    gap = np.full(SIDE, edge, np.int64)
-    parts, place, text, at = [gap], [], [], SIDE
+def _parts(ids: list[np.ndarray], words: int = 40_000):
+    """Texts, or parts of long ones, in groups of about so many words: (text, its ids, from, to)."""
+    group, size = [], 0
     for i, x in enumerate(ids):
-        parts += [x.astype(np.int64), gap]
-        place.append(np.arange(at, at + len(x)))
-        text.append(np.full(len(x), i))
-        at += len(x) + SIDE
-    every, place, text = np.concatenate(parts), np.concatenate(place or [gap[:0]]), np.concatenate(text or [gap[:0]])
-    around = [k for k in range(-SIDE, SIDE + 1) if k]
-    return np.stack([every[place + k] for k in around], axis=1) if len(place) else np.zeros((0, 2 * SIDE), np.int64), every[place], text
+        for lo in range(0, len(x), words):
+            hi = min(lo + words, len(x))
+            group.append((i, x, lo, hi))
+            size += hi - lo
+            if size >= words:
+                yield group
+                group, size = [], 0
+    if group:
+        yield group
 
 
-def _groups(batches, kind: type, words: int = 40_000):
-    """Rows of the batches in groups of about so many words: (batch, from, ids)."""
-    for b in batches:
-        ids = [np.frombuffer(x, kind) for x in b.column("ids").to_pylist()]
-        lo, size = 0, 0
-        for i, x in enumerate(ids):
-            size += len(x)
-            if size >= words or i + 1 == len(ids):
-                yield b, lo, ids[lo : i + 1]
-                lo, size = i + 1, 0
+def _ids(b: pa.RecordBatch, kind: type) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), kind) for x in b.column("ids")]
 
 
 def _train(data, round_: int, rounds: int, mask: int, edge: int, batch: int, pieces: int, kind: type = np.uint16):
     def run(batches):
         net = data.value
-        t, n, part = Trainer(net.like(net.flat().copy())), 0, TaskContext.get().partitionId()
-        for k, (_, _, ids) in enumerate(_groups(batches, kind)):
-            context, target, _ = contexts(ids, edge)
-            residue = (np.arange(len(target)) * 2654435761 + k * 40503 + part * 97) % 4294967296 % mask
-            for m in range(round_, mask, rounds):
-                own = np.flatnonzero(residue == m)
-                for lo in range(0, len(own), batch):
-                    t.step(context[own[lo : lo + batch]], target[own[lo : lo + batch]])
-                n += len(own)
+        t, n, part, k = Trainer(net.like(net.flat().copy())), 0, TaskContext.get().partitionId(), 0
+        for b in small(batches, 4000):
+            for group in _parts(_ids(b, kind), max(40_000, mask * batch)):
+                context, target, _ = contexts(group, edge)
+                residue = (np.arange(len(target)) * 2654435761 + k * 40503 + part * 97) % 4294967296 % mask
+                k += 1
+                for m in range(round_, mask, rounds):
+                    own = np.flatnonzero(residue == m)
+                    for x in np.array_split(own, -(-len(own) // batch)) if len(own) else ():
+                        t.step(context[x], target[x])
+                    n += len(own)
         if n:
             for piece, x in enumerate(np.array_split(t.net.flat(), pieces)):
-                yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([float(n)]), pa.array([x.tobytes()], pa.binary())], names=["piece", "n", "mean"])
+                yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([part], pa.int32()), pa.array([float(n)]), pa.array([x.tobytes()], pa.binary())], names=["piece", "part", "n", "mean"])
 
     return run
 
@@ -273,12 +342,15 @@ def _train(data, round_: int, rounds: int, mask: int, edge: int, batch: int, pie
 def train(encoded: DataFrame, vocab: Vocabulary, *, rounds: int = 2, mask: int = 8, batch: int = 512, pieces: int = 16) -> Network:
     """Rounds of training over every partition of ``encoded`` (ids) with averaging in between; together they take every word once."""
     spark = encoded.sparkSession
-    net = Network.fresh(vocab.classes)
-    shape = T.StructType().add("piece", "integer").add("n", "double").add("mean", "binary")
+    net = Network.start(vocab)
+    pieces = max(pieces, len(net.flat()) >> 16)
+    side = max(1, math.isqrt(encoded.rdd.getNumPartitions()))
+    shape = T.StructType().add("piece", "integer").add("part", "integer").add("n", "double").add("mean", "binary")
     for r in range(rounds):
         data = spark.sparkContext.broadcast(net)  # the parameters, once
         partial = encoded.select("ids").mapInArrow(_train(data, r, rounds, mask, vocab.edge, batch, pieces, vocab.kind), shape)
-        rows = partial.groupBy("piece").applyInArrow(_mean_table, shape).collect()  # ``pieces`` rows, one set of parameters
+        half = partial.withColumn("part", F.pmod("part", F.lit(side))).groupBy("piece", "part").applyInArrow(_mean_table, shape)
+        rows = half.groupBy("piece").applyInArrow(_mean_table, shape).collect()  # ``pieces`` rows, one set of parameters
         if not rows:
             break
         net = net.like(np.concatenate([np.frombuffer(x["mean"], np.float32) for x in sorted(rows, key=lambda x: x["piece"])]))
@@ -289,7 +361,7 @@ def _mean_table(table: pa.Table) -> pa.Table:
     total, n = 0.0, 0.0
     for w, x in zip(table.column("n").to_pylist(), table.column("mean"), strict=True):
         total, n = total + w * np.frombuffer(x.as_buffer(), np.float32).astype(np.float64), n + w
-    return pa.table({"piece": table.column("piece").slice(0, 1), "n": pa.array([n]), "mean": pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())})
+    return pa.table({"piece": table.column("piece").slice(0, 1), "part": table.column("part").slice(0, 1), "n": pa.array([n]), "mean": pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())})
 
 
 def score(documents: DataFrame, *, text_col: str = "text", classes: int = CLASSES, tail: int = TAIL, rounds: int = 2, mask: int = 8, carry: list[str] | None = None) -> DataFrame:
@@ -308,17 +380,20 @@ def score(documents: DataFrame, *, text_col: str = "text", classes: int = CLASSE
             uid += b.num_rows
 
     encoded = cut(df.mapInArrow(encode, df.select("row").schema.add("uid", "long").add("ids", "binary").add("rest", "string")), "words")
-    data = spark.sparkContext.broadcast(train(encoded, vocab, rounds=rounds, mask=mask))
+    total = 0 if vocab.times is None else int(vocab.times.sum() + vocab.room.sum())
+    batch = min(8192, max(512, math.isqrt(total) // 4))
+    data = spark.sparkContext.broadcast(train(encoded, vocab, rounds=rounds, mask=mask, batch=batch))
     edge, kind = vocab.edge, vocab.kind
 
     def judge(batches):
-        for b, lo, ids in _groups(batches, kind):
-            context, target, text = contexts(ids, edge)
-            p = np.concatenate([data.value.log_probability(context[i : i + 8192], target[i : i + 8192]) for i in range(0, len(target), 8192)] or [np.zeros(0)])
-            p = p.astype(np.float64) - words.value.log_room(target)
-            n = np.array([len(x) for x in ids], np.int64)
-            total = np.bincount(text, p, len(ids)) if len(text) else np.zeros(len(ids))
-            yield pa.RecordBatch.from_arrays([b.column("row").slice(lo, len(ids)), b.column("uid").slice(lo, len(ids)), pa.array(n), pa.array(total)], names=["row", "uid", "n_words", "part"])
+        for b in small(batches, 4000):
+            ids = _ids(b, kind)
+            n, total = np.array([len(x) for x in ids], np.int64), np.zeros(len(ids))
+            for group in _parts(ids):
+                context, target, text = contexts(group, edge)
+                p = data.value.log_probability(context, target)
+                total += np.bincount(text, p.astype(np.float64) - words.value.log_room(target), len(ids))
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("uid"), pa.array(n), pa.array(total)], names=["row", "uid", "n_words", "part"])
 
     judged = encoded.select("row", "uid", "ids").mapInArrow(judge, encoded.select("row", "uid").schema.add("n_words", "long").add("part", "double"))
     # log n of every tail word; that of words counted once is 0
