@@ -255,10 +255,12 @@ def score(documents: DataFrame, model: Model | float, *, text_col: str = "text",
                 hot = np.flatnonzero(p > 0.5)
                 owner = np.searchsorted(w.upto, hot, side="right")
                 base = np.concatenate([[1], 1 + np.cumsum([len(x) + 1 for x in part])])
-                for t, i in zip(hot.tolist(), owner.tolist(), strict=True):
-                    a, b = int(w.start[t] - base[i]), int(w.end[t] - base[i])
-                    start = len(part[i][:a].decode("utf-8", "replace"))
-                    spans[lo + at + i].append({"start": start, "end": start + len(part[i][a:b].decode("utf-8", "replace")), "p": float(p[t])})
+                for i in np.unique(owner).tolist():
+                    # code points before each byte: those that don't continue a character
+                    before = np.concatenate([[0], np.cumsum((np.frombuffer(part[i], np.uint8) & 0xC0) != 0x80)])
+                    own = hot[owner == i]
+                    start, end = before[w.start[own] - base[i]], before[w.end[own] - base[i]]
+                    spans[lo + at + i] = [{"start": x, "end": y, "p": z} for x, y, z in zip(start.tolist(), end.tolist(), p[own].tolist(), strict=True)]
         return pa.StructArray.from_arrays([pa.array(scores), pa.array(spans, span)], ["score", "spans"])
 
     judged = F.arrow_udf(judge, "score double, spans array<struct<start:long,end:long,p:double>>")
