@@ -266,7 +266,7 @@ _DRAW = "('0x' || substr(sha256('{s}:' || doc_id::VARCHAR), 1, 13))::UBIGINT / 4
 _TOK = "tok AS (SELECT doc_id, source, list_append(CASE WHEN coalesce(text, '') = '' THEN [] ELSE list_transform(string_split(text, ''), lambda c: unicode(c)) END, 0) AS t FROM documents), flat AS (SELECT doc_id, source, unnest(t) AS v, unnest(range(len(t))) AS i, off FROM (SELECT *, coalesce(sum(len(t)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM tok)), pos AS (SELECT CAST(off + i AS BIGINT) AS p, v, source FROM flat)"
 _WIN = "w AS (SELECT p // {n} AS \"window\", list(v ORDER BY p) AS t FROM pos GROUP BY 1)"
 _J = "sha256(array_to_string({x}, ','))"
-_FOLD = "l AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS k, CAST(least(len(t), {n}) AS BIGINT) AS n FROM tok{where}), f(k, doc_id, n, held, w) AS (SELECT k, doc_id, n, n, CAST(0 AS BIGINT) FROM l WHERE k = 1 UNION ALL SELECT l.k, l.doc_id, l.n, CASE WHEN f.held = {n} OR f.held + l.n > {n} THEN l.n ELSE f.held + l.n END, f.w + CASE WHEN f.held = {n} OR f.held + l.n > {n} THEN 1 ELSE 0 END FROM f JOIN l ON l.k = f.k + 1)"
+_FOLD = "l AS MATERIALIZED (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS k, CAST(least(len(t), {n}) AS BIGINT) AS n FROM tok{where}), f(k, doc_id, n, held, w) AS (SELECT k, doc_id, n, n, CAST(0 AS BIGINT) FROM l WHERE k = 1 UNION ALL SELECT l.k, l.doc_id, l.n, CASE WHEN f.held = {n} OR f.held + l.n > {n} THEN l.n ELSE f.held + l.n END, f.w + CASE WHEN f.held = {n} OR f.held + l.n > {n} THEN 1 ELSE 0 END FROM f JOIN l ON l.k = f.k + 1)"
 _COUNTS = "string_agg(DISTINCT {x}, ',' ORDER BY {x})"
 _STAGE_ROWS = ", ".join(f"('{s}', '{k}', {v}::DOUBLE)" for s, w in mixture.STAGES.items() for k, v in w.items())
 _W_ROWS = ", ".join(f"('{k}', {v}::DOUBLE)" for k, v in WEIGHTS.items())
