@@ -111,9 +111,10 @@ def preview_candidates(a) -> int:
 
 def _checked(a):
     from loomspark.operators import dedupe, validation
+    from loomspark.session import cut
     from loomspark.sources import rows
 
-    got = rows.validation_results(_spark(), a.input).withColumn("ord", F.struct("file", "line"))
+    got = cut(rows.validation_results(_spark(), a.input), "validated").withColumn("ord", F.struct("file", "line"))  # rules run once
     r = F.col("record")
     key = validation.duplicate_key(F.coalesce(F.nullif(r["source_candidate_id"], F.lit("")), r["candidate_id"]), r["synthetic_id"], r["task_type"], r["teacher_provider"], r["output_hash"], r["assistant_response"])
     out = dedupe.mark_duplicates(got.withColumn("key", key), ["key"], "ord", among=F.col("valid"))
