@@ -95,7 +95,8 @@ def in_blocks(members: DataFrame, group: str, ident: str, block: int) -> DataFra
     out = out.withColumn("_parts", parts).withColumn("side", F.pmod(F.xxhash64(ident), F.col("_parts")).cast("int"))
     out = out.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
     out = out.withColumn("bi", F.least("side", "_other")).withColumn("bj", F.greatest("side", "_other")).drop("_size", "_parts", "_other")
-    return out.repartition(group, "bi", "bj")
+    # a fixed number: pairs of blocks are small in bytes and long in work, so they must not be coalesced by size
+    return out.repartition(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), group, "bi", "bj")
 
 
 def by_group(dealt: DataFrame, group: str) -> DataFrame:

@@ -126,10 +126,10 @@ def features(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     doc = np.repeat(np.arange(len(raw)), w.n)
     word = (w.hash() >> np.uint64(48)).astype(np.int64)
     size = np.array([len(t) for t in raw], np.int64)
-    cls = _CLASS[np.frombuffer(b" " + b" ".join(raw) + b"    ", np.uint8)]
+    cls = _CLASS[np.frombuffer(b" " + b"    ".join(raw) + b"    ", np.uint8)]  # four blanks: no gram sees the next text
     with np.errstate(over="ignore"):
         gram = mix(cls[:-3] + cls[1:-2] * np.uint64(31) + cls[2:-1] * np.uint64(961) + cls[3:] * np.uint64(29791)) >> np.uint64(48)
-    at = np.concatenate([[1], 1 + np.cumsum(size + 1)])[:-1]
+    at = np.concatenate([[1], 1 + np.cumsum(size + 4)])[:-1]
     own = np.repeat(np.arange(len(raw)), size)
     place = np.repeat(at - (np.cumsum(size) - size), size) + np.arange(size.sum())
     parts = []

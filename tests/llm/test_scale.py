@@ -5,6 +5,7 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -94,11 +95,9 @@ def test_cells_keep_recall(spark, monkeypatch):
     centers = r.normal(size=(60, 32))
     x = centers[r.integers(0, 60, 50_000)] + 0.3 * r.normal(size=(50_000, 32))
     x[:16_000] = centers[0] + 0.3 * r.normal(size=(16_000, 32))  # a third of all rows in one place
-    import pandas as pd
-
     monkeypatch.setattr(ann, "ROW_BLOCK", 5000)
     monkeypatch.setattr(ann, "QUERIES", 300)
-    d = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": list(x)})).repartition(8)
+    d = spark.createDataFrame(pa.table({"vec_id": np.arange(len(x)), "embedding": pa.ListArray.from_arrays(np.arange(0, x.size + 1, 32, dtype=np.int32), x.ravel())})).repartition(8)
     got = {}
     for y in ann.search(d, F.pmod(F.col("id"), F.lit(500)) == 0).collect():
         got.setdefault(y["query_id"], set()).add(y["vec_id"])
@@ -192,7 +191,7 @@ def test_a_trained_network_is_a_distribution(spark):
     assert np.isclose(p.sum(), 1, atol=1e-4)
     h = np.append(np.tanh(net.bias + sum(net.embed.reshape(4, -1, pseudo_lm.HIDDEN)[k, one[0, k]] for k in range(4))), 1)
     soft = lambda z: np.exp(z - z.max()) / np.exp(z - z.max()).sum()
-    assert np.allclose(p, np.concatenate([soft(h @ net.top)[c] * soft(h @ net.low[c]) for c in range(6)]), atol=1e-5)
+    assert np.allclose(p, np.concatenate([soft(h @ net.top)[c] * soft(h @ net.low[c]) for c in range(vocab.classes)]), atol=1e-5)
 
 
 def test_long_documents_are_taken_in_parts():
