@@ -283,7 +283,7 @@ def test_structuring(spark):
     assert got[0]["error"] is None and got[0]["skills"] == ["tests"] and got[0]["loss_weight"] == 1.5
     assert got[1]["blocked"] == ["loss_weight", "source"] and got[1]["source"] == "s" and got[2]["error"] == "invalid JSON response"
     clean = structuring.scrub({"api_key": "x", "a": ["y" * 600] * 30, "b": {"c": {"d": {"e": {"f": 1}}}}})
-    assert clean["api_key"] == "<redacted>" and len(clean["a"]) == 20 and clean["a"][0] == "y" * 500 + "...<truncated>" and clean["b"] == {"c": {"d": {"e": "<omitted>"}}}
+    assert clean["api_key"] == "<redacted>" and len(clean["a"]) == 20 and clean["a"][0] == "y" * 500 + "...<truncated>" and clean["b"] == {"c": {"d": {"e": {"f": "<omitted>"}}}}
     many = json.dumps({str(i): "y" * 400 for i in range(20)})
     raw = spark.createDataFrame([(json.dumps({"Token": "x", "a": 1}),), ("[",), (many,)], "r string").select(structuring.scrubbed(F.col("r")).alias("s")).collect()
     assert json.loads(raw[0]["s"]) == {"Token": "<redacted>", "a": 1} and raw[1]["s"] is None and raw[2]["s"] is None
