@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomspark.functions import text as tx
 from loomspark.operators.candidates import skills as inferred_skills
 from loomspark.operators.dedupe import similarity_ratio
+from loomspark.session import cut
 
 # Fixed values of the rules.
 PYTHON_MARKERS = ("python", "def ", "class ", "pytest", "traceback", "exception", "list comprehension", "dictionary", "pandas", "numpy", "asyncio", ".py")
@@ -145,6 +146,7 @@ def full_report(checked: DataFrame, by: list[str]) -> DataFrame:
     Sections: total, valid (without duplicates), rejected, duplicates, by <attribute> and average (of valid records with
     their duplicates), reason (a duplicate counts as one).
     """
+    checked = cut(checked.select("reasons", "duplicate", "loss_weight", *by), "checked")  # the rules run once
     ok, dup = F.size("reasons") == 0, F.coalesce("duplicate", F.lit(False))
     row = lambda section, n, w=None: F.struct(F.lit(section).alias("section"), F.lit("").alias("value"), n.cast("long").alias("n"), (F.lit(None).cast("double") if w is None else w).alias("mean_weight"))
     n_ok, n_dup = F.count(F.when(ok, 1)), F.count(F.when(ok & dup, 1))
