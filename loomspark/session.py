@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 ROOT = Path(__file__).resolve().parent.parent
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g", shared: str | None = None) -> SparkSession:
+    """``shared``: the folder for intermediate tables (a core setting, so it must be there when the session starts)."""
+    builder = SparkSession.builder if shared is None else SparkSession.builder.config("spark.checkpoint.dir", shared)
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName("loomspark")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
