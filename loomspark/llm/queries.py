@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, line_dedup, ngram_join, packing, pii, pseudo_lm, quality, toxicity, url_filter
+from . import ann, collocations, decontaminate, line_dedup, ngram_join, packing, pii, pseudo_lm, quality, token_counts, toxicity, url_filter, vector_code
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_vector_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = vector_code.compress(_t(spark, sf_dir, "embeddings"), carry=["vec_id"])
+    return out.select("row.vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = token_counts.counts(_t(spark, sf_dir, "documents"), carry=["doc_id"])
+    return out.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > token_counts.LIMIT).alias("over_limit"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_t(spark, sf_dir, "documents"))
+
+
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 OP1_SQL = f"""
 WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') AS w FROM documents),
@@ -107,5 +121,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_ngram_join": op9_ngram_join,
     "op10_packing": op10_packing,
+    "op11_vector_code": op11_vector_code,
+    "op12_token_counts": op12_token_counts,
+    "op13_collocations": op13_collocations,
 }
-ORACLE_SQL: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op6_url_filter": url_filter.ORACLE_SQL, "op9_ngram_join": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op6_url_filter": url_filter.ORACLE_SQL, "op9_ngram_join": OP9_SQL, "op11_vector_code": vector_code.ORACLE_SQL, "op13_collocations": collocations.ORACLE_SQL}
