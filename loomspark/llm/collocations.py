@@ -1,7 +1,7 @@
 """Phrases whose words occur together more than their parts do apart, mined by position bitmaps.
 
 Texts become shards: runs of words of one language with a bit for each word that goes on the piece of the word before. In a
-shard every word has a compressed bitmap of its positions (the words of 32 bits that have any). A phrase is extended as in
+shard every word has a compressed bitmap of its positions (the blocks of 16 bits that have any). A phrase is extended as in
 SPAM: its bitmap of last positions is shifted by one, taken AND with the bit of going on, and AND with the bitmaps of the
 words that stand in those blocks; popcounts of what is left are the longer phrases' numbers, and each slice of prefixes is
 carried to its full length before the next one begins. Shards' popcounts are summed by Spark. A piece longer than a shard is
@@ -17,7 +17,8 @@ count each; other columns are ignored.
 
 from __future__ import annotations
 
-from collections import defaultdict
+import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,46 +31,64 @@ from pyspark.sql.window import Window
 
 from .common import Bloom, bloom_of, cut, drop_tables, small
 
-LEAST, LONGEST, TOP, SHARD, SLICE, SALTS = 30, 4, 2000, 400_000, 60_000, 64
+LEAST, LONGEST, TOP, SHARD, SLICE, SALTS = 30, 4, 2000, 8 << 20, 60_000, 64
 COVER, SCORE = 80, 2_000_000
 #: A-Z fold, a tab is a space, ends of pieces become full stops.
 _FOLD = bytes(46 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
-BITS = 32
+BITS, MASK = 16, np.uint16
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """Words in order, with ``b"."`` between pieces."""
-    return [w for w in text.translate(_FOLD).replace(b".", b" . ").split(b" ") if w]
+def fold(text: bytes) -> bytes:
+    """Letters folded, a space between words, a full stop between pieces."""
+    return text.translate(_FOLD)
 
 
-def stretches(text: bytes, size: int = 1 << 22) -> Iterator[bytes]:
-    """A text in parts of about ``size`` bytes that end at white space, so that only some of its words are objects at a time."""
-    at = 0
-    while len(text) - at > size and (end := text.find(b" ", at + size)) >= 0:
-        yield text[at:end]
+def stretches(folded: bytes, size: int, over: int) -> Iterator[tuple[bytes, int]]:
+    """A text in parts of about ``size`` bytes that end at white space: each with up to ``over`` words of the next part, and how
+    many bytes are its own."""
+    after, at = re.compile(rb"(?:[ .]*[^ .]+){0,%d}" % over), 0
+    while len(folded) - at > size and (end := folded.find(b" ", at + size)) >= 0:
+        yield folded[at : after.match(folded, end).end()], end - at
         at = end
-    yield text[at:] if at else text
+    yield (folded[at:] if at else folded), len(folded) - at
+
+
+def numbered(folded: bytes, own: int) -> tuple[pa.Array, np.ndarray, np.ndarray, int]:
+    """(words, ids, goes_on, begins): a dictionary, each word's number, whether it goes on the piece of the word before, and how
+    many words begin in the first ``own`` bytes."""
+    split = pc.split_pattern(pa.array([folded.replace(b".", b" . ")], pa.binary()), " ").flatten().dictionary_encode()
+    words, raw = split.dictionary, split.indices.to_numpy()
+    empty, stop = (pc.index(words, pa.scalar(x, pa.binary())).as_py() for x in (b"", b"."))
+    raw = raw[raw != empty]
+    word = raw != stop
+    goes_on = (np.concatenate([[False], word[:-1]]) & word)[word] if len(raw) else word
+    ids, begins = raw[word], None
+    if own < len(folded):
+        inside = np.isin(np.frombuffer(folded, np.uint8)[:own], (32, 46), invert=True)
+        begins = int(inside[:1].sum() + (inside[1:] & ~inside[:-1]).sum())
+    return words, ids, goes_on, len(ids) if begins is None else begins
 
 
 class Shard:
-    """Position bitmaps of a run of words: ``ids`` (from 0), ``goes_on``, and how many positions may begin a phrase."""
+    """Position bitmaps of a run of words: ``ids``, which of them have one, ``goes_on``, and how many positions may begin a phrase."""
 
-    def __init__(self, ids: np.ndarray, goes_on: np.ndarray, begins: int):
+    def __init__(self, ids: np.ndarray, good: np.ndarray, goes_on: np.ndarray, begins: int):
         n = len(ids)
         self.blocks = -(-n // BITS) + 1
-        at = np.arange(n)
-        order = np.lexsort((ids, at // BITS))
-        block, word, bit = (at // BITS)[order], ids[order], np.uint32(1) << (at[order] % BITS).astype(np.uint32)
-        new = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (word[1:] != word[:-1])])) if n else np.zeros(0, np.int64)
+        at = np.flatnonzero(good)
+        key = (at // BITS) << 32 | ids[at]
+        order = np.argsort(key, kind="stable")
+        key, bit = key[order], MASK(1) << (at[order] % BITS).astype(MASK)
+        new = _runs(key)
         #: entries (block, word, mask), by block
-        self.block, self.word = block[new], word[new]
-        self.mask = np.bitwise_or.reduceat(bit, new) if n else bit
-        self.first = np.searchsorted(self.block, np.arange(self.blocks + 1))
+        self.block, self.word = (key[new] >> 32).astype(np.int32), (key[new] & 0xFFFFFFFF).astype(np.int32)
+        self.mask = np.bitwise_or.reduceat(bit, new) if len(new) else bit
+        self.first = np.searchsorted(self.block, np.arange(self.blocks + 1)).astype(np.int32)
         self.goes_on = self._bitmap(goes_on)
-        self.starts = self._bitmap(at < begins)
+        self.starts = self._bitmap(np.arange(n) < begins)
 
     def _bitmap(self, flags: np.ndarray) -> np.ndarray:
-        return np.packbits(np.pad(flags, (0, self.blocks * BITS - len(flags))), bitorder="little").view("<u4")
+        return np.packbits(np.pad(flags, (0, self.blocks * BITS - len(flags))), bitorder="little").view(MASK)
 
     def singles(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(word, block, mask) of words at the positions that begin phrases, by word."""
@@ -80,15 +99,15 @@ class Shard:
 
     def extend(self, phrase: np.ndarray, block: np.ndarray, mask: np.ndarray, goes_on: np.ndarray) -> tuple[np.ndarray, ...]:
         """(phrase, word, block, mask) of every phrase with one more word, by phrase and word."""
-        carry = np.flatnonzero(mask >> np.uint32(BITS - 1))
-        phrase, block = np.concatenate([phrase, phrase[carry]]), np.concatenate([block, block[carry] + 1])
-        mask = np.concatenate([mask << np.uint32(1), np.ones(len(carry), np.uint32)]) & goes_on[block]
+        carry = np.flatnonzero(mask >> MASK(BITS - 1))
+        phrase, block = np.concatenate([phrase, phrase[carry]]), np.concatenate([block, block[carry] + np.int32(1)])
+        mask = np.concatenate([mask << MASK(1), np.ones(len(carry), MASK)]) & goes_on[block]
         some = np.flatnonzero(mask)
         phrase, block, mask = phrase[some], block[some], mask[some]
         begin = self.first[block]
         times = self.first[block + 1] - begin
-        src = np.repeat(np.arange(len(block)), times)
-        entry = np.arange(len(src)) + np.repeat(begin - (np.cumsum(times) - times), times)
+        src = np.repeat(np.arange(len(block), dtype=np.int32), times)
+        entry = np.arange(len(src), dtype=np.int32) + np.repeat(begin - (np.cumsum(times, dtype=np.int32) - times), times)
         both = mask[src] & self.mask[entry]
         hit = np.flatnonzero(both)
         src, entry, both = src[hit], entry[hit], both[hit]
@@ -102,40 +121,56 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([k[1:] != k[:-1] for k in keys])])) if len(keys[0]) else np.zeros(0, np.int64)
 
 
-def _key(lang: bytes, phrases: list[bytes]) -> np.ndarray:
-    """Spark's ``xxhash64(lang, phrase)``."""
+#: Fixed: the multipliers of xxHash's 64-bit form.
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _word_keys(lang: bytes, words: list[bytes]) -> np.ndarray:
+    """Spark's ``xxhash64(lang, word)``."""
     seed = xxhash.xxh64_intdigest(lang, 42)
-    return np.fromiter((xxhash.xxh64_intdigest(p, seed) for p in phrases), np.uint64, len(phrases)).view(np.int64)
+    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
-def _words_of(words: list[bytes], known: Bloom | None, lang: bytes) -> np.ndarray:
-    return np.ones(len(words), bool) if known is None else known.has(_key(lang, words))
+def _long_hash(x: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """xxHash of eight bytes."""
+    turn = lambda v, n: (v << np.uint64(n)) | (v >> np.uint64(64 - n))
+    with np.errstate(over="ignore"):
+        h = (seed + _P5 + np.uint64(8)) ^ (turn(x * _P2, 31) * _P1)
+        h = turn(h, 27) * _P1 + _P4
+        h = (h ^ (h >> np.uint64(33))) * _P2
+        h = (h ^ (h >> np.uint64(29))) * _P3
+    return h ^ (h >> np.uint64(32))
 
 
-def mine(lang: bytes, words: list[bytes], ids: np.ndarray, goes_on: np.ndarray, begins: int, level: int, longest: int, frequent: Bloom | None, pairs: Bloom | None) -> Iterator[tuple[pa.Array, np.ndarray]]:
+def _pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Spark's ``xxhash64(key of the first word, key of the second)``."""
+    return _long_hash(second, _long_hash(first, np.full(1, 42, np.uint64)))
+
+
+def mine(lang: bytes, names: pa.Array, ids: np.ndarray, goes_on: np.ndarray, begins: int, level: int, longest: int, frequent: Bloom | None, pairs: Bloom | None) -> Iterator[tuple[pa.Array, np.ndarray]]:
     """Phrases of a shard and their numbers. ``level`` 1: words, 2: pairs of frequent words, 3: longer ones along frequent pairs."""
-    names = pa.array(words, pa.binary())
     if level == 1:
-        n = np.bincount(ids[:begins], minlength=len(words))
+        n = np.bincount(ids[:begins], minlength=len(names))
         own = np.flatnonzero(n)
         yield names.take(pa.array(own)), n[own]
         return
-    good = _words_of(words, frequent, lang)[ids]
+    keys = _word_keys(lang, names.to_pylist())
+    good = np.ones(len(ids), bool) if frequent is None else frequent.has(keys)[ids]
     on = goes_on & good & np.concatenate([[False], good[:-1]])
-    shard = Shard(ids, on, begins)
+    shard = Shard(ids, good, on, begins)
     joined = lambda parts: pc.binary_join_element_wise(*(names.take(pa.array(p)) for p in parts), pa.scalar(b" ", pa.binary()))
     word, block, mask = shard.singles()
     cuts = _slices(word)
     along = shard.goes_on
     if level > 2:  # the bit of going on stays only where a frequent pair ends
-        everywhere = Shard(ids, on, len(ids)) if begins < len(ids) else shard
+        everywhere = Shard(ids, good, on, len(ids)) if begins < len(ids) else shard
         w, b, m = everywhere.singles()
         along = np.zeros_like(shard.goes_on)
         for lo, hi in _slices(w):
             first, second, at, both = everywhere.extend(w[lo:hi], b[lo:hi], m[lo:hi], everywhere.goes_on)
             run = _runs(first, second)
             if len(run):
-                ok = pairs.has(_key(lang, joined([first[run], second[run]]).to_pylist())) if pairs is not None else np.ones(len(run), bool)
+                ok = np.ones(len(run), bool) if pairs is None else pairs.has(_pair_keys(keys[first[run]], keys[second[run]]))
                 keep = np.repeat(ok, np.diff(np.append(run, len(first))))
                 np.bitwise_or.at(along, at[keep], both[keep])
     for lo, hi in cuts:
@@ -165,39 +200,24 @@ def _slices(word: np.ndarray, size: int = SLICE) -> list[tuple[int, int]]:
     return out
 
 
-def _shards(batches, size: int, over: int) -> Iterator[tuple[bytes, list[bytes], np.ndarray, np.ndarray, int]]:
-    """(lang, words, ids, goes_on, begins) of shards of about ``size`` words; at most a shard of each language is open."""
-    open_: dict[bytes, tuple] = {}
+def _shards(batches, size: int, over: int) -> Iterator[tuple]:
+    """(lang, names, ids, goes_on, begins) of shards of about ``size`` bytes; at most one of each language is open."""
+    open_: dict[bytes, list[bytes]] = {}
+    held: Counter = Counter()
 
-    def close(lang: bytes, flat: list[int], known: dict) -> Iterator[tuple]:
-        raw = np.array(flat, np.int64)
-        word = raw != 0
-        goes_on = (np.concatenate([[False], word[:-1]]) & word)[word]
-        ids = raw[word] - 1
-        words = list(known)[1:]
-        for lo in range(0, len(ids), size):
-            own = ids[lo : lo + size + over]
-            on = goes_on[lo : lo + size + over].copy()
-            on[:1] = False
-            yield lang, words, own, on, min(size, len(own))
+    def close(lang: bytes) -> Iterator[tuple]:
+        held.pop(lang)
+        for part, own in stretches(b".".join(open_.pop(lang)), size, over):
+            yield lang, *numbered(part, own)
 
     for b in small(batches):
         for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), strict=True):
-            if lang not in open_:
-                known: dict = defaultdict(lambda: len(known))  # noqa: B023
-                known[b"."] = 0
-                open_[lang] = ([], known)
-            flat, known = open_[lang]
-            number = known.__getitem__
-            flat.append(0)
-            for part in stretches(text):
-                flat.extend([number(w) for w in tokens(part)])
-            if len(flat) >= size:
-                del open_[lang]
-                yield from close(lang, flat, known)
-                flat, known = [], {}
-    for lang, (flat, known) in open_.items():
-        yield from close(lang, flat, known)
+            open_.setdefault(lang, []).append(fold(text))
+            held[lang] += len(text) + 1
+            if held[lang] >= size:
+                yield from close(lang)
+    for lang in [*open_]:
+        yield from close(lang)
 
 
 def _counted(docs: DataFrame, level: int, longest: int, frequent, pairs, size: int) -> DataFrame:
@@ -205,11 +225,9 @@ def _counted(docs: DataFrame, level: int, longest: int, frequent, pairs, size: i
 
     def run(batches):
         held = [None if x is None else x.value for x in (frequent, pairs)]
-        for lang, words, ids, goes_on, begins in _shards(batches, size, longest - 1):
-            name = lang.decode()
-            for phrases, n in mine(lang, words, ids, goes_on, begins, level, longest, *held):
-                text = phrases.cast(pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(n), pa.string()), text, pa.array(n, pa.int64())], names=["lang", "phrase", "n"])
+        for lang, *shard in _shards(batches, size, longest - 1):
+            for phrases, n in mine(lang, *shard, level, longest, *held):
+                yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang.decode()), len(n)), phrases.cast(pa.string()), pa.array(n, pa.int64())], names=["lang", "phrase", "n"])
 
     return docs.mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
 
@@ -228,17 +246,18 @@ def frequencies(documents: DataFrame, *, text_col: str = "text", lang_col: str =
     words = cut(singles.where(common), "frequent")
     drop_tables(singles)
 
-    def known(table: DataFrame):
-        keys = table.select(F.xxhash64("lang", "phrase").alias("key"))
-        return spark.sparkContext.broadcast(bloom_of(keys, "key", max(1, table.count())))
+    word_key = lambda i: F.xxhash64("lang", F.split("phrase", " ")[i])
+
+    def known(table: DataFrame, key: Column):
+        return spark.sparkContext.broadcast(bloom_of(table.select(key.alias("key")), "key", max(1, table.count())))
 
     out = words.select("lang", "phrase", "f", F.lit(1).alias("size"))
     if longest >= 2:
-        frequent = known(words)
+        frequent = known(words, word_key(0))
         pairs = cut(_counted(docs, 2, longest, frequent, None, shard).where(common), "pairs")
         out = out.unionAll(pairs.select("lang", "phrase", "f", F.lit(2)))
         if longest > 2:
-            more = _counted(docs, 3, longest, frequent, known(pairs), shard).where(common)
+            more = _counted(docs, 3, longest, frequent, known(pairs, F.xxhash64(word_key(0), word_key(1))), shard).where(common)
             out = out.unionAll(cut(more.select("lang", "phrase", "f", F.size(F.split("phrase", " "))), "longer"))
     return out, totals
 

@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -210,7 +211,7 @@ def test_bitmaps_cross_blocks_and_cuts():
     on[[0, 64]] = False
     for level in (2, 3):
         got = Counter()
-        for phrases, n in collocations.mine(b"en", [b"a", b"b"], ids, on, 200, level, 4, None, None):
+        for phrases, n in collocations.mine(b"en", pa.array([b"a", b"b"], pa.binary()), ids, on, 200, level, 4, None, None):
             got.update(dict(zip(phrases.to_pylist(), n.tolist(), strict=True)))
         plain = Counter()
         for k in (2,) if level == 2 else (3, 4):
@@ -220,7 +221,14 @@ def test_bitmaps_cross_blocks_and_cuts():
         assert got == plain
 
 
-def test_stretches_are_cut_at_spaces():
-    text = b"alpha beta. gamma " * 50
-    parts = list(collocations.stretches(text, 40))
-    assert b"".join(parts) == text and [w for p in parts for w in collocations.tokens(p)] == collocations.tokens(text)
+def test_stretches_are_cut_at_spaces_and_see_what_follows():
+    text = collocations.fold(b"Alpha beta.. gamma\tdelta " * 50)
+    parts = list(collocations.stretches(text, 40, 3))
+    assert len(parts) > 20 and b"".join(p[:own] for p, own in parts) == text
+    words = [w for w in text.replace(b".", b" ").split()]
+    at = 0
+    for part, own in parts:
+        names, ids, goes_on, begins = collocations.numbered(part, own)
+        assert names.take(pa.array(ids)).to_pylist() == words[at : at + begins + 3] and len(goes_on) == len(ids)
+        at += begins
+    assert at == len(words)
