@@ -301,8 +301,7 @@ m AS (SELECT *, CASE WHEN why IS NOT NULL THEN NULL WHEN source = 'debugbench' O
 _CAND = "cd AS (SELECT *, ['debugging', 'tests', 'refactor', 'explanation'][id % 4 + 1] AS task, CASE WHEN id % 3 = 0 THEN 'A' ELSE 'C' END AS tier, id % 100 / 100.0 AS sc FROM code)"
 _DIFF = f"CASE WHEN len({sql_solid('text')}) >= 35 OR {sql_hits('text', candidates.COMPLEX_MARKERS)} >= 3 OR sc >= 0.95 THEN 'advanced' WHEN len({sql_solid('text')}) >= 12 OR {sql_hits('text', candidates.COMPLEX_MARKERS)} >= 1 THEN 'intermediate' ELSE 'beginner' END"
 _KINDS = f"sk AS (SELECT *, {_SKILL_SQL} AS k0 FROM cd), s2 AS (SELECT *, list_concat(k0, CASE WHEN task = 'tests' AND NOT list_contains(k0, 'tests') THEN ['tests'] WHEN task = 'debugging' AND NOT list_contains(k0, 'errors') THEN ['errors'] ELSE [] END) AS k1 FROM sk), s3 AS (SELECT *, CASE WHEN len(k1) = 0 THEN 'python' ELSE array_to_string(k1, ',') END AS skills FROM s2)"
-_ASK = "CASE task " + " ".join(f"WHEN '{t}' THEN {sql_quote(structuring.MOCK[t][0])}" for t in ("debugging", "tests", "refactor", "explanation")) + " END"
-_ANSWER = "CASE task " + " ".join(f"WHEN '{t}' THEN {sql_quote(structuring.MOCK[t][1])}" for t in ("debugging", "tests", "refactor", "explanation")) + " END"
+_ASK, _ANSWER = ("concat('" + t.replace("{task}", "', task, '").replace("{n}", "', length(text), '") + "')" for t in structuring.MOCK)
 ORACLE_SQL = {
     "q_candidate_scores": f"WITH {CODE_SQL}, {_SCORED} SELECT id, source, why AS rejected, points AS score, CASE WHEN accepted THEN grade ELSE 'C' END AS tier, accepted, CASE WHEN accepted AND starts_with(tasks, 'code_writing') THEN 'teacher_structuring' ELSE 'instruction_tune' END AS stage, CASE WHEN NOT accepted THEN 0::DOUBLE WHEN grade = 'A' THEN 1::DOUBLE ELSE round_even(greatest(0.45::DOUBLE, least(0.85::DOUBLE, points)), 2) END AS loss_weight, CASE WHEN why IS NOT NULL THEN why WHEN accepted THEN parts ELSE 'below_min_score:' || parts END AS reason, tasks FROM m",
     "q_candidate_routing": f"WITH {CODE_SQL}, {_SCORED}, r AS (SELECT source, split_part(tasks, ',', 1) AS task, row_number() OVER (PARTITION BY source ORDER BY id) AS k FROM m WHERE accepted) SELECT source, task, count(*) AS n FROM r WHERE k <= 50 GROUP BY source, task",
