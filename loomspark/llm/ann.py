@@ -8,7 +8,7 @@ every other row whose table score is within its residual's norm of the k-th best
 
 Rows lie in cells about coarse centres, one for about ``PER_CELL`` rows and at most ``CELLS``; a query is compared with the
 rows of its nearest cells. How many those are is measured when the index is made: so many that ``FOUND`` of the sample's own
-nearest neighbours lie in them (all cells, where neighbours are everywhere). Rows and queries of a cell meet by shuffle, in
+nearest neighbours lie in them (all cells, where neighbours are everywhere); a query that finds fewer than ``k`` probes on. Rows and queries of a cell meet by shuffle, in
 blocks of bounded size, so a cell that holds a third of all rows is many tasks' work and nothing of the queries is broadcast.
 
 Codebooks and centres are fitted on at most ``sample`` vectors (least hashes of ids; a documented bound); the index holds
@@ -249,22 +249,58 @@ def nearest(quantiser: Quantiser, qid: np.ndarray, q: np.ndarray, ids: np.ndarra
 
 
 def search(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, candidates: int = CANDIDATES, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """query_id, rank, vec_id, score of each query's ``k`` nearest by cosine. ``is_query``: a condition on the column ``id``."""
+    """query_id, rank, vec_id, score of each query's ``k`` nearest by cosine. ``is_query``: a condition on the column ``id``.
+
+    A query probes the index's number of cells, and on until those hold over ``k`` ids; a query that has still found fewer than
+    ``k`` others (ids that stand in several cells) probes four times as many, until it has them or has seen all cells.
+    """
     spark = vectors.sparkSession
     index, quantiser, cells = build(vectors, id_col=id_col, vector_col=vector_col)
     if quantiser is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    data = spark.sparkContext.broadcast((quantiser, cells))
+    n_cells = len(cells.centers)
+    held = np.zeros(n_cells, np.int64)
+    for r in index.groupBy("cell").agg(F.countDistinct("id").alias("n")).collect() if n_cells > 1 else ():  # at most CELLS rows
+        held[r["cell"]] = r["n"]
+    asked = index.where(is_query).groupBy("id").agg(F.min("v").alias("v"))
+    asked = cut(asked, "asked") if n_cells > 1 else asked
+    found = _meet(index, _probed(asked, cells, held, cells.probes, k), quantiser, k, candidates, query_block)
+    if n_cells > 1:
+        found, probes = cut(found, "found"), cells.probes
+        want = min(k, index.select("id").distinct().count() - 1)
+        while probes < n_cells:
+            have = found.groupBy(F.col("query_id").alias("id")).agg(F.countDistinct("vec_id").alias("n"))
+            short = cut(asked.join(have.where(F.col("n") >= want), "id", "left_anti"), "short")
+            if want <= 0 or short.isEmpty():
+                break
+            probes = min(n_cells, 4 * probes)
+            found = cut(found.unionAll(_meet(index, _probed(short, cells, held, probes, k), quantiser, k, candidates, query_block)), "found")
+    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return once.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _probed(asked: DataFrame, cells: Cells, held: np.ndarray, probes: int, k: int) -> DataFrame:
+    """(id, v, cell): each query in its nearest ``probes`` cells, and in as many more as it takes to hold over ``k`` ids."""
+    data = asked.sparkSession.sparkContext.broadcast((cells, held))  # a fixed size
 
-    def probe(batches):
+    def run(batches):
+        own, n = data.value
         for b in batches:
             for lo in range(0, b.num_rows, CHUNK):
                 part = b.slice(lo, CHUNK)
-                own = data.value[1].nearest(unit(_stack(part)), data.value[1].probes)
-                src = pa.array(np.repeat(np.arange(part.num_rows), own.shape[1]))
-                yield pa.RecordBatch.from_arrays([part.column("id").take(src), part.column("v").take(src), pa.array(own.ravel().astype(np.int32))], names=["id", "v", "cell"])
+                order = own.nearest(unit(_stack(part)), len(n)) if len(n) > 1 else np.zeros((part.num_rows, 1), np.int64)
+                enough = (np.cumsum(n[order], axis=1) <= k).sum(axis=1) + 1
+                row, place = np.nonzero(np.arange(len(n))[None, :] < np.maximum(enough, probes)[:, None])
+                src = pa.array(row)
+                yield pa.RecordBatch.from_arrays([part.column("id").take(src), part.column("v").take(src), pa.array(order[row, place].astype(np.int32))], names=["id", "v", "cell"])
+
+    return cut(asked.mapInArrow(run, "id long, v array<double>, cell int"), "queries")
+
 
-    queries = cut(index.where(is_query).groupBy("id").agg(F.min("v").alias("v")).mapInArrow(probe, "id long, v array<double>, cell int"), "queries")
+def _meet(index: DataFrame, queries: DataFrame, quantiser: Quantiser, k: int, candidates: int, query_block: int) -> DataFrame:
+    """(query_id, vec_id, score): the best of each block of rows and queries that share a cell."""
+    data = index.sparkSession.sparkContext.broadcast(quantiser)
     sizes = index.groupBy("cell").agg(F.count("*").alias("n")).join(queries.groupBy("cell").agg(F.count("*").alias("m")), "cell")
     parts = F.broadcast(sizes.select("cell", F.ceil(F.col("n") / ROW_BLOCK).cast("int").alias("rb"), F.ceil(F.col("m") / QUERIES).cast("int").alias("qb")))  # at most CELLS rows
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -281,12 +317,9 @@ def search(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vect
             for lo in range(0, asked.num_rows, query_block):
                 a = asked.slice(lo, query_block).combine_chunks()
                 qid = a.column("id").to_numpy()
-                got = nearest(data.value[0], qid, _stack(a), ids, v, code, off, k, candidates)
+                got = nearest(data.value, qid, _stack(a), ids, v, code, off, k, candidates)
                 found.append((qid[got[1]], got[0], got[2]))
         q, i, s = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         return pa.table({"query_id": q, "vec_id": i, "score": s})
 
-    found = left.groupBy("cell", "r", "s").cogroup(right.groupBy("cell", "r", "s")).applyInArrow(meet, "query_id long, vec_id long, score double")
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return once.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return left.groupBy("cell", "r", "s").cogroup(right.groupBy("cell", "r", "s")).applyInArrow(meet, "query_id long, vec_id long, score double")

@@ -65,16 +65,19 @@ def _with_least(edges: DataFrame, key: str, near: DataFrame, hubs: DataFrame | N
     return out.unionAll(edges.join(F.broadcast(hubs.withColumnRenamed("u", key)), key).select("u", "v", "m"))
 
 
-def with_hot(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+def with_hot(rows: DataFrame, table: DataFrame, key: str | list[str], sizes: DataFrame | None = None) -> DataFrame:
     """``rows`` (every key not null) joined with ``table`` (a row for each key). The rows of hot keys, such as hubs, don't meet
-    in one task: the at most ``HUBS`` rows of the table that they need are broadcast."""
-    seen = Observation()
-    sizes = cut(rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).observe(seen, F.sum("_n").alias("n"), F.max("_n").alias("most")), "sizes")
-    limit = max(HUB, (seen.get["n"] or 0) // HUBS)
-    if (seen.get["most"] or 0) <= limit:
-        return rows.join(table, key)
-    hot = F.broadcast(sizes.where(F.col("_n") > limit).select(key))
-    return rows.join(hot, key, "left_anti").join(table, key).unionByName(rows.join(F.broadcast(table.join(hot, key)), key))
+    in one task: the at most ``HUBS`` rows of the table that they need are broadcast. ``sizes``: a written table of (key, _n: its
+    number of rows) where there is one, of all keys or those of several rows."""
+    on = [key] if isinstance(key, str) else key
+    if sizes is None:
+        sizes = cut(rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")), "sizes")
+    seen = sizes.agg(F.sum("_n").alias("n"), F.max("_n").alias("most")).first()
+    limit = max(HUB, (seen["n"] or 0) // HUBS)
+    if (seen["most"] or 0) <= limit:
+        return rows.join(table, on)
+    hot = F.broadcast(sizes.where(F.col("_n") > limit).select(*on))
+    return rows.join(hot, on, "left_anti").join(table, on).unionByName(rows.join(F.broadcast(table.join(hot, on)), on))
 
 
 def in_blocks(members: DataFrame, group: str, ident: str, block: int) -> DataFrame:

@@ -259,7 +259,8 @@ def removals(documents: DataFrame, *, doc_col: str = "doc_id", text_col: str = "
     linked = once.where("component is not null").groupBy("component").agg(F.min("first").alias("stays"))
     alone = once.where("component is null").select("h1", "h2", F.col("first").alias("stays"))
     stays = with_hot(once.where("component is not null"), linked, "component").select("h1", "h2", "stays").unionAll(alone)
-    gone = occ.join(stays, ["h1", "h2"]).where("uid != stays.uid or line != stays.line")
+    sizes = once.select("h1", "h2", F.col("n").alias("_n"))
+    gone = with_hot(occ.select("uid", "line", "h1", "h2"), stays, ["h1", "h2"], sizes).where("uid != stays.uid or line != stays.line")
     return gone.groupBy("uid").agg(F.sort_array(F.collect_set("line")).alias("removed"))
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import FOLD, Words, bloom_of, chunks, cut, drop_tables, mix, small
-from .graph import by_group, connected_components, in_blocks, local_components, whole_groups
+from .graph import by_group, connected_components, in_blocks, local_components, whole_groups, with_hot
 
 WIDTH, THRESHOLD, BANDS, ROWS, STEP, TOLERANCE, BLOCK = 5, 0.8, 25, 4, 20, 1e-7, 2000
 _MULT = np.random.default_rng(20240501).integers(1, 2**63, 64 * 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -303,12 +303,15 @@ def classes(documents: DataFrame, *, doc_col: str = "doc_id", text_col: str = "t
     linked = found.groupBy("rep").agg(F.sum("links").alias("links"), F.sum("linked").alias("linked"))
     roots = cut(connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b"))), "classes")
     info = reps.select("digest", "rep", "copies", "head").join(linked, "rep", "left").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
+    sizes = reps.select("digest", F.col("copies").alias("_n"))
     info = cut(info.withColumn("class", F.coalesce("component", "rep")).drop("component"), "info")
     named = info.groupBy("class").agg(F.min("head").alias("least"))
-    info = info.join(named, "class").select("digest", F.col("least.doc_id").alias("class_id"), F.col("least.uid").alias("first"), (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("links", F.lit(0)).alias("n_linked_texts"))
-    out = sketch.select("uid", "doc_id", "digest", "size").join(info, "digest", "left")
-    none = F.col("size") == 0
-    return out.select("uid", "doc_id", F.when(none, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.when(none, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"), F.when(none, F.lit(0)).otherwise(F.col("n_linked_texts")).cast("long").alias("n_linked_texts"), F.when(none, F.col("uid")).otherwise(F.col("first")).alias("first"))
+    info = with_hot(info, named, "class").select("digest", F.col("least.doc_id").alias("class_id"), F.col("least.uid").alias("first"), (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("links", F.lit(0)).alias("n_linked_texts"))
+    none = F.lit(0).cast("long")
+    bare = sketch.where("size = 0").select("uid", "doc_id", F.col("doc_id").alias("class_id"), none.alias("n_links"), none.alias("n_linked_texts"), F.col("uid").alias("first"))
+    # every digest of a text with words has its row in ``info``
+    out = with_hot(sketch.where("size > 0").select("uid", "doc_id", "digest"), info, "digest", sizes)
+    return out.select("uid", "doc_id", "class_id", F.col("n_links").cast("long").alias("n_links"), F.col("n_linked_texts").cast("long").alias("n_linked_texts"), "first").unionAll(bare)
 
 
 def keep_one(documents: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -147,6 +147,7 @@ class Runs:
         self.text = text
         self._link = self._secret = self._account = (-1, -1)
         self._mail = (-1, -1)  # where a domain was looked for, and where one begins (the text's end: nowhere)
+        self._sign = (-1, -1)  # the same of an at-sign
 
     def link(self, at: int) -> tuple[int, list[int]]:
         """Where the link text from ``at`` on stops, and the digits of its run."""
@@ -155,9 +156,18 @@ class Runs:
             end = m.end() if m else at
             stop = at + len(self.text[at:end].rstrip(".,;:!?)"))
             self._link, self._stop, self._digits = (at, end), stop, [i for i in range(at, stop) if self.text[i].isdigit()]
-            self._mail = (-1, -1)
+            self._mail = self._sign = (-1, -1)
         return self._stop, self._digits
 
+    def sign(self, at: int, stop: int) -> int:
+        """The first at-sign between ``at`` and ``stop``, the end of the link's run (-1: none)."""
+        known, found = self._sign
+        if not (0 <= known <= at <= found):
+            found = self.text.find("@", at, stop)
+            found = len(self.text) if found < 0 else found
+            self._sign = (at, found)
+        return found if found < stop else -1
+
     def has_domain(self, at: int, stop: int) -> bool:
         """Whether a domain begins between ``at`` and ``stop``, the end of the link's run."""
         known, found = self._mail
@@ -204,7 +214,7 @@ def _address(runs: Runs, start: int, end: int) -> tuple[int, int] | None:
             return None
         return left, stop
     if text[start:end].lower() == "mailto:":
-        sign = text.find("@", end, stop)
+        sign = runs.sign(end, stop)
         good = sign >= 0 and runs.has_domain(sign + 1, stop)
     else:
         good = 7 <= len(digits) - bisect_left(digits, end) <= 15

@@ -306,11 +306,11 @@ def test_anisotropic_code_favours_the_parallel_part():
     r = np.random.default_rng(1)
     x = ann.unit(r.normal(size=(2000, 16)))
     loss = []
-    for threshold in (0.2, 0.01):
+    for threshold in (0.5, 0.01):  # the loss counts the parallel part 5 times, and once
         q = ann.Quantiser(x, threshold=threshold)
         res = q.parts(x) - q.centers[np.arange(q.m), q._encode(q.parts(x), 2)]
         loss.append(((res * q.parts(x)).sum(axis=(1, 2)) ** 2).mean())
-    assert loss[0] < loss[1] or np.isclose(loss[0], loss[1])
+    assert loss[0] < loss[1]
 
 
 def test_pseudo_likelihood(spark, docs):

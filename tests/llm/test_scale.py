@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from loomspark.llm import ann, graph, packing, pii, pseudo_lm, quality, toxicity
+from loomspark.llm import ann, graph, line_dedup, ngram_join, packing, pii, pseudo_lm, quality, toxicity
 from loomspark.llm.common import Bloom, bloom_of, fold
 
 
@@ -49,6 +49,28 @@ def test_hot_lookup(spark):
     assert got.count() == 3000 and got.where("v <> 2 * k").count() == 0
 
 
+def test_rows_of_a_hot_key_stay_where_they_are(spark):
+    rows = spark.range(24_000).select(F.when(F.col("id") < 20_000, 1).otherwise(F.col("id")).alias("h1"), F.lit(5).alias("h2"), "id").repartition(8)
+    table = rows.select("h1", "h2").distinct().withColumn("v", F.col("h1") * 2)
+    sizes = rows.groupBy("h1", "h2").agg(F.count("*").alias("_n"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for known in (None, sizes):
+            got = graph.with_hot(rows, table, ["h1", "h2"], known).withColumn("task", F.spark_partition_id()).toPandas()
+            assert len(got) == 24_000 and (got["v"] == 2 * got["h1"]).all() and got[got["h1"] == 1]["task"].nunique() >= 8
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_copies_of_one_line_and_empty_documents(spark):
+    rows = [(i, "All rights reserved." if i % 2 else "") for i in range(6000)] + [(9000, "a line of its own that is long enough to be compared"), (9001, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    gone = {r["doc_id"] for r in line_dedup.dedup(d).where(F.size("removed") > 0).select("row.doc_id").collect()}
+    assert gone == {i for i in range(3, 6000, 2)}
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in ngram_join.classes(d).collect()}
+    assert all(got[i] == ((1, 2999) if i % 2 else (i, 0)) for i in range(6000)) and got[9000] == (9000, 0) and got[9001] == (9001, 0)
+
+
 def test_bloom_filters(spark):
     keys = spark.range(500).select(F.xxhash64("id").alias("k"))
     own = np.array([r["k"] for r in keys.collect()])
@@ -58,6 +80,19 @@ def test_bloom_filters(spark):
     assert bloom_of(keys, "k", 500, most_bits=100).has(other).all() and Bloom(None).has(other).all()
 
 
+@pytest.mark.parametrize("unit", ["mailto:", "mailto:@", "mailto:a.b", "MAILTO:x@", "tel:", "tel:1", "://", "a://", "a://u@", "a://1.2.3.4", "token", "token=", "account", "account 12", "password:", "iban ", "user id: ", "@", "a@b"])
+def test_time_grows_with_the_text_for_every_scheme_and_cue(unit):
+    def took(size):
+        text, best = unit * (size // len(unit)), 1e9
+        for _ in range(2):
+            began = time.perf_counter()
+            pii.find(text)
+            best = min(best, time.perf_counter() - began)
+        return best
+
+    assert took(1_000_000) < 6 * max(took(250_000), 0.05)
+
+
 @pytest.mark.parametrize("unit", ["token.", "a://", "mailto:@", "tel:1", "ACCOUNT1-", "1.", "+1", "password ", "a@"])
 def test_hostile_texts_take_time_in_proportion(unit):
     began = time.process_time()
@@ -110,6 +145,22 @@ def test_cells_keep_recall(spark, monkeypatch):
     assert len(cells.centers) == 50 and 1 <= cells.probes <= 50
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_every_query_has_its_neighbours_whatever_the_cells(spark, monkeypatch, seed):
+    """Outliers, cells of one row and of nearly all, repeated ids in several cells."""
+    monkeypatch.setattr(ann, "PER_CELL", 40)
+    r = np.random.default_rng(seed)
+    near = r.normal(size=8) + 0.01 * r.normal(size=(600, 8))
+    far = r.normal(size=(60, 8))
+    x = np.concatenate([near, far, near[:3], -near[:3]])
+    ids = np.concatenate([np.arange(660), [0, 1, 2], [0, 600, 601]])
+    d = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>").repartition(4)
+    got = Counter(y["query_id"] for y in ann.search(d, (F.col("id") >= 590) | (F.col("id") == 0)).collect())
+    assert got == {i: 5 for i in [0, *range(590, 660)]}
+    few = ann.search(d.where("vec_id in (3, 600, 610)"), F.lit(True)).collect()
+    assert Counter(y["query_id"] for y in few) == {3: 2, 600: 2, 610: 2}
+
+
 def test_expectation_maximisation_equals_its_definition():
     r = np.random.default_rng(1)
     votes = r.integers(-1, 2, size=(300, 4)).astype(np.int8)
