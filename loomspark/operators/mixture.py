@@ -9,8 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 from pyspark.sql.window import Window
 
 #: Fixed target weights of each stage.
@@ -50,20 +53,40 @@ def interleave(df: DataFrame, weights: Mapping[str, float], order: str, source:
     return ranked(kept, [source], order, "k").withColumn("due", (F.col("k") - 0.5) / _lookup(F.col(source), r)).drop("k")
 
 
-def _ranges(df: DataFrame, order: str) -> Column:
-    """The number of a row's range of a numeric order column; bounds are approximate quantiles, fixed before use."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = sorted(set(df.stat.approxQuantile(order, [i / parts for i in range(1, parts)], 0.01))) if parts > 1 else []
-    return F.size(F.filter(F.array(*map(F.lit, bounds)), lambda x: x <= F.col(order))) if bounds else F.lit(0)
+def bounds(df: DataFrame, order: str, parts: int | None = None) -> list:
+    """The least values of the ranges of a numeric column but the first: Spark's range partitioning of that column alone, as many
+    ranges as there are shuffle partitions, each bound in the column's own type."""
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if parts < 2:
+        return []
+    least = df.select(order).where(F.col(order).isNotNull()).repartitionByRange(parts, order).groupBy(F.spark_partition_id().alias("p")).agg(F.min(order).alias("least"))
+    return sorted(r["least"] for r in least.collect())[1:]  # a row for each range
 
 
-def running(df: DataFrame, groups: list[str], order: str, value: Column, name: str) -> DataFrame:
-    """Adds the sum of ``value`` over the rows before, in each group, by a numeric order column without ties.
+def _ranges(df: DataFrame, order: str, parts: int | None = None) -> Column:
+    """The number of a row's range of a numeric order column (nulls: the first); equal values are in one range."""
+    found = bounds(df, order, parts)
+    if not found:
+        return F.lit(0)
+    whole = isinstance(df.schema[order].dataType, IntegralType)
+    edges, kind = np.array(found, np.int64 if whole else np.float64), "long" if whole else "double"
 
-    Two levels, so no task orders more than a range of rows: sums within a range, and the ranges' totals before it.
+    def place(x: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(edges, x.to_numpy(), side="right").astype(np.int32))
+
+    # a null stands before the first bound
+    return F.pandas_udf(place, "int")(F.coalesce(F.col(order).cast(kind), F.lit(edges[0].item() - 1).cast(kind)))
+
+
+def running(df: DataFrame, groups: list[str], order: str, value: Column, name: str, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Adds the sum of ``value`` over the rows before, in each group, by a numeric order column without ties (or with ``ties``,
+    columns that settle them).
+
+    Two levels, so no task orders more than a range of rows: bounds are fixed by range partitioning the order column alone,
+    sums within a range follow, and the ranges' exact totals before it are added.
     """
     dealt = df.withColumn("_range", _ranges(df, order)).withColumn("_value", value)
-    own = Window.partitionBy(*groups, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    own = Window.partitionBy(*groups, "_range").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
     before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     totals = dealt.groupBy(*groups, "_range").agg(F.sum("_value").alias("_total"))
     totals = totals.select(*groups, "_range", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))
@@ -71,9 +94,9 @@ def running(df: DataFrame, groups: list[str], order: str, value: Column, name: s
     return out.drop("_range", "_value", "_before")
 
 
-def ranked(df: DataFrame, groups: list[str], order: str, name: str) -> DataFrame:
+def ranked(df: DataFrame, groups: list[str], order: str, name: str, ties: tuple[str, ...] = ()) -> DataFrame:
     """Adds the rank from 1 within groups."""
-    return running(df, groups, order, F.lit(1), name).withColumn(name, F.col(name) + 1)
+    return running(df, groups, order, F.lit(1), name, ties).withColumn(name, F.col(name) + 1)
 
 
 def check_sampler(sources, weights: Mapping[str, float], rates: Mapping[str, float] | None = None) -> None:
