@@ -27,15 +27,15 @@ def pack(a) -> int:
     """Sources to packed shards: filters, mixture, weights, tokens, windows, splits, files."""
     from loomspark.plans.prepack import pack_dataset
 
-    return _say(pack_dataset(_spark(), a.config, a.datasets_config, output=a.output_dir, synthetic=a.synthetic_input, target=a.target_sequences, stage=a.training_stage, root=a.mirror)[0])
+    return _say(pack_dataset(_spark(), a.config, a.datasets_config, output=a.output_dir, synthetic=a.synthetic_input, target=a.target_sequences, stage=a.training_stage, root=a.mirror, state=a.state_dir)[0])
 
 
 def session(a) -> int:
     from loomspark.plans.prepack import pack_dataset
-    from loomspark.sources import sessions
+    from loomspark.sources import files, sessions
 
     spark = _spark()
-    run = lambda folder, n, seconds: pack_dataset(spark, a.config, a.datasets_config, output=folder, synthetic=a.synthetic_input, target=n, stage=a.training_stage, root=a.mirror, seconds=seconds)
+    run = lambda folder, n, seconds: pack_dataset(spark, a.config, a.datasets_config, output=folder, synthetic=a.synthetic_input, target=n, stage=a.training_stage, root=a.mirror, seconds=seconds, state=files.join(a.sessions_root, "_packing"))
     return _say(sessions.run(spark, a.sessions_root, run, target=a.target_total_sequences, hours=a.max_session_hours, session_target=a.session_target_sequences, name=a.session_id, dry_run=a.dry_run))
 
 
@@ -210,7 +210,7 @@ def check_tokenizer(a) -> int:
 #: name: (function, {option: settings})
 NEED, INT, FLAG = {"required": True}, {"type": int}, {"action": "store_true"}
 COMMANDS = {
-    "pack": (pack, {"config": NEED, "datasets-config": NEED, "synthetic-input": {}, "output-dir": {}, "target-sequences": INT, "training-stage": {"default": "base_pretrain"}, "mirror": {"default": "."}}),
+    "pack": (pack, {"config": NEED, "datasets-config": NEED, "synthetic-input": {}, "output-dir": {}, "target-sequences": INT, "training-stage": {"default": "base_pretrain"}, "mirror": {"default": "."}, "state-dir": {}}),
     "session": (session, {"config": NEED, "datasets-config": NEED, "synthetic-input": {}, "sessions-root": NEED, "session-id": {}, "target-total-sequences": {"type": int, "required": True}, "max-session-hours": {"type": float, "default": 11.0}, "session-target-sequences": INT, "training-stage": {"default": "base_pretrain"}, "dry-run": FLAG, "mirror": {"default": "."}}),
     "finalize": (finalize, {"sessions-root": NEED, "output-dir": NEED, "config": {}, "require-target-total-sequences": INT, "overwrite": FLAG}),
     "verify-shards": (verify_shards, {"input-dir": NEED}),

@@ -11,7 +11,7 @@ from loomspark.functions.text import sql_strip
 from loomspark.operators import mixture, prepack, records, runs, sequences, splits
 from loomspark.plans.samples import CODE_SQL, code, read
 from loomspark.session import shared_dir
-from loomspark.sources import files, sessions, shards
+from loomspark.sources import files, packing, sessions, shards
 from loomspark.sources.config import Prepack
 
 WEIGHTS = {"src0": 0.5, "src1": 0.3, "src2": 0.2}
@@ -170,9 +170,48 @@ def q_pack_atomic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_prepack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both streams of windows with their attribution; a third of the documents stay whole."""
     t = _tokens(spark, sf_dir).withColumnRenamed("doc_id", "id").withColumn("quality_tier", F.when(F.col("id") % 2 == 0, "A")).withColumn("example_type", F.lit("text"))
-    out = prepack.sequences_of(t.withColumn("o", F.col("id")), "o", 2048, atomic=F.col("id") % 3 == 0)
+    return _said(prepack.with_split(prepack.sequences_of(t.withColumn("o", F.col("id")), "o", 2048, atomic=F.col("id") % 3 == 0), 0.8, 0.1, 0.1))
+
+
+def q_resumed_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sequences in five committed ranges, by a run that is stopped after two of them and another one that goes on."""
+    t = _docs(spark, sf_dir).select(F.col("doc_id").alias("id"), "text", "source", F.when(F.col("doc_id") % 2 == 0, "A").alias("quality_tier"), F.lit("text").alias("example_type"))
+    state = f"{shared_dir(spark)}/loomspark/packing-{uuid.uuid4().hex}"
+    laid, plan = packing.plan(spark, state, {"documents": sf_dir}, lambda: mixture.ranked(t, [], "id", "nth"), ranges=5)
+    encode = lambda df: df.withColumn("tokens", sequences.char_tokens(F.col("text"), 0)).drop("text")
+    step = lambda stop: packing.advance(laid, plan, state, encode, max_seq_len=2048, atomic=F.col("id") % 3 == 0, stop=stop)
+    first, _ = step(lambda at: "time_guard" if at.ranges == 2 else None)
+    step(lambda at: None)
+    both = packing.sequences(spark, state, 0, first.sequences).unionByName(packing.sequences(spark, state, first.sequences))
+    return _said(prepack.with_split(both, 0.8, 0.1, 0.1))
+
+
+def _said(out: DataFrame) -> DataFrame:
     say = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit(":"), e["value"])), ",").alias(c)
-    return prepack.with_split(out, 0.8, 0.1, 0.1).select("mode", "first", "split", "split_key", *map(say, ("source_counts", "quality_tier_counts", "training_stage_counts", "source_example_counts")))
+    return out.select("mode", "first", "split", "split_key", *map(say, ("source_counts", "quality_tier_counts", "training_stage_counts", "source_example_counts")))
+
+
+def q_shard_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of the documents' windows through the sink: totals of each shard, split and all, and what their ids add up to."""
+    t = _tokens(spark, sf_dir).withColumnRenamed("doc_id", "id").withColumns({"example_type": F.lit("text"), "o": F.col("id"), "tokens": F.transform("tokens", lambda x: x % 50000)})
+    folder, c = f"{shared_dir(spark)}/loomspark/shards-{uuid.uuid4().hex}", Prepack(dataset_name="Documents", max_seq_len=1024, mixture={"src0": 1.0}, shard_num_sequences=100, train_fraction=0.8, val_fraction=0.1, test_fraction=0.1)
+    shards.write(prepack.with_split(prepack.sequences_of(t, "o", c.max_seq_len), **c.fractions()), folder, c)
+    totals = shards.totals(shards.manifest_table(spark, folder))
+    ids = None
+    for s in shards.SPLITS:
+        own = shards.read(spark, folder, s).select(F.lit(s).alias("split"), F.aggregate("token_ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("ids"))
+        ids = own if ids is None else ids.unionAll(own)
+    sums = ids.rollup("split").agg(F.sum("ids").alias("ids"))
+    out = totals.join(sums, totals["split"].eqNullSafe(sums["split"]), "left").select(totals["split"], "shard_filename", "shards", "sequences", "tokens", F.when(F.col("shard_filename").isNull(), F.col("ids")).alias("ids"))
+    return out.where("shard_filename is null or sequences > 0")
+
+
+def q_shard_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each source in the shards of the documents' windows, by split and over all, from the manifest rows."""
+    t = _tokens(spark, sf_dir).withColumnRenamed("doc_id", "id").withColumns({"example_type": F.lit("text"), "o": F.col("id"), "tokens": F.transform("tokens", lambda x: x % 50000)})
+    folder, c = f"{shared_dir(spark)}/loomspark/shards-{uuid.uuid4().hex}", Prepack(dataset_name="Documents", max_seq_len=512, mixture={"src0": 1.0}, shard_num_sequences=200, train_fraction=0.8, val_fraction=0.1, test_fraction=0.1)
+    shards.write(prepack.with_split(prepack.sequences_of(t, "o", c.max_seq_len), **c.fractions()), folder, c)
+    return shards.mixture_totals(shards.manifest_table(spark, folder)).select("split", F.col("key").alias("source"), "tokens", F.round("share", 9).alias("share"))
 
 
 def _orders_packed(spark: SparkSession, sf_dir: str, config: Prepack) -> DataFrame:
@@ -306,6 +345,17 @@ n AS (SELECT mode, w, source, count(*) AS n, count(DISTINCT doc_id) AS d FROM u
 q AS (SELECT mode, w, CASE WHEN doc_id % 2 = 0 THEN 'A' ELSE 'unknown' END AS x, count(*) AS n FROM u GROUP BY 1, 2, 3), qs AS (SELECT mode, w, string_agg(x || ':' || n, ',' ORDER BY x) AS s FROM q GROUP BY mode, w),
 k AS (SELECT *, sha256(concat('{{"split_keys":"', keys, '","tokens":[', array_to_string(t, ','), ']}}')) AS split_key FROM g), h AS (SELECT *, {_B.format(k='split_key')} AS b FROM k)
 SELECT h.mode, first, CASE WHEN b < 0.8 THEN 'train' WHEN b < 0.8::DOUBLE + 0.1::DOUBLE THEN 'val' ELSE 'test' END AS split, split_key, ns.s AS source_counts, qs.s AS quality_tier_counts, 'unknown:2049' AS training_stage_counts, ns.e AS source_example_counts FROM h JOIN ns USING (mode, w) JOIN qs USING (mode, w)""",
+    "q_shard_manifest": f"""WITH {_TOK}, {_WIN.format(n=1025)}, c AS (SELECT p // 1025 AS "window", string_agg(DISTINCT doc_id::VARCHAR, '|' ORDER BY doc_id::VARCHAR) AS keys FROM (SELECT doc_id, CAST(off + i AS BIGINT) AS p FROM flat) GROUP BY 1),
+m AS (SELECT list_transform(t, lambda x: x % 50000) AS t, keys FROM w JOIN c USING ("window") WHERE len(t) = 1025), k AS (SELECT t, sha256(concat('{{"split_keys":"', keys, '","tokens":[', array_to_string(t, ','), ']}}')) AS split_key FROM m),
+h AS (SELECT CASE WHEN b < 0.8 THEN 'train' WHEN b < 0.8::DOUBLE + 0.1::DOUBLE THEN 'val' ELSE 'test' END AS split, list_sum(t) AS ids FROM (SELECT t, {_B.format(k='split_key')} AS b FROM k)), n AS (SELECT split, count(*) AS n, sum(ids) AS ids FROM h GROUP BY split),
+s AS (SELECT split, printf('%s/chunk_%06d.npy', split, i) AS shard_filename, 1 AS shards, least(100, n - 100 * i) AS sequences FROM n, range(0, 1000000) t(i) WHERE 100 * i < n)
+SELECT split, shard_filename, CAST(sum(shards) AS BIGINT) AS shards, CAST(sum(sequences) AS BIGINT) AS sequences, CAST(sum(sequences) * 1025 AS BIGINT) AS tokens, CAST(CASE WHEN shard_filename IS NULL THEN (SELECT sum(ids) FROM n WHERE s.split IS NULL OR n.split = s.split) END AS BIGINT) AS ids FROM s GROUP BY ROLLUP (split, shard_filename)""",
+    "q_shard_mixture": f"""WITH {_TOK}, {_WIN.format(n=513)}, o AS (SELECT p // 513 AS "window", source, count(*) AS c, string_agg(DISTINCT doc_id::VARCHAR, '|') AS ds FROM (SELECT doc_id, source, CAST(off + i AS BIGINT) AS p FROM flat) GROUP BY 1, 2),
+c AS (SELECT p // 513 AS "window", string_agg(DISTINCT doc_id::VARCHAR, '|' ORDER BY doc_id::VARCHAR) AS keys FROM (SELECT doc_id, CAST(off + i AS BIGINT) AS p FROM flat) GROUP BY 1),
+m AS (SELECT "window", list_transform(t, lambda x: x % 50000) AS t, keys FROM w JOIN c USING ("window") WHERE len(t) = 513), k AS (SELECT "window", sha256(concat('{{"split_keys":"', keys, '","tokens":[', array_to_string(t, ','), ']}}')) AS split_key FROM m),
+h AS (SELECT "window", CASE WHEN b < 0.8 THEN 'train' WHEN b < 0.8::DOUBLE + 0.1::DOUBLE THEN 'val' ELSE 'test' END AS split FROM (SELECT "window", {_B.format(k='split_key')} AS b FROM k)),
+f AS (SELECT split, source, CAST(sum(c) AS BIGINT) AS tokens FROM h JOIN o USING ("window") GROUP BY split, source UNION ALL SELECT NULL, source, CAST(sum(c) AS BIGINT) FROM h JOIN o USING ("window") GROUP BY source)
+SELECT split, source, tokens, round(tokens / sum(tokens) OVER (PARTITION BY split), 9) AS share FROM f""",
     "q_shard_files": f"WITH k AS (SELECT o_orderkey, sha256(o_orderkey::VARCHAR) AS key FROM orders), s AS (SELECT o_orderkey, {_B.format(k='key')} AS b FROM k), p AS (SELECT o_orderkey, CASE WHEN b < 0.8 THEN 'train' WHEN b < 0.8::DOUBLE + 0.1::DOUBLE THEN 'val' ELSE 'test' END AS split FROM s), i AS (SELECT split, o_orderkey, unnest(range(9)) AS j FROM p) SELECT split, CAST(ceil(count(DISTINCT o_orderkey) / 2000) AS BIGINT) AS shards, count(DISTINCT o_orderkey) AS sequences, count(DISTINCT o_orderkey) AS n, count(DISTINCT o_orderkey) AS consumed, CAST(sum((o_orderkey * 7 + j * 13) % 50000) AS BIGINT) AS ids, CAST(0 AS BIGINT) AS faults FROM i GROUP BY split",
     "q_shard_batches": f"WITH k AS (SELECT sha256(o_orderkey::VARCHAR) AS key FROM orders), n AS (SELECT CAST(count(*) AS BIGINT) AS n FROM (SELECT {_B.format(k='key')} AS b FROM k) WHERE b < 0.8), s AS (SELECT i, CASE WHEN i = 1 THEN least(n - 1000, 1000) - 10 ELSE least(n - i * 1000, 1000) END AS m FROM n, range(1, 100000) r(i) WHERE i * 1000 < n), l AS (SELECT sum(m // 64 * 64) AS r, count(*) FILTER (m >= 64) AS g FROM s) SELECT 'stream' AS kind, (n - 1010) // 64 * 64 AS rows, (n - 1010) // 64 AS groups FROM n WHERE n >= 1074 UNION ALL SELECT 'loader', CAST(r AS BIGINT), g FROM l WHERE r > 0",
     "q_session_files": "SELECT CAST(3 AS BIGINT) AS sessions, CAST(2 AS BIGINT) AS valid, CAST(0 AS BIGINT) AS invalid, CAST(1 AS BIGINT) AS ignored, count(*) AS sequences, count(*) * 8 AS tokens, count(*) AS merged, CAST(2 AS BIGINT) AS versions, CAST(0 AS BIGINT) AS faults FROM orders",
@@ -317,3 +367,4 @@ SELECT h.mode, first, CASE WHEN b < 0.8 THEN 'train' WHEN b < 0.8::DOUBLE + 0.1:
     "q_fim": f"WITH {CODE_SQL}, {_FIM} SELECT id, substr(text, 1, s) AS prefix, substr(text, s + 1, e - s) AS middle, substr(text, e + 1) AS suffix, concat('{sequences.FIM_PREFIX}', substr(text, 1, s), '{sequences.FIM_SUFFIX}', substr(text, e + 1), '{sequences.FIM_MIDDLE}', substr(text, s + 1, e - s)) AS fim_text, true AS fim_applied FROM b",
     "q_shard_cursor": "SELECT doc_id, doc_id // 100 AS shard, doc_id % 100 AS offset FROM documents WHERE doc_id // 100 > 3 OR (doc_id // 100 = 3 AND doc_id % 100 >= 40)",
 }
+ORACLE_SQL["q_resumed_packing"] = f"SELECT b.* REPLACE (r.nth AS first) FROM ({ORACLE_SQL['q_prepack_sequences']}) b JOIN (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS nth FROM documents) r ON r.doc_id = b.first"

@@ -124,7 +124,7 @@ def test_packing_sessions_and_merge(spark, tmp_path):
 
     def pack(folder, n, seconds):
         if folder.endswith("1"):
-            return pack_dataset(spark, path, sets, output=folder, target=n, root=str(tmp_path / "mirror"), seconds=seconds, tokenizer=tokenizers.Characters(eos_token_id=0))
+            return pack_dataset(spark, path, sets, output=folder, target=n, root=str(tmp_path / "mirror"), seconds=seconds, tokenizer=tokenizers.Characters(eos_token_id=0), ranges=2)
         own = spark.range(25).select(F.col("id").alias("o"), F.array_repeat(F.col("id").cast("int"), 33).alias("tokens"), F.lit("fineweb_edu").alias("source"), F.lit("t").alias("example_type"), "id")
         return shards.write(prepack.with_split(prepack.sequences_of(own, "o", 32), 0.6, 0.3, 0.1), folder, c), "data_exhausted"
 
