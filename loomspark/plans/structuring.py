@@ -201,8 +201,8 @@ def q_record_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_reply_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _records(spark, sf_dir).withColumn("assistant_response", F.when(F.col("ord") % 13 == 0, F.lit("use eval ( input ('x')) to parse the list")).otherwise(F.col("assistant_response")))
-    return r.select("synthetic_id", F.array_join(validation.reply_errors(r), ",").alias("errors"))
+    r = _records(spark, sf_dir).withColumn("assistant_response", F.when(F.col("ord") % 13 == 0, F.lit("use eval ( input ('x')) to parse the list")).when(F.col("ord") % 17 == 0, F.concat(F.lit("- "), F.upper("user_prompt"))).otherwise(F.col("assistant_response")))
+    return r.select("synthetic_id", F.array_join(validation.reply_errors(r, prompt="user_prompt"), ",").alias("errors"))
 
 
 def q_clean_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,6 +302,7 @@ _CAND = "cd AS (SELECT *, ['debugging', 'tests', 'refactor', 'explanation'][id %
 _DIFF = f"CASE WHEN len({sql_solid('text')}) >= 35 OR {sql_hits('text', candidates.COMPLEX_MARKERS)} >= 3 OR sc >= 0.95 THEN 'advanced' WHEN len({sql_solid('text')}) >= 12 OR {sql_hits('text', candidates.COMPLEX_MARKERS)} >= 1 THEN 'intermediate' ELSE 'beginner' END"
 _KINDS = f"sk AS (SELECT *, {_SKILL_SQL} AS k0 FROM cd), s2 AS (SELECT *, list_concat(k0, CASE WHEN task = 'tests' AND NOT list_contains(k0, 'tests') THEN ['tests'] WHEN task = 'debugging' AND NOT list_contains(k0, 'errors') THEN ['errors'] ELSE [] END) AS k1 FROM sk), s3 AS (SELECT *, CASE WHEN len(k1) = 0 THEN 'python' ELSE array_to_string(k1, ',') END AS skills FROM s2)"
 _ASK, _ANSWER = ("concat('" + t.replace("{task}", "', task, '").replace("{n}", "', length(text), '") + "')" for t in structuring.MOCK)
+_PLAIN = "trim(regexp_replace(regexp_replace(lower({c}), '[^a-zA-Z0-9_]+', ' ', 'g'), ' +', ' ', 'g'))"
 ORACLE_SQL = {
     "q_candidate_scores": f"WITH {CODE_SQL}, {_SCORED} SELECT id, source, why AS rejected, points AS score, CASE WHEN accepted THEN grade ELSE 'C' END AS tier, accepted, CASE WHEN accepted AND starts_with(tasks, 'code_writing') THEN 'teacher_structuring' ELSE 'instruction_tune' END AS stage, CASE WHEN NOT accepted THEN 0::DOUBLE WHEN grade = 'A' THEN 1::DOUBLE ELSE round_even(greatest(0.45::DOUBLE, least(0.85::DOUBLE, points)), 2) END AS loss_weight, CASE WHEN why IS NOT NULL THEN why WHEN accepted THEN parts ELSE 'below_min_score:' || parts END AS reason, tasks FROM m",
     "q_candidate_routing": f"WITH {CODE_SQL}, {_SCORED}, r AS (SELECT source, split_part(tasks, ',', 1) AS task, row_number() OVER (PARTITION BY source ORDER BY id) AS k FROM m WHERE accepted) SELECT source, task, count(*) AS n FROM r WHERE k <= 50 GROUP BY source, task",
@@ -326,7 +327,7 @@ SELECT id, CASE WHEN source = 'debugbench' OR debug THEN 'debugging,tests,explan
     "q_reason_histogram": f"WITH {_REC} SELECT reason, count(*) AS n FROM (SELECT unnest(reasons) AS reason FROM chk) GROUP BY reason",
     "q_record_report": f"WITH {_REC}, {_GOOD} SELECT CASE WHEN GROUPING(source) = 0 THEN 'source' WHEN GROUPING(task_type) = 0 THEN 'task_type' WHEN GROUPING(difficulty) = 0 THEN 'difficulty' ELSE '' END AS attribute, coalesce(source, task_type, difficulty) AS value, count(*) AS n, round(avg(loss_weight), 9) AS mean_weight FROM ok GROUP BY GROUPING SETS ((source), (task_type), (difficulty), ())",
     "q_record_duplicates": f"WITH {_REC}, k AS (SELECT synthetic_id, ord, min(ord) OVER (PARTITION BY coalesce(candidate_id, synthetic_id), CASE WHEN ord % 3 > 0 THEN 'same' ELSE {sql_squeeze('lower(assistant_response)')} END) AS first FROM rec) SELECT synthetic_id, CASE WHEN first < ord THEN first END AS duplicate_of FROM k",
-    "q_reply_errors": f"WITH {_REC}, a AS (SELECT * REPLACE (CASE WHEN ord % 13 = 0 THEN 'use eval ( input (''x'')) to parse the list' ELSE r END AS r) FROM nrm), b AS (SELECT *, lower(concat(p, chr(10), r, chr(10), CASE WHEN no_skills THEN '' ELSE 'Python loops' END)) AS bn FROM a) SELECT synthetic_id, array_to_string({_when(('task_type = ' + sql_quote('poetry'), 'invalid task_type'), ('difficulty = ' + sql_quote('expert'), 'invalid difficulty'), ('train_stage = ' + sql_quote('none'), 'invalid train_stage'), ('loss_weight NOT IN (0.5, 1.0, 1.5)', 'invalid loss_weight'), ('no_skills', 'missing skills'), ('length(p) = 0', 'empty user_prompt'), ('length(r) = 0', 'empty assistant_response'), ('length(r) < 24', 'assistant_response too short'), ('length(r) > 12000', 'assistant_response too long'), (sql_any('lower(r)', validation.REPLY_FLUFF), 'generic fluff'), (sql_any('lower(r)', validation.REPLY_ERRORS), 'provider/API error text'), ('NOT ' + sql_any('bn', validation.REPLY_PYTHON), 'not Python-related'), (' OR '.join('regexp_matches(r, ' + sql_quote('(?i)' + p) + ')' for p in validation.REPLY_UNSAFE), 'unsafe/malicious code'))}, ',') AS errors FROM b",
+    "q_reply_errors": f"WITH {_REC}, a AS (SELECT * REPLACE (CASE WHEN ord % 13 = 0 THEN 'use eval ( input (''x'')) to parse the list' WHEN ord % 17 = 0 AND p IS NOT NULL THEN concat('- ', upper(p)) ELSE r END AS r) FROM nrm), b AS (SELECT *, lower(concat(p, chr(10), r, chr(10), CASE WHEN no_skills THEN '' ELSE 'Python loops' END)) AS bn FROM a) SELECT synthetic_id, array_to_string({_when(('task_type = ' + sql_quote('poetry'), 'invalid task_type'), ('difficulty = ' + sql_quote('expert'), 'invalid difficulty'), ('train_stage = ' + sql_quote('none'), 'invalid train_stage'), ('loss_weight NOT IN (0.5, 1.0, 1.5)', 'invalid loss_weight'), ('no_skills', 'missing skills'), ('length(p) = 0', 'empty user_prompt'), ('length(r) = 0', 'empty assistant_response'), ('length(r) < 24', 'assistant_response too short'), ('length(r) > 12000', 'assistant_response too long'), (_PLAIN.format(c='p') + ' = ' + _PLAIN.format(c='r') + ' AND ' + _PLAIN.format(c='r') + ' <> ' + sql_quote(''), 'assistant_response nearly identical to prompt'), (sql_any('lower(r)', validation.REPLY_FLUFF), 'generic fluff'), (sql_any('lower(r)', validation.REPLY_ERRORS), 'provider/API error text'), ('NOT ' + sql_any('bn', validation.REPLY_PYTHON), 'not Python-related'), (' OR '.join('regexp_matches(r, ' + sql_quote('(?i)' + p) + ')' for p in validation.REPLY_UNSAFE), 'unsafe/malicious code'))}, ',') AS errors FROM b",
     "q_clean_skills": f"WITH {CODE_SQL}, s AS (SELECT id, docstring, {_SKILL_SQL} AS k FROM code) SELECT id, CASE WHEN id % 3 = 0 THEN array_to_string(list_concat(k, CASE WHEN list_contains(k, 'tests') THEN [] ELSE ['tests'] END), '|') ELSE 'Loops|JSON|' || docstring END AS skills FROM s",
     "q_request_queue": "WITH c AS (SELECT o_orderkey AS candidate_id, concat(o_custkey, ':', o_orderpriority) AS request_hash FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45)), f AS (SELECT request_hash, min(candidate_id) AS candidate_id FROM c GROUP BY request_hash) SELECT * FROM f ORDER BY candidate_id LIMIT 2000",
     "q_cached_replies": "WITH l AS (SELECT o_custkey AS key, max(o_orderkey) AS line, arg_max(o_orderstatus, o_orderkey) AS o_orderstatus FROM orders GROUP BY 1) SELECT c_custkey AS key, line, o_orderstatus, line IS NOT NULL AS hit FROM customer LEFT JOIN l ON key = c_custkey",

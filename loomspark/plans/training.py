@@ -11,7 +11,7 @@ from loomspark.functions.text import sql_strip
 from loomspark.operators import mixture, prepack, records, runs, sequences, splits
 from loomspark.plans.samples import CODE_SQL, code, read
 from loomspark.session import shared_dir
-from loomspark.sources import files, packing, sessions, shards
+from loomspark.sources import files, mirror, packing, sessions, shards
 from loomspark.sources.config import Prepack
 
 WEIGHTS = {"src0": 0.5, "src1": 0.3, "src2": 0.2}
@@ -214,6 +214,26 @@ def q_shard_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.mixture_totals(shards.manifest_table(spark, folder)).select("split", F.col("key").alias("source"), "tokens", F.round("share", 9).alias("share"))
 
 
+def q_mirror_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents from a mirror's parts through the source, with filters in the parts' scans."""
+    folder = f"{shared_dir(spark)}/loomspark/mirror-{uuid.uuid4().hex}"
+    _docs(spark, sf_dir).repartition(6, "doc_id").write.parquet(folder)
+    mirror.register(spark)
+    held = spark.read.format("mirror").schema("doc_id long, source string, lang string, n_chars long").option("filters", '[["n_chars", ">=", 1000], ["lang", "in", ["en", "de"]]]').load(folder)
+    return held.groupBy("source", "lang").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"), F.max("doc_id").alias("last"))
+
+
+def q_mirror_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mirror that grows, as a stream that is stopped and goes on from its offset: every document once."""
+    folder = f"{shared_dir(spark)}/loomspark/mirror-{uuid.uuid4().hex}"
+    mirror.register(spark)
+    for name, odd in (("a", 0), ("b", 1)):
+        _docs(spark, sf_dir).where(F.col("doc_id") % 2 == odd).repartition(3, "doc_id").write.parquet(f"{folder}/parts/{name}")
+        stream = spark.readStream.format("mirror").schema("doc_id long, source string, n_chars long").load(f"{folder}/parts")
+        stream.writeStream.format("parquet").option("checkpointLocation", f"{folder}/offsets").trigger(availableNow=True).start(f"{folder}/out").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").groupBy("source").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("ids"), F.sum("n_chars").alias("chars"))
+
+
 def _orders_packed(spark: SparkSession, sf_dir: str, config: Prepack) -> DataFrame:
     o = read(spark, sf_dir, "orders")
     n = config.max_seq_len + 1
@@ -345,6 +365,8 @@ n AS (SELECT mode, w, source, count(*) AS n, count(DISTINCT doc_id) AS d FROM u
 q AS (SELECT mode, w, CASE WHEN doc_id % 2 = 0 THEN 'A' ELSE 'unknown' END AS x, count(*) AS n FROM u GROUP BY 1, 2, 3), qs AS (SELECT mode, w, string_agg(x || ':' || n, ',' ORDER BY x) AS s FROM q GROUP BY mode, w),
 k AS (SELECT *, sha256(concat('{{"split_keys":"', keys, '","tokens":[', array_to_string(t, ','), ']}}')) AS split_key FROM g), h AS (SELECT *, {_B.format(k='split_key')} AS b FROM k)
 SELECT h.mode, first, CASE WHEN b < 0.8 THEN 'train' WHEN b < 0.8::DOUBLE + 0.1::DOUBLE THEN 'val' ELSE 'test' END AS split, split_key, ns.s AS source_counts, qs.s AS quality_tier_counts, 'unknown:2049' AS training_stage_counts, ns.e AS source_example_counts FROM h JOIN ns USING (mode, w) JOIN qs USING (mode, w)""",
+    "q_mirror_parts": "SELECT source, lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars, max(doc_id) AS last FROM documents WHERE n_chars >= 1000 AND lang IN ('en', 'de') GROUP BY source, lang",
+    "q_mirror_stream": "SELECT source, count(*) AS n, count(DISTINCT doc_id) AS ids, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY source",
     "q_shard_manifest": f"""WITH {_TOK}, {_WIN.format(n=1025)}, c AS (SELECT p // 1025 AS "window", string_agg(DISTINCT doc_id::VARCHAR, '|' ORDER BY doc_id::VARCHAR) AS keys FROM (SELECT doc_id, CAST(off + i AS BIGINT) AS p FROM flat) GROUP BY 1),
 m AS (SELECT list_transform(t, lambda x: x % 50000) AS t, keys FROM w JOIN c USING ("window") WHERE len(t) = 1025), k AS (SELECT t, sha256(concat('{{"split_keys":"', keys, '","tokens":[', array_to_string(t, ','), ']}}')) AS split_key FROM m),
 h AS (SELECT CASE WHEN b < 0.8 THEN 'train' WHEN b < 0.8::DOUBLE + 0.1::DOUBLE THEN 'val' ELSE 'test' END AS split, list_sum(t) AS ids FROM (SELECT t, {_B.format(k='split_key')} AS b FROM k)), n AS (SELECT split, count(*) AS n, sum(ids) AS ids FROM h GROUP BY split),

@@ -1,5 +1,6 @@
 """Small cases of the library's own operators."""
 
+import time
 import ast
 from collections import Counter
 
@@ -367,3 +368,11 @@ def test_stage_chain(spark):
     w = stages.packed(stages.tokenized(stages.mixed(kept, "id", options), options), "id", options)
     assert all(len(r["token_ids"]) == 17 and r["labels"] == {"stack_v2_python": 17} for r in w.collect())
     assert stages.batches(w, options).count() % 2 == 0
+
+
+def test_a_rate_limit_holds_for_the_whole_run(spark):
+    requests = spark.range(24, numPartitions=12).select(F.concat(F.lit("p"), "id").alias("prompt"))
+    began = time.monotonic()
+    got = structuring.ask(requests, lambda part: [x.upper() for x in part], per_minute=240).collect()
+    # four a second in all: after the first call of each of the four tasks, twenty calls are due one by one
+    assert time.monotonic() - began >= 4.5 and sorted(r["reply"] for r in got) == sorted(f"P{i}" for i in range(24))
