@@ -1,7 +1,7 @@
 """Small cases of the library's own operators."""
 
-import time
 import ast
+import time
 from collections import Counter
 
 import pytest
@@ -371,6 +371,8 @@ def test_stage_chain(spark):
 
 
 def test_a_rate_limit_holds_for_the_whole_run(spark):
+    from loomspark.operators import structuring
+
     requests = spark.range(24, numPartitions=12).select(F.concat(F.lit("p"), "id").alias("prompt"))
     began = time.monotonic()
     got = structuring.ask(requests, lambda part: [x.upper() for x in part], per_minute=240).collect()
