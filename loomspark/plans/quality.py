@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomspark.functions import text as tx
 from loomspark.functions.text import sql_any, sql_hits, sql_lines, sql_solid, sql_squeeze, sql_strip
-from loomspark.operators import dedupe, filters
+from loomspark.operators import dedupe, filters, similarity
 from loomspark.plans.samples import CODE_SQL, code, read
 from loomspark.session import cut
 
@@ -125,12 +125,22 @@ def q_shingle_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", F.size(s).cast("long").alias("n_shingles"))
 
 
+def q_similar_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members, _ = similarity.similar(_docs(spark, sf_dir), "doc_id")
+    return members.select(F.col("id").alias("doc_id"), "class_id")
+
+
+def q_similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, pairs = similarity.similar(_docs(spark, sf_dir), "doc_id")
+    return pairs.withColumn("similarity", F.round("similarity", 9))
+
+
 def _sh(table: str, key: str, keep: str) -> str:
     s = sql_squeeze("text")
     return f"(SELECT DISTINCT {key} AS {keep}, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT {key}, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM (SELECT {key}, string_split({s}, ' ') AS w FROM {table} WHERE {s} <> '')))"
 
 
-QUERIES = {f.__name__: f for f in (q_quality_tiers, q_trash_reasons, q_text_facts, q_page_facts, q_code_filters, q_source_filters, q_code_decisions, q_code_chunks, q_exact_dedupe, q_dedupe_per_source, q_benchmark_overlap, q_shingle_counts)}
+QUERIES = {f.__name__: f for f in (q_quality_tiers, q_trash_reasons, q_text_facts, q_page_facts, q_code_filters, q_source_filters, q_code_decisions, q_code_chunks, q_exact_dedupe, q_dedupe_per_source, q_benchmark_overlap, q_shingle_counts, q_similar_classes, q_similar_pairs)}
 #: Source code's decisions, with what a syntax tree says given by each row's kind of text.
 _CODE_DECIDED = f"""h0 AS (SELECT *, coalesce({_HEAD}, len({sql_lines('text')}) + 1) - 1 AS first FROM code),
 src AS (SELECT * REPLACE (CASE WHEN source = 'stack_v2_python' AND first > 40 THEN regexp_replace(array_to_string({sql_lines('text')}[first + 1:], chr(10)), '^{tx.SQL_WS}+', '') ELSE text END AS text), source = 'stack_v2_python' AND first > 40 AS header_stripped FROM h0), {_FACTS},
@@ -141,7 +151,14 @@ v AS (SELECT *, CASE source WHEN 'stack_v2_python' THEN CASE WHEN NOT valid THEN
   WHEN 'debugbench' THEN CASE WHEN is_debug THEN 'A:debugging_case_preserve_broken_code' ELSE 'B:debugbench_case_without_explicit_trace' END
   WHEN 'synthetic' THEN CASE WHEN has_signal THEN 'B:synthetic_programming_example_pending_phase11_validation' ELSE 'B:synthetic_example_pending_phase11_validation' END
   ELSE CASE WHEN cs >= 2 AND has_signal THEN 'A:cs_programming_educational_text' WHEN cs >= 1 THEN 'B:possibly_relevant_educational_text' ELSE 'C:non_cs_or_non_educational_text' END END AS rule FROM u)"""
+#: Documents with their shingles' digest, and classes of equal shingles.
+_CLASSES = f"""a AS {_sh('documents', 'doc_id', 'l')}, o AS (SELECT doc_id, coalesce(x, '') AS x FROM documents LEFT JOIN (SELECT l, md5(string_agg(g, chr(10) ORDER BY g)) AS x FROM a GROUP BY l) ON l = doc_id),
+c AS (SELECT x, min(doc_id) AS id, count(*) AS rows FROM o GROUP BY x)"""
 ORACLE_SQL = {
+    "q_similar_classes": f"WITH {_CLASSES} SELECT doc_id, id AS class_id FROM o JOIN c USING (x)",
+    "q_similar_pairs": f"""WITH {_CLASSES}, k AS (SELECT id, rows, g FROM a JOIN c ON l = id), n AS (SELECT id, rows, count(*) AS n FROM k GROUP BY id, rows),
+p AS (SELECT u.id AS i, v.id AS j, count(*) AS shared FROM k u JOIN k v ON u.g = v.g AND u.id < v.id GROUP BY u.id, v.id)
+SELECT i AS first_id, j AS second_id, n1.rows AS first_n, n2.rows AS second_n, shared, round(shared / (n1.n + n2.n - shared), 9) AS similarity FROM p JOIN n n1 ON n1.id = i JOIN n n2 ON n2.id = j WHERE 9 * shared >= 4 * (n1.n + n2.n)""",
     "q_code_decisions": f"WITH {CODE_SQL}, {_CODE_DECIDED} SELECT id, source, CASE WHEN trash IS NOT NULL THEN 'C' ELSE split_part(rule, ':', 1) END AS tier, coalesce(trash, split_part(rule, ':', 2)) AS reason, header_stripped FROM v",
     "q_code_chunks": f"WITH {CODE_SQL}, b AS (SELECT id, text, id % 8 AS m, substr(text, instr(text, 'def f_')) AS d FROM code), c AS (SELECT id, 0 AS chunk, CASE m WHEN 0 THEN rtrim(d, chr(10)) WHEN 7 THEN substr(d, 1, instr(d, chr(10) || chr(10) || chr(10)) - 1) ELSE text END AS chunk_text FROM b UNION ALL SELECT id, 1, concat('class C:', chr(10), '    def g(self):', chr(10), '        return self.x') FROM b WHERE m = 7) SELECT * FROM c",
     "q_quality_tiers": f"WITH {_DECIDED} SELECT source, tier, reason, count(*) AS n, CAST(sum(tokens) AS BIGINT) AS tokens, round(avg({_WEIGHT}), 6) AS mean_weight FROM d GROUP BY source, tier, reason",
