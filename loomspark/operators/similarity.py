@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from fractions import Fraction
+from hashlib import blake2b, md5
 from math import ceil
 
 import numpy as np
@@ -25,6 +26,7 @@ from loomspark.operators import dedupe
 from loomspark.session import cut
 
 THRESHOLD = 0.8
+ODD = np.uint64(0x9E3779B97F4A7C15)  # the golden ratio in 64 bits
 FREQUENT = 200_000  # at most so many shingles are ordered by their counts; the others come before them, by hash
 BLOCK = 1_000  # sets with one prefix shingle that meet in one key
 CELL = 500  # sets a block of the comparison
@@ -33,14 +35,48 @@ PAIRS = 400_000  # pairs a task of the comparison holds, about
 SMALL = 1_000_000  # rows of a broadcast
 
 
+class _Words(dict):
+    """64-bit hashes of words, each computed once a batch."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = found = int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+        return found
+
+
+def _grams(t: str, width: int, known: _Words) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles: of the words' hashes, each times a power of an odd number. A text of up to
+    ``width`` words is one shingle, told apart by its length."""
+    words = t.split()
+    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    if len(h) <= width:
+        places = ODD ** np.arange(len(h), dtype=np.uint64)
+        return (np.array([(h * places).sum(dtype=np.uint64) + np.uint64(width - len(h))]) if len(h) else h).view(np.int64)
+    out = np.zeros(len(h) - width + 1, np.uint64)
+    for k in range(width):
+        out += h[k : len(h) - width + 1 + k] * ODD ** np.uint64(k)
+    return np.unique(out.view(np.int64))
+
+
 def classes(df: DataFrame, ident: str, text: str = "text", width: int = dedupe.WIDTH) -> DataFrame:
     """(id, hash, digest, n): a row of each row of the table; equal digests are equal sets of ``n`` shingles."""
+
+    @F.pandas_udf("digest binary, n int")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        known = _Words()
+        found = [_grams(x, width, known) for x in texts]
+        return pd.DataFrame({"digest": [md5(x.tobytes()).digest() for x in found], "n": [len(x) for x in found]})
+
     t = F.coalesce(F.col(text), F.lit(""))
-    return df.select(F.col(ident).alias("id"), F.xxhash64(t).alias("hash"), _hashes(t, width).alias("s")).select("id", "hash", F.unhex(F.md5(F.concat_ws(",", F.col("s").cast("array<string>")))).alias("digest"), F.size("s").alias("n"))
+    return df.select(F.col(ident).alias("id"), F.xxhash64(t).alias("hash"), of(t).alias("of")).select("id", "hash", "of.digest", "of.n")
 
 
 def _hashes(t: Column, width: int) -> Column:
-    return F.array_sort(F.array_distinct(F.transform(dedupe.shingles(t, width), lambda g: F.xxhash64(g))))
+    @F.pandas_udf("array<bigint>")
+    def of(texts: pd.Series) -> pd.Series:
+        known = _Words()
+        return pd.Series([_grams(x, width, known) for x in texts], dtype=object)
+
+    return of(t)
 
 
 def similar(df: DataFrame, ident: str, text: str = "text", width: int = dedupe.WIDTH, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
