@@ -86,8 +86,7 @@ def similar(df: DataFrame, ident: str, text: str = "text", width: int = dedupe.W
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold must be over 0 and at most 1")
-    of = cut(classes(df, ident, text, width), "classes")
-    named = cut(of.groupBy("digest").agg(F.min(F.struct("id", "hash")).alias("least"), F.count("*").alias("rows"), F.first("n").alias("n")).select("digest", "least.*", "rows", "n"), "named")
+    of, named = _named(df, ident, text, width)
     sets = _sets(df.select(F.col(ident).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")), named.where("n > 0"), width)
     pairs = compared(sets, candidates(sets, threshold), threshold)
     sides = [named.select(F.col("digest").alias(k), F.col("id").alias(f"{k}_id"), F.col("rows").alias(f"{k}_n")) for k in ("first", "second")]
@@ -100,6 +99,17 @@ def similar(df: DataFrame, ident: str, text: str = "text", width: int = dedupe.W
     return _members(of, named), out
 
 
+def members(df: DataFrame, ident: str, text: str = "text", width: int = dedupe.WIDTH) -> DataFrame:
+    """(id, class_id) of all rows, without a comparison of classes."""
+    return _members(*_named(df, ident, text, width))
+
+
+def _named(df: DataFrame, ident: str, text: str, width: int) -> tuple[DataFrame, DataFrame]:
+    of = cut(classes(df, ident, text, width), "classes")
+    named = of.groupBy("digest").agg(F.min(F.struct("id", "hash")).alias("least"), F.count("*").alias("rows"), F.first("n").alias("n"))
+    return of, cut(named.select("digest", "least.*", "rows", "n"), "named")
+
+
 def _members(of: DataFrame, named: DataFrame) -> DataFrame:
     """Rows with their class: a class of many rows is looked up by 32 tasks, each of which needs its name once."""
     salted = of.select("id", "digest", F.pmod(F.xxhash64("id"), F.lit(32)).alias("salt"))

@@ -126,8 +126,7 @@ def q_shingle_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_similar_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    members, _ = similarity.similar(_docs(spark, sf_dir), "doc_id")
-    return members.select(F.col("id").alias("doc_id"), "class_id")
+    return similarity.members(_docs(spark, sf_dir), "doc_id").select(F.col("id").alias("doc_id"), "class_id")
 
 
 def q_similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
