@@ -201,7 +201,9 @@ def q_record_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_reply_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _records(spark, sf_dir).withColumn("assistant_response", F.when(F.col("ord") % 13 == 0, F.lit("use eval ( input ('x')) to parse the list")).when(F.col("ord") % 17 == 0, F.concat(F.lit("- "), F.upper("user_prompt"))).otherwise(F.col("assistant_response")))
+    # SQL's upper() maps one character to one; Spark's makes two of some, a sharp s among them
+    upper = F.array_join(F.transform(F.split("user_prompt", ""), lambda x: F.when(F.length(F.upper(x)) == 1, F.upper(x)).otherwise(x)), "")
+    r = _records(spark, sf_dir).withColumn("assistant_response", F.when(F.col("ord") % 13 == 0, F.lit("use eval ( input ('x')) to parse the list")).when(F.col("ord") % 17 == 0, F.concat(F.lit("- "), upper)).otherwise(F.col("assistant_response")))
     return r.select("synthetic_id", F.array_join(validation.reply_errors(r, prompt="user_prompt"), ",").alias("errors"))
 
 
