@@ -271,6 +271,38 @@ def test_runs(spark):
     assert sorted(r["candidate_id"] for r in runs.request_queue(q, done, "candidate_id").collect()) == [2, 3]
 
 
+def test_request_queue_plan(spark):
+    """Neither texts nor digests of all candidates are broadcast, whatever sizes are guessed; a limited queue's few rows are."""
+    q = spark.range(6).selectExpr("id AS candidate_id", "concat('h', id % 4) AS request_hash", "concat('text ', id) AS text")
+    done = spark.createDataFrame([(0,)], "candidate_id long")
+    for most, n in ((None, 0), (2, 2)):
+        out = runs.request_queue(q, done, "candidate_id", most=most)
+        assert out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("BroadcastExchange") == n
+        assert out.columns == ["request_hash", "candidate_id", "text"]
+    assert [tuple(r) for r in out.collect()] == [("h1", 1, "text 1"), ("h2", 2, "text 2")]
+
+
+def test_json_string(spark):
+    import json
+
+    from loomspark.operators import dedupe
+
+    texts = ["", "plain", "ends\n", 'a\tb\r\n"c" \\n', "\x0b", "straße\n", "\x7f", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(dedupe.json_string(F.col("t"))).collect()] == [None if t is None else json.dumps(t) for t in texts]
+
+
+def test_reply_errors_of_sharp_s(spark, tmp_path):
+    """A prompt with letters that Spark's upper() makes two of, over 200 characters, given back in capitals."""
+    from loomspark.plans import structuring as plans
+
+    prompt = "der weiße fuß und die große straße python " * 6
+    rows = [(17, 0, "user", prompt), (17, 1, "assistant", "x")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    (got,) = plans.q_reply_errors(spark, str(tmp_path)).collect()
+    assert "assistant_response nearly identical to prompt" in got["errors"]
+
+
 def test_structuring(spark):
     import json
 
