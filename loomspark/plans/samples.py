@@ -13,8 +13,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row of source text for each part: id, source, path, docstring, text; eight kinds of text in turn."""
-    p = read(spark, sf_dir, "part")
+    """A row of source text for each part: id, source, path, docstring, text; eight kinds of text in turn.
+
+    A few MB of parts, one split, become a GB of texts: the parts are dealt to all tasks before.
+    """
+    p = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size", "p_retailprice").repartition("p_partkey")
     body = F.concat(F.lit("def f_"), F.col("p_partkey"), F.lit('(x):\n    """'), F.col("p_name"), F.lit(" "), F.col("p_type"), F.lit('"""\n    if x is None:\n        raise ValueError("empty")\n    return x + '), F.col("p_size"), F.lit("\n"))
     k = F.col("p_partkey") % 8
     text = (
