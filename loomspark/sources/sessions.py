@@ -169,7 +169,7 @@ def finalize(spark: SparkSession, root: str, target: str, *, config: Prepack | N
             new = f"{row['split']}/chunk_{count[row['split']]:06d}.npy"
             count[row["split"]] += 1
             todo.append((r["session_id"], files.join(r["folder"], row["shard_filename"]), new, row["sha256"]))
-    listed = spark.createDataFrame(todo, "session string, source string, name string, sha string").repartition(len(todo), "name")
+    listed = spark.createDataFrame(todo, "session string, source string, name string, sha string").repartition(shards.tasks(spark, len(todo)), "name")
 
     def run(batches):
         for b in batches:

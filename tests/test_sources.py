@@ -260,3 +260,9 @@ def test_watermark_and_time_box(spark, tmp_path):
     with pytest.raises(OverflowError):
         b.append(3)
     assert b.drain(1) == [1] and b.drain() == [2] and len(b) == 0
+
+
+def test_tasks_of_shards(spark):
+    """Few shards have a task each; many share as many tasks as a shuffle has, or four a core."""
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    assert [shards.tasks(spark, n) for n in (0, 1, most, most + 1, 60_000)] == [1, 1, most, most, most]
