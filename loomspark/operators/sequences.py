@@ -1,19 +1,23 @@
 """Tokens, fill-in-the-middle, packing into windows, batches.
 
-Windows have ``max_seq_len + 1`` ids. Continuous packing needs each example's offset only, which is a two-level running
-sum of lengths; slices of examples then meet by window. Atomic packing is an automaton over lengths whose state is the open
+Windows have ``max_seq_len + 1`` ids. Ids are made once and stored; lengths and order decide where they go. Continuous packing
+needs each example's offset only: ranges of examples in order are cut where windows begin, each range from the exact total of
+the ranges before it, and what a window has in several pieces meets by window. Atomic packing is an automaton over lengths whose state is the open
 window's fill: every range of examples becomes a map from fill to fill, the maps are composed, and each range runs from its
 own start (:func:`next_fit`), so the exact order-dependent result needs no single task.
 """
 
 from __future__ import annotations
 
+from hashlib import sha256
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.operators.mixture import _ranges, ranked, running
+from loomspark.operators.mixture import _ranges, ranked
 from loomspark.session import cut
 
 #: Marks around the parts of a text where the tokenizer has none of its own.
@@ -23,31 +27,143 @@ FIM_DRAW = 0.8444218515250481
 ATOMIC_WORDS = "fim|instruction|debug|comment|refactor|test"
 
 
+def _code_points(texts: pa.Array, end: int | None) -> pa.ListArray:
+    """UTF-32 is the ids."""
+    rows, offsets = [np.empty(0, "<i4")], [0]
+    for x in texts.cast(pa.large_binary()):
+        ids = np.frombuffer((x.as_py() or b"").decode("utf-8", "replace").encode("utf-32-le"), "<i4")
+        rows.append(ids)
+        if end is not None and not (len(ids) and ids[-1] == end):
+            rows.append(np.array([end], "<i4"))
+        offsets.append(offsets[-1] + len(ids) + (rows[-1] is not ids))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(rows), pa.int32()))
+
+
 def char_tokens(t: Column, end: int | None = None) -> Column:
-    """Code points as ids; the end id is added unless the last id is it."""
-    ids = F.when(F.coalesce(t, F.lit("")) == "", F.array().cast("array<int>")).otherwise(F.transform(F.split(t, ""), F.ascii))
-    return ids if end is None else F.when(F.element_at(ids, -1) == end, ids).otherwise(F.concat(ids, F.array(F.lit(end))))
+    """Code points as ids; the end id is added unless the last id is it. Built-in functions make an object of every character."""
+
+    @F.arrow_udf("array<int>")
+    def ids(texts: pa.Array) -> pa.Array:
+        return _code_points(texts, end)
+
+    return ids(F.coalesce(t, F.lit("")))
+
+
+def joined(lists: pa.Array) -> list[bytes | None]:
+    """Each row's ids as decimal numbers, commas between; null ids are left out."""
+    words = lists.flatten().cast(pa.string())
+    if words.null_count or lists.null_count:
+        return [None if row is None else ",".join(str(x) for x in row if x is not None).encode() for row in lists.to_pylist()]
+    offsets = lists.offsets.to_numpy()
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets - offsets[0]), words), ",").cast(pa.binary()).to_pylist()
+
+
+def ids_hash(ids: Column) -> Column:
+    """SHA-256 of the ids as decimal numbers with commas between, lowercase hexadecimal."""
+
+    @F.arrow_udf("string")
+    def of(lists: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else sha256(x).hexdigest() for x in joined(lists)], pa.string())
+
+    return of(ids)
+
+
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a batch, and where each row begins and ends among them."""
+    return lists.flatten().to_numpy(zero_copy_only=False), np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())]
+
+
+def _lists(lists: pa.Array, offsets: np.ndarray, ids: np.ndarray) -> pa.Array:
+    """Rows of new ids, null where they were."""
+    mask = lists.is_null() if lists.null_count else None
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()), mask=mask)
+
+
+def remainders(tokens: Column, of: int) -> Column:
+    """Each id's remainder; with :func:`char_tokens` it takes no way through the JVM."""
+
+    @F.arrow_udf("array<int>")
+    def rest(lists: pa.Array) -> pa.Array:
+        ids, offsets = _flat(lists)
+        return _lists(lists, offsets, np.fmod(ids, of))
+
+    return rest(tokens)
+
+
+def _split(batch: pa.RecordBatch, at: np.ndarray, size: int, whole: bool) -> tuple[np.ndarray, ...]:
+    """The pieces that windows cut a batch's examples into: their row, window, place and end. ``whole``: those of one window that
+    follow each other are one piece, with its first row."""
+    end = at + batch.column("_n").to_numpy()
+    first = at // size
+    many = (end - 1) // size - first + 1
+    row = np.repeat(np.arange(len(at)), many)
+    window = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+    lo, hi = np.maximum(window * size, at[row]), np.minimum((window + 1) * size, end[row])
+    if whole and len(row):
+        new = np.flatnonzero(np.r_[True, (window[1:] != window[:-1]) | (lo[1:] != hi[:-1])])
+        row, window, lo, hi = row[new], window[new], lo[new], hi[np.r_[new[1:] - 1, len(hi) - 1]]
+    return row, window, lo, hi
+
+
+def pieces(rows: DataFrame, order: str, tokens: str, length: str, size: int, *keep: str, whole: bool = False) -> DataFrame:
+    """(window, at, part, the columns to keep) of stored examples laid end to end in order: each part of an example that stands in
+    one window, with its place. ``length``: a column of the numbers of ids, over 0. ``whole``: parts of one window are joined
+    where they follow each other in a batch, and no column is kept.
+
+    Rows are shuffled once, by range of the order; a task streams its ranges in order and starts each from the total before it.
+    """
+    dealt = rows.select(F.col(order).alias("_o"), F.col(tokens).alias("_t"), F.col(length).cast("long").alias("_n"), *keep)
+    dealt = dealt.withColumn("_r", _ranges(dealt, "_o"))
+    starts, before = {}, 0
+    for x in sorted(dealt.groupBy("_r").agg(F.sum("_n").alias("n")).collect()):  # a row for each range
+        starts[x["_r"]] = before
+        before += x["n"]
+    parts = max(starts, default=0) + 1
+    kinds = [rows.schema[c] for c in keep]
+    schema = ", ".join(["window long", "at long", "part array<int>", *(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds)])
+
+    def run(batches):
+        now, at = None, 0
+        for b in batches:
+            n, r = b.column("_n").to_numpy(), b.column("_r").to_numpy()
+            if not len(n):
+                continue
+            began = np.flatnonzero(np.r_[r[0] != now, r[1:] != r[:-1]])  # rows where a range begins
+            run = np.cumsum(n) - n
+            base = np.zeros(len(n), np.int64)
+            edges = [0, *(x for x in began if x), len(n)]
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                base[lo:hi] = (at if r[lo] == now else starts[r[lo]]) - run[lo]
+            place = base + run
+            now, at = r[-1], place[-1] + n[-1]
+            row, window, lo, hi = _split(b, place, size, whole)
+            ids = b.column("_t").flatten()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(window), pa.array(lo), pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(hi - lo)].astype(np.int32)), ids), *(b.column(c).take(pa.array(row)) for c in keep)],
+                names=["window", "at", "part", *keep],
+            )
+
+    return dealt.repartitionById(parts, "_r").sortWithinPartitions("_r", "_o").mapInArrow(run, schema)
 
 
 def windows(examples: DataFrame, order: str, tokens: str, max_seq_len: int, *, drop_remainder: bool = False, label: str | None = None) -> DataFrame:
     """window, token_ids (and ``labels``: a map of label to number of its tokens) of examples concatenated in order."""
     size = max_seq_len + 1
-    rows = examples.select(order, tokens, *([label] if label else [])).where(F.size(tokens) > 0)
-    placed = running(rows, [], order, F.size(tokens), "at")
-    first, last = F.floor(F.col("at") / size), F.floor((F.col("at") + F.size(tokens) - 1) / size)
-    cut = placed.withColumn("window", F.explode(F.sequence(first, last)))
-    begin = F.greatest(F.col("window") * size - F.col("at"), F.lit(0))
-    end = F.least((F.col("window") + 1) * size - F.col("at"), F.size(tokens))
-    part = cut.select("window", (F.col("at") + begin).alias("at"), F.slice(tokens, (begin + 1).cast("int"), (end - begin).cast("int")).alias("part"), *([F.col(label).alias("label")] if label else []))
+    rows = examples.select(order, F.col(tokens).alias("t"), *([F.col(label).alias("label")] if label else []))
+    rows = cut(rows.withColumn("n", F.size("t")), "tokens").where("n > 0")  # ids are made once, and lengths are read without them
+    if label is None:
+        found = cut(pieces(rows, order, "t", "n", size, whole=True).withColumn("n", F.size("part")), "pieces")
+        full = found.where(F.col("n") == size).select("window", F.col("part").alias("token_ids"))
+        # what is left: a piece or two at the ends of a batch
+        rest = found.where(F.col("n") < size).groupBy("window").agg(F.array_sort(F.collect_list(F.struct("at", "part"))).alias("parts"))
+        rest = rest.select("window", F.flatten(F.transform("parts", lambda p: p["part"])).alias("token_ids"))
+        return full.unionAll(rest.where(F.size("token_ids") == size) if drop_remainder else rest)
+    part = pieces(rows, order, "t", "n", size, "label")
     # a window has at most ``size`` slices
-    out = part.groupBy("window").agg(F.array_sort(F.collect_list(F.struct("at", "part", *(["label"] if label else [])))).alias("parts"))
-    joined = F.flatten(F.transform("parts", lambda p: p["part"]))
-    extra = []
-    if label:
-        names = F.array_sort(F.array_distinct(F.transform("parts", lambda p: p["label"])))
-        extra = [F.map_from_entries(F.transform("names", lambda n: F.struct(n, F.aggregate(F.filter("parts", lambda p: p["label"] == n), F.lit(0), lambda s, p: s + F.size(p["part"]))))).alias("labels")]
-        out = out.withColumn("names", names)
-    out = out.select("window", joined.alias("token_ids"), *extra)
+    out = part.groupBy("window").agg(F.array_sort(F.collect_list(F.struct("at", "part", "label"))).alias("parts"))
+    out = out.withColumn("names", F.array_sort(F.array_distinct(F.transform("parts", lambda p: p["label"]))))
+    labels = F.map_from_entries(F.transform("names", lambda n: F.struct(n, F.aggregate(F.filter("parts", lambda p: p["label"] == n), F.lit(0), lambda s, p: s + F.size(p["part"])))))
+    out = out.select("window", F.flatten(F.transform("parts", lambda p: p["part"])).alias("token_ids"), labels.alias("labels"))
     return out.where(F.size("token_ids") == size) if drop_remainder else out
 
 
@@ -92,14 +208,21 @@ def share(lengths: list[int], budget: int) -> list[int]:
 
 def _ends(lengths: list[int], orders: list[int], size: int) -> tuple[np.ndarray, np.ndarray]:
     """For each fill a range may start from: the fill it ends with, and the order of the open window's first example (-1: from before)."""
-    fill, first = np.arange(size), np.full(size, -1, np.int64)
-    for n, o in zip(lengths, orders, strict=True):
-        new = fill + n
-        over = new > size
-        first = np.where(over | (fill == 0), o, first)
-        fill = np.where(over, n, new)
+    of, fill, first = np.arange(size), np.arange(size), np.full(size, -1, np.int64)
+    for i, (n, o) in enumerate(zip(lengths, orders, strict=True)):
+        if len(fill) == 1:  # whatever it starts from
+            windows, offsets = _places(lengths[i:], orders[i:], size, int(fill[0]), int(first[0]))
+            end = offsets[-1] + lengths[-1]
+            return np.full(size, 0 if end == size else end), np.full(size, windows[-1])
+        opens = (fill == 0) | (fill + n > size)
+        if np.count_nonzero(opens) > 1:  # starts that open a window with the same example are one from there on
+            stay = ~opens
+            to = np.where(opens, np.count_nonzero(stay), np.cumsum(stay) - 1)
+            of, fill, first = to[of], np.append(fill[stay] + n, n), np.append(first[stay], o)
+        else:
+            fill, first = np.where(opens, n, fill + n), np.where(opens, o, first)
         fill[fill == size] = 0
-    return fill, first
+    return fill[of], first[of]
 
 
 def _places(lengths: list[int], orders: list[int], size: int, fill: int, first: int) -> tuple[list[int], list[int]]:
@@ -148,12 +271,15 @@ def atomic(examples: DataFrame, order: str, tokens: str, max_seq_len: int, *, on
     """
     size = max_seq_len + 1
     short = F.slice(tokens, 1, size) if marks is None else F.udf(lambda ids: truncate(list(ids or []), size, marks), "array<int>", useArrow=True)(tokens)
-    placed = next_fit(examples, order, F.size(tokens), size)
-    joined = examples.select(order, short.alias("part")).join(placed, order)
-    whole = joined.groupBy("window").agg(F.array_sort(F.collect_list(F.struct("offset", "part"))).alias("parts"))  # at most ``size`` ids
-    out = whole.select(F.col("window").alias("first"), F.flatten(F.transform("parts", lambda p: p["part"])).alias("token_ids"), F.size("parts").alias("n_examples"))
-    out = out.where(F.size("token_ids") == size) if only_full else out
-    return ranked(out, [], "first", "window").withColumn("window", F.col("window") - 1).drop("first")
+    made = examples.select(order, short.alias("part"), F.size(tokens).alias("n")).withColumn("own", F.size("part"))
+    made = cut(made, "tokens")  # ids are made once; what follows reads their lengths only, until windows are known
+    placed = cut(next_fit(made.select(order, "n"), order, F.col("n"), size), "placed")
+    sizes = placed.join(made.select(order, "own"), order).groupBy(F.col("window").alias("first")).agg(F.sum("own").alias("own"))
+    numbers = ranked(cut(sizes.where(F.col("own") == size) if only_full else sizes, "windows"), [], "first", "number")
+    placed = placed.join(numbers.select(F.col("first").alias("window"), "number"), "window").select(order, "number", "offset")
+    joined = made.select(order, "part").join(placed, order)
+    whole = joined.groupBy("number").agg(F.array_sort(F.collect_list(F.struct("offset", "part"))).alias("parts"))  # at most ``size`` ids
+    return whole.select((F.col("number") - 1).alias("window"), F.flatten(F.transform("parts", lambda p: p["part"])).alias("token_ids"), F.size("parts").alias("n_examples"))
 
 
 def requires_atomic(kind: Column, task: Column, stage: Column, fim: Column) -> Column:
@@ -161,19 +287,56 @@ def requires_atomic(kind: Column, task: Column, stage: Column, fim: Column) -> C
     return F.coalesce(fim, F.lit(False)) | F.rlike(text, F.lit(ATOMIC_WORDS))
 
 
+def _without(lists: pa.Array, last: bool) -> pa.Array:
+    """Rows without their first or last id."""
+    ids, offsets = _flat(lists)
+    n = np.diff(offsets)
+    keep = np.ones(len(ids), bool)
+    keep[(offsets[1:] - 1 if last else offsets[:-1])[n > 0]] = False
+    return _lists(lists, np.r_[0, np.cumsum(np.maximum(n - 1, 0))], ids[keep])
+
+
 def shifted(tokens: str) -> tuple[Column, Column]:
     """Inputs and targets of a window."""
-    n = F.size(tokens) - 1
-    return F.slice(tokens, 1, n), F.slice(tokens, 2, n)
+
+    @F.arrow_udf("array<int>")
+    def inputs(lists: pa.Array) -> pa.Array:
+        return _without(lists, True)
+
+    @F.arrow_udf("array<int>")
+    def targets(lists: pa.Array) -> pa.Array:
+        return _without(lists, False)
+
+    return inputs(tokens), targets(tokens)
+
+
+def _filled(lists: pa.Array, width: int, value: int) -> np.ndarray:
+    """Rows of ids, cut or filled to one width."""
+    ids, offsets = _flat(lists)
+    n = np.diff(offsets)
+    at = np.arange(len(ids)) - np.repeat(offsets[:-1], n)
+    out = np.full((len(n), width), value, np.int32)
+    out[np.repeat(np.arange(len(n)), n)[at < width], at[at < width]] = ids[at < width]
+    return out
 
 
 def padded(tokens: str, seq_len: int, pad: int, ignore: int = -100) -> list[Column]:
     """input_ids, labels (``ignore`` past the window's end) and attention_mask, each ``seq_len`` long; a longer window is an error."""
-    ok = F.when(F.size(tokens) > seq_len + 1, F.raise_error(F.lit("packed sequence is longer than seq_len + 1")).cast("array<int>")).otherwise(F.col(tokens))
-    full = F.concat(ok, F.array_repeat(F.lit(pad), seq_len + 1 - F.size(tokens)))
-    inputs = F.slice(full, 1, seq_len)
-    labels = F.concat(F.slice(ok, 2, F.greatest(F.size(tokens) - 1, F.lit(0))), F.array_repeat(F.lit(ignore), seq_len - F.greatest(F.size(tokens) - 1, F.lit(0))))
-    return [inputs.alias("input_ids"), labels.alias("labels"), F.transform(inputs, lambda x: F.when(x != pad, 1).otherwise(0)).alias("attention_mask")]
+
+    def rows(name: str, make) -> Column:
+        @F.arrow_udf("array<int>")
+        def of(lists: pa.Array) -> pa.Array:
+            if (pc.max(pc.list_value_length(lists)).as_py() or 0) > seq_len + 1:
+                raise ValueError("packed sequence is longer than seq_len + 1")
+            return _lists(lists, np.arange(len(lists) + 1) * seq_len, make(lists).ravel())
+
+        return of(tokens).alias(name)
+
+    return [
+        rows("input_ids", lambda x: _filled(x, seq_len, pad)),
+        rows("labels", lambda x: _filled(_without(x, False), seq_len, ignore)),
+        rows("attention_mask", lambda x: (_filled(x, seq_len, pad) != pad).astype(np.int32)),
+    ]
 
 
 def full_batches(df: DataFrame, order: str, size: int, *, within: list[str] | None = None) -> DataFrame:

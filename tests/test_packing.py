@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomspark.functions import tokenizers
-from loomspark.operators import mixture, prepack
+from loomspark.operators import mixture, prepack, sequences
 from loomspark.plans.prepack import pack_dataset
 from loomspark.sources import files, packing, sessions, shards, sink
 
@@ -176,3 +176,58 @@ def test_ranks_with_ties_nulls_and_doubles(spark):
     assert mixture.ranked(df.limit(0), [], "o", "k").count() == 0
 
 
+# ids are made once
+
+
+@pytest.mark.parametrize("pack", [
+    lambda df: sequences.windows(df, "id", "tokens", 4),
+    lambda df: sequences.windows(df, "id", "tokens", 4, label="source"),
+    lambda df: sequences.atomic(df, "id", "tokens", 4, only_full=True),
+    lambda df: prepack.sequences_of(df, "id", 4, atomic=F.col("id") % 2 == 0),
+])
+def test_ids_are_made_once(spark, pack):
+    made = spark.sparkContext.accumulator(0)
+
+    def ids(i: int) -> list[int]:
+        made.add(1)
+        return list(range(i % 7))
+
+    df = spark.range(300, numPartitions=3).select("id", F.udf(ids, "array<int>")("id").alias("tokens"), F.lit("s").alias("source"), F.lit("t").alias("task_type"))
+    assert pack(df).count() > 0
+    assert made.value == 300
+
+
+def test_pieces_of_many_ranges_and_batches(spark):
+    r = random.Random(5)
+    rows = [(i * 7, [r.randint(0, 70_000) for _ in range(r.choice([0, 1, 2, 5, 9, 40]))]) for i in range(400)]
+    flat = [x for _, t in rows for x in t]
+    df = spark.createDataFrame(rows, "o long, t array<int>").repartition(5)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        got = [list(x["token_ids"]) for x in sequences.windows(df, "o", "t", 8).orderBy("window").collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == [flat[i : i + 9] for i in range(0, len(flat), 9)]
+
+
+def test_ends_of_a_range_from_every_fill():
+    r = random.Random(6)
+    for size in (1, 5, 30):
+        lengths = [r.randint(1, size) for _ in range(r.choice([1, 3, 40]))]
+        fill, first = sequences._ends(lengths, list(range(len(lengths))), size)
+        for start in range(size):
+            windows, offsets = sequences._places(lengths, list(range(len(lengths))), size, start, -1)
+            end = offsets[-1] + lengths[-1]
+            assert (fill[start], first[start]) == (end % size if end == size else end, windows[-1])
+
+
+def test_columns_of_ids(spark):
+    df = spark.createDataFrame([("a\U0001f600\x00",), ("",), (None,), ("xy",)], "t string")
+    assert [list(x[0]) for x in df.select(sequences.char_tokens(F.col("t"), 0)).collect()] == [[97, 128512, 0], [0], [0], [120, 121, 0]]
+    rows = spark.createDataFrame([([1, 2, 70_001],), ([5],), (None,)], "t array<int>")
+    x, y = sequences.shifted("t")
+    got = rows.select(x, y, sequences.remainders(F.col("t"), 70_000), sequences.ids_hash(F.col("t")), F.sha2(F.array_join("t", ","), 256), *sequences.padded("t", 3, 0)).collect()
+    assert [tuple(g[:3]) for g in got] == [([1, 2], [2, 70_001], [1, 2, 1]), ([], [], [5]), (None, None, None)]
+    assert all(g[3] == g[4] for g in got)
+    assert [tuple(g[5:]) for g in got] == [([1, 2, 70_001], [2, 70_001, -100], [1, 1, 1]), ([5, 0, 0], [-100] * 3, [1, 0, 0]), (None, None, None)]
