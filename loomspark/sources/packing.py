@@ -81,7 +81,7 @@ def advance(laid: DataFrame, plan: Mapping, state: str, encode: Callable[[DataFr
         rows = prepack.attributed(own, "nth", atomic=atomic)
         if at.open:
             rows = spark.createDataFrame([(x["o"], x["t"], x["attr"], x["whole"]) for x in at.open], _OPEN).unionByName(rows)
-        rows = cut(rows, "rows")
+        rows = prepack.stored(rows)
         windows = prepack.windows_of(rows, size, mixed=atomic is not None).join(F.broadcast(prepack.last_orders(rows)), "mode")
         windows = cut(windows, "windows")
         last = F.col("last") == F.col("end")
