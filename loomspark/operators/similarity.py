@@ -70,13 +70,26 @@ def classes(df: DataFrame, ident: str, text: str = "text", width: int = dedupe.W
     return df.select(F.col(ident).alias("id"), F.xxhash64(t).alias("hash"), of(t).alias("of")).select("id", "hash", "of.digest", "of.n")
 
 
-def _hashes(t: Column, width: int) -> Column:
+def hashes(t: Column, width: int = dedupe.WIDTH) -> Column:
+    """Sorted distinct hashes of a text's shingles; a null counts as empty."""
+
     @F.pandas_udf("array<bigint>")
     def of(texts: pd.Series) -> pd.Series:
         known = _Words()
         return pd.Series([_grams(x, width, known) for x in texts], dtype=object)
 
-    return of(t)
+    return of(F.coalesce(t, F.lit("")))
+
+
+def n_shingles(t: Column, width: int = dedupe.WIDTH) -> Column:
+    """How many distinct shingles a text has."""
+
+    @F.pandas_udf("bigint")
+    def of(texts: pd.Series) -> pd.Series:
+        known = _Words()
+        return pd.Series([len(_grams(x, width, known)) for x in texts], dtype=np.int64)
+
+    return of(F.coalesce(t, F.lit("")))
 
 
 def similar(df: DataFrame, ident: str, text: str = "text", width: int = dedupe.WIDTH, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
@@ -120,7 +133,7 @@ def _members(of: DataFrame, named: DataFrame) -> DataFrame:
 def _sets(texts: DataFrame, named: DataFrame, width: int) -> DataFrame:
     """(digest, n, s): one row a class; of the texts only the classes' first ones are shuffled and hashed again."""
     first = texts.withColumn("hash", F.xxhash64("text")).join(named, ["id", "hash"]).groupBy("id", "hash", "digest", "n").agg(F.first("text").alias("text"))
-    return cut(first.select("digest", "n", _hashes(F.col("text"), width).alias("s")), "sets")
+    return cut(first.select("digest", "n", hashes(F.col("text"), width).alias("s")), "sets")
 
 
 def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:

@@ -121,8 +121,7 @@ def q_benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_shingle_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = dedupe.shingles("text")
-    return _docs(spark, sf_dir).select("doc_id", F.size(s).cast("long").alias("n_shingles"))
+    return _docs(spark, sf_dir).select("doc_id", similarity.n_shingles(F.col("text")).alias("n_shingles"))
 
 
 def q_similar_classes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,3 +86,10 @@ def test_copies_make_no_candidates(spark):
     hot = spark.range(3_000).select(F.col("id").cast("string").cast("binary").alias("digest"), F.lit(2).alias("n"), F.array(F.lit(7).cast("long"), F.col("id") + 100).alias("s"))
     assert similarity.candidates(hot, 0.3).count() == 3_000 * 2_999 // 2
     assert dedupe.WIDTH == 5
+
+
+def test_numbers_of_shingles_equal_the_expressions(spark):
+    texts = [None, "", " 　\n", "a", "a b c d e", "a b c d e a b c d e", "x y\x1cz  w v u", "\x00 a\x85b \U0001f600 c d e f", "q " * 50]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    got = df.select(similarity.n_shingles(F.col("text")).alias("n"), F.size(dedupe.shingles(F.coalesce("text", F.lit("")))).alias("want"), F.size(similarity.hashes(F.col("text"))).alias("hashes")).collect()
+    assert all(r["n"] == r["want"] == r["hashes"] for r in got)
