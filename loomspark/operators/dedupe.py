@@ -59,8 +59,10 @@ def overlaps(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tex
     side's rows, so a shingle that many documents share is matched by many tasks. A pair's shingles are counted map-side.
     """
 
+    from loomspark.operators import similarity
+
     def exploded(df: DataFrame, ident: str, n: str) -> DataFrame:
-        hashed = df.select(F.col(ident).alias(ident), F.transform(shingles(text, width), lambda g: F.xxhash64(g)).alias("s"))
+        hashed = df.select(F.col(ident).alias(ident), similarity.hashes(F.col(text), width).alias("s"))
         sized = hashed.select(ident, "s", F.size("s").alias(n))  # below the explode, so no array goes along with every shingle
         return sized.select(ident, n, F.explode_outer("s").alias("g"))  # no inferred filter that would compute them twice
 
