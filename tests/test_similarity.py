@@ -69,6 +69,28 @@ def test_small_bounds_lose_nothing(spark, monkeypatch):
     assert got(spark, rows, 0.8) == want
 
 
+def test_broadcasts_in_slices_lose_nothing(spark, monkeypatch):
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(["x" if k == i else w for k, w in enumerate(base)])) for i in range(40)]
+    want = brute(rows, 0.6)
+    assert len(want[1]) > 100
+    for name, v in {"CHUNK": 150, "ROWS": 7, "BITS": 16, "CELL": 8, "SMALL": 30}.items():
+        monkeypatch.setattr(similarity, name, v)
+    assert got(spark, rows, 0.6) == want
+
+
+def test_shingles_that_no_other_set_has_are_not_shuffled(spark):
+    """Random texts with one near copy: less than half of the sets' bytes are shuffled."""
+    r = random.Random(3)
+    rows = [(i, " ".join(f"w{r.randrange(10**6)}" for _ in range(400))) for i in range(1_000)]
+    rows.append((5_000, rows[0][1] + " more"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    shuffled = lambda: sum(x.totalShuffleWrite() for x in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark.sparkContext._jsc.sc().statusStore().executorList(False)))
+    before = shuffled()
+    assert [tuple(x)[:5] for x in similarity.similar(df, "doc_id")[1].collect()] == [(0, 5_000, 1, 1, 396)]
+    assert shuffled() - before < 1_001 * 396 * 8 / 2
+
+
 def test_empty_table_and_bad_threshold(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     members, pairs = similarity.similar(df, "doc_id")
