@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from math import log2
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -83,6 +84,10 @@ def hits(c: Column | str, parts: tuple[str, ...]) -> Column:
     return sum((F.contains(col(c), F.lit(p)).cast("int") for p in parts), F.lit(0))
 
 
+ROWS = 100  # texts of a batch that are strings at a time
+STATS = pa.struct({"n": pa.int32(), "top": pa.int32(), "entropy": pa.float64(), "solid": pa.int32(), "once": pa.int32()})
+
+
 def _stats(text: str | None) -> dict:
     own = [x for x in map(str.strip, (text or "").splitlines()) if x]
     seen, lines = Counter("".join((text or "").split())), Counter(own)
@@ -91,10 +96,21 @@ def _stats(text: str | None) -> dict:
     return {"n": n, "top": max(seen.values(), default=0), "entropy": entropy, "solid": len(own), "once": sum(k == 1 for k in lines.values())}
 
 
+def stats_of(texts: pa.Array) -> pa.Array:
+    """The statistics of a batch of texts, ``ROWS`` of which are strings at a time."""
+    parts = [pa.array(map(_stats, texts.slice(lo, ROWS).to_pylist()), STATS) for lo in range(0, len(texts), ROWS)]
+    return pa.concat_arrays(parts) if parts else pa.array([], STATS)
+
+
 def stats(c: Column | str) -> Column:
     """(n, top, entropy) of a text's characters without white space, (solid, once) of its lines that aren't blank: histograms in
     one pass over an Arrow batch. Built-in functions would sort or explode every character."""
-    return F.udf(_stats, "n int, top int, entropy double, solid int, once int", useArrow=True)(col(c))
+
+    @F.arrow_udf("n int, top int, entropy double, solid int, once int")
+    def of(texts: pa.Array) -> pa.Array:
+        return stats_of(texts)
+
+    return of(col(c))
 
 
 # The same in the dialect the results are compared in.

@@ -2,8 +2,10 @@
 
 import ast
 import time
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -410,3 +412,14 @@ def test_a_rate_limit_holds_for_the_whole_run(spark):
     got = structuring.ask(requests, lambda part: [x.upper() for x in part], per_minute=240).collect()
     # four a second in all: after the first call of each of the four tasks, twenty calls are due one by one
     assert time.monotonic() - began >= 4.5 and sorted(r["reply"] for r in got) == sorted(f"P{i}" for i in range(24))
+
+
+def test_statistics_hold_few_texts_of_a_batch():
+    texts = pa.array(["\u4e2d\u6587 " * 5_000 + str(i) for i in range(2_000)] + [None, "", "a\nb\n\nb"])
+    tracemalloc.start()
+    got = tx.stats_of(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2_000 * 15_000 * 2 / 4  # all of them as strings: 60 MB
+    assert got.to_pylist() == [tx._stats(x) for x in texts.to_pylist()]
+    assert got[-1].as_py() == {"n": 3, "top": 2, "entropy": pytest.approx(0.918, abs=1e-3), "solid": 3, "once": 1} and len(tx.stats_of(texts[:0])) == 0
