@@ -31,7 +31,7 @@ from pyspark.sql.window import Window
 
 from .common import Bloom, bloom_of, cut, drop_tables, small
 
-LEAST, LONGEST, TOP, SHARD, SLICE, SALTS = 30, 4, 2000, 8 << 20, 60_000, 64
+LEAST, LONGEST, TOP, SHARD, SLICE, SALTS = 30, 4, 2000, 4 << 20, 30_000, 64
 COVER, SCORE = 80, 2_000_000
 #: A-Z fold, a tab is a space, ends of pieces become full stops.
 _FOLD = bytes(46 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -75,13 +75,17 @@ class Shard:
     def __init__(self, ids: np.ndarray, good: np.ndarray, goes_on: np.ndarray, begins: int):
         n = len(ids)
         self.blocks = -(-n // BITS) + 1
-        at = np.flatnonzero(good)
-        key = (at // BITS) << 32 | ids[at]
-        order = np.argsort(key, kind="stable")
-        key, bit = key[order], MASK(1) << (at[order] % BITS).astype(MASK)
+        key = np.flatnonzero(good)  # (block, word, bit) in one number, sorted where it stands
+        word = ids[key]
+        key = (key // BITS) << 36 | (key % BITS)
+        key |= word.astype(np.int64) << 4
+        key.sort()
+        bit = MASK(1) << (key & (BITS - 1)).astype(MASK)
+        key >>= 4
         new = _runs(key)
+        key = key[new]
         #: entries (block, word, mask), by block
-        self.block, self.word = (key[new] >> 32).astype(np.int32), (key[new] & 0xFFFFFFFF).astype(np.int32)
+        self.block, self.word = (key >> 32).astype(np.int32), (key & 0xFFFFFFFF).astype(np.int32)
         self.mask = np.bitwise_or.reduceat(bit, new) if len(new) else bit
         self.first = np.searchsorted(self.block, np.arange(self.blocks + 1)).astype(np.int32)
         self.goes_on = self._bitmap(goes_on)
@@ -112,7 +116,7 @@ class Shard:
         hit = np.flatnonzero(both)
         src, entry, both = src[hit], entry[hit], both[hit]
         phrase, word, block = phrase[src], self.word[entry], block[src]
-        order = np.argsort(phrase.astype(np.int64) << 32 | word, kind="stable")
+        order = np.argsort(phrase.astype(np.int64) << 32 | word)
         return phrase[order], word[order], block[order], both[order]
 
 

@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -221,6 +222,21 @@ def test_bitmaps_cross_blocks_and_cuts():
         assert got == plain
 
 
+def test_shards_take_little_memory():
+    words = np.array([b"w%d" % i for i in range(20_000)], object)
+    text = b" ".join(words[np.random.default_rng(3).zipf(1.3, 1_500_000) % len(words)])
+    batch = pa.RecordBatch.from_arrays([pa.array([b"en"], pa.binary()), pa.array([text], pa.binary())], names=["lang", "text"])
+    tracemalloc.start()
+    try:
+        shards = list(collocations._shards([batch], collocations.SHARD, 1))
+        found = sum(int(n.sum()) for lang, *shard in shards for _, n in collocations.mine(lang, *shard, 2, 2, None, None))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == 1_499_999
+    assert peak < 70 << 20
+
+
 def test_stretches_are_cut_at_spaces_and_see_what_follows():
     text = collocations.fold(b"Alpha beta.. gamma\tdelta " * 50)
     parts = list(collocations.stretches(text, 40, 3))
