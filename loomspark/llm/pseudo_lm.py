@@ -4,7 +4,9 @@ A small network predicts every word from the two words on each side of it; a doc
 conditional log-probabilities of its words. The vocabulary is the corpus's commonest words, counted over all documents, as
 many as the square root of the words counted (and ``classes`` squared at least); other words share hashed tail ids, and
 places beyond the text have an id of their own. The output is a two-level softmax: a class from the context, then a word
-within the class, so a prediction costs two short rows. A tail word's probability is that of its tail id times its share of
+within the class, so a prediction costs two short rows. Classes of common words are short and those of rare words long: a
+class has as many words as the root of one over its first word's share (``CLASSES`` at least), the sizes for which the two
+rows together are shortest; up to ``CLASSES`` squared ids all classes are alike. A tail word's probability is that of its tail id times its share of
 the id's words: its count over the id's words and different words, the latter being what unknown words would get. So the
 probabilities of all words, unknown ones included, sum to 1. The counts of tail words are joined to the documents, never
 held in one place.
@@ -26,6 +28,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from dataclasses import dataclass
+from functools import cached_property
 from hashlib import blake2b
 
 import numpy as np
@@ -42,30 +45,57 @@ CLASSES, TAIL, SIDE, HIDDEN, LONGEST = 48, 104, 2, 24, 40
 
 @dataclass
 class Vocabulary:
-    """Ids of the commonest words; then ``tail`` hashed ids; then the edge of a text. Each of the ``classes`` classes has as many ids."""
+    """Ids of the commonest words; then ``tail`` hashed ids; then the edge of a text, which is no word's id."""
 
     ids: dict[bytes, int]
-    classes: int
+    edge: int
     tail: int
     room: np.ndarray  # of each tail id, its words and different words
     times: np.ndarray | None = None  # how often the words of ``ids`` occur
 
+    def weights(self) -> np.ndarray:
+        """How often each id occurs, and one more."""
+        n = np.ones(self.edge)
+        if self.times is not None:
+            n[: len(self.times)] += self.times
+        n[self.edge - self.tail :] += self.room
+        return n
+
+    @cached_property
+    def bounds(self) -> np.ndarray:
+        """Where each class of ids begins, and the end."""
+        if self.classes <= CLASSES:
+            return np.arange(self.classes + 1) * self.classes
+        n = self.weights()
+        sizes, out, tail = np.maximum(CLASSES, np.sqrt(n.sum() / n)).astype(np.int64), [0], self.edge - self.tail
+        while out[-1] < self.edge:
+            a = out[-1]
+            out.append(min(a + int(sizes[a]), tail if a < tail else self.edge))
+        return np.array(out)
+
     @property
-    def edge(self) -> int:
-        return self.classes * self.classes
+    def classes(self) -> int:
+        """The square root of the number of ids."""
+        return math.isqrt(self.edge)
 
     @property
     def kind(self) -> type:
         return np.uint16 if self.edge < 1 << 16 else np.uint32
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
-        """Ids of the words, and those words that have a tail id, each time they occur."""
+        """Ids of the words, and those words that have a tail id, each time they occur; long words as they are or shortened."""
         base = self.edge - self.tail
         out, rest = list(map(self.ids.get, words)), []
         if None in out:
-            rest = [w for x, w in zip(out, words, strict=True) if x is None]
-            own = iter([base + _bucket(w, self.tail) for w in rest])
-            out = [next(own) if x is None else x for x in out]
+            for i in [i for i, x in enumerate(out) if x is None]:
+                w = words[i]
+                if len(w) > LONGEST:
+                    w = _short(w)
+                    out[i] = self.ids.get(w)
+                    if out[i] is not None:
+                        continue
+                out[i] = base + sum(w[:8]) % self.tail
+                rest.append(w)
         return np.array(out, self.kind), rest
 
     def log_room(self, ids: np.ndarray) -> np.ndarray:
@@ -77,12 +107,13 @@ def _bucket(word: bytes, tail: int) -> int:
     return sum(word[:8]) % tail
 
 
+def _short(word: bytes) -> bytes:
+    """A word over ``LONGEST`` bytes by a digest, with a letter that no word has."""
+    return word if len(word) <= LONGEST else b"#" + blake2b(word, digest_size=16).hexdigest().encode()
+
+
 def _words(text: str | None) -> list[bytes]:
-    """The words of a text; those over ``LONGEST`` bytes by a digest, with a letter that no word has."""
-    words = fold(text).split()
-    if max(map(len, words), default=0) > LONGEST:
-        words = [w if len(w) <= LONGEST else b"#" + blake2b(w, digest_size=16).hexdigest().encode() for w in words]
-    return words
+    return list(map(_short, fold(text).split()))
 
 
 def _count(batches):
@@ -90,7 +121,7 @@ def _count(batches):
     seen: Counter = Counter()
     for b in batches:
         for t in b.column("text").to_pylist():
-            seen.update(_words(t))
+            seen.update(fold(t).split())
             if len(seen) > 400_000:
                 yield _pairs(seen)
                 seen.clear()
@@ -99,7 +130,7 @@ def _count(batches):
 
 
 def _pairs(seen: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.binary()).cast(pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+    return pa.RecordBatch.from_arrays([pa.array(list(map(_short, seen)), pa.binary()).cast(pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
 
 
 def word_counts(text: DataFrame) -> DataFrame:
@@ -108,12 +139,12 @@ def word_counts(text: DataFrame) -> DataFrame:
 
 
 def vocabulary(counts: DataFrame, classes: int = CLASSES, tail: int = TAIL) -> Vocabulary:
-    """From the counts of all words; ties by word. ``classes`` is the least number of classes."""
+    """From the counts of all words; ties by word. There are ``classes`` squared ids at least."""
     total = counts.agg(F.sum("n")).first()[0] or 0
-    classes = max(classes, math.ceil(math.sqrt(math.sqrt(total) + tail)))
-    rows = counts.orderBy(F.desc("n"), "word").limit(classes * classes - tail).collect()  # the square root of the words
+    edge = max(classes, math.ceil(math.sqrt(math.sqrt(total) + tail))) ** 2
+    rows = counts.orderBy(F.desc("n"), "word").limit(edge - tail).collect()  # the square root of the words
     ids = {r["word"].encode(): i for i, r in enumerate(rows)}
-    vocab = Vocabulary(ids, classes, tail, np.zeros(tail), np.array([r["n"] for r in rows], np.float64))
+    vocab = Vocabulary(ids, edge, tail, np.zeros(tail), np.array([r["n"] for r in rows], np.float64))
     if rows:
         last = rows[-1]
         rest = counts.where((F.col("n") < last["n"]) | ((F.col("n") == last["n"]) & (F.col("word") > last["word"])))
@@ -138,27 +169,35 @@ class Network:
     embed: np.ndarray  # (places x ids) x HIDDEN: each context word's contribution, one table a place
     bias: np.ndarray
     top: np.ndarray  # HIDDEN + 1 x classes
-    low: np.ndarray  # classes x HIDDEN + 1 x size
+    out: np.ndarray  # ids x HIDDEN + 1
+    bounds: np.ndarray  # where each class's ids begin, and the end
 
-    NAMES = ("embed", "bias", "top", "low")
+    NAMES = ("embed", "bias", "top", "out")
 
     @classmethod
-    def fresh(cls, classes: int, seed: int = 0) -> Network:
-        r = np.random.default_rng(seed)
+    def fresh(cls, classes: int, seed: int = 0, bounds: np.ndarray | None = None) -> Network:
+        """Of classes that begin at ``bounds``, or of ``classes`` classes of as many ids."""
+        bounds = np.arange(classes + 1) * classes if bounds is None else bounds
+        r, ids = np.random.default_rng(seed), int(bounds[-1])
         f = np.float32
-        return cls(r.normal(0, 0.1, (2 * SIDE * (classes * classes + 1), HIDDEN)).astype(f), np.zeros(HIDDEN, f), r.normal(0, 0.05, (HIDDEN + 1, classes)).astype(f), r.normal(0, 0.05, (classes, HIDDEN + 1, classes)).astype(f))
+        return cls(r.normal(0, 0.1, (2 * SIDE * (ids + 1), HIDDEN)).astype(f), np.zeros(HIDDEN, f), r.normal(0, 0.05, (HIDDEN + 1, len(bounds) - 1)).astype(f), r.normal(0, 0.05, (ids, HIDDEN + 1)).astype(f), bounds)
 
     @classmethod
     def start(cls, vocab: Vocabulary) -> Network:
         """A fresh network that gives each id its share of the corpus."""
-        net, n = cls.fresh(vocab.classes), np.ones(vocab.edge)
-        if vocab.times is not None:
-            n[: len(vocab.times)] += vocab.times
-        n[vocab.edge - vocab.tail :] += vocab.room
-        n = n.reshape(vocab.classes, -1)
-        net.top[-1], net.low[:, -1] = np.log(n.sum(axis=1) / n.sum()), np.log(n / n.sum(axis=1, keepdims=True))
+        net, n = cls.fresh(vocab.classes, bounds=vocab.bounds), vocab.weights()
+        whole = np.add.reduceat(n, net.bounds[:-1])
+        net.top[-1], net.out[:, -1] = np.log(whole / n.sum()), np.log(n / np.repeat(whole, np.diff(net.bounds)))
         return net
 
+    @property
+    def low(self) -> list[np.ndarray]:
+        """Of each class, HIDDEN + 1 x its ids."""
+        return [self.out[a:z].T for a, z in zip(self.bounds[:-1], self.bounds[1:], strict=True)]
+
+    def classes_of(self, target: np.ndarray) -> np.ndarray:
+        return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))[target]
+
     def flat(self) -> np.ndarray:
         return np.concatenate([getattr(self, n).ravel() for n in self.NAMES])
 
@@ -168,7 +207,7 @@ class Network:
             a = getattr(self, n)
             out.append(flat[at : at + a.size].reshape(a.shape).astype(np.float32))
             at += a.size
-        return Network(*out)
+        return Network(*out, self.bounds)
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
         """Rows of HIDDEN + 1 values, the last of them 1."""
@@ -181,21 +220,23 @@ class Network:
         np.tanh(z, out=h[:, :-1])
         return h
 
-    def log_probability(self, context: np.ndarray, target: np.ndarray, chunk: int = 2048) -> np.ndarray:
+    def log_probability(self, context: np.ndarray, target: np.ndarray, chunk: int = 1024) -> np.ndarray:
         """Of each target given its context; taken in the order of classes, so each class's table serves many at once."""
-        size = self.top.shape[1]
-        c = target // size
-        order = np.argsort(c, kind="stable")
-        out, free = np.empty(len(c), np.float32), np.empty((chunk, size), np.float32)
-        for lo in range(0, len(order), chunk):
-            own = order[lo : lo + chunk]
-            h, k, w = self.hidden(context[own]), c[own], target[own] % size
-            x, row = free[: len(own)], np.arange(len(own))
-            np.dot(h, self.top, out=x)
-            got = _log_share(x, row, k)
-            for i, a, z in _runs(k):
-                np.dot(h[a:z], self.low[i], out=x[a:z])
-            out[own] = got + _log_share(x, row, w)
+        order = np.argsort(target.astype(np.uint16) if len(self.out) <= 1 << 16 else target, kind="stable")
+        context, target = context[order], target[order]
+        c = self.classes_of(target)
+        h, got = np.empty((len(c), HIDDEN + 1), np.float32), np.empty(len(c), np.float32)
+        for lo in range(0, len(c), chunk):
+            own = slice(lo, lo + chunk)
+            h[own] = self.hidden(context[own])
+            got[own] = _log_share(np.dot(self.top.T, h[own].T), c[own])
+        for i, lo, hi in _runs(c):
+            a, z = self.bounds[i], self.bounds[i + 1]
+            for at in range(lo, hi, chunk):
+                own = slice(at, min(at + chunk, hi))
+                got[own] += _log_share(np.dot(self.out[a:z], h[own].T), target[own] - a)
+        out = np.empty(len(c), np.float32)
+        out[order] = got
         return out
 
 
@@ -205,73 +246,89 @@ def _runs(c: np.ndarray) -> list[tuple[int, int, int]]:
     return list(zip(c[first[:-1]].tolist(), first[:-1].tolist(), first[1:].tolist(), strict=True))
 
 
-def _log_share(x: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The logarithm of one column's softmax in each row; overwrites ``x``."""
-    x -= x.max(axis=1, keepdims=True)
-    own = x[row, at]
+def _log_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The logarithm of one row's softmax in each column; overwrites ``x``."""
+    x -= x.max(axis=0)
+    own = x[at, np.arange(x.shape[1])]
+    np.exp(x, out=x)
+    return own - np.log(x.sum(axis=0))
+
+
+def _error(x: np.ndarray, at: np.ndarray) -> None:
+    """Softmax less one at each column's row, over the number of columns; in place."""
+    n = np.float32(x.shape[1])
+    x -= x.max(axis=0)
     np.exp(x, out=x)
-    return own - np.log(x.sum(axis=1))
+    x *= 1 / (x.sum(axis=0) * n)
+    x[at, np.arange(x.shape[1])] -= 1 / n
 
 
-def _error(x: np.ndarray, row: np.ndarray, at: np.ndarray) -> None:
-    """Softmax less one at each row's column, over the number of rows; in place."""
-    x -= x.max(axis=1, keepdims=True)
+def _errors(x: np.ndarray, begin: np.ndarray, width: np.ndarray, at: np.ndarray) -> None:
+    """The same for rows of some widths, one after another."""
+    n = np.float32(len(begin))
+    x -= np.repeat(np.maximum.reduceat(x, begin), width)
     np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True) * len(x)
-    x[row, at] -= np.float32(1 / len(x))
+    x *= np.repeat(1 / (np.add.reduceat(x, begin) * n), width)
+    x[begin + at] -= 1 / n
 
 
 class Trainer:
     """AdaGrad steps on one copy of the network. A row of weights (a word's at a place, an output's) has one accumulator, the
     mean of its squared gradients: half the memory to touch, and a root for each row only."""
 
-    AXES = {"embed": 1, "top": 0, "low": 1, "bias": None}
+    AXES = {"embed": 1, "top": 0, "out": 1, "bias": None}
 
     def __init__(self, net: Network, rate: float = 0.15):
         self.net, self.rate = net, np.float32(rate)
         self.seen = {n: np.full(np.delete(getattr(net, n).shape, [] if x is None else x), 1e-2, np.float32) for n, x in self.AXES.items()}
-        self.free = np.empty((0, net.top.shape[1]), np.float32), np.empty((0, net.top.shape[1]), np.float32)
+        self.width = np.diff(net.bounds)
+        self.free, self.grad = np.empty(0, np.float32), np.empty_like(net.out)
 
     def _step(self, name: str, grad: np.ndarray, at=slice(None)) -> None:
+        """Overwrites ``grad``."""
         seen, a, axis = self.seen[name], getattr(self.net, name), self.AXES[name]
         if axis is None:
             more = grad * grad
-        elif name == "embed":
-            more = np.einsum("rh,rh->r", grad, grad) / grad.shape[1]
         else:
-            more = np.einsum("...ho,...ho->...o", grad, grad) / grad.shape[-2]
+            more = np.einsum("rh,rh->r" if axis else "ho,ho->o", grad, grad) / grad.shape[axis]
         now = seen[at] + more
         seen[at] = now
         scale = self.rate / np.sqrt(now)
-        grad = grad * (scale if axis is None else np.expand_dims(scale, axis))
+        grad *= scale if axis is None else np.expand_dims(scale, axis)
         if isinstance(at, slice):
             a -= grad
         else:
-            a[at] -= grad
+            a[at] = np.subtract(a.take(at, axis=0), grad, out=grad)
 
     def step(self, context: np.ndarray, target: np.ndarray) -> None:
-        net, n = self.net, len(target)
-        size = net.top.shape[1]
-        if len(self.free[0]) < n:
-            self.free = np.empty((n, size), np.float32), np.empty((n, size), np.float32)
-        p, q = self.free[0][:n], self.free[1][:n]
-        c = target // size
-        order = np.argsort(c.astype(np.uint16), kind="stable")
-        context, c, w, row = context[order], c[order], target[order] % size, np.arange(n)
+        net = self.net
+        order = np.argsort(target.astype(np.uint16) if len(net.out) <= 1 << 16 else target, kind="stable")
+        context, target = context[order], target[order]
+        c = net.classes_of(target)
         h, runs = net.hidden(context), _runs(c)
-        np.dot(h, net.top, out=p)
-        _error(p, row, c)
-        back = np.dot(p, net.top.T)
-        for i, lo, hi in runs:
-            np.dot(h[lo:hi], net.low[i], out=q[lo:hi])
-        _error(q, row, w)
-        grad = np.empty((len(runs), h.shape[1], size), np.float32)
-        for j, (i, lo, hi) in enumerate(runs):
-            back[lo:hi] += np.dot(q[lo:hi], net.low[i].T)
-            np.dot(h[lo:hi].T, q[lo:hi], out=grad[j])
-        some = np.array([i for i, _, _ in runs])
-        self._step("low", grad, slice(None) if len(some) == len(net.low) else some)
-        self._step("top", np.dot(h.T, p))
+        p = np.dot(net.top.T, h.T)
+        _error(p, c)
+        back = np.dot(p.T, net.top.T)
+        # each row as long as its class, one after another
+        width = self.width[c]
+        ends = np.cumsum(width)
+        begin = ends - width
+        if len(self.free) < ends[-1]:
+            self.free = np.empty(ends[-1] + (ends[-1] >> 2), np.float32)
+        q, blocks = self.free[: ends[-1]], []
+        for (i, lo, hi), at in zip(runs, begin[[lo for _, lo, _ in runs]].tolist(), strict=True):
+            a, z = net.bounds[i], net.bounds[i + 1]
+            block = q[at : at + (hi - lo) * (z - a)].reshape(hi - lo, z - a)
+            np.dot(h[lo:hi], net.out[a:z].T, out=block)
+            blocks.append((block, lo, hi, a, z))
+        _errors(q, begin, width, target - net.bounds[c])
+        if len(runs) < len(self.width):
+            self.grad[:] = 0
+        for block, lo, hi, a, z in blocks:
+            back[lo:hi] += np.dot(block, net.out[a:z])
+            np.dot(block.T, h[lo:hi], out=self.grad[a:z])
+        self._step("out", self.grad)
+        self._step("top", np.dot(p, h).T)
         g = back[:, :-1]
         g *= 1 - h[:, :-1] ** 2
         self._step("bias", g.sum(axis=0))
@@ -282,11 +339,12 @@ class Trainer:
         order = np.argsort(every, kind="stable")
         every = every[order]
         first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
-        self._step("embed", np.add.reduceat(g.take(order // context.shape[1], axis=0), first), every[first])
+        rows = g.take(order // context.shape[1], axis=0).view(np.complex64)  # sums of two columns at a time
+        self._step("embed", np.add.reduceat(rows, first).view(np.float32), every[first])
 
 
-def contexts(group: list[tuple[int, np.ndarray, int, int]], edge: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(contexts, targets, text) of the words of some parts of texts; ``SIDE`` words on each side."""
+def _places(group: list[tuple[int, np.ndarray, int, int]], edge: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids with edges between, places of the words, text) of some parts of texts."""
     parts, place, text, at = [np.zeros(0, np.int32)], [], [], SIDE
     for i, x, lo, hi in group:
         a, z = max(0, lo - SIDE), min(len(x), hi + SIDE)
@@ -294,9 +352,17 @@ def contexts(group: list[tuple[int, np.ndarray, int, int]], edge: int) -> tuple[
         place.append(np.arange(at, at + hi - lo))
         text.append(np.full(hi - lo, i))
         at += hi - lo + 2 * SIDE
-    every, place, text = np.concatenate(parts), np.concatenate(place), np.concatenate(text)
-    around = [k for k in range(-SIDE, SIDE + 1) if k]
-    return np.stack([every[place + k] for k in around], axis=1), every[place], text
+    return np.concatenate(parts), np.concatenate(place), np.concatenate(text)
+
+
+def _around(every: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return np.stack([every[place + k] for k in range(-SIDE, SIDE + 1) if k], axis=1)
+
+
+def contexts(group: list[tuple[int, np.ndarray, int, int]], edge: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(contexts, targets, text) of the words of some parts of texts; ``SIDE`` words on each side."""
+    every, place, text = _places(group, edge)
+    return _around(every, place), every[place], text
 
 
 def _parts(ids: list[np.ndarray], words: int = 40_000):
@@ -324,13 +390,13 @@ def _train(data, round_: int, rounds: int, mask: int, edge: int, batch: int, pie
         t, n, part, k = Trainer(net.like(net.flat().copy())), 0, TaskContext.get().partitionId(), 0
         for b in small(batches, 4000):
             for group in _parts(_ids(b, kind), max(40_000, mask * batch)):
-                context, target, _ = contexts(group, edge)
-                residue = (np.arange(len(target)) * 2654435761 + k * 40503 + part * 97) % 4294967296 % mask
+                every, place, _ = _places(group, edge)
+                residue = (np.arange(len(place)) * 2654435761 + k * 40503 + part * 97) % 4294967296 % mask
                 k += 1
                 for m in range(round_, mask, rounds):
                     own = np.flatnonzero(residue == m)
-                    for x in np.array_split(own, -(-len(own) // batch)) if len(own) else ():
-                        t.step(context[x], target[x])
+                    for x in np.array_split(own, max(1, round(len(own) / batch))) if len(own) else ():
+                        t.step(_around(every, place[x]), every[place[x]])
                     n += len(own)
         if n:
             for piece, x in enumerate(np.array_split(t.net.flat(), pieces)):
@@ -375,7 +441,7 @@ def score(documents: DataFrame, *, text_col: str = "text", classes: int = CLASSE
     def encode(batches):
         v, uid = words.value, TaskContext.get().partitionId() << 40
         for b in small(batches):
-            ids, rest = zip(*(v.encode(_words(t)) for t in b.column("text").to_pylist()), strict=True)
+            ids, rest = zip(*(v.encode(fold(t).split()) for t in b.column("text").to_pylist()), strict=True)
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(np.arange(uid, uid + b.num_rows)), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([b" ".join(x) for x in rest], pa.binary()).cast(pa.string())], names=["row", "uid", "ids", "rest"])
             uid += b.num_rows
 

@@ -359,6 +359,47 @@ def test_training_step_follows_the_gradient():
         assert np.isclose((loss(flat + e) - loss(flat - e)) / 2e-2, grad[i], atol=1e-4)
 
 
+def test_steps_are_about_as_long_as_asked(monkeypatch):
+    texts, seen = [np.arange(1400, dtype=np.uint16) for _ in range(4)], []
+    batches = [pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in texts], pa.binary())], names=["ids"])]
+    monkeypatch.setattr(pseudo_lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    monkeypatch.setattr(pseudo_lm.Trainer, "step", lambda self, context, target: seen.append(len(target)))
+    list(pseudo_lm._train(SimpleNamespace(value=pseudo_lm.Network.fresh(48)), 0, 1, 8, 48 * 48, 512, 16)(batches))
+    assert sum(seen) == 5600 and len(seen) == 8  # 700 words a step, not 350
+
+
+def test_common_words_stand_in_short_classes():
+    n = 1e6 / np.arange(1, 6001)
+    vocab = pseudo_lm.Vocabulary({}, 78 * 78, 84, np.full(84, 2000.0), n)
+    net = pseudo_lm.Network.start(vocab)
+    width = np.diff(net.bounds)
+    assert net.bounds[0] == 0 and net.bounds[-1] == vocab.edge and vocab.edge - 84 in net.bounds and width[0] < width.max() / 3
+    columns = net.top.shape[1] + (width[net.classes_of(np.arange(vocab.edge))] * vocab.weights()).sum() / vocab.weights().sum()
+    assert columns < 0.8 * 2 * 78
+    p = np.exp(net.log_probability(np.array([[1, 2, 3, 4]] * vocab.edge), np.arange(vocab.edge)))
+    assert np.isclose(p.sum(), 1, atol=1e-4)
+    r = np.random.default_rng(0)
+    context, target, flat = r.integers(0, vocab.edge, (64, 4)), r.integers(0, vocab.edge, 64), net.flat()
+    seen, t = {}, pseudo_lm.Trainer(net.like(flat.copy()))
+    t._step = lambda name, grad, at=slice(None): seen.setdefault(name, np.zeros(getattr(net, name).shape)).__setitem__(at, grad)
+    t.step(context, target)
+    grad = np.concatenate([seen[n].ravel() for n in net.NAMES])
+    loss = lambda x: -net.like(x).log_probability(context, target).astype(float).mean()
+    for name in net.NAMES:
+        at = int(np.abs(seen[name]).ravel().argmax()) + sum(getattr(net, x).size for x in net.NAMES[: net.NAMES.index(name)])
+        e = np.zeros(len(flat))
+        e[at] = 1e-2
+        assert np.isclose((loss(flat + e) - loss(flat - e)) / 2e-2, grad[at], atol=1e-4)
+
+
+def test_long_words_are_encoded_by_their_digest():
+    long, other = b"x" * 60, b"y" * 60
+    vocab = pseudo_lm.Vocabulary({b"a": 0, pseudo_lm._short(long): 1}, 36, 5, np.ones(5))
+    for words in ([long, b"a", other], pseudo_lm._words("X" * 60 + " a " + "y" * 60)):
+        ids, rest = vocab.encode(words)
+        assert ids[:2].tolist() == [1, 0] and ids[2] >= 31 and rest == [pseudo_lm._short(other)]
+
+
 def test_tail_words_have_their_own_probabilities(spark):
     r = random.Random(6)
     common = " ".join(f"c{i}" for i in range(200))
