@@ -63,9 +63,10 @@ def bounds(df: DataFrame, order: str, parts: int | None = None) -> list:
     return sorted(r["least"] for r in least.collect())[1:]  # a row for each range
 
 
-def _ranges(df: DataFrame, order: str, parts: int | None = None) -> Column:
-    """The number of a row's range of a numeric order column (nulls: the first); equal values are in one range."""
-    found = bounds(df, order, parts)
+def _ranges(df: DataFrame, order: str, parts: int | None = None, found: list | None = None) -> Column:
+    """The number of a row's range of a numeric order column (nulls: the first); equal values are in one range. ``found``: bounds
+    that are known already."""
+    found = bounds(df, order, parts) if found is None else found
     if not found:
         return F.lit(0)
     whole = isinstance(df.schema[order].dataType, IntegralType)
@@ -78,6 +79,22 @@ def _ranges(df: DataFrame, order: str, parts: int | None = None) -> Column:
     return F.pandas_udf(place, "int")(F.coalesce(F.col(order).cast(kind), F.lit(edges[0].item() - 1).cast(kind)))
 
 
+def aligned(df: DataFrame, order: str, every: int) -> list[tuple]:
+    """(bound, rows before it) of ranges of a numeric column, as many as :func:`bounds` has or fewer, where a multiple of ``every``
+    rows stands before each bound. Equal values are in one range. Only the order column is read."""
+    dealt = df.select(order).withColumn("_range", _ranges(df, order))
+    starts, before = [], 0
+    for x in sorted(dealt.groupBy("_range").count().collect()):  # a row for each range
+        starts.append((x["_range"], before))
+        before += x["count"]
+    if len(starts) < 2:
+        return []
+    least = dealt.withColumn("_less", F.rank().over(Window.partitionBy("_range").orderBy(order)) - 1)
+    least = least.join(F.broadcast(df.sparkSession.createDataFrame(starts, "_range int, _before long")), "_range").withColumn("_less", F.col("_before") + F.col("_less"))
+    least = least.where((F.col("_less") > 0) & (F.col("_less") % every == 0) & F.col(order).isNotNull())
+    return sorted((x["at"], x["n"]) for x in least.groupBy("_range").agg(F.min(order).alias("at"), F.min("_less").alias("n")).collect())  # a row for each range
+
+
 def running(df: DataFrame, groups: list[str], order: str, value: Column, name: str, ties: tuple[str, ...] = ()) -> DataFrame:
     """Adds the sum of ``value`` over the rows before, in each group, by a numeric order column without ties (or with ``ties``,
     columns that settle them).

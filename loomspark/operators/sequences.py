@@ -9,6 +9,7 @@ own start (:func:`next_fit`), so the exact order-dependent result needs no singl
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from hashlib import sha256
 
 import numpy as np
@@ -17,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.operators.mixture import _ranges, ranked
+from loomspark.operators.mixture import _ranges, aligned, ranked
 from loomspark.session import cut
 
 #: Marks around the parts of a text where the tokenizer has none of its own.
@@ -27,8 +28,8 @@ FIM_DRAW = 0.8444218515250481
 ATOMIC_WORDS = "fim|instruction|debug|comment|refactor|test"
 
 
-def _code_points(texts: pa.Array, end: int | None) -> pa.ListArray:
-    """UTF-32 is the ids."""
+def code_points(texts: pa.Array, end: int | None) -> pa.ListArray:
+    """UTF-32 is the ids; none but the end id of a null."""
     rows, offsets = [np.empty(0, "<i4")], [0]
     for x in texts.cast(pa.large_binary()):
         ids = np.frombuffer((x.as_py() or b"").decode("utf-8", "replace").encode("utf-32-le"), "<i4")
@@ -44,7 +45,7 @@ def char_tokens(t: Column, end: int | None = None) -> Column:
 
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
-        return _code_points(texts, end)
+        return code_points(texts, end)
 
     return ids(F.coalesce(t, F.lit("")))
 
@@ -167,16 +168,59 @@ def windows(examples: DataFrame, order: str, tokens: str, max_seq_len: int, *, d
     return out.where(F.size("token_ids") == size) if drop_remainder else out
 
 
-def chunked_windows(examples: DataFrame, order: str, tokens: str, max_seq_len: int, chunk: int) -> DataFrame:
-    """Each run of ``chunk`` examples packed by itself: chunk, window, token_ids."""
-    size = max_seq_len + 1
-    dealt = ranked(examples.select(order, tokens), [], order, "rank").withColumn("chunk", F.floor((F.col("rank") - 1) / chunk))
-    whole = dealt.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct(order, tokens))).alias("rows"))  # ``chunk`` rows
-    stream = F.flatten(F.transform("rows", lambda r: r[tokens]))
-    starts = F.sequence(F.lit(0), F.greatest(F.size("stream") - 1, F.lit(0)), F.lit(size))
-    out = whole.select("chunk", stream.alias("stream")).where(F.size("stream") > 0)
-    out = out.select("chunk", F.posexplode(F.transform(starts, lambda s: F.struct(s.alias("s")))).alias("window", "s"), "stream")
-    return out.select("chunk", "window", F.slice("stream", F.col("s.s") + 1, size).alias("token_ids"))
+def chunked_windows(examples: DataFrame, order: str, tokens: str, max_seq_len: int, chunk: int, *, encode: Callable[[pa.Array], pa.ListArray] | None = None) -> DataFrame:
+    """Each run of ``chunk`` examples packed by itself: chunk, window, token_ids. ``encode`` makes ids of the column, if it isn't ids.
+
+    Ranges of the order begin where chunks begin, so examples are shuffled once, as they are, and a task streams its chunks and
+    makes the ids of 100 examples at a time.
+    """
+    size, found = max_seq_len + 1, aligned(examples, order, chunk)
+    firsts = [0, *(n // chunk for _, n in found)]
+    dealt = examples.select(F.col(order).alias("_o"), F.col(tokens).alias("_t")).withColumn("_r", _ranges(examples.select(F.col(order).alias("_o")), "_o", found=[at for at, _ in found]))
+
+    def run(batches):
+        now, number, held, ready, parts = None, 0, 0, 0, []
+        out: list[tuple[int, np.ndarray]] = []
+
+        def close() -> None:
+            nonlocal number, held, ready, parts
+            if n := sum(map(len, parts)):
+                out.append((number, np.concatenate(parts)))
+                ready += n
+            number, held, parts = number + 1, 0, []
+
+        for b in (x.slice(at, 100) for x in batches for at in range(0, x.num_rows, 100)):
+            r, t = b.column("_r").to_numpy(), b.column("_t")
+            ids, offsets = _flat(encode(t) if encode else t)
+            at = 0
+            while at < len(r):
+                if r[at] != now:
+                    close()
+                    now = r[at]
+                    number = firsts[now]
+                end = min(at + chunk - held, int(np.searchsorted(r, now, side="right")))
+                parts.append(ids[offsets[at] : offsets[end]])
+                at, held = end, held + end - at
+                if held == chunk:
+                    close()
+                if ready > 1 << 20:
+                    yield _chunks(out, size)
+                    out, ready = [], 0
+        close()
+        yield _chunks(out, size)
+
+    dealt = dealt.repartitionById(len(firsts), "_r").sortWithinPartitions("_r", "_o").select("_r", "_t")
+    return dealt.mapInArrow(run, "chunk long, window int, token_ids array<int>")
+
+
+def _chunks(chunks: list[tuple[int, np.ndarray]], size: int) -> pa.RecordBatch:
+    """The windows of numbered streams."""
+    many = np.array([-(-len(ids) // size) for _, ids in chunks], np.int64)
+    window = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    length = np.minimum(np.repeat([len(ids) for _, ids in chunks], many) - window * size, size)
+    ids = np.concatenate([np.empty(0, np.int32), *(ids for _, ids in chunks)])
+    lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(length)], pa.int32()), pa.array(ids, pa.int32()))
+    return pa.RecordBatch.from_arrays([pa.array(np.repeat([n for n, _ in chunks], many), pa.int64()), pa.array(window, pa.int32()), lists], names=["chunk", "window", "token_ids"])
 
 
 def truncate(tokens: list[int], size: int, marks: tuple[int, int, int] | None = None) -> list[int]:

@@ -140,7 +140,8 @@ def q_pack_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_pack_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sequences.chunked_windows(_tokens(spark, sf_dir), "doc_id", "tokens", 512, 16).select("chunk", "window", sequences.ids_hash(F.col("token_ids")).alias("ids"))
+    made = sequences.chunked_windows(_docs(spark, sf_dir), "doc_id", "text", 512, 16, encode=lambda texts: sequences.code_points(texts, 0))
+    return made.select("chunk", "window", sequences.ids_hash(F.col("token_ids")).alias("ids"))
 
 
 def q_lm_shift(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -231,3 +231,27 @@ def test_columns_of_ids(spark):
     assert [tuple(g[:3]) for g in got] == [([1, 2], [2, 70_001], [1, 2, 1]), ([], [], [5]), (None, None, None)]
     assert all(g[3] == g[4] for g in got)
     assert [tuple(g[5:]) for g in got] == [([1, 2, 70_001], [2, 70_001, -100], [1, 1, 1]), ([5, 0, 0], [-100] * 3, [1, 0, 0]), (None, None, None)]
+
+
+def test_chunks_of_many_ranges_share_no_stream(spark, tmp_path):
+    r = random.Random(7)
+    rows = [(i * 3, [r.randint(0, 70_000) for _ in range(r.choice([0, 1, 4, 9, 30]))]) for i in range(300)]
+    df = spark.createDataFrame(rows, "o long, t array<int>").repartition(5)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        out = sequences.chunked_windows(df, "o", "t", 8, 16)
+        got = sorted((x["chunk"], x["window"], list(x["token_ids"])) for x in out.collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    streams = [[x for _, t in rows[i : i + 16] for x in t] for i in range(0, 300, 16)]
+    assert got == [(c, k // 9, s[k : k + 9]) for c, s in enumerate(streams) for k in range(0, len(s), 9)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "Generate" not in plan  # else every window carries its chunk
+
+
+def test_chunks_of_equal_and_null_orders(spark):
+    df = spark.createDataFrame([(None, 1)] * 3 + [(5, 2)] * 9 + [(i, 3) for i in range(6, 40)], "o long, v int").select("o", F.array("v").alias("t")).repartition(3)
+    got = sorted((x["chunk"], list(x["token_ids"])) for x in sequences.chunked_windows(df, "o", "t", 8, 4).collect())
+    flat = [1] * 3 + [2] * 9 + [3] * 34
+    assert got == [(i // 4, flat[i : i + 4]) for i in range(0, len(flat), 4)]
