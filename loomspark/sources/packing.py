@@ -15,7 +15,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
-from itertools import pairwise
+from itertools import islice, pairwise
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,8 +91,11 @@ def advance(laid: DataFrame, plan: Mapping, state: str, encode: Callable[[DataFr
         made = ranked(prepack.described(windows.where(full)), [], "first", "k", ties=("mode", "window")).withColumn("k", F.col("k") + at.sequences)
         path = files.join(state, "ranges", f"{at.ranges:06d}")
         made.write.mode("overwrite").parquet(path)
-        left = windows.where(last & ~full).select("mode", "parts").collect()  # at most one window of each stream
-        open_ = [{"o": p["o"], "t": list(p["part"]), "attr": list(p["attr"]), "whole": r["mode"] == prepack.ATOMIC} for r in left for p in r["parts"]]
+        left = windows.where(last & ~full).select("mode", "parts", "token_ids").collect()  # at most one window of each stream
+        open_ = []
+        for r in left:
+            ids = iter(r["token_ids"])
+            open_ += [{"o": p["o"], "t": list(islice(ids, p["n"])), "attr": list(p["attr"]), "whole": r["mode"] == prepack.ATOMIC} for p in r["parts"]]
         count = spark.read.schema(made.schema).parquet(path).count()
         at = Progress(at.ranges + 1, hi, at.sequences + count, sorted(open_, key=lambda x: (x["whole"], x["o"])))
         files.write_json(_commit(state, at.ranges - 1), {"ranges": at.ranges, "upto": at.upto, "sequences": at.sequences, "open": at.open})

@@ -14,6 +14,7 @@ from loomspark.functions import tokenizers
 from loomspark.operators import mixture, prepack, sequences
 from loomspark.plans.prepack import pack_dataset
 from loomspark.sources import files, packing, sessions, shards, sink
+from loomspark.sources.config import Prepack
 
 
 def said(df):
@@ -255,3 +256,55 @@ def test_chunks_of_equal_and_null_orders(spark):
     got = sorted((x["chunk"], list(x["token_ids"])) for x in sequences.chunked_windows(df, "o", "t", 8, 4).collect())
     flat = [1] * 3 + [2] * 9 + [3] * 34
     assert got == [(i // 4, flat[i : i + 4]) for i in range(0, len(flat), 4)]
+
+
+def test_packed_ids():
+    lists = pa.array([[1, 2, 70_001], None, [], [-5, 2**31 - 1] * 600], pa.list_(pa.int32()))
+    assert sequences.unpack(sequences.pack(lists)) == lists
+    assert sequences.unpack(sequences.pack(lists.slice(2))) == lists.slice(2)
+    assert len(sequences.pack(pa.array([[97, 98, 99] * 400], pa.list_(pa.int32())))[0].as_py()) < 600
+    for bad in ([1, None], [2**31]):
+        with pytest.raises(ValueError):
+            sequences.pack(pa.array([bad], pa.list_(pa.int64())))
+
+
+def test_streamed_windows_of_many_ranges_and_batches(spark):
+    r = random.Random(8)
+    for size, lengths in ((9, [0, 1, 2, 5, 9, 40]), (400, [1, 2, 7]), (3, [100, 300])):  # windows of a few rows, of several ranges, rows of many windows
+        rows = [(i * 7 - 900, [r.randint(0, 70_000) for _ in range(r.choice(lengths))], f"k{i % 3}") for i in range(300)]
+        df = spark.createDataFrame(rows, "o long, t array<int>, k string").repartition(5).select("o", "t", F.struct("k").alias("attr"), F.lit(False).alias("whole"))
+        before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+        try:
+            out = prepack.windows_of(prepack.stored(df), size, mixed=False)
+            got = sorted((x["window"], list(x["token_ids"]), [(p["o"], p["n"], p["attr"]["k"]) for p in x["parts"]], x["first"], x["last"]) for x in out.collect())
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+        flat = [(x, o, k) for o, t, k in rows for x in t]
+        want = []
+        for w in range(0, len(flat), size):
+            own, parts = flat[w : w + size], {}
+            for _, o, k in own:
+                parts[o, k] = parts.get((o, k), 0) + 1
+            want.append((w // size, [x for x, _, _ in own], [(o, n, k) for (o, k), n in parts.items()], own[0][1], own[-1][1]))
+        assert got == want
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate" not in plan and plan.count("Repartition") == 1 and "t#" in plan  # ids are shuffled once
+
+
+def test_shards_of_like_sequences_are_full(spark, tmp_path):
+    c = Prepack(dataset_name="Like", max_seq_len=3, mixture={"a": 1.0}, shard_num_sequences=7, train_fraction=0.8, val_fraction=0.1, test_fraction=0.1)
+    rows = [("train", [1, 2, 3, 4], "k")] * 40 + [("train", [5, 6, 7, i], f"k{i}") for i in range(30)] + [("val", [9, 9, 9, 9], None)] * 9
+    df = spark.createDataFrame(rows, "split string, token_ids array<int>, split_key string").repartition(6)
+    folder = f"file://{tmp_path}/out"
+    m = shards.write(df, folder, c)
+    assert sorted((x["split"], x["num_sequences"]) for x in m["shards"]) == [("train", 7)] * 10 + [("val", 2), ("val", 7)]
+    got = sorted(tuple(x["token_ids"]) for s in ("train", "val") for x in shards.read(spark, folder, s).collect())
+    assert got == sorted(tuple(t) for _, t, _ in rows)
+
+
+def test_a_dataset_leaves_no_copy_of_its_sequences(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shards, "shared_dir", lambda s: f"file://{tmp_path}/shared")
+    c = Prepack(dataset_name="One", max_seq_len=3, mixture={"a": 1.0}, shard_num_sequences=2, train_fraction=0.8, val_fraction=0.1, test_fraction=0.1)
+    shards.write(spark.createDataFrame([("train", [1, 2, 3, 4], f"k{i}") for i in range(5)], "split string, token_ids array<int>, split_key string"), f"file://{tmp_path}/out", c)
+    assert not list(Path(tmp_path, "shared").rglob("*sequences*")) and not list(Path(tmp_path, "shared").rglob("*.parquet"))
